@@ -1,0 +1,78 @@
+"""Queries registered with the driver, and their DuckDB oracle SQL.
+
+Each query takes ``(spark, sf_dir)``, derives the registry bases from the driver tables in
+``sf_dir`` (``sources.registry``) and runs one operator or end-to-end plan over the whole tables.
+Each oracle is written directly from the operator's definition in DuckDB SQL, over the same bases
+(defined by a ``WITH`` prelude over the driver tables). Column names match one to one.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .plans.leads import LeadFilter, leads
+from .sources.catalog import registry_catalog
+from .sources.registry import oracle_prelude
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = oracle_prelude() + sql
+        return fn
+    return deco
+
+
+# ---------------------------------------------------------------------------------------------
+# shared SQL fragments of the oracle
+# ---------------------------------------------------------------------------------------------
+SITE_JOINS_SQL = """
+FROM estabelecimentos est
+JOIN empresas emp USING (cnpj_basico)
+LEFT JOIN simples sim USING (cnpj_basico)
+LEFT JOIN municipios mun ON TRY_CAST(est.municipio AS INTEGER) = TRY_CAST(mun.codigo AS INTEGER)
+LEFT JOIN cnaes cnae ON TRY_CAST(est.cnae_fiscal_principal AS INTEGER) = TRY_CAST(cnae.codigo AS INTEGER)
+"""
+
+LEAD_COLUMNS_SQL = """
+  (est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv) AS cnpj,
+  emp.razao_social,
+  COALESCE(est.nome_fantasia, emp.razao_social) AS nome_fantasia,
+  est.cnae_fiscal_principal AS cnae_principal,
+  cnae.descricao AS cnae_principal_nome,
+  est.data_inicio_atividade,
+  est.uf,
+  est.municipio AS municipio_codigo,
+  mun.descricao AS municipio_nome,
+  est.tipo_logradouro, est.logradouro, est.numero, est.complemento, est.bairro, est.cep,
+  COALESCE(est.ddd_1, '') || COALESCE(est.telefone_1, '') AS telefone1,
+  COALESCE(est.ddd_2, '') || COALESCE(est.telefone_2, '') AS telefone2,
+  COALESCE(est.ddd_fax, '') || COALESCE(est.fax, '') AS fax,
+  est.correio_eletronico AS email,
+  COALESCE(sim.opcao_simples, '') AS opcao_simples,
+  COALESCE(sim.opcao_mei, '') AS opcao_mei
+"""
+
+
+def lead_sql(where: str, tail: str = "") -> str:
+    return f"SELECT {LEAD_COLUMNS_SQL} {SITE_JOINS_SQL} WHERE {where} {tail}"
+
+
+# ---------------------------------------------------------------------------------------------
+# flagship: filtered company list
+# ---------------------------------------------------------------------------------------------
+FLAGSHIP_FILTER = dict(uf="MG", municipio="Uberlandia", situacao=[8], porte=[3, 5])
+
+
+@register("leads_filtered", lead_sql(
+    "TRY_CAST(est.situacao_cadastral AS INTEGER) IN (8) AND UPPER(est.uf) = 'MG'"
+    " AND UPPER(mun.descricao) = UPPER('Uberlandia') AND TRY_CAST(emp.porte_empresa AS INTEGER) IN (3, 5)",
+    "ORDER BY emp.razao_social NULLS LAST"))
+def q_leads_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads(registry_catalog(spark, sf_dir), LeadFilter(**FLAGSHIP_FILTER))
