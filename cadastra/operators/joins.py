@@ -56,9 +56,11 @@ def lookup_join(df: DataFrame, lookup: DataFrame, code: Column | str, how: str =
 
     The lookup's columns come out as ``{prefix}_codigo`` / ``{prefix}_descricao``.
     """
+    small = is_small(lookup)
     lk = lookup.select(*[F.col(c).alias(f"{prefix}_{c}") for c in columns])
     lk = lk.withColumn(f"_{prefix}_key", try_int(f"{prefix}_{lookup_code}"))
-    lk = maybe_broadcast(lk)
+    if small:
+        lk = F.broadcast(lk)
     code_col = F.col(code) if isinstance(code, str) else code
     out = df.join(lk, try_int(code_col) == F.col(f"_{prefix}_key"), how)
     return out.drop(f"_{prefix}_key")

@@ -72,7 +72,14 @@ def _where(df: DataFrame, preds: list[Column]) -> DataFrame:
     return df if p is None else df.where(p)
 
 
-def site_predicates(f: LeadFilter, est_has_mun_lookup: bool) -> list[Column]:
+def state_eq(est: DataFrame, uf: str) -> Column:
+    """State test; on landed sites it reads the partition column, so other states are pruned."""
+    if "uf_norm" in est.columns:
+        return F.col("uf_norm") == F.lit(uf.upper())
+    return F.upper(F.col("uf")) == F.lit(uf.upper())
+
+
+def site_predicates(f: LeadFilter, est: DataFrame) -> list[Column]:
     """Predicates that only read site columns (applied before any join)."""
     p: list[Column] = []
     if f.situacao:
@@ -80,7 +87,7 @@ def site_predicates(f: LeadFilter, est_has_mun_lookup: bool) -> list[Column]:
     elif f.ativos:
         p.append(C.code_eq("situacao_cadastral", C.ACTIVE_CODE))
     if f.uf:
-        p.append(F.upper(F.col("uf")) == F.lit(f.uf))
+        p.append(state_eq(est, f.uf))
     if f.municipio and f.municipio_is_code:
         # with the lookup the code must also exist there (inner semantics, enforced after the join)
         p.append(C.code_eq("municipio", int(f.municipio)))
@@ -113,7 +120,7 @@ def leads(cat: Catalog, f: LeadFilter | None = None, sort: bool = True,
         municipio = None
     f = LeadFilter(**{**f.__dict__, "municipio": municipio})
 
-    est = _where(cat.est, site_predicates(f, has_mun))
+    est = _where(cat.est, site_predicates(f, cat.est))
     emp_preds = [C.code_in("porte_empresa", f.porte)]
     if f.natureza:
         emp_preds.append(F.col("natureza_juridica") == F.lit(f.natureza))
@@ -170,7 +177,7 @@ def health_leads(cat: Catalog, include_branches: bool = False, uf: str = "MG",
     cat.require("empresas", "estabelecimentos")
     has_sim, has_mun, has_cnae = cat.has("simples"), cat.has("municipios"), cat.has("cnaes")
     site_preds = [
-        F.upper(F.col("uf")) == F.lit(uf.upper()),
+        state_eq(cat.est, uf),
         # the lookup's code equals the site's code whenever the two joined, so one test suffices
         C.code_eq("municipio", municipio_code),
         C.cnae_division("cnae_fiscal_principal") == F.lit(division),

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans.leads import LeadFilter, leads
-from .sources.catalog import registry_catalog
+from .sources.landing import landed_registry
 from .sources.registry import oracle_prelude
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,11 +75,11 @@ FLAGSHIP_FILTER = dict(uf="MG", municipio="Uberlandia", situacao=[8], porte=[3,
     " AND UPPER(mun.descricao) = UPPER('Uberlandia') AND TRY_CAST(emp.porte_empresa AS INTEGER) IN (3, 5)",
     "ORDER BY emp.razao_social NULLS LAST"))
 def q_leads_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leads(registry_catalog(spark, sf_dir), LeadFilter(**FLAGSHIP_FILTER))
+    return leads(_cat(spark, sf_dir), LeadFilter(**FLAGSHIP_FILTER))
 
 
 def _cat(spark, sf_dir, *drop):
-    cat = registry_catalog(spark, sf_dir)
+    cat = landed_registry(spark, sf_dir)
     return cat.without(*drop) if drop else cat
 
 
@@ -119,3 +119,168 @@ _leads_key("leads_all_filters",
            " AND TRY_CAST(LEFT(COALESCE(est.cnae_fiscal_principal, ''), 2) AS INTEGER) = 86"
            " AND TRY_CAST(emp.porte_empresa AS INTEGER) IN (0, 1, 3, 5)",
            uf="MG", municipio="5403", cnae=86, porte=[0, 1, 3, 5], ativos=True, opcao_sim=True)
+
+
+# ---------------------------------------------------------------------------------------------
+# health list, MEI lists and counts
+# ---------------------------------------------------------------------------------------------
+from .plans.leads import health_leads  # noqa: E402
+from .plans.mei import mei_active_leads, mei_inactive_by_status, mei_inactive_total  # noqa: E402
+
+HEALTH_SQL = """
+SELECT
+  (est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv) AS cnpj,
+  emp.razao_social,
+  COALESCE(est.nome_fantasia, emp.razao_social) AS nome_fantasia,
+  emp.porte_empresa AS porte,
+  est.data_inicio_atividade,
+  est.situacao_cadastral,
+  est.uf,
+  mun.descricao AS municipio,
+  est.tipo_logradouro, est.logradouro, est.numero, est.complemento, est.bairro, est.cep,
+  COALESCE(est.ddd_1, '') || COALESCE(est.telefone_1, '') AS telefone1,
+  COALESCE(est.ddd_2, '') || COALESCE(est.telefone_2, '') AS telefone2,
+  est.correio_eletronico AS email,
+  est.cnae_fiscal_principal AS cnae_principal,
+  cnae.descricao AS cnae_principal_nome,
+  CASE WHEN UPPER(COALESCE(cnae.descricao, '')) LIKE '%CLÍNIC%' OR UPPER(COALESCE(cnae.descricao, '')) LIKE '%CLINIC%'
+       THEN 'CLINICA' ELSE 'OUTROS_SAUDE' END AS tipo_saude
+""" + SITE_JOINS_SQL + """
+WHERE UPPER(est.uf) = 'MG'
+  AND (TRY_CAST(est.municipio AS INTEGER) = 5403
+       OR (COALESCE(mun.codigo, '') <> '' AND TRY_CAST(mun.codigo AS INTEGER) = 5403))
+  AND LEFT(COALESCE(est.cnae_fiscal_principal, ''), 2) = '86'
+  AND UPPER(COALESCE(sim.opcao_mei, 'N')) <> 'S'
+  AND TRY_CAST(emp.porte_empresa AS INTEGER) IN (3, 5)
+  AND TRY_CAST(est.identificador_matriz_filial AS INTEGER) = 1
+ORDER BY emp.razao_social NULLS LAST
+"""
+
+
+@register("health_leads", HEALTH_SQL)
+def q_health_leads(spark, sf_dir):
+    return health_leads(_cat(spark, sf_dir))
+
+
+MEI_ACTIVE_SQL = """
+SELECT
+  (est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv) AS cnpj,
+  emp.razao_social,
+  COALESCE(est.nome_fantasia, emp.razao_social) AS nome_fantasia,
+  COALESCE(est.tipo_logradouro, '') AS tipo_logradouro,
+  COALESCE(est.logradouro, '') AS logradouro,
+  COALESCE(est.numero, '') AS numero,
+  COALESCE(est.complemento, '') AS complemento,
+  COALESCE(est.bairro, '') AS bairro,
+  COALESCE(est.cep, '') AS cep,
+  est.uf,
+  est.municipio AS municipio_codigo,
+  mun.descricao AS municipio_nome,
+  COALESCE(est.ddd_1, '') || COALESCE(est.telefone_1, '') AS telefone1,
+  COALESCE(est.ddd_2, '') || COALESCE(est.telefone_2, '') AS telefone2,
+  COALESCE(est.ddd_fax, '') || COALESCE(est.fax, '') AS fax,
+  COALESCE(est.correio_eletronico, '') AS email,
+  est.situacao_cadastral
+FROM estabelecimentos est
+JOIN empresas emp USING (cnpj_basico)
+JOIN simples sim USING (cnpj_basico)
+JOIN municipios mun ON TRY_CAST(est.municipio AS INTEGER) = TRY_CAST(mun.codigo AS INTEGER)
+WHERE UPPER(COALESCE(sim.opcao_mei, 'N')) = 'S'
+  AND UPPER(est.uf) = 'MG'
+  AND (TRY_CAST(est.situacao_cadastral AS INTEGER) = 2 OR UPPER(est.situacao_cadastral) = 'ATIVA')
+"""
+
+
+@register("mei_active_leads", MEI_ACTIVE_SQL)
+def q_mei_active_leads(spark, sf_dir):
+    return mei_active_leads(_cat(spark, sf_dir))
+
+
+MEI_INACTIVE_FROM = """
+FROM estabelecimentos est
+JOIN simples sim USING (cnpj_basico)
+WHERE UPPER(est.uf) = 'MG'
+  AND UPPER(COALESCE(sim.opcao_mei, 'N')) = 'S'
+  AND TRY_CAST(est.situacao_cadastral AS INTEGER) IN (3, 4, 8)
+  AND TRY_CAST(est.identificador_matriz_filial AS INTEGER) = 1
+"""
+
+
+@register("mei_inactive_total",
+          "SELECT COUNT(DISTINCT (est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv)) AS total_meis_inativos"
+          + MEI_INACTIVE_FROM)
+def q_mei_inactive_total(spark, sf_dir):
+    return mei_inactive_total(_cat(spark, sf_dir))
+
+
+@register("mei_inactive_by_status", """
+SELECT
+  TRY_CAST(est.situacao_cadastral AS INTEGER) AS codigo,
+  CASE TRY_CAST(est.situacao_cadastral AS INTEGER)
+    WHEN 2 THEN 'ATIVA' WHEN 3 THEN 'SUSPENSA' WHEN 4 THEN 'INAPTA' WHEN 8 THEN 'BAIXADA'
+    ELSE COALESCE(CAST(est.situacao_cadastral AS VARCHAR), '(DESCONHECIDA)') END AS descricao,
+  COUNT(*) AS registros,
+  COUNT(DISTINCT (est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv)) AS cnpjs_distintos
+""" + MEI_INACTIVE_FROM + "GROUP BY 1, 2 ORDER BY registros DESC")
+def q_mei_inactive_by_status(spark, sf_dir):
+    return mei_inactive_by_status(_cat(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------------
+# optional tables absent: joins elided, NULL/'' columns, code filter on the site's own code
+# ---------------------------------------------------------------------------------------------
+@register("leads_no_lookups", """
+SELECT
+  (est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv) AS cnpj,
+  emp.razao_social,
+  COALESCE(est.nome_fantasia, emp.razao_social) AS nome_fantasia,
+  est.cnae_fiscal_principal AS cnae_principal,
+  CAST(NULL AS VARCHAR) AS cnae_principal_nome,
+  est.data_inicio_atividade,
+  est.uf,
+  est.municipio AS municipio_codigo,
+  CAST(NULL AS VARCHAR) AS municipio_nome,
+  est.tipo_logradouro, est.logradouro, est.numero, est.complemento, est.bairro, est.cep,
+  COALESCE(est.ddd_1, '') || COALESCE(est.telefone_1, '') AS telefone1,
+  COALESCE(est.ddd_2, '') || COALESCE(est.telefone_2, '') AS telefone2,
+  COALESCE(est.ddd_fax, '') || COALESCE(est.fax, '') AS fax,
+  est.correio_eletronico AS email,
+  '' AS opcao_simples,
+  '' AS opcao_mei
+FROM estabelecimentos est
+JOIN empresas emp USING (cnpj_basico)
+WHERE UPPER(est.uf) = 'MG' AND TRY_CAST(est.municipio AS INTEGER) = 5403
+  AND TRY_CAST(emp.porte_empresa AS INTEGER) IN (3, 5)
+ORDER BY emp.razao_social NULLS LAST
+""")
+def q_leads_no_lookups(spark, sf_dir):
+    cat = _cat(spark, sf_dir, "simples", "municipios", "cnaes")
+    # the MEI filter needs the tax-regime table and is skipped without it
+    return leads(cat, LeadFilter(uf="MG", municipio="5403"))
+
+
+@register("health_leads_no_lookups", """
+SELECT
+  (est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv) AS cnpj,
+  emp.razao_social,
+  COALESCE(est.nome_fantasia, emp.razao_social) AS nome_fantasia,
+  emp.porte_empresa AS porte,
+  est.data_inicio_atividade, est.situacao_cadastral, est.uf,
+  est.municipio AS municipio,
+  est.tipo_logradouro, est.logradouro, est.numero, est.complemento, est.bairro, est.cep,
+  COALESCE(est.ddd_1, '') || COALESCE(est.telefone_1, '') AS telefone1,
+  COALESCE(est.ddd_2, '') || COALESCE(est.telefone_2, '') AS telefone2,
+  est.correio_eletronico AS email,
+  est.cnae_fiscal_principal AS cnae_principal,
+  CAST(NULL AS VARCHAR) AS cnae_principal_nome,
+  'SAUDE' AS tipo_saude
+FROM estabelecimentos est
+JOIN empresas emp USING (cnpj_basico)
+WHERE UPPER(est.uf) = 'MG' AND TRY_CAST(est.municipio AS INTEGER) = 5403
+  AND LEFT(COALESCE(est.cnae_fiscal_principal, ''), 2) = '86'
+  AND TRY_CAST(emp.porte_empresa AS INTEGER) IN (3, 5)
+  AND TRY_CAST(est.identificador_matriz_filial AS INTEGER) = 1
+ORDER BY emp.razao_social NULLS LAST
+""")
+def q_health_leads_no_lookups(spark, sf_dir):
+    return health_leads(_cat(spark, sf_dir, "simples", "municipios", "cnaes"))
