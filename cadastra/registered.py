@@ -284,3 +284,347 @@ ORDER BY emp.razao_social NULLS LAST
 """)
 def q_health_leads_no_lookups(spark, sf_dir):
     return health_leads(_cat(spark, sf_dir, "simples", "municipios", "cnaes"))
+
+
+# ---------------------------------------------------------------------------------------------
+# per-CNPJ report, re-aimed at a DataFrame of requests (every site's CNPJ + partners' documents)
+# ---------------------------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from .functions import codes as C  # noqa: E402
+from .functions.identity import DV1_WEIGHTS, DV2_WEIGHTS, cnpj_key  # noqa: E402
+from .functions.text import clean_name, clean_name_sql, slug, slug_sql  # noqa: E402
+from .operators.aggregates import export_summary, rows_and_distinct  # noqa: E402
+from .operators.joins import fact_join, lookup_join  # noqa: E402
+from .operators.ordering import top_k  # noqa: E402
+from .plans import report as R  # noqa: E402
+from .sources.registry import VIEWS  # noqa: E402
+
+
+def _dv_sql(d: str, weights) -> str:
+    total = " + ".join(f"TRY_CAST(substr({d}, {i}, 1) AS INTEGER) * {w}" for i, w in enumerate(weights, 1))
+    return f"(CASE WHEN ({total}) % 11 < 2 THEN 0 ELSE 11 - ({total}) % 11 END)"
+
+
+VALID_SQL = (f"(CASE WHEN length(d) = 14 AND d <> repeat(substr(d, 1, 1), 14) THEN substr(d, 13, 2) = "
+             f"CAST({_dv_sql('d', DV1_WEIGHTS)} AS VARCHAR) || CAST({_dv_sql('d', DV2_WEIGHTS)} AS VARCHAR)"
+             f" ELSE false END)")
+
+REQUEST_CTES = f""",
+requests AS (
+  SELECT substr(k, 1, 2) || '.' || substr(k, 3, 3) || '.' || substr(k, 6, 3) || '/' || substr(k, 9, 4)
+         || '-' || substr(k, 13, 2) AS cnpj_input
+  FROM (SELECT cnpj_basico || cnpj_ordem || cnpj_dv AS k FROM estabelecimentos)
+  UNION ALL SELECT cnpj_cpf_socio AS cnpj_input FROM socios
+),
+norm AS (
+  SELECT cnpj_input, regexp_replace(COALESCE(cnpj_input, ''), '[^0-9]', '', 'g') AS d FROM requests
+),
+keys AS (
+  SELECT DISTINCT substr(d, 1, 8) AS cnpj_basico, substr(d, 9, 4) AS cnpj_ordem, substr(d, 13, 2) AS cnpj_dv,
+         {VALID_SQL} AS dv_valido
+  FROM norm WHERE length(d) = 14
+),
+matched AS (
+  SELECT e.* FROM estabelecimentos e
+  WHERE EXISTS (SELECT 1 FROM keys k WHERE k.cnpj_basico = e.cnpj_basico AND k.cnpj_ordem = e.cnpj_ordem
+                AND k.cnpj_dv = e.cnpj_dv)
+),
+comp AS (
+  SELECT DISTINCT cnpj_basico, razao_social, natureza_juridica, porte_empresa, capital_social_empresa
+  FROM empresas WHERE cnpj_basico IN (SELECT cnpj_basico FROM matched)
+),
+sim1 AS (
+  SELECT * FROM (
+    SELECT s.*, row_number() OVER (PARTITION BY cnpj_basico ORDER BY opcao_simples NULLS LAST,
+      data_opcao_simples NULLS LAST, data_exclusao_simples NULLS LAST, opcao_mei NULLS LAST,
+      data_opcao_mei NULLS LAST, data_exclusao_mei NULLS LAST) AS rn
+    FROM simples s WHERE cnpj_basico IN (SELECT cnpj_basico FROM keys)) WHERE rn = 1
+)
+"""
+
+
+def _req(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    return cat, R.site_requests(cat)
+
+
+@register("cnpj_validate", REQUEST_CTES + f"""
+SELECT cnpj_input, d AS cnpj_digitos, length(d) = 14 AS tamanho_ok, {VALID_SQL} AS dv_valido FROM norm""")
+def q_cnpj_validate(spark, sf_dir):
+    cat, req = _req(spark, sf_dir)
+    return R.normalize_requests(req).select("cnpj_input", "cnpj_digitos", "tamanho_ok", "dv_valido")
+
+
+@register("cnpj_split", REQUEST_CTES + """
+SELECT cnpj_input, substr(d, 1, 8) AS cnpj_basico, substr(d, 9, 4) AS cnpj_ordem, substr(d, 13, 2) AS cnpj_dv
+FROM norm""")
+def q_cnpj_split(spark, sf_dir):
+    cat, req = _req(spark, sf_dir)
+    return R.normalize_requests(req).select("cnpj_input", "cnpj_basico", "cnpj_ordem", "cnpj_dv")
+
+
+@register("cnpj_lookup", REQUEST_CTES + """
+SELECT cnpj_basico, cnpj_ordem, cnpj_dv, nome_fantasia, situacao_cadastral FROM matched""")
+def q_cnpj_lookup(spark, sf_dir):
+    cat, req = _req(spark, sf_dir)
+    return R.matched_sites(cat, R.requested_keys(req)).select(
+        "cnpj_basico", "cnpj_ordem", "cnpj_dv", "nome_fantasia", "situacao_cadastral")
+
+
+@register("companies_of_cnpjs", REQUEST_CTES + "SELECT * FROM comp")
+def q_companies_of_cnpjs(spark, sf_dir):
+    cat, req = _req(spark, sf_dir)
+    return R.companies_of(cat, R.requested_keys(req))
+
+
+@register("simples_status", REQUEST_CTES + """
+SELECT cnpj_basico, COALESCE(opcao_simples, 'N') AS opcao_simples, data_opcao_simples, data_exclusao_simples,
+       COALESCE(opcao_mei, 'N') AS opcao_mei, data_opcao_mei, data_exclusao_mei FROM sim1""")
+def q_simples_status(spark, sf_dir):
+    cat, req = _req(spark, sf_dir)
+    return R.simples_status(cat, R.requested_keys(req))
+
+
+@register("cnpj_report", REQUEST_CTES + """
+SELECT k.cnpj_basico || '.' || k.cnpj_ordem || '/' || k.cnpj_dv AS cnpj, k.dv_valido,
+       c.razao_social, c.natureza_juridica, c.porte_empresa, c.capital_social_empresa,
+       COALESCE(s.opcao_simples, 'N') AS opcao_simples, COALESCE(s.opcao_mei, 'N') AS opcao_mei
+FROM keys k
+JOIN comp c ON c.cnpj_basico = k.cnpj_basico
+LEFT JOIN sim1 s ON s.cnpj_basico = k.cnpj_basico
+WHERE EXISTS (SELECT 1 FROM matched m WHERE m.cnpj_basico = k.cnpj_basico AND m.cnpj_ordem = k.cnpj_ordem
+              AND m.cnpj_dv = k.cnpj_dv)""")
+def q_cnpj_report(spark, sf_dir):
+    cat, req = _req(spark, sf_dir)
+    return R.cnpj_report(cat, req)
+
+
+@register("sites_of_cnpj", REQUEST_CTES + """
+SELECT m.cnpj_basico || '.' || m.cnpj_ordem || '/' || m.cnpj_dv AS cnpj,
+  CASE WHEN m.identificador_matriz_filial = '1' THEN 'MATRIZ' WHEN m.identificador_matriz_filial = '2' THEN 'FILIAL'
+       ELSE m.identificador_matriz_filial END AS tipo,
+  m.identificador_matriz_filial, m.nome_fantasia, m.cnae_fiscal_principal, m.cnae_fiscal_secundaria,
+  m.data_inicio_atividade, m.situacao_cadastral,
+  COALESCE(m.tipo_logradouro, '') || ' ' || COALESCE(m.logradouro, '') || ', ' || COALESCE(m.numero, '') || ' '
+    || COALESCE(m.complemento, '') || ' - ' || COALESCE(m.bairro, '') AS endereco,
+  COALESCE(m.cep, '') || ' / ' || COALESCE(m.uf, '') || ' / '
+    || COALESCE(NULLIF(mun.descricao, ''), NULLIF(m.municipio, ''), '') AS local,
+  'tel1=' || COALESCE(m.ddd_1, '') || COALESCE(m.telefone_1, '') || ' tel2=' || COALESCE(m.ddd_2, '')
+    || COALESCE(m.telefone_2, '') || ' fax=' || COALESCE(m.ddd_fax, '') || COALESCE(m.fax, '') || ' email='
+    || COALESCE(m.correio_eletronico, '') AS contatos
+FROM matched m
+LEFT JOIN municipios mun ON TRY_CAST(m.municipio AS INTEGER) = TRY_CAST(mun.codigo AS INTEGER)
+ORDER BY TRY_CAST(m.identificador_matriz_filial AS INTEGER) NULLS LAST, m.data_inicio_atividade NULLS LAST""")
+def q_sites_of_cnpj(spark, sf_dir):
+    cat, req = _req(spark, sf_dir)
+    return R.sites_of(cat, R.requested_keys(req))
+
+
+@register("partners_of", REQUEST_CTES + """
+SELECT cnpj_basico, identificador_socio, nome_socio_ou_razao_social, cnpj_cpf_socio, qualificacao_socio,
+  data_entrada_sociedade, pais, faixa_etaria,
+  COALESCE(representante_legal, 'None') || ' - ' || COALESCE(nome_representante, 'None') || ' ('
+    || COALESCE(qualificacao_representante_legal, 'None') || ')' AS representante
+FROM socios WHERE cnpj_basico IN (SELECT cnpj_basico FROM keys)
+ORDER BY nome_socio_ou_razao_social NULLS LAST""")
+def q_partners_of(spark, sf_dir):
+    cat, req = _req(spark, sf_dir)
+    return R.partners_of(cat, R.requested_keys(req))
+
+
+# ---------------------------------------------------------------------------------------------
+# scalar functions over whole tables
+# ---------------------------------------------------------------------------------------------
+def _registry_cols(df, base):
+    """The base's own columns (landed sites also carry the ``uf_norm`` partition column)."""
+    return df.select(*[c for c, _ in VIEWS[base].columns])
+
+
+@register("cnpj_key", """
+SELECT cnpj_basico, cnpj_ordem, cnpj_dv, cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj FROM estabelecimentos""")
+def q_cnpj_key(spark, sf_dir):
+    est = _cat(spark, sf_dir).est
+    return est.select("cnpj_basico", "cnpj_ordem", "cnpj_dv", cnpj_key().alias("cnpj"))
+
+
+@register("contact_fields", """
+SELECT cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj,
+  COALESCE(ddd_1, '') || COALESCE(telefone_1, '') AS telefone1,
+  COALESCE(ddd_2, '') || COALESCE(telefone_2, '') AS telefone2,
+  COALESCE(ddd_fax, '') || COALESCE(fax, '') AS fax,
+  COALESCE(correio_eletronico, '') AS email
+FROM estabelecimentos""")
+def q_contact_fields(spark, sf_dir):
+    est = _cat(spark, sf_dir).est
+    return est.select(cnpj_key().alias("cnpj"),
+                      F.concat(C.blank("ddd_1"), C.blank("telefone_1")).alias("telefone1"),
+                      F.concat(C.blank("ddd_2"), C.blank("telefone_2")).alias("telefone2"),
+                      F.concat(C.blank("ddd_fax"), C.blank("fax")).alias("fax"),
+                      C.blank("correio_eletronico").alias("email"))
+
+
+@register("try_int_codes", """
+SELECT cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj,
+  TRY_CAST(situacao_cadastral AS INTEGER) AS situacao_int,
+  TRY_CAST(municipio AS INTEGER) AS municipio_int,
+  TRY_CAST(cnae_fiscal_principal AS INTEGER) AS cnae_int,
+  TRY_CAST(identificador_matriz_filial AS INTEGER) AS matriz_int,
+  TRY_CAST(LEFT(COALESCE(cnae_fiscal_principal, ''), 2) AS INTEGER) AS cnae_divisao
+FROM estabelecimentos""")
+def q_try_int_codes(spark, sf_dir):
+    est = _cat(spark, sf_dir).est
+    return est.select(cnpj_key().alias("cnpj"),
+                      C.try_int("situacao_cadastral").alias("situacao_int"),
+                      C.try_int("municipio").alias("municipio_int"),
+                      C.try_int("cnae_fiscal_principal").alias("cnae_int"),
+                      C.try_int("identificador_matriz_filial").alias("matriz_int"),
+                      C.try_int(C.cnae_division("cnae_fiscal_principal")).alias("cnae_divisao"))
+
+
+@register("status_labels", """
+SELECT cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj, situacao_cadastral,
+  CASE TRY_CAST(situacao_cadastral AS INTEGER)
+    WHEN 2 THEN 'ATIVA' WHEN 3 THEN 'SUSPENSA' WHEN 4 THEN 'INAPTA' WHEN 8 THEN 'BAIXADA'
+    ELSE COALESCE(situacao_cadastral, '(DESCONHECIDA)') END AS descricao,
+  (TRY_CAST(situacao_cadastral AS INTEGER) = 2 OR UPPER(situacao_cadastral) = 'ATIVA') AS ativa
+FROM estabelecimentos""")
+def q_status_labels(spark, sf_dir):
+    est = _cat(spark, sf_dir).est
+    return est.select(cnpj_key().alias("cnpj"), "situacao_cadastral",
+                      C.status_label("situacao_cadastral").alias("descricao"),
+                      C.is_active("situacao_cadastral").alias("ativa"))
+
+
+@register("filter_head_office", """
+SELECT cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj, identificador_matriz_filial FROM estabelecimentos
+WHERE TRY_CAST(identificador_matriz_filial AS INTEGER) = 1""")
+def q_filter_head_office(spark, sf_dir):
+    est = _cat(spark, sf_dir).est
+    return est.where(C.is_head_office("identificador_matriz_filial")).select(
+        cnpj_key().alias("cnpj"), "identificador_matriz_filial")
+
+
+@register("clean_names_companies",
+          f"SELECT * REPLACE ({clean_name_sql('razao_social')} AS razao_social) FROM empresas")
+def q_clean_names_companies(spark, sf_dir):
+    emp = _cat(spark, sf_dir).emp
+    return emp.withColumns({"razao_social": clean_name("razao_social")})
+
+
+@register("clean_names_sites",
+          f"SELECT * REPLACE ({clean_name_sql('nome_fantasia')} AS nome_fantasia) FROM estabelecimentos")
+def q_clean_names_sites(spark, sf_dir):
+    est = _registry_cols(_cat(spark, sf_dir).est, "estabelecimentos")
+    return est.withColumns({"nome_fantasia": clean_name("nome_fantasia")})
+
+
+@register("clean_names_partners",
+          f"SELECT * REPLACE ({clean_name_sql('nome_socio_ou_razao_social')} AS nome_socio_ou_razao_social, "
+          f"{clean_name_sql('nome_representante')} AS nome_representante) FROM socios")
+def q_clean_names_partners(spark, sf_dir):
+    soc = _cat(spark, sf_dir).soc
+    return soc.withColumns({"nome_socio_ou_razao_social": clean_name("nome_socio_ou_razao_social"),
+                            "nome_representante": clean_name("nome_representante")})
+
+
+@register("slug_values", f"""
+SELECT cnpj_basico, razao_social, {slug_sql('razao_social')} AS razao_social_slug FROM empresas""")
+def q_slug_values(spark, sf_dir):
+    emp = _cat(spark, sf_dir).emp
+    return emp.select("cnpj_basico", "razao_social", slug("razao_social").alias("razao_social_slug"))
+
+
+@register("slug_activities", f"""
+SELECT codigo, descricao, {slug_sql('descricao')} AS descricao_slug FROM cnaes""")
+def q_slug_activities(spark, sf_dir):
+    cnae = _cat(spark, sf_dir).cnae
+    return cnae.select("codigo", "descricao", slug("descricao").alias("descricao_slug"))
+
+
+# ---------------------------------------------------------------------------------------------
+# joins one at a time
+# ---------------------------------------------------------------------------------------------
+@register("join_site_company", """
+SELECT est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv AS cnpj, emp.razao_social, emp.porte_empresa, est.uf
+FROM estabelecimentos est JOIN empresas emp USING (cnpj_basico)""")
+def q_join_site_company(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    df = fact_join(cat.est, [(cat.emp.select("cnpj_basico", "razao_social", "porte_empresa"), "inner")])
+    return df.select(cnpj_key().alias("cnpj"), "razao_social", "porte_empresa", "uf")
+
+
+@register("join_tax_regime", """
+SELECT est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv AS cnpj, sim.opcao_simples, sim.opcao_mei
+FROM estabelecimentos est LEFT JOIN simples sim USING (cnpj_basico)""")
+def q_join_tax_regime(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    df = fact_join(cat.est, [(cat.sim.select("cnpj_basico", "opcao_simples", "opcao_mei"), "left")])
+    return df.select(cnpj_key().alias("cnpj"), "opcao_simples", "opcao_mei")
+
+
+@register("join_city_left", """
+SELECT est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv AS cnpj, est.municipio, mun.descricao AS municipio_nome
+FROM estabelecimentos est
+LEFT JOIN municipios mun ON TRY_CAST(est.municipio AS INTEGER) = TRY_CAST(mun.codigo AS INTEGER)""")
+def q_join_city_left(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    df = lookup_join(cat.est, cat.mun, "municipio", "left", prefix="mun")
+    return df.select(cnpj_key().alias("cnpj"), "municipio", F.col("mun_descricao").alias("municipio_nome"))
+
+
+@register("join_activity", """
+SELECT est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv AS cnpj, est.cnae_fiscal_principal,
+       cnae.descricao AS cnae_nome
+FROM estabelecimentos est
+LEFT JOIN cnaes cnae ON TRY_CAST(est.cnae_fiscal_principal AS INTEGER) = TRY_CAST(cnae.codigo AS INTEGER)""")
+def q_join_activity(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    df = lookup_join(cat.est, cat.cnae, "cnae_fiscal_principal", "left", prefix="cnae")
+    return df.select(cnpj_key().alias("cnpj"), "cnae_fiscal_principal", F.col("cnae_descricao").alias("cnae_nome"))
+
+
+# ---------------------------------------------------------------------------------------------
+# counts, top-K, preview
+# ---------------------------------------------------------------------------------------------
+@register("establishment_count", """
+SELECT COUNT(*) AS registros, COUNT(DISTINCT (cnpj_basico || cnpj_ordem || cnpj_dv)) AS cnpjs_distintos
+FROM estabelecimentos""")
+def q_establishment_count(spark, sf_dir):
+    return rows_and_distinct(_cat(spark, sf_dir).est, cnpj_key())
+
+
+@register("export_summary", f"""
+SELECT COUNT(*) AS total, LEAST(COUNT(*), 100) AS exportadas {SITE_JOINS_SQL}
+WHERE UPPER(est.uf) = 'MG' AND {PORTE_35}""")
+def q_export_summary(spark, sf_dir):
+    return export_summary(leads(_cat(spark, sf_dir), LeadFilter(uf="MG"), sort=False), 100)
+
+
+LEAD_OUTPUT = ["cnpj", "razao_social", "nome_fantasia", "cnae_principal", "cnae_principal_nome",
+               "data_inicio_atividade", "uf", "municipio_codigo", "municipio_nome", "tipo_logradouro",
+               "logradouro", "numero", "complemento", "bairro", "cep", "telefone1", "telefone2", "fax",
+               "email", "opcao_simples", "opcao_mei"]
+
+
+def _total_order_sql(first: str, cols) -> str:
+    rest = [c for c in cols if c != first]
+    return ", ".join(f"{c} ASC NULLS LAST" for c in [first] + rest)
+
+
+@register("leads_top_k", f"""
+SELECT * FROM ({lead_sql(f"UPPER(est.uf) = 'MG' AND {PORTE_35}")})
+ORDER BY {_total_order_sql('razao_social', LEAD_OUTPUT)} LIMIT 100""")
+def q_leads_top_k(spark, sf_dir):
+    return leads(_cat(spark, sf_dir), LeadFilter(uf="MG", limit=100))
+
+
+MEI_OUTPUT = ["cnpj", "razao_social", "nome_fantasia", "tipo_logradouro", "logradouro", "numero", "complemento",
+              "bairro", "cep", "uf", "municipio_codigo", "municipio_nome", "telefone1", "telefone2", "fax",
+              "email", "situacao_cadastral"]
+
+
+@register("preview", f"""
+SELECT * FROM ({MEI_ACTIVE_SQL}) ORDER BY {_total_order_sql('razao_social', MEI_OUTPUT)} LIMIT 10""")
+def q_preview(spark, sf_dir):
+    return top_k(mei_active_leads(_cat(spark, sf_dir)), 10, ["razao_social"])
