@@ -628,3 +628,292 @@ MEI_OUTPUT = ["cnpj", "razao_social", "nome_fantasia", "tipo_logradouro", "logra
 SELECT * FROM ({MEI_ACTIVE_SQL}) ORDER BY {_total_order_sql('razao_social', MEI_OUTPUT)} LIMIT 10""")
 def q_preview(spark, sf_dir):
     return top_k(mei_active_leads(_cat(spark, sf_dir)), 10, ["razao_social"])
+
+
+# ---------------------------------------------------------------------------------------------
+# sources and sinks: every round trip writes under the shared checkpoint folder and reads back
+# ---------------------------------------------------------------------------------------------
+from .session import scratch_path  # noqa: E402
+from .sources import api as API  # noqa: E402
+from .sources import archives as ZIP  # noqa: E402
+from .sources import dumps as D  # noqa: E402
+from .sources import links as L  # noqa: E402
+from .sources.catalog import describe, load_catalog  # noqa: E402
+from .sources.export import export_csv, read_export  # noqa: E402
+from .sources.ingest import ingest_directory, profile_sources  # noqa: E402
+from .sources.parquet_io import rename_dataset, write_parquet, write_parts  # noqa: E402
+from .sources.registry import registry_views  # noqa: E402
+from .sources.schema import COLUMNS, NA_TOKENS, RENAME_BASE_RULES, detect_base  # noqa: E402
+from .functions.text import FOLD_FROM, FOLD_TO, fold_accents  # noqa: E402
+from .streaming.ingest_stream import run_ingest_stream  # noqa: E402
+
+TOKENS_SQL = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
+
+
+def _tok(expr: str) -> str:
+    return f"CASE WHEN {expr} IN ({TOKENS_SQL}) THEN NULL ELSE {expr} END"
+
+
+def _full(df, base):
+    """All dictionary columns of ``base`` in file order (absent ones as NULL)."""
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
+                       for c in COLUMNS[base]])
+
+
+def _full_sql(base: str, view: str, override: dict | None = None) -> str:
+    have = {c for c, _ in VIEWS[view].columns}
+    override = override or {}
+    cols = []
+    for c in COLUMNS[base]:
+        if c in override:
+            cols.append(f"{override[c]} AS {c}")
+        elif c in have:
+            cols.append(f"{_tok(c)} AS {c}")
+        else:
+            cols.append(f"CAST(NULL AS VARCHAR) AS {c}")
+    return ", ".join(cols)
+
+
+@register("scan_union_parts", "SELECT * FROM estabelecimentos")
+def q_scan_union_parts(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    root = scratch_path(spark, "parts")
+    write_parts(_registry_cols(cat.est, "estabelecimentos"), root, "estabelecimentos", 3, "cnpj_basico")
+    write_parts(cat.emp, root, "empresas", 2, "cnpj_basico")
+    return load_catalog(spark, root, bases=("empresas", "estabelecimentos")).est
+
+
+@register("parquet_roundtrip", "SELECT * FROM empresas")
+def q_parquet_roundtrip(spark, sf_dir):
+    root = scratch_path(spark, "parquet")
+    write_parquet(registry_views(spark, sf_dir, ["empresas"])["empresas"], f"{root}/Empresas.parquet")
+    return spark.read.parquet(f"{root}/Empresas.parquet")
+
+
+@register("describe_tables", " UNION ALL ".join(
+    f"SELECT '{b}' AS base, column_name, column_type FROM (DESCRIBE SELECT * FROM {b})"
+    for b in ("empresas", "estabelecimentos", "simples", "municipios")))
+def q_describe_tables(spark, sf_dir):
+    views = registry_views(spark, sf_dir, ["empresas", "estabelecimentos", "simples", "municipios"])
+    return describe(spark, views, "empresas|estabelecimentos| simples |municipios").drop("ordinal")
+
+
+@register("ingest_csv_roundtrip",
+          f"SELECT {_full_sql('estabelecimentos', 'estabelecimentos')} FROM estabelecimentos")
+def q_ingest_csv_roundtrip(spark, sf_dir):
+    est = _full(_cat(spark, sf_dir).est, "estabelecimentos")
+    root = scratch_path(spark, "ingest")
+    D.write_dump(est, f"{root}/src/Estabelecimentos")
+    out = ingest_directory(spark, f"{root}/src", f"{root}/out")
+    return spark.read.parquet(out["estabelecimentos"])
+
+
+@register("ingest_latin1_lookup", f"SELECT {_tok('codigo')} AS codigo, {_tok('descricao')} AS descricao FROM cnaes")
+def q_ingest_latin1_lookup(spark, sf_dir):
+    root = scratch_path(spark, "ingest-cnaes")
+    D.write_dump(_cat(spark, sf_dir).cnae, f"{root}/src/Cnaes")
+    out = ingest_directory(spark, f"{root}/src", f"{root}/out")
+    return spark.read.parquet(out["cnaes"])
+
+
+# Damage rules of the bad-row fixture, keyed by the site's check digits:
+#   '00' one extra field, '10' one extra empty field (both dropped), '01' only the first 25
+#   fields (padded with NULL), '03' a quoted newline and doubled quotes inside a field.
+BAD_NEWLINE_SQL = "CASE WHEN cnpj_dv = '03' THEN nome_fantasia || chr(10) || 'say \"hi\"' ELSE nome_fantasia END"
+
+
+@register("ingest_bad_rows", "SELECT " + ", ".join(
+    (f"CASE WHEN cnpj_dv = '01' THEN NULL ELSE {e} END AS {c}" if i >= 25 else f"{e} AS {c}")
+    for i, (c, e) in enumerate(
+        (c, (_tok(BAD_NEWLINE_SQL) if c == "nome_fantasia" else
+             (_tok(c) if c in {x for x, _ in VIEWS['estabelecimentos'].columns} else "CAST(NULL AS VARCHAR)")))
+        for c in COLUMNS["estabelecimentos"]))
+    + " FROM estabelecimentos WHERE cnpj_dv NOT IN ('00', '10')")
+def q_ingest_bad_rows(spark, sf_dir):
+    est = _full(_cat(spark, sf_dir).est, "estabelecimentos")
+    dv = F.col("cnpj_dv")
+    est = est.withColumn("nome_fantasia", F.when(dv == "03", F.concat("nome_fantasia", F.lit('\nsay "hi"')))
+                         .otherwise(F.col("nome_fantasia")))
+    cols = COLUMNS["estabelecimentos"]
+    full, short = D.render_lines(est, cols), D.render_lines(est, cols[:25])
+    line = (F.when(dv == "00", F.concat(full, F.lit(';"extra"')))
+            .when(dv == "10", F.concat(full, F.lit(';""')))
+            .when(dv == "01", short).otherwise(full))
+    path = scratch_path(spark, "bad-rows") + "/Estabelecimentos"
+    est.select(line.alias("value")).write.text(path)
+    return D.read_base_dump(spark, path, "estabelecimentos")
+
+
+# NULL-token fixture: one token per check-digit value ('07' uses 'none', which is not a token).
+NULL_TOKEN_RULES = {"02": ("bairro", "NA"), "03": ("logradouro", "NULL"), "04": ("complemento", "nan"),
+                    "05": ("nome_fantasia", "None"), "06": ("correio_eletronico", "n/a"),
+                    "07": ("bairro", "none"), "08": ("tipo_logradouro", "#N/A"), "09": ("cep", "")}
+
+
+def _token_override_sql() -> dict:
+    by_col: dict[str, list] = {}
+    for dv, (c, tok) in NULL_TOKEN_RULES.items():
+        by_col.setdefault(c, []).append((dv, tok))
+    out = {}
+    for c, rules in by_col.items():
+        whens = " ".join(f"WHEN cnpj_dv = '{dv}' THEN '{tok}'" for dv, tok in rules)
+        out[c] = _tok(f"(CASE {whens} ELSE {c} END)")
+    return out
+
+
+@register("ingest_null_tokens",
+          f"SELECT {_full_sql('estabelecimentos', 'estabelecimentos', _token_override_sql())} FROM estabelecimentos")
+def q_ingest_null_tokens(spark, sf_dir):
+    est = _full(_cat(spark, sf_dir).est, "estabelecimentos")
+    for dv, (c, tok) in NULL_TOKEN_RULES.items():
+        est = est.withColumn(c, F.when(F.col("cnpj_dv") == dv, F.lit(tok)).otherwise(F.col(c)))
+    path = scratch_path(spark, "null-tokens") + "/Estabelecimentos"
+    est.select(D.render_lines(est, COLUMNS["estabelecimentos"]).alias("value")).write.text(path)
+    return D.read_base_dump(spark, path, "estabelecimentos")
+
+
+@register("detect_header")
+def q_detect_header(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    root = scratch_path(spark, "headers")
+    D.write_dump(_full(cat.est, "estabelecimentos"), f"{root}/Estabelecimentos")
+    D.write_dump(cat.soc, f"{root}/Socios", header=True)
+    return profile_sources(spark, root).select("name", "base", "has_header", "length")
+
+
+# links in the driver's web pages (every href; the zip-only pattern is the default elsewhere)
+def _links(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    return L.extract_links(pages, suffix="")
+
+
+ORIGIN_SQL = r"regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1)"
+SCHEME_SQL = r"regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*):', 1)"
+DIR_SQL = r"regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*://[^?#]*/)', 1)"
+
+
+def _base_case_sql(expr: str, rules) -> str:
+    whens = " ".join(
+        "WHEN " + " OR ".join(f"contains(lower({expr}), '{k}')" for k in keys) + f" THEN '{base}'"
+        for base, keys in rules)
+    return f"CASE {whens} ELSE '' END"
+
+
+from .sources.schema import INGEST_BASE_RULES  # noqa: E402
+
+LINKS_CTE = f""",
+hrefs AS (SELECT url, unnest(regexp_extract_all(html, '(?i)href="([^"]+)"', 1)) AS href FROM pages),
+resolved AS (
+  SELECT DISTINCT CASE
+    WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN href
+    WHEN starts_with(href, '//') THEN {SCHEME_SQL} || ':' || href
+    WHEN starts_with(href, '/') THEN {ORIGIN_SQL} || href
+    ELSE CASE WHEN {DIR_SQL} <> '' THEN {DIR_SQL} ELSE {ORIGIN_SQL} || '/' END || href END AS link
+  FROM hrefs
+),
+links AS (
+  SELECT link, regexp_extract(link, '([^/?#]*)(?:[?#].*)?$', 1) AS file_name FROM resolved
+)
+"""
+
+
+@register("extract_links", LINKS_CTE + f"""
+SELECT link, file_name, {_base_case_sql('file_name', INGEST_BASE_RULES)} AS base FROM links ORDER BY link""")
+def q_extract_links(spark, sf_dir):
+    return _links(spark, sf_dir)
+
+
+def _fold_sql(expr: str) -> str:
+    f = FOLD_FROM.replace("'", "''")
+    t = FOLD_TO.replace("'", "''")
+    return f"lower(translate({expr}, '{f}', '{t}'))"
+
+
+@register("detect_base", LINKS_CTE + f"""
+SELECT file_name,
+  {_base_case_sql('file_name', INGEST_BASE_RULES)} AS base_ingest,
+  {_base_case_sql(_fold_sql("regexp_replace(file_name, '\\.[^.]*$', '')"), RENAME_BASE_RULES)} AS base_rename,
+  {_base_case_sql('file_name', __import__('cadastra.sources.schema', fromlist=['x']).CLEAN_BASE_RULES)} AS base_clean
+FROM links""")
+def q_detect_base(spark, sf_dir):
+    from .sources.schema import CLEAN_BASE_RULES
+    links = _links(spark, sf_dir)
+    stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
+    return links.select(
+        "file_name",
+        detect_base(F.col("file_name"), INGEST_BASE_RULES).alias("base_ingest"),
+        detect_base(F.lower(fold_accents(stem)), RENAME_BASE_RULES).alias("base_rename"),
+        detect_base(F.col("file_name"), CLEAN_BASE_RULES).alias("base_clean"))
+
+
+SOURCE_PATTERN = "/(de|the)"
+
+
+@register("select_sources", LINKS_CTE + f"""
+SELECT link, file_name, {_base_case_sql('file_name', INGEST_BASE_RULES)} AS base FROM links
+WHERE regexp_matches(link, '(?i){SOURCE_PATTERN}') ORDER BY link LIMIT 50""")
+def q_select_sources(spark, sf_dir):
+    return L.select_sources(_links(spark, sf_dir), SOURCE_PATTERN, 50)
+
+
+@register("pending_sources", LINKS_CTE + f"""
+SELECT link, file_name, {_base_case_sql('file_name', INGEST_BASE_RULES)} AS base FROM links
+WHERE link NOT IN (SELECT link FROM links WHERE regexp_matches(link, '(?i){SOURCE_PATTERN}') ORDER BY link LIMIT 50)
+ORDER BY link""")
+def q_pending_sources(spark, sf_dir):
+    links = _links(spark, sf_dir)
+    # an earlier run ingested the first 50 matching sources and recorded them in its manifest
+    manifest = scratch_path(spark, "manifest")
+    L.select_sources(links, SOURCE_PATTERN, 50).select("link").write.parquet(manifest)
+    return L.pending_sources(links, spark.read.parquet(manifest), key="link")
+
+
+@register("export_csv_roundtrip", "SELECT " + ", ".join(
+    f"NULLIF({c}, '') AS {c}" for c in LEAD_OUTPUT) + f""" FROM ({lead_sql(f"UPPER(est.uf) = 'MG' AND {PORTE_35}")})""")
+def q_export_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "export")
+    export_csv(leads(_cat(spark, sf_dir), LeadFilter(uf="MG")), path)
+    return read_export(spark, path)
+
+
+@register("rename_dataset", "SELECT * FROM socios")
+def q_rename_dataset(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    root = scratch_path(spark, "rename")
+    raw = cat.soc.toDF(*[f"_c{i}" for i in range(len(cat.soc.columns))])  # as a headerless CSV reads
+    write_parquet(raw, f"{root}/src/Socios.parquet")
+    write_parquet(cat.emp, f"{root}/src/Empresas.parquet")
+    out = rename_dataset(spark, [f"{root}/src/Socios.parquet", f"{root}/src/Empresas.parquet"], f"{root}/dst")
+    return spark.read.parquet(out["Socios.parquet"])
+
+
+def _zip_fixture(spark, sf_dir):
+    root = scratch_path(spark, "zips")
+    D.write_dump(_cat(spark, sf_dir).cnae, f"{root}/csv/Cnaes")
+    files = D.list_files(spark, f"{root}/csv", "*.csv")
+    archives = ZIP.pack_files(files, f"{root}/zip", "F.K03200$Z.D50712.CNAECSV").select(F.col("archive").alias("path"))
+    return root, archives
+
+
+@register("zip_members")
+def q_zip_members(spark, sf_dir):
+    root, archives = _zip_fixture(spark, sf_dir)
+    archives.write.parquet(f"{root}/archives")
+    return ZIP.zip_members(spark.read.parquet(f"{root}/archives")).select("member", "member_bytes")
+
+
+@register("ingest_zip_roundtrip", f"SELECT {_tok('codigo')} AS codigo, {_tok('descricao')} AS descricao FROM cnaes")
+def q_ingest_zip_roundtrip(spark, sf_dir):
+    root, archives = _zip_fixture(spark, sf_dir)
+    landed = ZIP.extract_members(archives, f"{root}/landed")
+    landed.write.parquet(f"{root}/landed-manifest")  # runs the extraction once
+    return D.read_base_dump(spark, f"{root}/landed/*/*.csv", "cnaes")
+
+
+@register("ingest_stream",
+          f"SELECT {_full_sql('estabelecimentos', 'estabelecimentos')} FROM estabelecimentos")
+def q_ingest_stream(spark, sf_dir):
+    root = scratch_path(spark, "stream")
+    D.write_dump(_full(_cat(spark, sf_dir).est, "estabelecimentos"), f"{root}/src")
+    run_ingest_stream(spark, f"{root}/src", f"{root}/out", f"{root}/checkpoint", "estabelecimentos")
+    return spark.read.schema(_full(_cat(spark, sf_dir).est, "estabelecimentos").schema).parquet(f"{root}/out")
