@@ -838,11 +838,13 @@ FROM links""")
 def q_detect_base(spark, sf_dir):
     from .sources.schema import CLEAN_BASE_RULES
     links = _links(spark, sf_dir)
-    stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
+    # folded stem projected once; the keyword tests read it repeatedly
+    links = links.select("file_name", F.lower(fold_accents(F.regexp_replace("file_name", r"\.[^.]*$", "")))
+                         .alias("_stem"))
     return links.select(
         "file_name",
         detect_base(F.col("file_name"), INGEST_BASE_RULES).alias("base_ingest"),
-        detect_base(F.lower(fold_accents(stem)), RENAME_BASE_RULES).alias("base_rename"),
+        detect_base(F.col("_stem"), RENAME_BASE_RULES).alias("base_rename"),
         detect_base(F.col("file_name"), CLEAN_BASE_RULES).alias("base_clean"))
 
 

@@ -27,9 +27,9 @@ MANIFEST = "_ingested"
 def profile_sources(spark: SparkSession, src_root: str, glob: str = "*") -> DataFrame:
     files = list_files(spark, src_root, glob).where(~F.col("name").startswith("_") & ~F.col("name").startswith("."))
     prof = file_profiles(files)
-    parent = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
+    prof = prof.withColumn("_parent", F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1))
     return prof.withColumn("base", F.when(F.col("base") != "", F.col("base"))
-                           .otherwise(detect_base(parent, INGEST_BASE_RULES)))
+                           .otherwise(detect_base(F.col("_parent"), INGEST_BASE_RULES))).drop("_parent")
 
 
 def pending(sources: DataFrame, done: DataFrame | None, key: str = "path") -> DataFrame:

@@ -47,12 +47,17 @@ def page_links(pages: DataFrame, suffix: str = ZIP_SUFFIX, html: str = "html", u
             .select("page_url", "href", resolve(F.col("href"), F.col("page_url")).alias("link")))
 
 
+def file_name(link: Column) -> Column:
+    """Last path segment, without query or fragment (no backtracking regex)."""
+    return F.substring_index(F.regexp_replace(link, r"[?#].*", ""), "/", -1)
+
+
 def extract_links(pages: DataFrame, suffix: str = ZIP_SUFFIX, **kw) -> DataFrame:
     """Distinct resolved links, sorted, with their file name and detected base."""
     links = page_links(pages, suffix, **kw).select("link").distinct()
-    name = F.regexp_extract("link", r"([^/?#]*)(?:[?#].*)?$", 1)
-    return (links.select("link", name.alias("file_name"),
-                         detect_base(name, INGEST_BASE_RULES).alias("base"))
+    # the name is projected first: the base test reads it many times (once per keyword)
+    named = links.select("link", file_name(F.col("link")).alias("file_name"))
+    return (named.select("link", "file_name", detect_base(F.col("file_name"), INGEST_BASE_RULES).alias("base"))
             .orderBy("link"))
 
 
