@@ -99,19 +99,26 @@ def fact_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], key: str =
 
     ``how`` is ``inner`` or ``left`` (fact side preserved). Dimension rows are expected to be
     few per key; any number works, duplicates multiply rows as in a plain join.
+
+    Plan: one extra pass over the fact's key column finds the hot keys (broadcast, bounded).
+    Every fact row gets a salt — 0 for ordinary keys, a hash of the row modulo
+    ``salt_buckets`` for hot keys — and every dimension row is emitted once per salt its key
+    uses (1 or ``salt_buckets``). All joins then run on ``(key, salt)``: a single shuffle per
+    input, consecutive joins share the partitioning, and no task holds more than
+    ``1/salt_buckets`` of a hot key's rows.
     """
     if not skew.enabled or not dims:
         return _chain(fact, dims, [key])
-    hot = F.broadcast(hot_keys(fact, key, skew.hot_rows))
-    cold_part = _chain(fact.join(hot, key, "left_anti"), dims, [key])
-    salt = "_salt"
-    fact_hot = fact.join(hot, key, "left_semi")
+    salt, flag = "_salt", "_hot"
+    hot = F.broadcast(hot_keys(fact, key, skew.hot_rows).withColumn(flag, F.lit(True)))
     # deterministic salt from the row itself, so a recomputed task sends each row to the same bucket
-    fact_hot = fact_hot.withColumn(salt, F.pmod(F.xxhash64(*fact.columns), F.lit(skew.salt_buckets)))
-    replicated = []
+    row_salt = F.pmod(F.xxhash64(*fact.columns), F.lit(skew.salt_buckets))
+    f = (fact.join(hot, key, "left")
+         .withColumn(salt, F.when(F.col(flag), row_salt).otherwise(F.lit(0).cast("long"))).drop(flag))
+    salted = []
     for dim, how in dims:
-        d = dim.join(hot, key, "left_semi")
-        d = d.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(skew.salt_buckets - 1))))
-        replicated.append((d, how))
-    hot_part = _chain(fact_hot, replicated, [key, salt]).drop(salt)
-    return cold_part.unionByName(hot_part)
+        top = F.when(F.col(flag), F.lit(skew.salt_buckets - 1)).otherwise(F.lit(0))
+        d = (dim.join(hot, key, "left")
+             .withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), top.cast("long")))).drop(flag))
+        salted.append((d, how))
+    return _chain(f, salted, [key, salt]).drop(salt)

@@ -127,6 +127,15 @@ def leads(cat: Catalog, f: LeadFilter | None = None, sort: bool = True,
     emp = _where(cat.emp.select("cnpj_basico", "razao_social", "porte_empresa", "natureza_juridica"),
                  emp_preds)
 
+    if has_mun and f.municipio:
+        # a municipality filter reads the (broadcast) lookup: join it map-side first, so only
+        # the matching sites reach the shuffle joins
+        est = lookup_join(est, cat.mun, "municipio", "left", prefix="mun")
+        if f.municipio_is_code:
+            est = est.where(C.try_int("mun_codigo") == F.lit(int(f.municipio)))
+        else:
+            est = est.where(C.same_text_ci("mun_descricao", f.municipio))
+
     dims = [(emp, "inner")]
     if has_sim:
         sim = cat.sim.select("cnpj_basico", "opcao_simples", "opcao_mei")
@@ -136,12 +145,8 @@ def leads(cat: Catalog, f: LeadFilter | None = None, sort: bool = True,
             dims.append((sim, "left"))
     df = fact_join(est, dims, skew=skew)
 
-    if has_mun:
+    if has_mun and not f.municipio:
         df = lookup_join(df, cat.mun, "municipio", "left", prefix="mun")
-        if f.municipio and f.municipio_is_code:
-            df = df.where(C.try_int("mun_codigo") == F.lit(int(f.municipio)))
-        elif f.municipio:
-            df = df.where(C.same_text_ci("mun_descricao", f.municipio))
     if has_cnae:
         df = lookup_join(df, cat.cnae, "cnae_fiscal_principal", "left", prefix="cnae")
 
