@@ -992,3 +992,65 @@ SELECT search_id, CAST(COALESCE(MAX(CASE WHEN all_good AND not_stopped THEN p EN
 FROM flags GROUP BY search_id""")
 def q_api_page_cutoff(spark, sf_dir):
     return API.page_cutoff(_api_pages(spark, sf_dir), max_pages=API_MAX_PAGES)
+
+
+# ---------------------------------------------------------------------------------------------
+# column naming of unknown dumps, dataset-level cleaning, branch variants
+# ---------------------------------------------------------------------------------------------
+from .sources.parquet_io import clean_dataset  # noqa: E402
+
+
+@register("assign_columns", f"""
+SELECT {_tok('cnpj_basico')} AS col_00, {_tok('cnpj_ordem')} AS col_01, {_tok('cnpj_dv')} AS col_02
+FROM estabelecimentos""")
+def q_assign_columns(spark, sf_dir):
+    # a digits-only table dumped under a name no rule recognises and without a header:
+    # neither dictionary nor header applies, so the columns get generated names
+    root = scratch_path(spark, "naming")
+    D.write_dump(_cat(spark, sf_dir).est.select("cnpj_basico", "cnpj_ordem", "cnpj_dv"), f"{root}/src/Tabela")
+    out = ingest_directory(spark, f"{root}/src", f"{root}/out")
+    return spark.read.parquet(out[""])
+
+
+@register("assign_columns_from_header", f"""
+SELECT {_tok('codigo')} AS codigo, {_tok('descricao')} AS descricao FROM municipios""")
+def q_assign_columns_from_header(spark, sf_dir):
+    # a lookup under an unrecognised name, written with a header line: the header names win
+    root = scratch_path(spark, "naming-header")
+    mun = _cat(spark, sf_dir).mun
+    D.write_dump(mun, f"{root}/src/Tabela", header=True)
+    out = ingest_directory(spark, f"{root}/src", f"{root}/out")
+    return spark.read.parquet(out[""]).select("codigo", "descricao")
+
+
+@register("clean_names_dataset",
+          f"SELECT * REPLACE ({clean_name_sql('nome_socio_ou_razao_social')} AS nome_socio_ou_razao_social, "
+          f"{clean_name_sql('nome_representante')} AS nome_representante) FROM socios")
+def q_clean_names_dataset(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    root = scratch_path(spark, "clean")
+    write_parquet(cat.soc, f"{root}/src/Socios0.parquet")
+    write_parquet(cat.mun, f"{root}/src/Municipios.parquet")  # not a cleaning target: not written
+    out = clean_dataset(spark, [f"{root}/src/Socios0.parquet", f"{root}/src/Municipios.parquet"], f"{root}/dst")
+    assert set(out) == {"Socios0.parquet"}
+    return spark.read.parquet(out["Socios0.parquet"])
+
+
+@register("health_leads_with_branches", HEALTH_SQL.replace(
+    "  AND TRY_CAST(est.identificador_matriz_filial AS INTEGER) = 1\n", ""))
+def q_health_leads_with_branches(spark, sf_dir):
+    return health_leads(_cat(spark, sf_dir), include_branches=True)
+
+
+@register("mei_inactive_with_branches", """
+SELECT
+  TRY_CAST(est.situacao_cadastral AS INTEGER) AS codigo,
+  CASE TRY_CAST(est.situacao_cadastral AS INTEGER)
+    WHEN 2 THEN 'ATIVA' WHEN 3 THEN 'SUSPENSA' WHEN 4 THEN 'INAPTA' WHEN 8 THEN 'BAIXADA'
+    ELSE COALESCE(CAST(est.situacao_cadastral AS VARCHAR), '(DESCONHECIDA)') END AS descricao,
+  COUNT(*) AS registros,
+  COUNT(DISTINCT (est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv)) AS cnpjs_distintos
+""" + MEI_INACTIVE_FROM.replace("  AND TRY_CAST(est.identificador_matriz_filial AS INTEGER) = 1\n", "")
+          + "GROUP BY 1, 2 ORDER BY registros DESC")
+def q_mei_inactive_with_branches(spark, sf_dir):
+    return mei_inactive_by_status(_cat(spark, sf_dir), include_branches=True, uf="mg")
