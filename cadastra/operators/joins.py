@@ -94,7 +94,8 @@ def _chain(left: DataFrame, dims: Sequence[tuple[DataFrame, str]], on: list[str]
 
 
 def fact_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], key: str = "cnpj_basico",
-              skew: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
+              skew: SkewPolicy = DEFAULT_SKEW, bound: int | None = None,
+              hot: DataFrame | None = None) -> DataFrame:
     """``fact`` joined with each ``(dim, how)`` on ``key`` (USING semantics, one key column).
 
     ``how`` is ``inner`` or ``left`` (fact side preserved). Dimension rows are expected to be
@@ -106,11 +107,16 @@ def fact_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], key: str =
     uses (1 or ``salt_buckets``). All joins then run on ``(key, salt)``: a single shuffle per
     input, consecutive joins share the partitioning, and no task holds more than
     ``1/salt_buckets`` of a hot key's rows.
+
+    ``bound``: a proven upper bound on the fact's row count; at or below ``hot_rows`` no key can
+    be hot and the plain joins are used (the planner may then broadcast small dimensions).
+    ``hot``: precomputed hot keys (any superset of the fact's hot keys is correct).
     """
-    if not skew.enabled or not dims:
+    if not skew.enabled or not dims or (bound is not None and bound <= skew.hot_rows):
         return _chain(fact, dims, [key])
     salt, flag = "_salt", "_hot"
-    hot = F.broadcast(hot_keys(fact, key, skew.hot_rows).withColumn(flag, F.lit(True)))
+    hot = hot if hot is not None else hot_keys(fact, key, skew.hot_rows)
+    hot = F.broadcast(hot.select(key).distinct().withColumn(flag, F.lit(True)))
     # deterministic salt from the row itself, so a recomputed task sends each row to the same bucket
     row_salt = F.pmod(F.xxhash64(*fact.columns), F.lit(skew.salt_buckets))
     f = (fact.join(hot, key, "left")

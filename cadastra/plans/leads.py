@@ -143,7 +143,7 @@ def leads(cat: Catalog, f: LeadFilter | None = None, sort: bool = True,
             dims.append((sim.where(C.is_yes("opcao_mei")), "inner"))
         else:
             dims.append((sim, "left"))
-    df = fact_join(est, dims, skew=skew)
+    df = fact_join(est, dims, skew=skew, **cat.skew_inputs("estabelecimentos", "cnpj_basico", skew))
 
     if has_mun and not f.municipio:
         df = lookup_join(df, cat.mun, "municipio", "left", prefix="mun")
@@ -196,7 +196,7 @@ def health_leads(cat: Catalog, include_branches: bool = False, uf: str = "MG",
     if has_sim:
         # left join + filter after it: keeps companies without a tax-regime row, drops MEI ones
         dims.append((cat.sim.select("cnpj_basico", "opcao_mei"), "left"))
-    df = fact_join(est, dims, skew=skew)
+    df = fact_join(est, dims, skew=skew, **cat.skew_inputs("estabelecimentos", "cnpj_basico", skew))
     if has_sim:
         df = df.where(~C.is_yes("opcao_mei"))
     if has_mun:

@@ -25,7 +25,8 @@ def mei_active_leads(cat: Catalog, uf: str = "MG", skew: SkewPolicy = DEFAULT_SK
     est = cat.est.where(state_eq(cat.est, uf) & C.is_active("situacao_cadastral"))
     emp = cat.emp.select("cnpj_basico", "razao_social")
     sim = cat.sim.select("cnpj_basico", "opcao_mei").where(C.is_yes("opcao_mei")).drop("opcao_mei")
-    df = fact_join(est, [(emp, "inner"), (sim, "inner")], skew=skew)
+    df = fact_join(est, [(emp, "inner"), (sim, "inner")], skew=skew,
+                   **cat.skew_inputs("estabelecimentos", "cnpj_basico", skew))
     df = lookup_join(df, cat.mun, "municipio", "inner", prefix="mun")
     b = C.blank
     return df.select(
@@ -58,7 +59,7 @@ def mei_inactive_sites(cat: Catalog, uf: str = "MG", include_branches: bool = Fa
     est = cat.est.where(preds).select("cnpj_basico", "cnpj_ordem", "cnpj_dv", "situacao_cadastral", "uf",
                                       "identificador_matriz_filial")
     sim = cat.sim.select("cnpj_basico", "opcao_mei").where(C.is_yes("opcao_mei")).drop("opcao_mei")
-    return fact_join(est, [(sim, "inner")], skew=skew)
+    return fact_join(est, [(sim, "inner")], skew=skew, **cat.skew_inputs("estabelecimentos", "cnpj_basico", skew))
 
 
 def mei_inactive_total(cat: Catalog, **kw) -> DataFrame:

@@ -295,7 +295,7 @@ from .functions import codes as C  # noqa: E402
 from .functions.identity import DV1_WEIGHTS, DV2_WEIGHTS, cnpj_key  # noqa: E402
 from .functions.text import clean_name, clean_name_sql, slug, slug_sql  # noqa: E402
 from .operators.aggregates import export_summary, rows_and_distinct  # noqa: E402
-from .operators.joins import fact_join, lookup_join  # noqa: E402
+from .operators.joins import DEFAULT_SKEW, fact_join, lookup_join  # noqa: E402
 from .operators.ordering import top_k  # noqa: E402
 from .plans import report as R  # noqa: E402
 from .sources.registry import VIEWS  # noqa: E402
@@ -550,7 +550,8 @@ SELECT est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv AS cnpj, emp.razao_socia
 FROM estabelecimentos est JOIN empresas emp USING (cnpj_basico)""")
 def q_join_site_company(spark, sf_dir):
     cat = _cat(spark, sf_dir)
-    df = fact_join(cat.est, [(cat.emp.select("cnpj_basico", "razao_social", "porte_empresa"), "inner")])
+    df = fact_join(cat.est, [(cat.emp.select("cnpj_basico", "razao_social", "porte_empresa"), "inner")],
+                   **cat.skew_inputs("estabelecimentos", "cnpj_basico", DEFAULT_SKEW))
     return df.select(cnpj_key().alias("cnpj"), "razao_social", "porte_empresa", "uf")
 
 
@@ -559,7 +560,8 @@ SELECT est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv AS cnpj, sim.opcao_simpl
 FROM estabelecimentos est LEFT JOIN simples sim USING (cnpj_basico)""")
 def q_join_tax_regime(spark, sf_dir):
     cat = _cat(spark, sf_dir)
-    df = fact_join(cat.est, [(cat.sim.select("cnpj_basico", "opcao_simples", "opcao_mei"), "left")])
+    df = fact_join(cat.est, [(cat.sim.select("cnpj_basico", "opcao_simples", "opcao_mei"), "left")],
+                   **cat.skew_inputs("estabelecimentos", "cnpj_basico", DEFAULT_SKEW))
     return df.select(cnpj_key().alias("cnpj"), "opcao_simples", "opcao_mei")
 
 
@@ -932,7 +934,8 @@ API_MAX_PAGES = 45
 
 def _api_pages(spark, sf_dir):
     cat = _cat(spark, sf_dir)
-    df = fact_join(cat.est, [(cat.emp.select("cnpj_basico", "razao_social", "porte_empresa"), "inner")])
+    df = fact_join(cat.est, [(cat.emp.select("cnpj_basico", "razao_social", "porte_empresa"), "inner")],
+                   **cat.skew_inputs("estabelecimentos", "cnpj_basico", DEFAULT_SKEW))
     df = lookup_join(df, cat.cnae, "cnae_fiscal_principal", "left", prefix="cnae")
     item = F.struct(cnpj_key().alias("cnpj"), "razao_social", "nome_fantasia", "uf", "municipio",
                     "situacao_cadastral", F.col("porte_empresa").alias("porte"),

@@ -44,6 +44,8 @@ class MissingTableError(RuntimeError):
 @dataclass
 class Catalog:
     tables: dict[str, DataFrame | None] = field(default_factory=dict)
+    # per-session memo of table statistics (row counts, hot-key tables), shared by derived catalogs
+    stats: dict = field(default_factory=dict)
 
     def get(self, base: str) -> DataFrame | None:
         return self.tables.get(base)
@@ -58,7 +60,38 @@ class Catalog:
 
     def without(self, *bases: str) -> Catalog:
         """Same catalog with some bases marked absent (to exercise the degraded plans)."""
-        return Catalog({b: (None if b in bases else df) for b, df in self.tables.items()})
+        return Catalog({b: (None if b in bases else df) for b, df in self.tables.items()}, self.stats)
+
+    def rows(self, base: str) -> int:
+        """Row count of a base (Parquet answers it from file footers); memoised."""
+        k = ("rows", base)
+        if k not in self.stats:
+            self.stats[k] = self.tables[base].count()
+        return self.stats[k]
+
+    def hot_keys(self, base: str, key: str, hot_rows: int) -> DataFrame:
+        """Keys of ``base`` with more than ``hot_rows`` rows, computed once per session and kept as a
+        small written table. A key hot in any filtered subset is in this set, so plans may use it
+        for filtered inputs too."""
+        k = ("hot", base, key, hot_rows)
+        if k not in self.stats:
+            from ..operators.joins import hot_keys
+            from ..session import scratch_path
+            df = self.tables[base]
+            path = scratch_path(df.sparkSession, f"hot-{base}-{key}")
+            hot_keys(df, key, hot_rows).write.parquet(path)
+            self.stats[k] = df.sparkSession.read.parquet(path)
+        return self.stats[k]
+
+    def skew_inputs(self, base: str, key: str, policy) -> dict:
+        """Arguments for ``fact_join`` over (a filtered view of) ``base``: a proven row bound, and
+        the base's hot keys when the bound does not already rule hot keys out."""
+        if not policy.enabled:
+            return {}
+        bound = self.rows(base)
+        if bound <= policy.hot_rows:
+            return {"bound": bound}
+        return {"bound": bound, "hot": self.hot_keys(base, key, policy.hot_rows)}
 
     # short names used throughout the plans
     @property

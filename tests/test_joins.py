@@ -48,3 +48,19 @@ def test_top_k_plan(spark):
     out = top_k(df, 5, ["k"])
     assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in out.collect()] == [("0", 0), ("0", 7), ("0", 14), ("0", 21), ("0", 28)]
+
+
+def test_plans_with_hot_keys_equal_plain(spark):
+    # sf0.001: companies own up to ~30 sites; a threshold of 5 makes many of them hot
+    from cadastra.plans.leads import LeadFilter, health_leads, leads
+    from cadastra.plans.mei import mei_inactive_by_status
+    from cadastra.sources.landing import landed_registry
+    from tests.conftest import SF_SMALL
+    cat = landed_registry(spark, SF_SMALL)
+    hot, plain = SkewPolicy(hot_rows=5, salt_buckets=4), SkewPolicy(enabled=False)
+    assert cat.hot_keys("estabelecimentos", "cnpj_basico", 5).count() > 10
+    for build in (lambda s: leads(cat, LeadFilter(uf="MG"), skew=s, sort=False),
+                  lambda s: health_leads(cat, include_branches=True, skew=s, sort=False),
+                  lambda s: mei_inactive_by_status(cat, skew=s)):
+        assert _sorted(build(hot)) == _sorted(build(plain))
+    assert "_salt" in leads(cat, LeadFilter(uf="MG"), skew=hot)._jdf.queryExecution().optimizedPlan().toString()
