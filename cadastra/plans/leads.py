@@ -110,7 +110,10 @@ def _contact(a: str, b: str) -> Column:
 
 def leads(cat: Catalog, f: LeadFilter | None = None, sort: bool = True,
           skew: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
-    """Filtered company list (one row per site)."""
+    """Filtered company list (one row per site), sorted by company name.
+
+    Equal names are ordered by CNPJ: the sort's range partitioner can then split a name shared
+    by many rows (or NULL) over several tasks."""
     f = f or LeadFilter()
     cat.require("empresas", "estabelecimentos")
     has_sim, has_mun, has_cnae = cat.has("simples"), cat.has("municipios"), cat.has("cnaes")
@@ -170,7 +173,7 @@ def leads(cat: Catalog, f: LeadFilter | None = None, sort: bool = True,
     )
     if f.limit:
         return top_k(out, f.limit, ["razao_social"])
-    return order_nulls_last(out, ["razao_social"]) if sort else out
+    return order_nulls_last(out, ["razao_social", "cnpj"]) if sort else out
 
 
 def health_leads(cat: Catalog, include_branches: bool = False, uf: str = "MG",
@@ -221,4 +224,4 @@ def health_leads(cat: Catalog, include_branches: bool = False, uf: str = "MG",
         (F.col("cnae_descricao") if has_cnae else null_str()).alias("cnae_principal_nome"),
         C.health_kind(F.col("cnae_descricao") if has_cnae else None).alias("tipo_saude"),
     )
-    return order_nulls_last(out, ["razao_social"]) if sort else out
+    return order_nulls_last(out, ["razao_social", "cnpj"]) if sort else out

@@ -87,10 +87,14 @@ def simples_status(cat: Catalog, keys: DataFrame) -> DataFrame:
 
 def cnpj_report(cat: Catalog, req: DataFrame, col: str = "cnpj_input") -> DataFrame:
     keys = requested_keys(req, col)
-    found = keys.join(matched_sites(cat, keys).select(*KEY3).distinct(), KEY3, "left_semi")
-    out = found.join(companies_of(cat, keys), "cnpj_basico", "inner")
+    # requested keys that exist as sites: one semi join on the three bare key columns
+    found = keys.join(cat.est.select(*KEY3), KEY3, "left_semi")
+    emp = cat.emp.select("cnpj_basico", "razao_social", "natureza_juridica", "porte_empresa",
+                         "capital_social_empresa")
+    # DISTINCT company rows per key (the join multiplies only by duplicate company rows)
+    out = found.join(emp, "cnpj_basico", "inner").distinct()
     if cat.has("simples"):
-        out = out.join(simples_status(cat, keys), "cnpj_basico", "left")
+        out = out.join(simples_status(cat, found), "cnpj_basico", "left")
         flags = [C.flag("opcao_simples").alias("opcao_simples"), C.flag("opcao_mei").alias("opcao_mei")]
     else:
         flags = [F.lit(None).cast("string").alias("opcao_simples"),
@@ -148,7 +152,7 @@ def partners_of(cat: Catalog, keys: DataFrame, sort: bool = True) -> DataFrame:
         F.concat(_py_text("representante_legal"), F.lit(" - "), _py_text("nome_representante"),
                  F.lit(" ("), _py_text("qualificacao_representante_legal"), F.lit(")")).alias("representante"),
     )
-    return order_nulls_last(out, ["nome_socio_ou_razao_social", "cnpj_basico"]) if sort else out
+    return order_nulls_last(out, ["nome_socio_ou_razao_social", "cnpj_basico", "cnpj_cpf_socio"]) if sort else out
 
 
 def site_requests(cat: Catalog) -> DataFrame:
