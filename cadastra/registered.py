@@ -11,10 +11,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from .plans.leads import LeadFilter, leads
+from pyspark.sql import functions as F
+
+from .functions import codes as C
+from .functions.identity import DV1_WEIGHTS, DV2_WEIGHTS, cnpj_key
+from .functions.text import FOLD_FROM, FOLD_TO, clean_name, clean_name_sql, fold_accents, slug, slug_sql
+from .operators.aggregates import export_summary, rows_and_distinct
+from .operators.joins import DEFAULT_SKEW, fact_join, lookup_join
+from .operators.ordering import top_k
+from .plans import report as R
+from .plans.leads import LeadFilter, health_leads, leads
+from .plans.mei import mei_active_leads, mei_inactive_by_status, mei_inactive_total
+from .session import scratch_path
+from .sources import api as API
+from .sources import archives as ZIP
+from .sources import dumps as D
+from .sources import links as L
+from .sources.catalog import describe, load_catalog
+from .sources.export import export_csv, read_export
+from .sources.ingest import ingest_directory, profile_sources
 from .sources.landing import landed_registry
-from .sources.registry import oracle_prelude
+from .sources.parquet_io import clean_dataset, rename_dataset, write_parquet, write_parts
+from .sources.registry import VIEWS, oracle_prelude, registry_views
+from .sources.schema import (CLEAN_BASE_RULES, COLUMNS, INGEST_BASE_RULES, NA_TOKENS, RENAME_BASE_RULES,
+                             detect_base)
+from .streaming.ingest_stream import run_ingest_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -124,8 +145,6 @@ _leads_key("leads_all_filters",
 # ---------------------------------------------------------------------------------------------
 # health list, MEI lists and counts
 # ---------------------------------------------------------------------------------------------
-from .plans.leads import health_leads  # noqa: E402
-from .plans.mei import mei_active_leads, mei_inactive_by_status, mei_inactive_total  # noqa: E402
 
 HEALTH_SQL = """
 SELECT
@@ -289,16 +308,6 @@ def q_health_leads_no_lookups(spark, sf_dir):
 # ---------------------------------------------------------------------------------------------
 # per-CNPJ report, re-aimed at a DataFrame of requests (every site's CNPJ + partners' documents)
 # ---------------------------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from .functions import codes as C  # noqa: E402
-from .functions.identity import DV1_WEIGHTS, DV2_WEIGHTS, cnpj_key  # noqa: E402
-from .functions.text import clean_name, clean_name_sql, slug, slug_sql  # noqa: E402
-from .operators.aggregates import export_summary, rows_and_distinct  # noqa: E402
-from .operators.joins import DEFAULT_SKEW, fact_join, lookup_join  # noqa: E402
-from .operators.ordering import top_k  # noqa: E402
-from .plans import report as R  # noqa: E402
-from .sources.registry import VIEWS  # noqa: E402
 
 
 def _dv_sql(d: str, weights) -> str:
@@ -635,19 +644,6 @@ def q_preview(spark, sf_dir):
 # ---------------------------------------------------------------------------------------------
 # sources and sinks: every round trip writes under the shared checkpoint folder and reads back
 # ---------------------------------------------------------------------------------------------
-from .session import scratch_path  # noqa: E402
-from .sources import api as API  # noqa: E402
-from .sources import archives as ZIP  # noqa: E402
-from .sources import dumps as D  # noqa: E402
-from .sources import links as L  # noqa: E402
-from .sources.catalog import describe, load_catalog  # noqa: E402
-from .sources.export import export_csv, read_export  # noqa: E402
-from .sources.ingest import ingest_directory, profile_sources  # noqa: E402
-from .sources.parquet_io import rename_dataset, write_parquet, write_parts  # noqa: E402
-from .sources.registry import registry_views  # noqa: E402
-from .sources.schema import COLUMNS, NA_TOKENS, RENAME_BASE_RULES, detect_base  # noqa: E402
-from .functions.text import FOLD_FROM, FOLD_TO, fold_accents  # noqa: E402
-from .streaming.ingest_stream import run_ingest_stream  # noqa: E402
 
 TOKENS_SQL = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
 
@@ -801,8 +797,6 @@ def _base_case_sql(expr: str, rules) -> str:
     return f"CASE {whens} ELSE '' END"
 
 
-from .sources.schema import INGEST_BASE_RULES  # noqa: E402
-
 LINKS_CTE = f""",
 hrefs AS (SELECT url, unnest(regexp_extract_all(html, '(?i)href="([^"]+)"', 1)) AS href FROM pages),
 resolved AS (
@@ -835,10 +829,9 @@ def _fold_sql(expr: str) -> str:
 SELECT file_name,
   {_base_case_sql('file_name', INGEST_BASE_RULES)} AS base_ingest,
   {_base_case_sql(_fold_sql("regexp_replace(file_name, '\\.[^.]*$', '')"), RENAME_BASE_RULES)} AS base_rename,
-  {_base_case_sql('file_name', __import__('cadastra.sources.schema', fromlist=['x']).CLEAN_BASE_RULES)} AS base_clean
+  {_base_case_sql('file_name', CLEAN_BASE_RULES)} AS base_clean
 FROM links""")
 def q_detect_base(spark, sf_dir):
-    from .sources.schema import CLEAN_BASE_RULES
     links = _links(spark, sf_dir)
     # folded stem projected once; the keyword tests read it repeatedly
     links = links.select("file_name", F.lower(fold_accents(F.regexp_replace("file_name", r"\.[^.]*$", "")))
@@ -927,7 +920,6 @@ def q_ingest_stream(spark, sf_dir):
 # landed API pages: one page document per site; searches by state; page number from the site's
 # order field (1..50); SP page 31 failed; RJ announces 12 pages, others 40; '09' sites are empty
 # ---------------------------------------------------------------------------------------------
-from pyspark.sql import types as T  # noqa: E402
 
 API_MAX_PAGES = 45
 
@@ -1000,7 +992,6 @@ def q_api_page_cutoff(spark, sf_dir):
 # ---------------------------------------------------------------------------------------------
 # column naming of unknown dumps, dataset-level cleaning, branch variants
 # ---------------------------------------------------------------------------------------------
-from .sources.parquet_io import clean_dataset  # noqa: E402
 
 
 @register("assign_columns", f"""

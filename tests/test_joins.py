@@ -64,3 +64,19 @@ def test_plans_with_hot_keys_equal_plain(spark):
                   lambda s: mei_inactive_by_status(cat, skew=s)):
         assert _sorted(build(hot)) == _sorted(build(plain))
     assert "_salt" in leads(cat, LeadFilter(uf="MG"), skew=hot)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_no_python_in_list_plans(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    for key in ("leads_filtered", "health_leads", "mei_active_leads", "cnpj_report", "clean_names_sites",
+                "extract_links"):
+        plan = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in plan and "PythonUDF" not in plan, key
+
+
+def test_state_filter_prunes_partitions(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    plan = E.queries()["filter_state"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "uf_norm" in plan and "PartitionFilters: [isnotnull(uf_norm" in plan
