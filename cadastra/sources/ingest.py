@@ -44,23 +44,34 @@ def read_manifest(spark: SparkSession, out_root: str) -> DataFrame | None:
 
 
 def ingest_directory(spark: SparkSession, src_root: str, out_root: str, glob: str = "*",
-                     encoding: str = ENCODING, multiline: bool = True) -> dict[str, str]:
-    """Ingest every pending dump under ``src_root``; returns {base: output folder}."""
+                     encoding: str = ENCODING, multiline: bool = True,
+                     errors: list | None = None) -> dict[str, str]:
+    """Ingest every pending dump under ``src_root``; returns {base: output folder}.
+
+    A group that fails (unreadable file, schema clash) is reported in ``errors`` as
+    ``(base, paths, message)`` and the remaining groups are still ingested; its sources stay
+    out of the manifest, so the next run retries them."""
     prof = pending(profile_sources(spark, src_root, glob), read_manifest(spark, out_root))
     groups = (prof.groupBy("base", "has_header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
               .collect())  # one row per (base, header) group: file metadata only
     written: dict[str, str] = {}
     for g in groups:
         base, has_header, paths = g["base"], g["has_header"], list(g["paths"])
-        names = choose_names(base, probe_width(spark, paths, encoding), has_header)
-        if names is None:
-            df = read_with_header(spark, paths, encoding, multiline)
-        else:
-            # a recognised base is read with its dictionary even when a header exists (the header
-            # row then stays as data, as in the dumps this mirrors)
-            df = read_dump(spark, paths, names, header=False, encoding=encoding, multiline=multiline)
-        out = f"{out_root}/{PART_PREFIX.get(base, base or 'Desconhecido')}.parquet"
-        df.write.mode("append").option("compression", "zstd").parquet(out)
+        try:
+            names = choose_names(base, probe_width(spark, paths, encoding), has_header)
+            if names is None:
+                df = read_with_header(spark, paths, encoding, multiline)
+            else:
+                # a recognised base is read with its dictionary even when a header exists (the
+                # header row then stays as data, as in the dumps this mirrors)
+                df = read_dump(spark, paths, names, header=False, encoding=encoding, multiline=multiline)
+            out = f"{out_root}/{PART_PREFIX.get(base, base or 'Desconhecido')}.parquet"
+            df.write.mode("append").option("compression", "zstd").parquet(out)
+        except Exception as e:  # keep going with the other sources
+            if errors is None:
+                raise
+            errors.append((base, paths, f"{type(e).__name__}: {e}"[:500]))
+            continue
         written[base] = out
         (spark.createDataFrame([(p, base) for p in paths], "path string, base string")
          .write.mode("append").parquet(f"{out_root}/{MANIFEST}"))

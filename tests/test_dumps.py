@@ -44,3 +44,19 @@ def test_writer_roundtrip(spark, tmp_dir):
     assert _rows(read_dump(spark, f"{tmp_dir}/w", NAMES)) == [("1", "a;b", 'q"q'), ("2", None, "ã")]
     line = df.select(render_lines(df).alias("l")).orderBy("l").first()[0]
     assert line == '"1";"a;b";"q""q"'
+
+
+def test_ingest_directory_incremental_and_isolated(spark, tmp_dir):
+    from cadastra.sources.ingest import ingest_directory
+    a = spark.createDataFrame([("1", "A"), ("2", "B")], "codigo string, descricao string")
+    write_dump(a, f"{tmp_dir}/src/Cnaes")
+    errors = []
+    out = ingest_directory(spark, f"{tmp_dir}/src", f"{tmp_dir}/out", errors=errors)
+    assert errors == [] and spark.read.parquet(out["cnaes"]).count() == 2
+    # a second run finds nothing pending and writes nothing new
+    assert ingest_directory(spark, f"{tmp_dir}/src", f"{tmp_dir}/out", errors=errors) == {}
+    assert spark.read.parquet(out["cnaes"]).count() == 2
+    # a new file is picked up on the next run
+    write_dump(spark.createDataFrame([("3", "C")], "codigo string, descricao string"), f"{tmp_dir}/src/Cnaes2")
+    ingest_directory(spark, f"{tmp_dir}/src", f"{tmp_dir}/out", errors=errors)
+    assert spark.read.parquet(out["cnaes"]).count() == 3
