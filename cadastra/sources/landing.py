@@ -8,8 +8,11 @@ Landed layout (under the cluster's shared ``spark.checkpoint.dir`` unless a root
 
 * Sites carry ``uf_norm = upper(uf)`` as a partition column, so a state filter prunes whole
   directories instead of reading every file (``upper(uf)`` itself cannot be pushed to Parquet).
-  Each writing task writes its own rows per state: no shuffle, and a state holding a third of
-  all sites is still written by every task in parallel.
+  Before writing they are hash-partitioned on (state, hash of the full site key modulo
+  ``SITE_BUCKETS``): each task then writes a few large files instead of one small file per state,
+  and a state (or a company) holding a third of all sites is still spread over many tasks.
+* Every base is sorted by ``cnpj_basico`` inside its files, so Parquet row-group statistics let
+  key equality filters (lookups of one company, semi joins against few keys) skip row groups.
 * A base is written once; a ``_SUCCESS`` marker tells later jobs it is complete, so a lost
   executor or a rerun never reads a half-written table. Reading back starts a fresh lineage.
 """
@@ -28,6 +31,8 @@ from .registry import registry_view
 from .schema import schema_of
 
 PARTITION_COLUMN = {"estabelecimentos": "uf_norm"}
+SITE_BUCKETS = 16        # hash buckets per state when landing sites
+CLUSTER_KEY = "cnpj_basico"
 PARTITION_SOURCE = {"uf_norm": F.upper}
 DEFAULT_BASES = ("empresas", "estabelecimentos", "simples", "municipios", "cnaes", "socios")
 
@@ -47,6 +52,10 @@ def write_base(df: DataFrame, path: str, base: str) -> None:
     if part:
         src = part.removesuffix("_norm")
         w = df.withColumn(part, PARTITION_SOURCE[part](F.col(src)))
+        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SITE_BUCKETS))
+        w = w.repartition(F.col(part), bucket)
+    if CLUSTER_KEY in df.columns:
+        w = w.sortWithinPartitions(CLUSTER_KEY)
     writer = w.write.mode("overwrite").option("compression", "zstd")
     if part:
         writer = writer.partitionBy(part)
