@@ -64,10 +64,16 @@ def count_fields(raw) -> F.Column:
     return F.size(F.split(F.regexp_replace(raw, r"[\r\n]+$", ""), FIELD_SPLIT))
 
 
-def apply_bad_row_policy(df: DataFrame, width: int) -> DataFrame:
-    """Keep clean and short rows; drop rows that had more fields than ``width``."""
-    keep = F.col(CORRUPT).isNull() | (count_fields(F.col(CORRUPT)) <= F.lit(width))
-    return df.where(keep).drop(CORRUPT)
+def apply_bad_row_policy(df: DataFrame, width: int, observation=None) -> DataFrame:
+    """Keep clean and short rows; drop rows that had more fields than ``width``.
+    With an ``Observation``, the numbers of dropped long rows and padded short rows are
+    recorded in the same pass (``long_rows``, ``short_rows``)."""
+    too_long = F.col(CORRUPT).isNotNull() & (count_fields(F.col(CORRUPT)) > F.lit(width))
+    if observation is not None:
+        df = df.observe(observation,
+                        F.sum(F.when(too_long, 1).otherwise(0)).alias("long_rows"),
+                        F.sum(F.when(F.col(CORRUPT).isNotNull() & ~too_long, 1).otherwise(0)).alias("short_rows"))
+    return df.where(~too_long | F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def apply_null_tokens(df: DataFrame, columns: Sequence[str] | None = None,
@@ -77,14 +83,15 @@ def apply_null_tokens(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def read_dump(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str],
-              header: bool = False, encoding: str = ENCODING, multiline: bool = True) -> DataFrame:
+              header: bool = False, encoding: str = ENCODING, multiline: bool = True,
+              observation=None) -> DataFrame:
     """Read dump files into the given all-string columns with the bad-row and NULL-token rules."""
     schema = StructType([StructField(n, StringType(), True) for n in names]
                         + [StructField(CORRUPT, StringType(), True)])
     df = (_reader(spark, encoding, multiline).option("header", str(header).lower())
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .schema(schema).csv(list(paths) if not isinstance(paths, str) else paths))
-    df = apply_bad_row_policy(df, len(names))
+    df = apply_bad_row_policy(df, len(names), observation)
     return apply_null_tokens(df, names)
 
 
@@ -156,5 +163,15 @@ def file_profiles(files: DataFrame, encoding: str = ENCODING) -> DataFrame:
     )
 
 
+def quoted_newline_files(spark: SparkSession, paths: Sequence[str], encoding: str = ENCODING) -> DataFrame:
+    """Per file: does any record continue on the next line (a line with an odd number of quote
+    characters)? A splittable text scan answers it in parallel; only the files that do need the
+    unsplittable multi-line CSV mode."""
+    lines = spark.read.option("encoding", encoding).text(list(paths))
+    odd = F.pmod(F.length("value") - F.length(F.regexp_replace("value", QUOTE, "")), F.lit(2)) == 1
+    return (lines.select(F.col("_metadata.file_path").alias("path"), odd.alias("odd"))
+            .groupBy("path").agg(F.max("odd").alias("multiline")))
+
+
 def looks_like_header(line: str) -> bool:
     return DELIMITER in line and re.search(HEADER_LETTERS, line) is not None

@@ -17,8 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import PART_PREFIX
-from .dumps import (ENCODING, choose_names, file_profiles, list_files, probe_width, read_dump,
-                    read_with_header)
+import warnings
+
+from pyspark.sql import Observation
+
+from .dumps import (ENCODING, choose_names, file_profiles, list_files, probe_width, quoted_newline_files,
+                    read_dump, read_with_header)
 from .schema import INGEST_BASE_RULES, detect_base
 
 MANIFEST = "_ingested"
@@ -44,29 +48,43 @@ def read_manifest(spark: SparkSession, out_root: str) -> DataFrame | None:
 
 
 def ingest_directory(spark: SparkSession, src_root: str, out_root: str, glob: str = "*",
-                     encoding: str = ENCODING, multiline: bool = True,
+                     encoding: str = ENCODING, multiline: bool | None = None,
                      errors: list | None = None) -> dict[str, str]:
     """Ingest every pending dump under ``src_root``; returns {base: output folder}.
 
+    ``multiline=None`` decides per file: files whose records never span lines are read in the
+    splittable single-line mode (many tasks per file), the others in multi-line mode.
+    Long rows dropped by the bad-row rule are counted in the same pass and reported as a warning.
     A group that fails (unreadable file, schema clash) is reported in ``errors`` as
     ``(base, paths, message)`` and the remaining groups are still ingested; its sources stay
     out of the manifest, so the next run retries them."""
     prof = pending(profile_sources(spark, src_root, glob), read_manifest(spark, out_root))
-    groups = (prof.groupBy("base", "has_header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-              .collect())  # one row per (base, header) group: file metadata only
+    if multiline is None:
+        ml = quoted_newline_files(spark, [r["path"] for r in prof.select("path").collect()], encoding)
+        prof = prof.join(ml, "path", "left").withColumn("multiline", F.coalesce("multiline", F.lit(False)))
+    else:
+        prof = prof.withColumn("multiline", F.lit(bool(multiline)))
+    groups = (prof.groupBy("base", "has_header", "multiline")
+              .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+              .orderBy("base", "has_header", "multiline")
+              .collect())  # one row per (base, header, mode) group: file metadata only
     written: dict[str, str] = {}
     for g in groups:
-        base, has_header, paths = g["base"], g["has_header"], list(g["paths"])
+        base, has_header, paths, ml = g["base"], g["has_header"], list(g["paths"]), g["multiline"]
         try:
             names = choose_names(base, probe_width(spark, paths, encoding), has_header)
+            obs = None
             if names is None:
-                df = read_with_header(spark, paths, encoding, multiline)
+                df = read_with_header(spark, paths, encoding, ml)
             else:
                 # a recognised base is read with its dictionary even when a header exists (the
                 # header row then stays as data, as in the dumps this mirrors)
-                df = read_dump(spark, paths, names, header=False, encoding=encoding, multiline=multiline)
+                obs = Observation(f"bad-rows-{base or 'unknown'}")
+                df = read_dump(spark, paths, names, header=False, encoding=encoding, multiline=ml, observation=obs)
             out = f"{out_root}/{PART_PREFIX.get(base, base or 'Desconhecido')}.parquet"
             df.write.mode("append").option("compression", "zstd").parquet(out)
+            if obs is not None and (obs.get.get("long_rows") or 0) > 0:
+                warnings.warn(f"{base}: skipped {obs.get['long_rows']} rows with too many fields")
         except Exception as e:  # keep going with the other sources
             if errors is None:
                 raise

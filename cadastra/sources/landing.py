@@ -20,6 +20,7 @@ Landed layout (under the cluster's shared ``spark.checkpoint.dir`` unless a root
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ PARTITION_SOURCE = {"uf_norm": F.upper}
 DEFAULT_BASES = ("empresas", "estabelecimentos", "simples", "municipios", "cnaes", "socios")
 
 _catalogs: dict[tuple[str, str, str], Catalog] = {}
+_lock = threading.Lock()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -85,8 +87,9 @@ def landed_registry(spark: SparkSession, sf_dir: str, bases=DEFAULT_BASES, root:
     tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
     root = root or f"{checkpoint_root(spark)}/cadastra-registry/{tag}"
     key = (spark.sparkContext.applicationId, root, ",".join(bases))
-    cat = _catalogs.get(key)
-    if cat is None:
-        cat = land(spark, {b: registry_view(spark, sf_dir, b) for b in bases}, root)
-        _catalogs[key] = cat
+    with _lock:  # queries started from several threads land each base once
+        cat = _catalogs.get(key)
+        if cat is None:
+            cat = land(spark, {b: registry_view(spark, sf_dir, b) for b in bases}, root)
+            _catalogs[key] = cat
     return cat

@@ -60,3 +60,24 @@ def test_ingest_directory_incremental_and_isolated(spark, tmp_dir):
     write_dump(spark.createDataFrame([("3", "C")], "codigo string, descricao string"), f"{tmp_dir}/src/Cnaes2")
     ingest_directory(spark, f"{tmp_dir}/src", f"{tmp_dir}/out", errors=errors)
     assert spark.read.parquet(out["cnaes"]).count() == 3
+
+
+def test_multiline_detection_and_bad_row_counts(spark, tmp_dir):
+    import warnings as w
+    from pyspark.sql import Observation
+    from cadastra.sources.dumps import quoted_newline_files
+    from cadastra.sources.ingest import ingest_directory
+    a = _write(f"{tmp_dir}/src/Cnaes1", ['"1";"plain"', '"2";"say ""hi"""'])
+    b = _write(f"{tmp_dir}/src/Cnaes2", ['"3";"l1', 'l2"', '"4";"x";"extra"'])
+    flags = {r.path.rsplit("/", 2)[-2]: r.multiline
+             for r in quoted_newline_files(spark, [a + "/part.csv", b + "/part.csv"]).collect()}
+    assert flags == {"Cnaes1": False, "Cnaes2": True}
+    obs = Observation("t")
+    df = read_dump(spark, b, ["codigo", "descricao"], observation=obs)
+    assert _rows(df) == [("3", "l1\nl2")] and obs.get["long_rows"] == 1
+    with w.catch_warnings(record=True) as caught:
+        w.simplefilter("always")
+        out = ingest_directory(spark, f"{tmp_dir}/src", f"{tmp_dir}/out")
+    assert sorted(tuple(r) for r in spark.read.parquet(out["cnaes"]).collect()) == [
+        ("1", "plain"), ("2", 'say "hi"'), ("3", "l1\nl2")]
+    assert any("too many fields" in str(c.message) for c in caught)
