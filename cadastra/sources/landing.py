@@ -35,6 +35,7 @@ PARTITION_COLUMN = {"estabelecimentos": "uf_norm"}
 SITE_BUCKETS = 16        # hash buckets per state when landing sites
 CLUSTER_KEY = "cnpj_basico"
 PARTITION_SOURCE = {"uf_norm": F.upper}
+LAYOUT_VERSION = 2       # bump when the landed layout changes: older landings are not reused
 DEFAULT_BASES = ("empresas", "estabelecimentos", "simples", "municipios", "cnaes", "socios")
 
 _catalogs: dict[tuple[str, str, str], Catalog] = {}
@@ -85,7 +86,7 @@ def land(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> Catalo
 def landed_registry(spark: SparkSession, sf_dir: str, bases=DEFAULT_BASES, root: str | None = None) -> Catalog:
     """Registry bases derived from the driver tables in ``sf_dir``, landed once per folder."""
     tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    root = root or f"{checkpoint_root(spark)}/cadastra-registry/{tag}"
+    root = root or f"{checkpoint_root(spark)}/cadastra-registry/v{LAYOUT_VERSION}-{tag}"
     key = (spark.sparkContext.applicationId, root, ",".join(bases))
     with _lock:  # queries started from several threads land each base once
         cat = _catalogs.get(key)

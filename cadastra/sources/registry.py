@@ -12,6 +12,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -131,10 +133,19 @@ OMITTED_SITE_COLUMNS = (
 )
 
 
+def _utc_wall_clock(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Timestamps read as session-zone instants become their UTC wall-clock time (NTZ), so date
+    parts do not depend on the session time zone (they already are NTZ by default)."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    fixes = {f.name: F.to_utc_timestamp(F.col(f.name), tz).cast("timestamp_ntz")
+             for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
+    return df.withColumns(fixes) if fixes else df
+
+
 def registry_view(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     """One registry base as a DataFrame over the driver's Parquet table."""
     spec = VIEWS[base]
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{spec.source}.parquet")
+    df = _utc_wall_clock(spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/{spec.source}.parquet"))
     if spec.where:
         df = df.where(spec.where)
     return df.selectExpr(*spec.select_exprs())
