@@ -58,7 +58,12 @@ def _check_digit(d: Column, weights: tuple[int, ...]) -> Column:
 
 def cnpj_is_valid(c: Column | str) -> Column:
     """True when the text holds 14 digits, not all equal, whose check digits agree."""
-    d = only_digits(c)
+    return digits_are_valid_cnpj(only_digits(c))
+
+
+def digits_are_valid_cnpj(d: Column) -> Column:
+    """:func:`cnpj_is_valid` for a column that already holds only digits. Pass a column
+    reference (a projected digits column): the test reads it about thirty times."""
     ok_shape = (F.length(d) == 14) & (d != F.repeat(F.substring(d, 1, 1), 14))
     dv1 = _check_digit(d, DV1_WEIGHTS)
     dv2 = _check_digit(d, DV2_WEIGHTS)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes as C
-from ..functions.identity import cnpj_is_valid, cnpj_key, cnpj_mask, cnpj_split, only_digits
+from ..functions.identity import cnpj_key, cnpj_mask, cnpj_split, digits_are_valid_cnpj, only_digits
 from ..operators.joins import lookup_join
 from ..operators.ordering import order_nulls_last
 from ..sources.catalog import Catalog
@@ -32,25 +32,28 @@ SIMPLES_FIELDS = ["opcao_simples", "data_opcao_simples", "data_exclusao_simples"
 
 def normalize_requests(req: DataFrame, col: str = "cnpj_input") -> DataFrame:
     """Digits, shape/check-digit flags and the three key parts of each request."""
-    d = only_digits(col)
+    # digits are projected first, so the regex runs once per row
+    digits = req.select(F.col(col), only_digits(col).alias("cnpj_digitos"))
+    d = F.col("cnpj_digitos")
     b, o, v = cnpj_split(d)
-    return req.select(
-        F.col(col), d.alias("cnpj_digitos"),
+    return digits.select(
+        F.col(col), d,
         (F.length(d) == 14).alias("tamanho_ok"),
-        cnpj_is_valid(col).alias("dv_valido"),
+        digits_are_valid_cnpj(d).alias("dv_valido"),
         b.alias("cnpj_basico"), o.alias("cnpj_ordem"), v.alias("cnpj_dv"),
     )
 
 
-def requested_keys(req: DataFrame, col: str = "cnpj_input") -> DataFrame:
-    """Distinct well-formed keys (14 digits) with their check-digit flag."""
-    n = normalize_requests(req, col).where("tamanho_ok")
-    return n.select(*KEY3, "dv_valido").distinct()
+def requested_keys(req: DataFrame, col: str = "cnpj_input", distinct: bool = True) -> DataFrame:
+    """Well-formed keys (14 digits) with their check-digit flag; de-duplicated unless the caller
+    only semi-joins against them (a semi join ignores duplicates, so no aggregate is needed)."""
+    n = normalize_requests(req, col).where("tamanho_ok").select(*KEY3, "dv_valido")
+    return n.distinct() if distinct else n
 
 
 def matched_sites(cat: Catalog, keys: DataFrame) -> DataFrame:
     """Sites whose three key parts equal a requested key (equalities on bare columns)."""
-    return cat.est.join(keys.select(*KEY3).distinct(), KEY3, "left_semi")
+    return cat.est.join(keys.select(*KEY3), KEY3, "left_semi")
 
 
 def companies_of(cat: Catalog, keys: DataFrame) -> DataFrame:
@@ -70,8 +73,7 @@ def simples_status(cat: Catalog, keys: DataFrame) -> DataFrame:
     With several rows for a company the first in (fields ascending, NULLs last) order is used;
     picking it is an aggregate, so it is combined map-side before the shuffle."""
     cat.require("simples")
-    companies = keys.select("cnpj_basico").distinct()
-    sim = cat.sim.join(companies, "cnpj_basico", "left_semi")
+    sim = cat.sim.join(keys.select("cnpj_basico"), "cnpj_basico", "left_semi")
     first = (sim.groupBy("cnpj_basico")
              .agg(F.min_by(F.struct(*SIMPLES_FIELDS), _first_row_order(SIMPLES_FIELDS)).alias("s")))
     return first.select(
@@ -144,8 +146,7 @@ def _py_text(c: str) -> Column:
 
 def partners_of(cat: Catalog, keys: DataFrame, sort: bool = True) -> DataFrame:
     cat.require("socios")
-    companies = keys.select("cnpj_basico").distinct()
-    soc = cat.soc.join(companies, "cnpj_basico", "left_semi")
+    soc = cat.soc.join(keys.select("cnpj_basico"), "cnpj_basico", "left_semi")
     out = soc.select(
         "cnpj_basico", "identificador_socio", "nome_socio_ou_razao_social", "cnpj_cpf_socio",
         "qualificacao_socio", "data_entrada_sociedade", "pais", "faixa_etaria",

@@ -377,14 +377,14 @@ def q_cnpj_split(spark, sf_dir):
 SELECT cnpj_basico, cnpj_ordem, cnpj_dv, nome_fantasia, situacao_cadastral FROM matched""")
 def q_cnpj_lookup(spark, sf_dir):
     cat, req = _req(spark, sf_dir)
-    return R.matched_sites(cat, R.requested_keys(req)).select(
+    return R.matched_sites(cat, R.requested_keys(req, distinct=False)).select(
         "cnpj_basico", "cnpj_ordem", "cnpj_dv", "nome_fantasia", "situacao_cadastral")
 
 
 @register("companies_of_cnpjs", REQUEST_CTES + "SELECT * FROM comp")
 def q_companies_of_cnpjs(spark, sf_dir):
     cat, req = _req(spark, sf_dir)
-    return R.companies_of(cat, R.requested_keys(req))
+    return R.companies_of(cat, R.requested_keys(req, distinct=False))
 
 
 @register("simples_status", REQUEST_CTES + """
@@ -392,7 +392,7 @@ SELECT cnpj_basico, COALESCE(opcao_simples, 'N') AS opcao_simples, data_opcao_si
        COALESCE(opcao_mei, 'N') AS opcao_mei, data_opcao_mei, data_exclusao_mei FROM sim1""")
 def q_simples_status(spark, sf_dir):
     cat, req = _req(spark, sf_dir)
-    return R.simples_status(cat, R.requested_keys(req))
+    return R.simples_status(cat, R.requested_keys(req, distinct=False))
 
 
 @register("cnpj_report", REQUEST_CTES + """
@@ -427,7 +427,7 @@ LEFT JOIN municipios mun ON TRY_CAST(m.municipio AS INTEGER) = TRY_CAST(mun.codi
 ORDER BY TRY_CAST(m.identificador_matriz_filial AS INTEGER) NULLS LAST, m.data_inicio_atividade NULLS LAST""")
 def q_sites_of_cnpj(spark, sf_dir):
     cat, req = _req(spark, sf_dir)
-    return R.sites_of(cat, R.requested_keys(req))
+    return R.sites_of(cat, R.requested_keys(req, distinct=False))
 
 
 @register("partners_of", REQUEST_CTES + """
@@ -439,7 +439,7 @@ FROM socios WHERE cnpj_basico IN (SELECT cnpj_basico FROM keys)
 ORDER BY nome_socio_ou_razao_social NULLS LAST""")
 def q_partners_of(spark, sf_dir):
     cat, req = _req(spark, sf_dir)
-    return R.partners_of(cat, R.requested_keys(req))
+    return R.partners_of(cat, R.requested_keys(req, distinct=False))
 
 
 # ---------------------------------------------------------------------------------------------
