@@ -55,6 +55,11 @@ class LeadFilter:
         self.municipio = self.municipio.strip() if self.municipio and self.municipio.strip() else None
         self.porte = sorted({int(p) for p in (self.porte or C.LARGE_SIZE_CODES)})
         self.situacao = sorted({int(s) for s in self.situacao}) if self.situacao else None
+        bad = [p for p in self.porte if p not in C.VALID_SIZE_CODES]
+        bad += [s for s in (self.situacao or []) if s not in C.VALID_STATUS_CODES]
+        if bad:
+            raise ValueError(f"invalid size/status codes {bad}: size codes are {C.VALID_SIZE_CODES}, "
+                             f"status codes {C.VALID_STATUS_CODES}")
         self.limit = self.limit if isinstance(self.limit, int) and self.limit > 0 else None
         self.cnae = self.cnae if isinstance(self.cnae, int) and self.cnae > 0 else None
 

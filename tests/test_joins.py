@@ -80,3 +80,16 @@ def test_state_filter_prunes_partitions(spark):
     from tests.conftest import SF_SMALL
     plan = E.queries()["filter_state"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "uf_norm" in plan and "PartitionFilters: [isnotnull(uf_norm" in plan
+
+
+def test_lead_filter_validates_codes():
+    import pytest
+    from cadastra.plans.leads import LeadFilter
+    assert LeadFilter(porte=[5, 3, 3]).porte == [3, 5]
+    assert LeadFilter(porte=None).porte == [3, 5]
+    with pytest.raises(ValueError):
+        LeadFilter(porte=[2])
+    with pytest.raises(ValueError):
+        LeadFilter(situacao=[5])
+    f = LeadFilter(uf=" mg ", municipio=" 5403 ", limit=0, cnae=0)
+    assert (f.uf, f.municipio, f.municipio_is_code, f.limit, f.cnae) == ("MG", "5403", True, None, None)
