@@ -23,13 +23,17 @@ from ..sources.schema import COLUMNS
 
 def start_ingest_stream(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str, base: str,
                         available_now: bool = True, max_files_per_trigger: int | None = None,
-                        encoding: str = ENCODING) -> StreamingQuery:
+                        encoding: str = ENCODING, multiline: bool = True) -> StreamingQuery:
+    """Start the ingest stream. ``multiline`` keeps quoted newlines inside fields (each file is
+    then parsed by one task); set it off for folders known to hold single-line dumps, which are
+    split across tasks."""
     names = COLUMNS[base]
     schema = StructType([StructField(n, StringType(), True) for n in names]
                         + [StructField(CORRUPT, StringType(), True)])
     reader = (spark.readStream.schema(schema).option("sep", DELIMITER).option("quote", QUOTE)
               .option("escape", QUOTE).option("encoding", encoding).option("header", "false")
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .option("multiLine", str(multiline).lower())
               .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))

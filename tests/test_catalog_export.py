@@ -54,3 +54,13 @@ def test_stream_ingest_is_incremental(spark, tmp_dir):
     run_ingest_stream(spark, f"{tmp_dir}/land", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", "cnaes")
     got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/out").collect())
     assert got == [("1", "A"), ("2", None), ("3", "C")]
+
+
+def test_stream_applies_dump_rules(spark, tmp_dir):
+    from cadastra.streaming.ingest_stream import run_ingest_stream
+    os.makedirs(f"{tmp_dir}/land", exist_ok=True)
+    with open(f"{tmp_dir}/land/a.csv", "wb") as f:
+        f.write('"1";"l1\nl2"\n"2";"NA"\n"3";"x";"extra"\n"4"\n"5";"São"\n'.encode("latin1"))
+    run_ingest_stream(spark, f"{tmp_dir}/land", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", "cnaes")
+    got = sorted((tuple(r) for r in spark.read.parquet(f"{tmp_dir}/out").collect()), key=repr)
+    assert got == sorted([("1", "l1\nl2"), ("2", None), ("4", None), ("5", "São")], key=repr)
