@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .registry import registry_view
-from .schema import COLUMNS
 
 # File-name stem of each base in a landed directory.
 PART_PREFIX = {
@@ -184,6 +183,3 @@ def describe(spark: SparkSession, tables: dict[str, DataFrame], bases: str) -> D
             rows.append((base, i, f.name, sql_type_name(f.dataType)))
     return spark.createDataFrame(rows, DESCRIBE_SCHEMA)
 
-
-def known_columns(base: str) -> list[str]:
-    return list(COLUMNS[base])
