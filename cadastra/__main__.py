@@ -14,6 +14,7 @@ the driver except aggregated counts and file metadata.
     clean-names  copy of the company/site/partner datasets with tax ids removed from names
     rename       copy of datasets with dictionary or normalised column names
     ingest       folder of dump CSVs or zips → Parquet per base (pending sources only)
+    curate       landed Parquet → query layout (sites by state, files clustered by company key)
     stream       incremental ingest of a landing folder with the file-source stream
 """
 
@@ -146,6 +147,15 @@ def cmd_ingest(a) -> None:
     print(f"done in {time.time() - t0:.1f}s")
 
 
+def cmd_curate(a) -> None:
+    from .sources.catalog import load_catalog
+    from .sources.landing import curate
+    spark = _session()
+    cat = curate(spark, load_catalog(spark, a.src, required=()), a.dst)
+    for base in cat.tables:
+        print(f"curated {base} -> {a.dst}")
+
+
 def cmd_stream(a) -> None:
     from .streaming.ingest_stream import run_ingest_stream, start_ingest_stream
     spark = _session()
@@ -223,6 +233,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--limit", type=int, default=0)
     p.set_defaults(fn=cmd_ingest)
 
+    p = sub.add_parser("curate", help="rewrite landed Parquet in the query layout")
+    p.add_argument("--src", required=True)
+    p.add_argument("--dst", required=True)
+    p.set_defaults(fn=cmd_curate)
+
     p = sub.add_parser("stream", help="incremental ingest of a landing folder")
     p.add_argument("--src", required=True)
     p.add_argument("--out", required=True)

@@ -45,6 +45,8 @@ class Catalog:
     tables: dict[str, DataFrame | None] = field(default_factory=dict)
     # per-session memo of table statistics (row counts, hot-key tables), shared by derived catalogs
     stats: dict = field(default_factory=dict)
+    # where hot-key tables are kept across sessions (set for curated folders)
+    stats_root: str | None = None
 
     def get(self, base: str) -> DataFrame | None:
         return self.tables.get(base)
@@ -59,7 +61,8 @@ class Catalog:
 
     def without(self, *bases: str) -> Catalog:
         """Same catalog with some bases marked absent (to exercise the degraded plans)."""
-        return Catalog({b: (None if b in bases else df) for b, df in self.tables.items()}, self.stats)
+        return Catalog({b: (None if b in bases else df) for b, df in self.tables.items()}, self.stats,
+                       self.stats_root)
 
     def rows(self, base: str) -> int:
         """Row count of a base (Parquet answers it from file footers); memoised."""
@@ -76,10 +79,16 @@ class Catalog:
         if k not in self.stats:
             from ..operators.joins import hot_keys
             from ..session import scratch_path
+            from .landing import path_exists
             df = self.tables[base]
-            path = scratch_path(df.sparkSession, f"hot-{base}-{key}")
-            hot_keys(df, key, hot_rows).write.parquet(path)
-            self.stats[k] = df.sparkSession.read.parquet(path)
+            spark = df.sparkSession
+            if self.stats_root:
+                path = f"{self.stats_root}/hot-{base}-{key}-{hot_rows}"
+            else:
+                path = scratch_path(spark, f"hot-{base}-{key}")
+            if not path_exists(spark, f"{path}/_SUCCESS"):
+                hot_keys(df, key, hot_rows).write.mode("overwrite").parquet(path)
+            self.stats[k] = spark.read.parquet(path)
         return self.stats[k]
 
     def skew_inputs(self, base: str, key: str, policy) -> dict:

@@ -2,10 +2,15 @@
 
 Landed layout (under the cluster's shared ``spark.checkpoint.dir`` unless a root is given)::
 
-    {root}/estabelecimentos/uf_norm=MG/part-*.zstd.parquet    sites, partitioned by state
-    {root}/empresas/part-*.zstd.parquet                        every other base, unpartitioned
+    {root}/Estabelecimentos.parquet/uf_norm=MG/part-*.zstd.parquet   sites, partitioned by state
+    {root}/Empresas.parquet/part-*.zstd.parquet                       every other base
+    {root}/_stats/…                                                   hot-key tables, reused by later sessions
     ...
 
+The folder is an ordinary catalog folder: :func:`~cadastra.sources.catalog.load_catalog` and the
+command line read it directly. :func:`curate` writes this layout from any catalog (for example
+the output of ``sources.ingest``); :func:`landed_registry` writes it from the driver tables.
+
 * Sites carry ``uf_norm = upper(uf)`` as a partition column, so a state filter prunes whole
   directories instead of reading every file (``upper(uf)`` itself cannot be pushed to Parquet).
   Before writing they are hash-partitioned on (state, hash of the full site key modulo
@@ -27,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
 from ..session import checkpoint_root
-from .catalog import Catalog
+from .catalog import PART_PREFIX, Catalog
 from .registry import registry_view
 from .schema import schema_of
 
@@ -35,7 +40,7 @@ PARTITION_COLUMN = {"estabelecimentos": "uf_norm"}
 SITE_BUCKETS = 16        # hash buckets per state when landing sites
 CLUSTER_KEY = "cnpj_basico"
 PARTITION_SOURCE = {"uf_norm": F.upper}
-LAYOUT_VERSION = 2       # bump when the landed layout changes: older landings are not reused
+LAYOUT_VERSION = 3       # bump when the landed layout changes: older landings are not reused
 DEFAULT_BASES = ("empresas", "estabelecimentos", "simples", "municipios", "cnaes", "socios")
 
 _catalogs: dict[tuple[str, str, str], Catalog] = {}
@@ -76,11 +81,20 @@ def read_base(spark: SparkSession, path: str, base: str, columns) -> DataFrame:
 def land(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> Catalog:
     out = {}
     for base, df in tables.items():
-        path = f"{root}/{base}"
+        if df is None:
+            continue
+        path = f"{root}/{PART_PREFIX[base]}.parquet"
         if not path_exists(spark, f"{path}/_SUCCESS"):
-            write_base(df, path, base)
-        out[base] = read_base(spark, path, base, df.columns)
-    return Catalog(out)
+            write_base(df.drop(*[c for c in PARTITION_COLUMN.values() if c in df.columns]), path, base)
+        cols = [c for c in df.columns if c not in PARTITION_COLUMN.values()]
+        out[base] = read_base(spark, path, base, cols)
+    return Catalog(out, stats_root=f"{root}/_stats")
+
+
+def curate(spark: SparkSession, cat: Catalog, root: str) -> Catalog:
+    """Write every base of ``cat`` in the curated layout under ``root`` (once) and return the
+    catalog of the written tables."""
+    return land(spark, dict(cat.tables), root)
 
 
 def landed_registry(spark: SparkSession, sf_dir: str, bases=DEFAULT_BASES, root: str | None = None) -> Catalog:

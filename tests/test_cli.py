@@ -61,3 +61,20 @@ def test_clean_rename_ingest(spark, landed, tmp_dir, capsys):
     assert "[OK] cnaes" in capsys.readouterr().out
     assert spark.read.parquet(f"{tmp_dir}/pq/Cnaes.parquet").count() == \
         spark.read.parquet(f"{landed}/Cnaes.parquet").count()
+
+
+def test_curate_then_query(spark, landed, tmp_dir, capsys):
+    from cadastra.plans.leads import LeadFilter, leads
+    from cadastra.sources.catalog import load_catalog
+    main(["curate", "--src", landed, "--dst", f"{tmp_dir}/cur"])
+    assert "curated estabelecimentos" in capsys.readouterr().out
+    cur = load_catalog(spark, f"{tmp_dir}/cur")
+    assert "uf_norm" in cur.est.columns
+    f = LeadFilter(uf="MG", municipio="Uberlandia", situacao=[8])
+    a = sorted(tuple(r) for r in leads(cur, f).collect())
+    b = sorted(tuple(r) for r in leads(load_catalog(spark, landed), f).collect())
+    assert a == b and len(a) == 20
+    assert "PartitionFilters: [isnotnull(uf_norm" in leads(cur, f)._jdf.queryExecution().executedPlan().toString()
+    main(["leads", "--parquet-dir", f"{tmp_dir}/cur", "--out", f"{tmp_dir}/l2", "--uf", "MG", "--municipio",
+          "Uberlandia", "--situacao", "8"])
+    assert "rows exported: 20" in capsys.readouterr().out
