@@ -46,18 +46,27 @@ def normalize_requests(req: DataFrame, col: str = "cnpj_input") -> DataFrame:
 
 def requested_keys(req: DataFrame, col: str = "cnpj_input", distinct: bool = True) -> DataFrame:
     """Well-formed keys (14 digits) with their check-digit flag; de-duplicated unless the caller
-    only semi-joins against them (a semi join ignores duplicates, so no aggregate is needed)."""
+    only semi-joins against them (those joins de-duplicate the key columns they use)."""
     n = normalize_requests(req, col).where("tamanho_ok").select(*KEY3, "dv_valido")
     return n.distinct() if distinct else n
 
 
 def matched_sites(cat: Catalog, keys: DataFrame) -> DataFrame:
-    """Sites whose three key parts equal a requested key (equalities on bare columns)."""
-    return cat.est.join(keys.select(*KEY3), KEY3, "left_semi")
+    """Sites whose three key parts equal a requested key (equalities on bare columns). The
+    requested keys are de-duplicated first (map-side), so a key requested very often cannot
+    skew the semi join; the distinct and the join share one hash partitioning."""
+    return cat.est.join(keys.select(*KEY3).distinct(), KEY3, "left_semi")
+
+
+def company_keys(df: DataFrame) -> DataFrame:
+    """Distinct company keys of ``df``. Used as the filtering side of semi joins: partial
+    aggregation collapses a company with very many rows before the shuffle, so the semi join
+    never meets a skewed filtering side (AQE can only split the other side)."""
+    return df.select("cnpj_basico").distinct()
 
 
 def companies_of(cat: Catalog, keys: DataFrame) -> DataFrame:
-    sites = matched_sites(cat, keys).select("cnpj_basico")
+    sites = company_keys(matched_sites(cat, keys))
     emp = cat.emp.select("cnpj_basico", "razao_social", "natureza_juridica", "porte_empresa",
                          "capital_social_empresa")
     return emp.join(sites, "cnpj_basico", "left_semi").distinct()
@@ -73,7 +82,7 @@ def simples_status(cat: Catalog, keys: DataFrame) -> DataFrame:
     With several rows for a company the first in (fields ascending, NULLs last) order is used;
     picking it is an aggregate, so it is combined map-side before the shuffle."""
     cat.require("simples")
-    sim = cat.sim.join(keys.select("cnpj_basico"), "cnpj_basico", "left_semi")
+    sim = cat.sim.join(company_keys(keys), "cnpj_basico", "left_semi")
     first = (sim.groupBy("cnpj_basico")
              .agg(F.min_by(F.struct(*SIMPLES_FIELDS), _first_row_order(SIMPLES_FIELDS)).alias("s")))
     return first.select(
@@ -90,7 +99,7 @@ def simples_status(cat: Catalog, keys: DataFrame) -> DataFrame:
 def cnpj_report(cat: Catalog, req: DataFrame, col: str = "cnpj_input") -> DataFrame:
     keys = requested_keys(req, col)
     # requested keys that exist as sites: one semi join on the three bare key columns
-    found = keys.join(cat.est.select(*KEY3), KEY3, "left_semi")
+    found = keys.join(cat.est.select(*KEY3).distinct(), KEY3, "left_semi")
     emp = cat.emp.select("cnpj_basico", "razao_social", "natureza_juridica", "porte_empresa",
                          "capital_social_empresa")
     # DISTINCT company rows per key (the join multiplies only by duplicate company rows)
@@ -146,7 +155,7 @@ def _py_text(c: str) -> Column:
 
 def partners_of(cat: Catalog, keys: DataFrame, sort: bool = True) -> DataFrame:
     cat.require("socios")
-    soc = cat.soc.join(keys.select("cnpj_basico"), "cnpj_basico", "left_semi")
+    soc = cat.soc.join(company_keys(keys), "cnpj_basico", "left_semi")
     out = soc.select(
         "cnpj_basico", "identificador_socio", "nome_socio_ou_razao_social", "cnpj_cpf_socio",
         "qualificacao_socio", "data_entrada_sociedade", "pais", "faixa_etaria",
