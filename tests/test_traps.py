@@ -63,3 +63,21 @@ def test_city_code_with_and_without_lookup(spark):
     assert leads(without, LeadFilter(municipio="Uberlandia")).count() == 3  # name ignored without lookup
     r = leads(without, LeadFilter()).first()
     assert r.municipio_nome is None and r.cnae_principal_nome is None and r.opcao_mei == ""
+
+
+def test_filters_commute(spark):
+    """A combined filter equals the intersection of the single-filter results."""
+    from cadastra.sources.landing import landed_registry
+    from tests.conftest import SF_SMALL
+    cat = landed_registry(spark, SF_SMALL)
+    singles = [dict(uf="MG"), dict(municipio="5403"), dict(cnae=86), dict(ativos=True), dict(opcao_sim=True),
+               dict(aberto_de="1994-01-01")]
+    base = dict(porte=[0, 1, 3, 5])
+
+    def keys(**f):
+        return {r.cnpj for r in leads(cat, LeadFilter(**base, **f), sort=False).select("cnpj").collect()}
+    combined = {}
+    for s in singles:
+        combined.update(s)
+    expected = set.intersection(*[keys(**s) for s in singles])
+    assert keys(**combined) == expected and expected
