@@ -27,12 +27,21 @@ SCALE_CONFS = {
 }
 
 
+def default_driver_memory() -> str:
+    """Half of the machine's memory, at most 8 GiB (local mode runs everything in the driver JVM)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(8, int(total / 2 / 2**30)))}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cadastra",
                   extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", os.environ.get("CADASTRA_DRIVER_MEMORY", "8g"))
+         .config("spark.driver.memory", os.environ.get("CADASTRA_DRIVER_MEMORY", default_driver_memory()))
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**SCALE_CONFS, **(extra or {})}.items():
         b = b.config(k, v)
