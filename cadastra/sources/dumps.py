@@ -158,7 +158,7 @@ def file_profiles(files: DataFrame, encoding: str = ENCODING) -> DataFrame:
     first = files.select("path").mapInPandas(lambda it: _first_lines(it, encoding), FIRST_LINE_SCHEMA)
     return files.join(first, "path").select(
         "path", "name", "length", "first_line",
-        (F.col("first_line").contains(DELIMITER) & F.col("first_line").rlike(HEADER_LETTERS)).alias("has_header"),
+        _has_header(F.col("first_line")).alias("has_header"),
         detect_base(F.col("name"), INGEST_BASE_RULES).alias("base"),
     )
 
@@ -173,5 +173,28 @@ def quoted_newline_files(spark: SparkSession, paths: Sequence[str], encoding: st
             .groupBy("path").agg(F.max("odd").alias("multiline")))
 
 
+def scan_profiles(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Per file, from one splittable text scan: its first line and whether any record spans
+    lines. The first line is the earliest row (row ids grow with file position inside a task)
+    of the split that starts at byte 0. No Python runs; every file is read whole, so use it
+    when the multi-line check needs the full scan anyway."""
+    paths = [r["path"] for r in files.select("path").collect()]  # file list: metadata only
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), "value",
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("_pos"))
+    odd = F.pmod(F.length("value") - F.length(F.regexp_replace("value", QUOTE, "")), F.lit(2)) == 1
+    per_file = lines.groupBy("path").agg(F.min_by("value", "_pos").alias("first_line"),
+                                         F.max(odd).alias("multiline"))
+    return (files.join(per_file, "path", "left")
+            .withColumn("multiline", F.coalesce("multiline", F.lit(False)))
+            .select("path", "name", "length", "first_line", "multiline",
+                    _has_header(F.col("first_line")).alias("has_header"),
+                    detect_base(F.col("name"), INGEST_BASE_RULES).alias("base")))
+
+
+def _has_header(line: F.Column) -> F.Column:
+    return F.coalesce(line.contains(DELIMITER) & line.rlike(HEADER_LETTERS), F.lit(False))
+
+
 def looks_like_header(line: str) -> bool:
     return DELIMITER in line and re.search(HEADER_LETTERS, line) is not None

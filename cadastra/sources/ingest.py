@@ -21,16 +21,18 @@ import warnings
 
 from pyspark.sql import Observation
 
-from .dumps import (ENCODING, choose_names, file_profiles, list_files, probe_width, quoted_newline_files,
-                    read_dump, read_with_header)
+from .dumps import (ENCODING, choose_names, file_profiles, list_files, probe_width, read_dump,
+                    read_with_header, scan_profiles)
 from .schema import INGEST_BASE_RULES, detect_base
 
 MANIFEST = "_ingested"
 
 
-def profile_sources(spark: SparkSession, src_root: str, glob: str = "*") -> DataFrame:
+def profile_sources(spark: SparkSession, src_root: str, glob: str = "*", full_scan: bool = False) -> DataFrame:
+    """Per source file: name, size, first line, header test, base (from the file name, else its
+    folder's name) and — with ``full_scan`` — whether any record spans lines."""
     files = list_files(spark, src_root, glob).where(~F.col("name").startswith("_") & ~F.col("name").startswith("."))
-    prof = file_profiles(files)
+    prof = scan_profiles(spark, files) if full_scan else file_profiles(files)
     prof = prof.withColumn("_parent", F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1))
     return prof.withColumn("base", F.when(F.col("base") != "", F.col("base"))
                            .otherwise(detect_base(F.col("_parent"), INGEST_BASE_RULES))).drop("_parent")
@@ -58,11 +60,9 @@ def ingest_directory(spark: SparkSession, src_root: str, out_root: str, glob: st
     A group that fails (unreadable file, schema clash) is reported in ``errors`` as
     ``(base, paths, message)`` and the remaining groups are still ingested; its sources stay
     out of the manifest, so the next run retries them."""
-    prof = pending(profile_sources(spark, src_root, glob), read_manifest(spark, out_root))
-    if multiline is None:
-        ml = quoted_newline_files(spark, [r["path"] for r in prof.select("path").collect()], encoding)
-        prof = prof.join(ml, "path", "left").withColumn("multiline", F.coalesce("multiline", F.lit(False)))
-    else:
+    prof = profile_sources(spark, src_root, glob, full_scan=multiline is None)
+    prof = pending(prof, read_manifest(spark, out_root))
+    if multiline is not None:
         prof = prof.withColumn("multiline", F.lit(bool(multiline)))
     groups = (prof.groupBy("base", "has_header", "multiline")
               .agg(F.sort_array(F.collect_list("path")).alias("paths"))
