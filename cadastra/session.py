@@ -50,16 +50,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_private_root: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a private one only when none is configured."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="cadastra-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (Spark Connect): no shared folder set
+        sc = None
+    if sc is not None:
+        root = sc.getCheckpointDir()
+        if not root:
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="cadastra-ckpt-"))
+            root = sc.getCheckpointDir()
+        return root.rstrip("/")
+    return _private_root.setdefault(id(spark), tempfile.mkdtemp(prefix="cadastra-ckpt-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

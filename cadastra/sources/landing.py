@@ -48,10 +48,18 @@ _lock = threading.Lock()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    """Does ``path`` exist (Hadoop file system of the session; any URI scheme it knows)?"""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    except Exception:  # no JVM gateway (Spark Connect): ask the file source instead
+        from pyspark.errors import AnalysisException
+        try:
+            spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+            return True
+        except AnalysisException:
+            return False
 
 
 def write_base(df: DataFrame, path: str, base: str) -> None:
