@@ -2,8 +2,9 @@
 
 Reading (:func:`read_dump`) is Spark's CSV source with a fixed all-string schema:
 
-* quoted fields may hold ``;``, newlines and doubled quotes (``multiLine`` when a dump has
-  quoted newlines — such files are not splittable, so land them once and repartition);
+* quoted fields may hold ``;``, newlines and doubled quotes. Files whose records span lines need
+  the unsplittable ``multiLine`` mode; :func:`scan_profiles` finds them with one splittable text
+  scan so that every other file is parsed by many tasks;
 * **bad rows**: a row with *more* fields than the schema is dropped; a row with fewer is padded
   with NULLs. Spark's PERMISSIVE mode flags both kinds in ``_corrupt_record``; only the flagged
   rows are re-tokenised to count their fields, so clean rows pay nothing;
