@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import shutil
+import uuid
 import zipfile
 
 import pandas as pd
@@ -40,6 +41,24 @@ def _open(path: str):
     return filesystem, inner
 
 
+def _size(fs, path: str) -> int | None:
+    from pyarrow import fs as pafs
+    info = fs.get_file_info(path)
+    return info.size if info.type == pafs.FileType.File else None
+
+
+def _write_atomically(out_fs, target: str, fill) -> None:
+    """Write through a unique temporary name, then move into place: a retried or speculative
+    task never leaves a half-written file under the final name."""
+    out_fs.create_dir(os.path.dirname(target), recursive=True)
+    tmp = f"{target}.{uuid.uuid4().hex}.tmp"
+    with out_fs.open_output_stream(tmp) as dst:
+        fill(dst)
+    if _size(out_fs, target) is not None:
+        out_fs.delete_file(target)
+    out_fs.move(tmp, target)
+
+
 def _members(batches):
     for pdf in batches:
         rows = []
@@ -71,9 +90,12 @@ def _extract(landing: str):
                     name = os.path.basename(m.filename)
                     target = f"{landing.rstrip('/')}/{stem}/{name if name.lower().endswith('.csv') else name + '.csv'}"
                     out_fs, out_inner = _open(target)
-                    out_fs.create_dir(os.path.dirname(out_inner), recursive=True)
-                    with z.open(m) as src, out_fs.open_output_stream(out_inner) as dst:
-                        shutil.copyfileobj(src, dst, BLOCK)
+                    # an earlier attempt that completed left the full member: nothing to redo
+                    if _size(out_fs, out_inner) != m.file_size:
+                        def fill(dst, z=z, m=m):
+                            with z.open(m) as src:
+                                shutil.copyfileobj(src, dst, BLOCK)
+                        _write_atomically(out_fs, out_inner, fill)
                     rows.append((p, m.filename, m.file_size, target))
             yield pd.DataFrame(rows, columns=["archive", "member", "member_bytes", "landed"])
     return run
@@ -94,12 +116,13 @@ def _pack(target_root: str, member_name: str):
                 stem = os.path.basename(os.path.dirname(inner)) + "-" + os.path.basename(inner).split(".")[0]
                 target = f"{target_root.rstrip('/')}/{stem}.zip"
                 out_fs, out_inner = _open(target)
-                out_fs.create_dir(os.path.dirname(out_inner), recursive=True)
-                with out_fs.open_output_stream(out_inner) as raw, \
-                        zipfile.ZipFile(raw, "w", compression=zipfile.ZIP_DEFLATED) as z, \
-                        z.open(member_name, "w", force_zip64=True) as dst, \
-                        filesystem.open_input_stream(inner) as src:
-                    shutil.copyfileobj(src, dst, BLOCK)
+
+                def fill(raw, filesystem=filesystem, inner=inner):
+                    with zipfile.ZipFile(raw, "w", compression=zipfile.ZIP_DEFLATED) as z, \
+                            z.open(member_name, "w", force_zip64=True) as dst, \
+                            filesystem.open_input_stream(inner) as src:
+                        shutil.copyfileobj(src, dst, BLOCK)
+                _write_atomically(out_fs, out_inner, fill)
                 rows.append((p, target))
             yield pd.DataFrame(rows, columns=["source", "archive"])
     return run

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import PART_PREFIX
+import hashlib
 import warnings
 
 from pyspark.sql import Observation
@@ -52,7 +53,12 @@ def read_manifest(spark: SparkSession, out_root: str) -> DataFrame | None:
 def ingest_directory(spark: SparkSession, src_root: str, out_root: str, glob: str = "*",
                      encoding: str = ENCODING, multiline: bool | None = None,
                      errors: list | None = None) -> dict[str, str]:
-    """Ingest every pending dump under ``src_root``; returns {base: output folder}.
+    """Ingest every pending dump under ``src_root``; returns {base: glob of its Parquet parts}.
+
+    Each group of source files becomes its own dataset ``{Base}-{hash of the file list}.parquet``,
+    written with overwrite: re-running after a failure (even one between the data write and the
+    manifest write) rewrites the same dataset instead of appending duplicates. All parts of a
+    base are read together with the ``{Base}*.parquet`` glob.
 
     ``multiline=None`` decides per file: files whose records never span lines are read in the
     splittable single-line mode (many tasks per file), the others in multi-line mode.
@@ -81,8 +87,10 @@ def ingest_directory(spark: SparkSession, src_root: str, out_root: str, glob: st
                 # header row then stays as data, as in the dumps this mirrors)
                 obs = Observation(f"bad-rows-{base or 'unknown'}")
                 df = read_dump(spark, paths, names, header=False, encoding=encoding, multiline=ml, observation=obs)
-            out = f"{out_root}/{PART_PREFIX.get(base, base or 'Desconhecido')}.parquet"
-            df.write.mode("append").option("compression", "zstd").parquet(out)
+            prefix = PART_PREFIX.get(base, base or "Desconhecido")
+            group = hashlib.sha1("\n".join(paths).encode()).hexdigest()[:16]
+            out = f"{out_root}/{prefix}-{group}.parquet"
+            df.write.mode("overwrite").option("compression", "zstd").parquet(out)
             if obs is not None and (obs.get.get("long_rows") or 0) > 0:
                 warnings.warn(f"{base}: skipped {obs.get['long_rows']} rows with too many fields")
         except Exception as e:  # keep going with the other sources
@@ -90,7 +98,7 @@ def ingest_directory(spark: SparkSession, src_root: str, out_root: str, glob: st
                 raise
             errors.append((base, paths, f"{type(e).__name__}: {e}"[:500]))
             continue
-        written[base] = out
+        written[base] = f"{out_root}/{prefix}*.parquet"
         (spark.createDataFrame([(p, base) for p in paths], "path string, base string")
          .write.mode("append").parquet(f"{out_root}/{MANIFEST}"))
     return written

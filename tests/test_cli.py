@@ -59,7 +59,7 @@ def test_clean_rename_ingest(spark, landed, tmp_dir, capsys):
     write_dump(spark.read.parquet(f"{landed}/Cnaes.parquet"), f"{tmp_dir}/dumps/Cnaes")
     main(["ingest", "--src", f"{tmp_dir}/dumps", "--out-dir", f"{tmp_dir}/pq"])
     assert "[OK] cnaes" in capsys.readouterr().out
-    assert spark.read.parquet(f"{tmp_dir}/pq/Cnaes.parquet").count() == \
+    assert spark.read.parquet(f"{tmp_dir}/pq/Cnaes*.parquet").count() == \
         spark.read.parquet(f"{landed}/Cnaes.parquet").count()
 
 
