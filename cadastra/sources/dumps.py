@@ -100,6 +100,15 @@ def read_base_dump(spark: SparkSession, paths, base: str, **kw) -> DataFrame:
     return read_dump(spark, paths, COLUMNS[base], **kw)
 
 
+def line_width(line: str | None) -> int | None:
+    """Field count of one dump line (``;``-separated, ``"``-quoted), or ``None`` without a line."""
+    if line is None:
+        return None
+    import csv
+    row = next(csv.reader([line], delimiter=DELIMITER, quotechar=QUOTE), [])
+    return len(row)
+
+
 def probe_width(spark: SparkSession, paths, encoding: str = ENCODING) -> int:
     """Field count of the first record (the CSV source sizes its columns from it)."""
     return len(_reader(spark, encoding, False).option("header", "false")

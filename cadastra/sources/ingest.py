@@ -22,7 +22,7 @@ import warnings
 
 from pyspark.sql import Observation
 
-from .dumps import (ENCODING, choose_names, file_profiles, list_files, probe_width, read_dump,
+from .dumps import (ENCODING, choose_names, file_profiles, line_width, list_files, probe_width, read_dump,
                     read_with_header, scan_profiles)
 from .schema import INGEST_BASE_RULES, detect_base
 
@@ -71,14 +71,17 @@ def ingest_directory(spark: SparkSession, src_root: str, out_root: str, glob: st
     if multiline is not None:
         prof = prof.withColumn("multiline", F.lit(bool(multiline)))
     groups = (prof.groupBy("base", "has_header", "multiline")
-              .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+              .agg(F.sort_array(F.collect_list("path")).alias("paths"),
+                   F.min_by("first_line", "path").alias("first_line"))
               .orderBy("base", "has_header", "multiline")
               .collect())  # one row per (base, header, mode) group: file metadata only
     written: dict[str, str] = {}
     for g in groups:
         base, has_header, paths, ml = g["base"], g["has_header"], list(g["paths"]), g["multiline"]
         try:
-            names = choose_names(base, probe_width(spark, paths, encoding), has_header)
+            # the group's first file's first line sizes the columns (no extra Spark job)
+            width = line_width(g["first_line"]) or probe_width(spark, paths, encoding)
+            names = choose_names(base, width, has_header)
             obs = None
             if names is None:
                 df = read_with_header(spark, paths, encoding, ml)
