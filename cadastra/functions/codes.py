@@ -120,6 +120,6 @@ def date_arg(value: str) -> str:
     return value.replace("-", "")
 
 
-def in_list_text(c: Column | str, csv_list: Column | str, value: str) -> Column:
-    """Membership of ``value`` in a comma-separated list column."""
+def in_list_text(csv_list: Column | str, value: str) -> Column:
+    """Membership of ``value`` in a comma-separated list column (missing list → false)."""
     return F.coalesce(F.array_contains(F.split(col(csv_list), ","), F.lit(value)), F.lit(False))

@@ -101,7 +101,7 @@ def site_predicates(f: LeadFilter, est: DataFrame) -> list[Column]:
     if f.cnae_principal:
         p.append(F.col("cnae_fiscal_principal") == F.lit(f.cnae_principal))
     if f.cnae_secundario:
-        p.append(C.in_list_text("cnae_fiscal_secundaria", "cnae_fiscal_secundaria", f.cnae_secundario))
+        p.append(C.in_list_text("cnae_fiscal_secundaria", f.cnae_secundario))
     if f.aberto_de:
         p.append(F.col("data_inicio_atividade") >= F.lit(C.date_arg(f.aberto_de)))
     if f.aberto_ate:
