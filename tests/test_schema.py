@@ -50,3 +50,9 @@ def test_header_heuristic():
     assert looks_like_header("cnpj;razao")
     assert not looks_like_header('"1";"2"')
     assert looks_like_header('"00000000";"JOAO"')  # any text row with ';' passes, as in the dumps
+
+
+def test_null_tokens_are_the_pandas_defaults():
+    from pandas._libs.parsers import STR_NA_VALUES
+    from cadastra.sources.schema import NA_TOKENS
+    assert sorted(NA_TOKENS) == sorted(STR_NA_VALUES)
