@@ -15,6 +15,7 @@ the driver except aggregated counts and file metadata.
     rename       copy of datasets with dictionary or normalised column names
     ingest       folder of dump CSVs or zips → Parquet per base (pending sources only)
     curate       landed Parquet → query layout (sites by state, files clustered by company key)
+    api-pages    landed search-API pages → the items a paging client would return → CSV
     stream       incremental ingest of a landing folder with the file-source stream
 """
 
@@ -156,6 +157,17 @@ def cmd_curate(a) -> None:
         print(f"curated {base} -> {a.dst}")
 
 
+def cmd_api_pages(a) -> None:
+    from .sources import api as API
+    spark = _session()
+    if a.src.rstrip("/").endswith(".parquet"):
+        pages = spark.read.parquet(a.src)
+    else:  # JSON lines: {"search_id": …, "page": …, "status": …, "body": "<page JSON text>"}
+        pages = spark.read.schema("search_id string, page int, status int, body string").json(a.src)
+    items = API.flatten_pages(API.used_pages(pages, a.max_paginas))
+    print(f"items exported: {_export(items, a.out, a.single_file)}")
+
+
 def cmd_stream(a) -> None:
     from .streaming.ingest_stream import run_ingest_stream, start_ingest_stream
     spark = _session()
@@ -238,6 +250,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--dst", required=True)
     p.set_defaults(fn=cmd_curate)
 
+    p = sub.add_parser("api-pages", help="flatten landed search-API pages")
+    p.add_argument("--src", required=True, help="landed pages: .parquet folder or JSON lines")
+    p.add_argument("--out", required=True)
+    p.add_argument("--max-paginas", type=int, default=10)
+    p.add_argument("--single-file", action="store_true")
+    p.set_defaults(fn=cmd_api_pages)
+
     p = sub.add_parser("stream", help="incremental ingest of a landing folder")
     p.add_argument("--src", required=True)
     p.add_argument("--out", required=True)

@@ -78,3 +78,18 @@ def test_curate_then_query(spark, landed, tmp_dir, capsys):
     main(["leads", "--parquet-dir", f"{tmp_dir}/cur", "--out", f"{tmp_dir}/l2", "--uf", "MG", "--municipio",
           "Uberlandia", "--situacao", "8"])
     assert "rows exported: 20" in capsys.readouterr().out
+
+
+def test_api_pages(spark, tmp_dir, capsys):
+    import json
+    def page(items, n):
+        return json.dumps({"data": items, "paginacao": {"paginas": n}})
+    rows = [{"search_id": "s", "page": 1, "status": 200, "body": page([{"cnpj": "1"}, {"cnpj": "2"}], 3)},
+            {"search_id": "s", "page": 2, "status": 200, "body": page([{"cnpj": "3"}], 3)},
+            {"search_id": "s", "page": 3, "status": 500, "body": "{}"},
+            {"search_id": "t", "page": 1, "status": 200, "body": page([{"cnpj": "9"}], 1)},
+            {"search_id": "t", "page": 2, "status": 200, "body": page([{"cnpj": "10"}], 1)}]
+    with open(f"{tmp_dir}/pages.jsonl", "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows))
+    main(["api-pages", "--src", f"{tmp_dir}/pages.jsonl", "--out", f"{tmp_dir}/items"])
+    assert "items exported: 4" in capsys.readouterr().out
