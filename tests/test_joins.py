@@ -93,3 +93,31 @@ def test_lead_filter_validates_codes():
         LeadFilter(situacao=[5])
     f = LeadFilter(uf=" mg ", municipio=" 5403 ", limit=0, cnae=0)
     assert (f.uf, f.municipio, f.municipio_is_code, f.limit, f.cnae) == ("MG", "5403", True, None, None)
+
+
+def test_hot_key_third_of_rows_is_spread(spark):
+    """One key holds a third of all fact rows: the salted join keeps every task small."""
+    confs = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.shuffle.partitions": "16"}
+    saved = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        n = 30000
+        fact = spark.range(0, n).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 997).cast("string")).alias("k"),
+            F.col("id").alias("v"))
+        dim = spark.range(0, 997).select(F.col("id").cast("string").alias("k"), F.lit("d").alias("d")) \
+            .unionByName(spark.createDataFrame([("HOT", "h")], "k string, d string"))
+
+        def max_share(df):
+            counts = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            return max(counts) / sum(counts)
+        plain = fact_join(fact, [(dim, "inner")], "k", SkewPolicy(enabled=False))
+        salted = fact_join(fact, [(dim, "inner")], "k", SkewPolicy(hot_rows=1000, salt_buckets=16))
+        assert _sorted(plain) == _sorted(salted)
+        assert max_share(plain) >= 1 / 3
+        assert max_share(salted) < 0.2
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
