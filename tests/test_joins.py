@@ -121,3 +121,26 @@ def test_hot_key_third_of_rows_is_spread(spark):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_sort_spreads_a_repeated_name(spark):
+    from cadastra.operators.ordering import order_nulls_last
+    confs = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    saved = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        df = spark.range(0, 30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("N"), F.col("id").cast("string")))
+            .alias("razao_social"), F.lpad(F.col("id").cast("string"), 14, "0").alias("cnpj"))
+
+        def max_share(d):
+            counts = [r["count"] for r in d.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            return max(counts) / sum(counts)
+        assert max_share(order_nulls_last(df, ["razao_social"])) >= 1 / 3          # one key: one task
+        assert max_share(order_nulls_last(df, ["razao_social", "cnpj"])) < 0.2    # tie-break splits it
+        rows = order_nulls_last(df, ["razao_social", "cnpj"]).collect()
+        assert rows[-1].razao_social is None and rows[0].razao_social is not None
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
