@@ -22,7 +22,10 @@ CASES = [
     ("12345678000195", "195"),
     ("ACME S.A.", "ACME S.A"),
     ("ACME 24 HORAS", "ACME 24 HORAS"),
-    (" A", "A"),
+    ("\u00a0A", "A"),               # trim also strips no-break and other Unicode spaces
+    ("\u2003A B\u2003", "A B"),
+    ("\tA", "A"),                   # a leading tab is the first blank run: shrunk to " ", then trimmed
+    ("A B\t", "A B\t"),             # a later tab survives: trim strips spaces only
 ]
 
 
