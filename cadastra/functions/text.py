@@ -16,6 +16,7 @@ results of an RE2 engine that replaces only the first match:
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -24,59 +25,54 @@ from pyspark.sql import functions as F
 from .codes import col
 
 # ---------------------------------------------------------------------------------------------
-# Id tokens removed from names, in this order — formatted or bare CPF (11
-# digits), formatted or bare CNPJ (14 digits), formatted or bare CNPJ base (8 digits). ``{B}``
-# stands for the blank characters (``\s``).
+# The name-cleaning patterns, RE2 syntax, applied in this order, each replacing
+# only its first match: ids at the start (formatted or bare CPF = 11 digits, CNPJ = 14 digits,
+# CNPJ base = 8 digits, with brackets or separators around them, repeated), ids at the end,
+# loose punctuation at the start, loose punctuation at the end, the first run of blanks (→ one
+# space). The SQL oracle uses them as they are.
 # ---------------------------------------------------------------------------------------------
-ID_TOKENS = (
-    r"\d{3}[.{B}]?\d{3}[.{B}]?\d{3}[-{B}]?\d{2}",
-    r"\d{11}",
-    r"\d{2}[.{B}]?\d{3}[.{B}]?\d{3}[\/{B}]?\d{4}[-{B}]?\d{2}",
-    r"\d{14}",
-    r"\d{2}[.{B}]?\d{3}[.{B}]?\d{3}",
-    r"\d{8}",
-)
-# Punctuation allowed before/after a token, and loose edge punctuation.
-LEADING_OPEN = r"[\(\[\-]"          # before a token at the start
-LEADING_CLOSE = r"[\)\]\-,:|]"      # after a token at the start
-TRAILING_OPEN = r"[\(\[\-,:|]"      # before a token at the end
-TRAILING_CLOSE = r"[\)\]\-]"        # after a token at the end
-EDGE_PUNCT = r"[\-\(\)\[\]\.,:|]"
-
-RE2_BLANK = r"\s"
+RE2_LEAD_IDS = (r"^(?:\s*[\(\[\-]*\s*(?:\d{3}[.\s]?\d{3}[.\s]?\d{3}[-\s]?\d{2}|\d{11}|"
+                r"\d{2}[.\s]?\d{3}[.\s]?\d{3}[\/\s]?\d{4}[-\s]?\d{2}|\d{14}|\d{2}[.\s]?\d{3}[.\s]?\d{3}|\d{8})"
+                r"\s*[\)\]\-,:|]*\s*)+")
+RE2_TRAIL_IDS = (r"(?:\s*[\(\[\-,:|]*\s*(?:\d{3}[.\s]?\d{3}[.\s]?\d{3}[-\s]?\d{2}|\d{11}|"
+                 r"\d{2}[.\s]?\d{3}[.\s]?\d{3}[\/\s]?\d{4}[-\s]?\d{2}|\d{14}|\d{2}[.\s]?\d{3}[.\s]?\d{3}|\d{8})"
+                 r"\s*[\)\]\-]*\s*)+$")
+RE2_LEAD_PUNCT = r"^\s*[\-\(\)\[\]\.,:|]+\s*"
+RE2_TRAIL_PUNCT = r"\s*[\-\(\)\[\]\.,:|]+\s*$"
+RE2_BLANK_RUN = r"\s+"
+
 JAVA_BLANK = r" \t\n\f\r"           # RE2's \s, written out for Java
+_CLASS = re.compile(r"\[(?:\\.|[^\]\\])*\]")
 
 # Trimming strips the Unicode space separators (category Zs) at both ends.
 SPACE_SEPARATORS = "".join(chr(cp) for cp in range(0x110000) if unicodedata.category(chr(cp)) == "Zs")
 
 
-def _alternatives(blank: str) -> str:
-    return "|".join(t.replace("{B}", blank) for t in ID_TOKENS)
+def re2_patterns() -> dict[str, str]:
+    return {"lead_ids": RE2_LEAD_IDS, "trail_ids": RE2_TRAIL_IDS, "lead_punct": RE2_LEAD_PUNCT,
+            "trail_punct": RE2_TRAIL_PUNCT, "blank_run": RE2_BLANK_RUN}
 
 
-# --- RE2 form (first-match replacement), used by the SQL oracle -------------------------------
-def re2_patterns() -> dict[str, str]:
-    alt = _alternatives(RE2_BLANK)
-    return {
-        "lead_ids": rf"^(?:\s*{LEADING_OPEN}*\s*(?:{alt})\s*{LEADING_CLOSE}*\s*)+",
-        "trail_ids": rf"(?:\s*{TRAILING_OPEN}*\s*(?:{alt})\s*{TRAILING_CLOSE}*\s*)+$",
-        "lead_punct": rf"^\s*{EDGE_PUNCT}+\s*",
-        "trail_punct": rf"\s*{EDGE_PUNCT}+\s*$",
-        "blank_run": r"\s+",
-    }
-
-
-# --- Java form with the same results ----------------------------------------------------------
-_B = f"[{JAVA_BLANK}]"
-_ALT_J = _alternatives(JAVA_BLANK)
-JAVA_LEAD_IDS = (rf"^(?:{_B}*+{LEADING_OPEN}*+{_B}*+(?:{_ALT_J}){_B}*+{LEADING_CLOSE}*+{_B}*+)+")
-JAVA_TRAIL_IDS = (rf"(?:{_B}*+{TRAILING_OPEN}*+{_B}*+(?:{_ALT_J}){_B}*+{TRAILING_CLOSE}*+{_B}*+)+\z")
+def to_java(pattern: str) -> str:
+    """Same matches in Java's engine: ``\\s`` spelled out (inside classes and as ``[…]``), every
+    repeated class possessive (blanks and punctuation never need to give characters back, and
+    this keeps long runs linear), and a final ``$`` as ``\\z``. Optional separators inside a
+    token (``[.\\s]?``) stay as they are."""
+    p = _CLASS.sub(lambda m: m.group(0).replace(r"\s", JAVA_BLANK), pattern)
+    p = re.sub(r"(\[(?:\\.|[^\]\\])*\])([*+])(?!\+)", r"\1\2+", p)
+    p = re.sub(r"\\s([*+])", lambda m: f"[{JAVA_BLANK}]{m.group(1)}+", p)
+    return p[:-1] + r"\z" if p.endswith("$") else p
+
+
+JAVA_LEAD_IDS = to_java(RE2_LEAD_IDS)
+JAVA_TRAIL_IDS = to_java(RE2_TRAIL_IDS)
+JAVA_LEAD_PUNCT = to_java(RE2_LEAD_PUNCT)
+JAVA_TRAIL_PUNCT = to_java(RE2_TRAIL_PUNCT)
 # characters a trailing id match can contain: blanks, digits, token separators, brackets
 _TAIL_CHARS = rf"[0-9{JAVA_BLANK}.\/\(\)\[\]\-,:|]"
 JAVA_TAIL_RUN = rf"(?<!{_TAIL_CHARS}){_TAIL_CHARS}*+\z"
-JAVA_LEAD_PUNCT = rf"^{_B}*+{EDGE_PUNCT}++{_B}*+"
-JAVA_TRAIL_PUNCT = rf"{_B}*+{EDGE_PUNCT}++{_B}*+\z"
-JAVA_FIRST_BLANK_RUN = rf"^([^{JAVA_BLANK}]*+){_B}++"
+# first-match-only replacement of the first blank run, written for replace-all engines
+JAVA_FIRST_BLANK_RUN = rf"^([^{JAVA_BLANK}]*+)[{JAVA_BLANK}]++"
 
 
 def strip_leading_ids(c: Column) -> Column:
