@@ -13,6 +13,7 @@ ignored with a warning, a municipality *code* filter falls back to the site's ow
 
 from __future__ import annotations
 
+import re
 import warnings
 from dataclasses import dataclass, field
 from functools import reduce
@@ -65,7 +66,7 @@ class LeadFilter:
 
     @property
     def municipio_is_code(self) -> bool:
-        return bool(self.municipio) and self.municipio.isdigit()
+        return bool(self.municipio) and re.fullmatch(r"\d+", self.municipio) is not None
 
 
 def _all(preds: list[Column]) -> Column | None:
