@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,14 +87,46 @@ def read_base(spark: SparkSession, path: str, base: str, columns) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _publish(spark: SparkSession, tmp: str, path: str) -> None:
+    """Move a finished folder into place; if another session published first, keep theirs."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:
+        raise NotImplementedError
+    Path = jvm.org.apache.hadoop.fs.Path
+    src, dst = Path(tmp), Path(path)
+    fs = dst.getFileSystem(conf)
+    if fs.exists(dst) or not fs.rename(src, dst):
+        fs.delete(src, True)              # a concurrent landing won: drop our own copy
+    else:
+        # renaming onto a folder created in the meantime moves ours inside it: undo that
+        nested = Path(dst, src.getName())
+        if fs.exists(nested):
+            fs.delete(nested, True)
+
+
+def _write_once(spark: SparkSession, df: DataFrame, path: str, base: str) -> None:
+    """Write a base at ``path`` unless it is there already. The data goes to a unique temporary
+    folder first and is then renamed into place, so two sessions landing the same folder at the
+    same time never interleave their files."""
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return
+    tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+    try:
+        write_base(df, tmp, base)
+        _publish(spark, tmp, path)
+    except NotImplementedError:           # no JVM gateway: write in place
+        write_base(df, path, base)
+
+
 def land(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> Catalog:
     out = {}
     for base, df in tables.items():
         if df is None:
             continue
         path = f"{root}/{PART_PREFIX[base]}.parquet"
-        if not path_exists(spark, f"{path}/_SUCCESS"):
-            write_base(df.drop(*[c for c in PARTITION_COLUMN.values() if c in df.columns]), path, base)
+        _write_once(spark, df.drop(*[c for c in PARTITION_COLUMN.values() if c in df.columns]), path, base)
         cols = [c for c in df.columns if c not in PARTITION_COLUMN.values()]
         out[base] = read_base(spark, path, base, cols)
     return Catalog(out, stats_root=f"{root}/_stats")
