@@ -13,6 +13,7 @@ An absent optional base is ``None``; plans then skip its join and emit NULL/'' c
 from __future__ import annotations
 
 from collections.abc import Iterable
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -79,7 +80,7 @@ class Catalog:
         if k not in self.stats:
             from ..operators.joins import hot_keys
             from ..session import scratch_path
-            from .landing import path_exists
+            from .landing import path_exists, publish
             df = self.tables[base]
             spark = df.sparkSession
             if self.stats_root:
@@ -87,7 +88,12 @@ class Catalog:
             else:
                 path = scratch_path(spark, f"hot-{base}-{key}")
             if not path_exists(spark, f"{path}/_SUCCESS"):
-                hot_keys(df, key, hot_rows).write.mode("overwrite").parquet(path)
+                tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+                hot_keys(df, key, hot_rows).write.parquet(tmp)
+                try:
+                    publish(spark, tmp, path)
+                except NotImplementedError:  # no JVM gateway: keep the written copy where it is
+                    path = tmp
             self.stats[k] = spark.read.parquet(path)
         return self.stats[k]
 

@@ -87,7 +87,7 @@ def read_base(spark: SparkSession, path: str, base: str, columns) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def _publish(spark: SparkSession, tmp: str, path: str) -> None:
+def publish(spark: SparkSession, tmp: str, path: str) -> None:
     """Move a finished folder into place; if another session published first, keep theirs."""
     try:
         jvm = spark.sparkContext._jvm
@@ -115,7 +115,7 @@ def _write_once(spark: SparkSession, df: DataFrame, path: str, base: str) -> Non
     tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
     try:
         write_base(df, tmp, base)
-        _publish(spark, tmp, path)
+        publish(spark, tmp, path)
     except NotImplementedError:           # no JVM gateway: write in place
         write_base(df, path, base)
 
