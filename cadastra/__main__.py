@@ -48,7 +48,9 @@ def cmd_leads(a) -> None:
     spark = _session()
     cat = _catalog(spark, a.parquet_dir)
     f = LeadFilter(uf=a.uf, municipio=a.municipio, cnae=a.cnae, porte=a.porte, situacao=a.situacao,
-                   limit=a.limit, opcao_sim=a.opcao_sim, ativos=a.ativos)
+                   limit=a.limit, opcao_sim=a.opcao_sim, ativos=a.ativos, natureza=a.natureza,
+                   cnae_principal=a.cnae_principal, cnae_secundario=a.cnae_secundario,
+                   aberto_de=a.aberto_de, aberto_ate=a.aberto_ate)
     n = _export(leads(cat, f), a.out, a.single_file)
     print(f"rows exported: {n}")
 
@@ -192,6 +194,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--limit", type=int)
     p.add_argument("--opcao-sim", action="store_true", help="MEI only")
     p.add_argument("--ativos", action="store_true")
+    # filters of the search form, applied to the local tables
+    p.add_argument("--natureza", help="legal nature code (e.g. 2135)")
+    p.add_argument("--cnae-principal", help="exact main activity code")
+    p.add_argument("--cnae-secundario", help="code listed among the secondary activities")
+    p.add_argument("--aberto-de", help="opened on or after (YYYY-MM-DD)")
+    p.add_argument("--aberto-ate", help="opened on or before (YYYY-MM-DD)")
     p.add_argument("--single-file", action="store_true")
     p.set_defaults(fn=cmd_leads)
 

@@ -93,3 +93,13 @@ def test_api_pages(spark, tmp_dir, capsys):
         f.write("\n".join(json.dumps(r) for r in rows))
     main(["api-pages", "--src", f"{tmp_dir}/pages.jsonl", "--out", f"{tmp_dir}/items"])
     assert "items exported: 4" in capsys.readouterr().out
+
+
+def test_leads_form_filters(spark, landed, tmp_dir, capsys):
+    from cadastra.plans.leads import LeadFilter, leads
+    from cadastra.sources.catalog import load_catalog
+    main(["leads", "--parquet-dir", landed, "--out", f"{tmp_dir}/f", "--natureza", "2135",
+          "--cnae-secundario", "8640202", "--aberto-de", "1995-01-01", "--aberto-ate", "1996-12-31"])
+    n = leads(load_catalog(spark, landed), LeadFilter(natureza="2135", cnae_secundario="8640202",
+                                                      aberto_de="19950101", aberto_ate="19961231")).count()
+    assert n > 0 and f"rows exported: {n}" in capsys.readouterr().out
