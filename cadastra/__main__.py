@@ -58,8 +58,8 @@ def cmd_leads(a) -> None:
 def cmd_health(a) -> None:
     from .plans.leads import health_leads
     spark = _session()
-    n = _export(health_leads(_catalog(spark, a.parquet_dir), include_branches=a.incluir_filiais), a.out,
-                a.single_file)
+    n = _export(health_leads(_catalog(spark, a.parquet_dir), include_branches=a.incluir_filiais, uf=a.uf,
+                             municipio_code=a.municipio_codigo, division=a.divisao), a.out, a.single_file)
     print(f"rows exported: {n}")
 
 
@@ -207,6 +207,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--parquet-dir", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--incluir-filiais", action="store_true")
+    p.add_argument("--uf", default="MG")
+    p.add_argument("--municipio-codigo", type=int, default=5403, help="municipality code in the site table")
+    p.add_argument("--divisao", default="86", help="activity division (first two digits)")
     p.add_argument("--single-file", action="store_true")
     p.set_defaults(fn=cmd_health)
 
