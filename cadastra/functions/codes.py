@@ -29,6 +29,7 @@ HEALTH_DIVISION = "86"
 
 
 def col(c: Column | str) -> Column:
+    """A Column from a name or a Column."""
     return F.col(c) if isinstance(c, str) else c
 
 
@@ -58,10 +59,12 @@ def same_text_ci(c: Column | str, value: str) -> Column:
 
 
 def code_in(c: Column | str, codes: Iterable[int]) -> Column:
+    """Lenient code membership (``TRY_CAST(c AS INT) IN (…)``); junk and NULL never match."""
     return try_int(c).isin([int(x) for x in codes])
 
 
 def code_eq(c: Column | str, code: int) -> Column:
+    """Lenient code equality (``TRY_CAST(c AS INT) = code``)."""
     return try_int(c) == F.lit(int(code))
 
 
@@ -71,6 +74,7 @@ def is_active(c: Column | str) -> Column:
 
 
 def is_head_office(c: Column | str) -> Column:
+    """Site kind 1 (head office), by lenient code."""
     return try_int(c) == F.lit(HEAD_OFFICE)
 
 

@@ -19,10 +19,12 @@ def _asc(c: str | Column) -> Column:
 
 
 def order_nulls_last(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+    """Global ascending sort, NULLs last on every key."""
     return df.orderBy(*[_asc(k) for k in keys])
 
 
 def total_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Sort keys followed by every other column: an order with no ties between distinct rows."""
     rest = [c for c in df.columns if c not in keys]
     return [_asc(k) for k in keys] + [_asc(c) for c in rest]
 
