@@ -73,6 +73,10 @@ _TAIL_CHARS = rf"[0-9{JAVA_BLANK}.\/\(\)\[\]\-,:|]"
 JAVA_TAIL_RUN = rf"(?<!{_TAIL_CHARS}){_TAIL_CHARS}*+\z"
 # first-match-only replacement of the first blank run, written for replace-all engines
 JAVA_FIRST_BLANK_RUN = rf"^([^{JAVA_BLANK}]*+)[{JAVA_BLANK}]++"
+# The id and punctuation steps can only change a name that starts or ends (after blanks) with a
+# digit, a bracket or edge punctuation; every other name skips them. Superset test, linear time.
+_EDGE = r"0-9\(\)\[\]\-.,:|"
+JAVA_NEEDS_EDGE_STEPS = rf"^[{JAVA_BLANK}]*+[{_EDGE}]|[{_EDGE}][{JAVA_BLANK}]*+\z"
 
 
 def strip_leading_ids(c: Column) -> Column:
@@ -87,11 +91,12 @@ def strip_trailing_ids(c: Column) -> Column:
 
 def clean_name(c: Column | str) -> Column:
     """Name without leading/trailing tax ids and loose edge punctuation; NULL → ``''``."""
-    x = F.coalesce(col(c), F.lit(""))
-    x = strip_leading_ids(x)
+    x0 = F.coalesce(col(c), F.lit(""))
+    x = strip_leading_ids(x0)
     x = strip_trailing_ids(x)
     x = F.regexp_replace(x, JAVA_LEAD_PUNCT, "")
     x = F.regexp_replace(x, JAVA_TRAIL_PUNCT, "")
+    x = F.when(x0.rlike(JAVA_NEEDS_EDGE_STEPS), x).otherwise(x0)
     x = F.regexp_replace(x, JAVA_FIRST_BLANK_RUN, "$1 ")
     return F.btrim(x, F.lit(SPACE_SEPARATORS))
 
