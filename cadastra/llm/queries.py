@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from cadastra.session import scratch_path
 
-from . import chat_trees, exact_dedup, mixing, warc_bundles
+import public_tokenizers
+
+from . import chat_trees, exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, packing, quality_pu, toxicity, warc_bundles
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +31,18 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def held_out(modulus: int, remainder: int):
+    """Rows whose labels are never learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = held_out(4, 2)
+    scores = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 #: op2: the mixture keeps at least this part of the largest possible entropy ...
 TARGET_ENTROPY = 0.95
 #: ... and repeats no source more often than this
@@ -51,6 +65,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_exact(table(spark, sf_dir, "documents")).drop("bucket")
 
 
+@query("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = held_out(3, 1)
+    scores = quality_pu.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op5_line_dedup", sql=line_dedup.oracle_sql())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_deleted")
+
+
 @query("op6_warc")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "warc-bundles")
@@ -58,6 +84,22 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundles.read_bundles(index, root)
 
 
+@query("op7_fingerprints")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_pairs(table(spark, sf_dir, "documents"))
+
+
+#: op8: the tokenizer file; a parameter of the operator
+TOKENIZER = "byte_bpe_50k.json"
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.tokenized_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
+                                      public_tokenizers.PATTERN)
+    return packing.pack(pieces)
+
+
 #: op9: a conversation that holds control strings of other templates (conv_id, turn, role, text)
 CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -68,3 +110,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame(CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string")
     nodes = chat_trees.reply_chains(turns.unionByName(extra))
     return chat_trees.read_back(chat_trees.format_paths(nodes)).drop("path", "rank")
+
+
+@query("op10_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_components(table(spark, sf_dir, "documents"))
