@@ -99,7 +99,7 @@ def later_copies(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc
     key = [*_DOC, "k", "pos"]
     first = ranks.withColumnRenamed("rank", "rank_first")
     last = ranks.withColumnRenamed("rank", "rank_last").withColumnRenamed("pos", "last_pos")
-    named = (runs.withColumn("last_pos", F.col("pos") + F.col("lines") - F.shiftleft(F.lit(1), F.col("k")))
+    named = (runs.withColumn("last_pos", F.col("pos") + F.col("lines") - F.expr("shiftleft(1, k)"))
              .join(first, key).join(last, [*_DOC, "k", "last_pos"])
              .select(*_DOC, "pos", "lines", "rank_first", "rank_last"))
     named = materialise(named, "line-intervals")

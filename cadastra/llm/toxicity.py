@@ -172,11 +172,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learnable: Column, label_
         at = FEATURES.index("density")
         return scored.select("doc_id", F.least(F.lit(1.0), F.col("features")[at] / 100).alias("score"))
     # leaves of the boosted trees are log-odds steps; the raw margin is calibrated
-    model = GBTClassifier(labelCol="label", featuresCol="x", predictionCol="class", rawPredictionCol="raw",
-                          probabilityCol="p", maxIter=30, maxDepth=4, stepSize=0.2, seed=7).fit(trees)
+    model = GBTClassifier(labelCol="label", featuresCol="x", predictionCol="class", maxIter=30,
+                          maxDepth=4, stepSize=0.2, seed=7).fit(trees)
 
     def margins(df: DataFrame) -> DataFrame:
-        return model.transform(df).withColumn("margin", vector_to_array("raw")[1])
+        return model.transform(df).withColumn("margin", vector_to_array("rawPrediction")[1])
 
     curve = IsotonicRegression(labelCol="label", featuresCol="margin", predictionCol="score").fit(
         margins(steps).select("label", "margin"))
