@@ -89,11 +89,15 @@ def strip_trailing_ids(c: Column) -> Column:
     return F.concat(head, F.regexp_replace(tail, JAVA_TRAIL_IDS, ""))
 
 
+def _once(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` evaluated once per row, however often ``then`` refers to it."""
+    return F.transform(F.array(value), then)[0]
+
+
 def clean_name(c: Column | str) -> Column:
     """Name without leading/trailing tax ids and loose edge punctuation; NULL → ``''``."""
     x0 = F.coalesce(col(c), F.lit(""))
-    x = strip_leading_ids(x0)
-    x = strip_trailing_ids(x)
+    x = _once(strip_leading_ids(x0), strip_trailing_ids)
     x = F.regexp_replace(x, JAVA_LEAD_PUNCT, "")
     x = F.regexp_replace(x, JAVA_TRAIL_PUNCT, "")
     x = F.when(x0.rlike(JAVA_NEEDS_EDGE_STEPS), x).otherwise(x0)
@@ -112,26 +116,42 @@ def clean_name_sql(expr: str) -> str:
 
 
 # ---------------------------------------------------------------------------------------------
-# Slugs: ASCII-folded, lower-case, runs of other characters → '_', no edge '_'.
+# Slugs: folded to ASCII, lower case, runs of other characters → '_', no edge '_'.
+# One rule for column names (driver) and for text columns (Spark, DuckDB).
 # ---------------------------------------------------------------------------------------------
-def _latin_fold_table() -> tuple[str, str]:
-    """Accented Latin letters (U+00C0–U+024F) whose decomposition is one ASCII letter plus marks."""
-    src, dst = [], []
-    for cp in range(0xC0, 0x250):
-        ch = chr(cp)
-        base = unicodedata.normalize("NFKD", ch)
-        if len(base) > 1 and base[0].isascii() and base[0].isalpha() and all(
-                unicodedata.combining(m) for m in base[1:]):
-            src.append(ch)
-            dst.append(base[0])
-    return "".join(src), "".join(dst)
+def _fold_rules() -> dict[str, str]:
+    """Latin characters (U+00A0–U+024F) by their compatibility decomposition without marks: ``ã`` → ``a``,
+    ``º`` → ``o``, ``½`` → ``1⁄2``. Characters that do not decompose (``ß``, ``æ``, ``ø``) stay."""
+    rules = {}
+    for ch in map(chr, range(0xA0, 0x250)):
+        plain = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+        if plain != ch:
+            rules[ch] = plain
+    return rules
+
+
+FOLD_RULES = _fold_rules()
+FOLD_LONG = {k: v for k, v in FOLD_RULES.items() if len(v) != 1}
+FOLD_FROM = "".join(k for k in FOLD_RULES if k not in FOLD_LONG)
+FOLD_TO = "".join(FOLD_RULES[k] for k in FOLD_FROM)
+_FOLD_TABLE = str.maketrans(FOLD_RULES)
+
 
+def fold_text(text: str) -> str:
+    """The folding of :func:`fold_accents` for a text that the driver holds (marks that stand alone go)."""
+    return "".join(c for c in text.translate(_FOLD_TABLE) if not unicodedata.combining(c))
 
-FOLD_FROM, FOLD_TO = _latin_fold_table()
+
+def slug_text(text: str) -> str:
+    """The slug of :func:`slug` for a text that the driver holds."""
+    return "_".join(re.findall("[a-z0-9]+", fold_text(text).lower()))
 
 
 def fold_accents(c: Column | str) -> Column:
-    return F.translate(col(c), FOLD_FROM, FOLD_TO)
+    x = col(c)
+    for long, plain in FOLD_LONG.items():
+        x = F.replace(x, F.lit(long), F.lit(plain))
+    return F.regexp_replace(F.translate(x, FOLD_FROM, FOLD_TO), r"\p{M}+", "")
 
 
 def slug(c: Column | str) -> Column:
@@ -140,10 +160,18 @@ def slug(c: Column | str) -> Column:
     return F.regexp_replace(x, "^_+|_+$", "")
 
 
+def _sql_text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def fold_sql(expr: str) -> str:
+    """DuckDB twin of :func:`fold_accents`."""
+    for long, plain in FOLD_LONG.items():
+        expr = f"replace({expr}, {_sql_text(long)}, {_sql_text(plain)})"
+    return f"regexp_replace(translate({expr}, {_sql_text(FOLD_FROM)}, {_sql_text(FOLD_TO)}), '\\p{{M}}+', '', 'g')"
+
+
 def slug_sql(expr: str) -> str:
-    """DuckDB twin of :func:`slug` (``translate`` with the same table)."""
-    f = FOLD_FROM.replace("'", "''")
-    t = FOLD_TO.replace("'", "''")
-    x = f"lower(translate({expr}, '{f}', '{t}'))"
-    x = f"regexp_replace({x}, '[^a-z0-9]+', '_', 'g')"
+    """DuckDB twin of :func:`slug`."""
+    x = f"regexp_replace(lower({fold_sql(expr)}), '[^a-z0-9]+', '_', 'g')"
     return f"regexp_replace({x}, '^_+|_+$', '', 'g')"

@@ -3,30 +3,32 @@
 Reading (:func:`read_dump`) is Spark's CSV source with a fixed all-string schema:
 
 * quoted fields may hold ``;``, newlines and doubled quotes. Files whose records span lines need
-  the unsplittable ``multiLine`` mode; :func:`scan_profiles` finds them with one splittable text
+  the unsplittable ``multiLine`` mode; :func:`multiline_files` finds them with one splittable text
   scan so that every other file is parsed by many tasks;
 * **bad rows**: a row with *more* fields than the schema is dropped; a row with fewer is padded
   with NULLs. Spark's PERMISSIVE mode flags both kinds in ``_corrupt_record``; only the flagged
   rows are re-tokenised to count their fields, so clean rows pay nothing;
 * **NULL tokens**: empty fields and the usual NA spellings (``NA``, ``NULL``, ``nan``, …) become
   NULL; matching is exact and case-sensitive;
-* **column names**: the base's dictionary when the width matches, else the file's header when it
-  has one, else ``col_00``, ``col_01``, …
+* **column names** are decided per file from its first *record* (which may span lines): the base's
+  dictionary when the width matches, else the file's own header, else ``col_00``, ``col_01``, …
 
 Writing (:func:`write_dump`) produces the same format (every field quoted, no header).
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+import csv
+import io
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .schema import COLUMNS, INGEST_BASE_RULES, NA_TOKENS, detect_base, null_tokens, schema_of
+from .schema import COLUMNS, NA_TOKENS, null_tokens
 
 # Dump format.
 DELIMITER = ";"
@@ -45,19 +47,30 @@ def _reader(spark: SparkSession, encoding: str, multiline: bool):
             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
 
 
-def auto_names(n: int) -> list[str]:
-    return [f"col_{i:02d}" for i in range(n)]
+def named(column: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
-def choose_names(base: str, ncols: int, header_present: bool) -> list[str] | None:
-    """Dictionary names when the width matches, ``None`` (= keep the header) when the file has
-    one, else generated names."""
-    target = COLUMNS.get(base)
-    if target and len(target) == ncols:
-        return list(target)
-    if header_present:
-        return None
-    return auto_names(ncols)
+def header_names(fields: Sequence[str]) -> list[str]:
+    """Names from a header record: blanks become ``Unnamed: n``, repeats get ``.1``, ``.2``, …"""
+    seen: Counter = Counter()
+    names = []
+    for i, f in enumerate(fields):
+        name = f if f else f"Unnamed: {i}"
+        names.append(f"{name}.{seen[name]}" if seen[name] else name)
+        seen[name] += 1
+    return names
+
+
+def column_plan(base: str, first_record: Sequence[str], header: bool) -> tuple[list[str], bool]:
+    """Column names of one file, and whether its first record is the header they come from."""
+    width = len(first_record)
+    if len(COLUMNS.get(base, ())) == width:
+        return list(COLUMNS[base]), False
+    if header:
+        return header_names(first_record), True
+    return [f"col_{i:02d}" for i in range(width)], False
 
 
 def count_fields(raw) -> F.Column:
@@ -79,8 +92,8 @@ def apply_bad_row_policy(df: DataFrame, width: int, observation=None) -> DataFra
 
 def apply_null_tokens(df: DataFrame, columns: Sequence[str] | None = None,
                       tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
-    cols = list(columns or df.columns)
-    return df.withColumns({c: null_tokens(F.col(c), tokens) for c in cols})
+    wanted = set(columns or df.columns)
+    return df.select(*[null_tokens(named(c), tokens).alias(c) if c in wanted else named(c) for c in df.columns])
 
 
 def read_dump(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str],
@@ -100,27 +113,6 @@ def read_base_dump(spark: SparkSession, paths, base: str, **kw) -> DataFrame:
     return read_dump(spark, paths, COLUMNS[base], **kw)
 
 
-def line_width(line: str | None) -> int | None:
-    """Field count of one dump line (``;``-separated, ``"``-quoted), or ``None`` without a line."""
-    if line is None:
-        return None
-    import csv
-    row = next(csv.reader([line], delimiter=DELIMITER, quotechar=QUOTE), [])
-    return len(row)
-
-
-def probe_width(spark: SparkSession, paths, encoding: str = ENCODING) -> int:
-    """Field count of the first record (the CSV source sizes its columns from it)."""
-    return len(_reader(spark, encoding, False).option("header", "false")
-               .csv(list(paths) if not isinstance(paths, str) else paths).columns)
-
-
-def read_with_header(spark: SparkSession, paths, encoding: str = ENCODING, multiline: bool = True) -> DataFrame:
-    df = (_reader(spark, encoding, multiline).option("header", "true")
-          .csv(list(paths) if not isinstance(paths, str) else paths))
-    return apply_null_tokens(df)
-
-
 def write_dump(df: DataFrame, path: str, encoding: str = ENCODING, header: bool = False) -> None:
     (df.write.mode("overwrite").option("sep", DELIMITER).option("quote", QUOTE).option("escape", QUOTE)
      .option("quoteAll", "true").option("encoding", encoding).option("header", str(header).lower())
@@ -137,22 +129,58 @@ def render_lines(df: DataFrame, columns: Sequence[str] | None = None) -> F.Colum
 
 
 # ---------------------------------------------------------------------------------------------
-# file-level metadata: first line, header test, base from the file name
+# file-level metadata: first record, header test, base from the file name
 # ---------------------------------------------------------------------------------------------
-FIRST_LINE_SCHEMA = "path string, first_line string"
+BLOCK = 1 << 16
+
 
+def record_end(data: bytes) -> int | None:
+    """Where the first record ends (the first newline outside quotes), if that is in ``data``."""
+    at, quotes = -1, 0
+    while True:
+        at, last = data.find(b"\n", at + 1), at
+        if at < 0:
+            return None
+        quotes += data.count(b'"', last + 1, at)
+        if quotes % 2 == 0:
+            return at
 
-def _first_lines(batches, encoding: str = ENCODING, max_bytes: int = 1 << 20):
+
+def first_record(stream, encoding: str = ENCODING) -> str:
+    """Text of the first record of an open file: read on until it is complete, however long it is."""
+    data = b""
+    while block := stream.read(BLOCK):
+        data += block
+        end = record_end(data)
+        if end is not None:
+            data = data[:end]
+            break
+        if len(data) > 64 * BLOCK:  # very long: take larger steps, so that the search stays linear
+            data += stream.read(len(data))
+    return data.decode(encoding, errors="ignore").rstrip("\r\n")
+
+
+def split_record(record: str) -> list[str]:
+    csv.field_size_limit(max(csv.field_size_limit(), len(record)))
+    return next(csv.reader(io.StringIO(record, newline=""), delimiter=DELIMITER, quotechar=QUOTE), [])
+
+
+def _first_records(batches: Iterator[pd.DataFrame], encoding: str) -> Iterator[pd.DataFrame]:
     from pyarrow import fs as pafs
     for pdf in batches:
-        out = []
+        records, fields, failures = [], [], []
         for p in pdf["path"]:
-            filesystem, inner = pafs.FileSystem.from_uri(p)
-            with filesystem.open_input_stream(inner) as f:
-                buf = f.read(max_bytes)
-            line = buf.split(b"\n", 1)[0]
-            out.append(line.decode(encoding, errors="ignore"))
-        yield pd.DataFrame({"path": pdf["path"], "first_line": out})
+            record, failure = None, None
+            try:
+                filesystem, inner = pafs.FileSystem.from_uri(p)
+                with filesystem.open_input_stream(inner, compression=None) as f:
+                    record = first_record(f, encoding)
+            except OSError as e:  # this file is reported; the others go on
+                failure = f"{type(e).__name__}: {e}"[:500]
+            records.append(record)
+            fields.append(split_record(record) if record else [])
+            failures.append(failure)
+        yield pd.DataFrame({"path": pdf["path"], "first_record": records, "fields": fields, "failure": failures})
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -163,17 +191,15 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 
 def file_profiles(files: DataFrame, encoding: str = ENCODING) -> DataFrame:
-    """Per file: first line, header test, and base detected from the name.
-    Each file is opened by one task, which reads at most its first MiB."""
-    first = files.select("path").mapInPandas(lambda it: _first_lines(it, encoding), FIRST_LINE_SCHEMA)
-    return files.join(first, "path").select(
-        "path", "name", "length", "first_line",
-        _has_header(F.col("first_line")).alias("has_header"),
-        detect_base(F.col("name"), INGEST_BASE_RULES).alias("base"),
-    )
+    """``files`` with first record, its fields, the header test, and the failure of unreadable ones.
+    Each file is opened by one task, which reads up to the end of its first record."""
+    first = files.select("path").mapInPandas(
+        lambda it: _first_records(it, encoding), "path string, first_record string, fields array<string>, failure string")
+    line = F.split_part("first_record", F.lit("\n"), F.lit(1))
+    return files.join(first, "path").withColumn("has_header", has_header(line))
 
 
-def quoted_newline_files(spark: SparkSession, paths: Sequence[str], encoding: str = ENCODING) -> DataFrame:
+def multiline_files(spark: SparkSession, paths: Sequence[str], encoding: str = ENCODING) -> DataFrame:
     """Per file: does any record continue on the next line (a line with an odd number of quote
     characters)? A splittable text scan answers it in parallel; only the files that do need the
     unsplittable multi-line CSV mode."""
@@ -183,28 +209,6 @@ def quoted_newline_files(spark: SparkSession, paths: Sequence[str], encoding: st
             .groupBy("path").agg(F.max("odd").alias("multiline")))
 
 
-def scan_profiles(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Per file, from one splittable text scan: its first line and whether any record spans
-    lines. The first line is the earliest row (row ids grow with file position inside a task)
-    of the split that starts at byte 0. No Python runs; every file is read whole, so use it
-    when the multi-line check needs the full scan anyway."""
-    paths = [r["path"] for r in files.select("path").collect()]  # file list: metadata only
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), "value",
-        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("_pos"))
-    odd = F.pmod(F.length("value") - F.length(F.regexp_replace("value", QUOTE, "")), F.lit(2)) == 1
-    per_file = lines.groupBy("path").agg(F.min_by("value", "_pos").alias("first_line"),
-                                         F.max(odd).alias("multiline"))
-    return (files.join(per_file, "path", "left")
-            .withColumn("multiline", F.coalesce("multiline", F.lit(False)))
-            .select("path", "name", "length", "first_line", "multiline",
-                    _has_header(F.col("first_line")).alias("has_header"),
-                    detect_base(F.col("name"), INGEST_BASE_RULES).alias("base")))
-
-
-def _has_header(line: F.Column) -> F.Column:
+def has_header(line: Column) -> Column:
+    """A delimiter and at least one letter in the first line."""
     return F.coalesce(line.contains(DELIMITER) & line.rlike(HEADER_LETTERS), F.lit(False))
-
-
-def looks_like_header(line: str) -> bool:
-    return DELIMITER in line and re.search(HEADER_LETTERS, line) is not None

@@ -1,42 +1,53 @@
-"""Ingest: a folder of raw dumps → one ZSTD Parquet table per base.
-
-1. list the files (no contents read) and profile each one in parallel: first line, header
-   test, base from the file name (or, for Spark-written part files, from the folder name);
-2. per (base, header) group, size the columns from the first record and choose the names
-   (dictionary / header / ``col_NN``);
-3. read the group with the dump rules (bad rows, NULL tokens) and write it as Parquet;
-4. append the processed sources to a manifest, so a rerun only ingests what is pending.
-
-The plan per group is a plain CSV scan → projection → Parquet write: parallel over files and
-splits, no shuffle. Only file metadata (paths, first lines) reaches the driver.
+"""Ingest: a folder of raw dumps → one ZSTD Parquet dataset per source file.
+
+1. list the files (no contents read), detect each one's base from its name (or, for Spark-written
+   part files, from the folder's name) and drop those the manifest already holds;
+2. profile what is pending, one task per file: first record, header test; one splittable scan finds
+   the files whose records span lines;
+3. read each file with the dump rules (bad rows, NULL tokens) under its own names — dictionary, its
+   header, or ``col_NN`` — and write it as its own dataset ``{Base}-{hash of the path}.parquet``;
+4. append the ingested sources to the manifest.
+
+A file that fails is reported and stops no other. Writing a source again overwrites its own dataset
+and nothing else, so a run after a lost manifest leaves no duplicates. All datasets of a base are read
+together with the ``{Base}*.parquet`` glob. Each file is a CSV scan → projection → Parquet write:
+parallel over splits, no shuffle; a few files run at a time. Only file metadata reaches the driver,
+in batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from .catalog import PART_PREFIX
 import hashlib
+import itertools
 import warnings
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Observation
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
-from .dumps import (ENCODING, choose_names, file_profiles, line_width, list_files, probe_width, read_dump,
-                    read_with_header, scan_profiles)
+from .catalog import PART_PREFIX
+from .dumps import ENCODING, column_plan, file_profiles, list_files, multiline_files, read_dump
 from .schema import INGEST_BASE_RULES, detect_base
 
 MANIFEST = "_ingested"
+#: files ingested at the same time, and sources handled between two appends to the manifest
+AT_ONCE, BATCH = 8, 256
 
 
-def profile_sources(spark: SparkSession, src_root: str, glob: str = "*", full_scan: bool = False) -> DataFrame:
-    """Per source file: name, size, first line, header test, base (from the file name, else its
-    folder's name) and — with ``full_scan`` — whether any record spans lines."""
+def list_sources(spark: SparkSession, src_root: str, glob: str = "*", skip: str | None = None) -> DataFrame:
+    """Dump files under ``src_root``: path, name, length, base. ``skip`` names a suffix to leave out."""
     files = list_files(spark, src_root, glob).where(~F.col("name").startswith("_") & ~F.col("name").startswith("."))
-    prof = scan_profiles(spark, files) if full_scan else file_profiles(files)
-    prof = prof.withColumn("_parent", F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1))
-    return prof.withColumn("base", F.when(F.col("base") != "", F.col("base"))
-                           .otherwise(detect_base(F.col("_parent"), INGEST_BASE_RULES))).drop("_parent")
+    if skip:
+        files = files.where(~F.lower("name").endswith(skip))
+    own = detect_base(F.col("name"), INGEST_BASE_RULES)
+    folder = detect_base(F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1), INGEST_BASE_RULES)
+    return files.withColumn("base", F.coalesce(F.nullif(own, F.lit("")), folder))
+
+
+def profile_sources(spark: SparkSession, src_root: str, glob: str = "*") -> DataFrame:
+    """Per dump file: path, name, length, base, first record, its fields, header test."""
+    return file_profiles(list_sources(spark, src_root, glob))
 
 
 def pending(sources: DataFrame, done: DataFrame | None, key: str = "path") -> DataFrame:
@@ -50,58 +61,70 @@ def read_manifest(spark: SparkSession, out_root: str) -> DataFrame | None:
     return spark.read.parquet(p) if path_exists(spark, p) else None
 
 
+def dataset_of(out_root: str, base: str, path: str) -> str:
+    """Where the source ``path`` is written: the name depends on nothing but the base and the path."""
+    return f"{out_root}/{PART_PREFIX.get(base, base or 'Desconhecido')}-{hashlib.sha1(path.encode()).hexdigest()[:16]}.parquet"
+
+
+def ingest_file(spark: SparkSession, source: Row, out_root: str, encoding: str = ENCODING) -> int:
+    """Write one profiled source as its own dataset; returns the number of rows dropped as too long."""
+    if source["failure"]:
+        raise OSError(source["failure"])
+    if not source["fields"]:
+        raise ValueError("the file holds no record")
+    names, own_header = column_plan(source["base"], source["fields"], source["has_header"])
+    seen = Observation()
+    df = read_dump(spark, source["path"], names, header=own_header, encoding=encoding,
+                   multiline=source["multiline"], observation=seen)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(dataset_of(out_root, source["base"], source["path"]))
+    return seen.get["long_rows"] or 0
+
+
 def ingest_directory(spark: SparkSession, src_root: str, out_root: str, glob: str = "*",
                      encoding: str = ENCODING, multiline: bool | None = None,
-                     errors: list | None = None) -> dict[str, str]:
-    """Ingest every pending dump under ``src_root``; returns {base: glob of its Parquet parts}.
-
-    Each group of source files becomes its own dataset ``{Base}-{hash of the file list}.parquet``,
-    written with overwrite: re-running after a failure (even one between the data write and the
-    manifest write) rewrites the same dataset instead of appending duplicates. All parts of a
-    base are read together with the ``{Base}*.parquet`` glob.
+                     errors: list | None = None, skip: str | None = None) -> dict[str, str]:
+    """Ingest every pending dump under ``src_root``; returns {base: glob of its Parquet datasets}.
 
     ``multiline=None`` decides per file: files whose records never span lines are read in the
-    splittable single-line mode (many tasks per file), the others in multi-line mode.
-    Long rows dropped by the bad-row rule are counted in the same pass and reported as a warning.
-    A group that fails (unreadable file, schema clash) is reported in ``errors`` as
-    ``(base, paths, message)`` and the remaining groups are still ingested; its sources stay
-    out of the manifest, so the next run retries them."""
-    prof = profile_sources(spark, src_root, glob, full_scan=multiline is None)
-    prof = pending(prof, read_manifest(spark, out_root))
-    if multiline is not None:
-        prof = prof.withColumn("multiline", F.lit(bool(multiline)))
-    groups = (prof.groupBy("base", "has_header", "multiline")
-              .agg(F.sort_array(F.collect_list("path")).alias("paths"),
-                   F.min_by("first_line", "path").alias("first_line"))
-              .orderBy("base", "has_header", "multiline")
-              .collect())  # one row per (base, header, mode) group: file metadata only
+    splittable single-line mode (many tasks per file), the others in multi-line mode. Long rows
+    dropped by the bad-row rule are counted in the same pass and reported as a warning. Failures
+    are collected in ``errors`` as ``(base, path, message)`` — without that list, the first one is
+    raised after the other files are done — and stay out of the manifest, so the next run retries them.
+    """
+    todo = pending(list_sources(spark, src_root, glob, skip), read_manifest(spark, out_root))
     written: dict[str, str] = {}
-    for g in groups:
-        base, has_header, paths, ml = g["base"], g["has_header"], list(g["paths"]), g["multiline"]
-        try:
-            # the group's first file's first line sizes the columns (no extra Spark job)
-            width = line_width(g["first_line"]) or probe_width(spark, paths, encoding)
-            names = choose_names(base, width, has_header)
-            obs = None
-            if names is None:
-                df = read_with_header(spark, paths, encoding, ml)
-            else:
-                # a recognised base is read with its dictionary even when a header exists (the
-                # header row then stays as data, as in the dumps this mirrors)
-                obs = Observation(f"bad-rows-{base or 'unknown'}")
-                df = read_dump(spark, paths, names, header=False, encoding=encoding, multiline=ml, observation=obs)
-            prefix = PART_PREFIX.get(base, base or "Desconhecido")
-            group = hashlib.sha1("\n".join(paths).encode()).hexdigest()[:16]
-            out = f"{out_root}/{prefix}-{group}.parquet"
-            df.write.mode("overwrite").option("compression", "zstd").parquet(out)
-            if obs is not None and (obs.get.get("long_rows") or 0) > 0:
-                warnings.warn(f"{base}: skipped {obs.get['long_rows']} rows with too many fields")
-        except Exception as e:  # keep going with the other sources
-            if errors is None:
-                raise
-            errors.append((base, paths, f"{type(e).__name__}: {e}"[:500]))
-            continue
-        written[base] = f"{out_root}/{prefix}*.parquet"
-        (spark.createDataFrame([(p, base) for p in paths], "path string, base string")
-         .write.mode("append").parquet(f"{out_root}/{MANIFEST}"))
+    failures: list = []
+    waiting = todo.orderBy("path").toLocalIterator()
+    while batch := list(itertools.islice(waiting, BATCH)):
+        listed = spark.createDataFrame(batch, todo.schema)
+        profiled = file_profiles(listed, encoding)
+        if multiline is None:
+            spans = multiline_files(spark, [r["path"] for r in batch], encoding)
+            profiled = profiled.join(spans, "path", "left")
+        else:
+            profiled = profiled.withColumn("multiline", F.lit(bool(multiline)))
+        done = []
+
+        def one(source: Row) -> None:
+            base = source["base"]
+            try:
+                dropped = ingest_file(spark, source, out_root, encoding)
+            except Exception as e:  # this source stays pending
+                failures.append((base, source["path"], f"{type(e).__name__}: {e}"[:500], e))
+                return
+            if dropped:
+                warnings.warn(f"{source['path']}: skipped {dropped} rows with too many fields")
+            done.append((source["path"], base))
+
+        profiles = profiled.withColumn("multiline", F.coalesce("multiline", F.lit(False))).drop("first_record").collect()
+        with ThreadPoolExecutor(AT_ONCE) as pool:  # one row per file of the batch
+            list(pool.map(inheritable_thread_target(spark)(one), profiles))
+        if done:
+            spark.createDataFrame(done, "path string, base string").write.mode("append").parquet(f"{out_root}/{MANIFEST}")
+        for _, base in done:
+            written[base] = f"{out_root}/{PART_PREFIX.get(base, base or 'Desconhecido')}-*.parquet"
+    if errors is not None:
+        errors.extend(f[:3] for f in failures)
+    elif failures:
+        raise failures[0][3]
     return written

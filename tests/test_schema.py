@@ -1,7 +1,9 @@
 """Base detection, column naming and the NULL-token set."""
 import pytest
 
-from cadastra.sources.dumps import choose_names, looks_like_header
+from pyspark.sql import functions as F
+
+from cadastra.sources.dumps import column_plan, has_header, header_names
 from cadastra.sources.parquet_io import normalize_names, rename_plan
 from cadastra.sources.schema import (CLEAN_BASE_RULES, COLUMNS, INGEST_BASE_RULES, RENAME_BASE_RULES,
                                      detect_base, detect_base_py)
@@ -29,10 +31,11 @@ def test_rule_sets_differ_in_order():
     assert detect_base_py("Cnaes.parquet", CLEAN_BASE_RULES) == ""
 
 
-def test_choose_names():
-    assert choose_names("socios", 11, False) == COLUMNS["socios"]
-    assert choose_names("socios", 12, True) is None
-    assert choose_names("", 3, False) == ["col_00", "col_01", "col_02"]
+def test_column_plan():
+    assert column_plan("socios", ["x"] * 11, False) == (COLUMNS["socios"], False)
+    assert column_plan("socios", ["x"] * 12, True) == (["x"] + [f"x.{i}" for i in range(1, 12)], True)
+    assert column_plan("", ["1", "2", "3"], False) == (["col_00", "col_01", "col_02"], False)
+    assert header_names(["a", "", "a", "b c.d"]) == ["a", "Unnamed: 1", "a.1", "b c.d"]
 
 
 def test_normalize_names():
@@ -46,10 +49,18 @@ def test_rename_plan():
     assert rename_plan("socios", [f"_c{i}" for i in range(11)]) == COLUMNS["socios"]
 
 
-def test_header_heuristic():
-    assert looks_like_header("cnpj;razao")
-    assert not looks_like_header('"1";"2"')
-    assert looks_like_header('"00000000";"JOAO"')  # any text row with ';' passes, as in the dumps
+def test_header_heuristic(spark):
+    lines = [("cnpj;razao", True), ('"1";"2"', False), ('"00000000";"JOAO"', True), ("JOAO", False), (None, False)]
+    df = spark.createDataFrame(lines, "line string, want boolean")  # any text row with ';' passes, as in the dumps
+    assert df.where(has_header(F.col("line")) != F.col("want")).count() == 0
+
+
+def test_names_fold_like_text_columns(spark):
+    from cadastra.functions.text import slug, slug_text
+    raw = ["Nº 1ª", "São João", "Straße", "ÆØ å", "½ kg", "e\u0301te\u0301", "Ĳsel", "__a--b__", "ÇÃO²"]
+    df = spark.createDataFrame([(x,) for x in raw], "x string")
+    assert [r[0] for r in df.select(slug("x")).collect()] == [slug_text(x) for x in raw]
+    assert slug_text("Nº 1ª") == "no_1a" and slug_text("½ kg") == "1_2_kg"
 
 
 def test_null_tokens_are_the_pandas_defaults():
