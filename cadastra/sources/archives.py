@@ -9,30 +9,35 @@ else a name containing ``csv``, else the largest member.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import shutil
 import uuid
 import zipfile
+import zlib
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMBER_SCHEMA = "archive string, member string, member_bytes long"
-LANDED_SCHEMA = "archive string, member string, member_bytes long, landed string"
+MEMBER_SCHEMA = "archive string, member string, member_bytes long, failure string"
+LANDED_SCHEMA = "archive string, member string, member_bytes long, landed string, failure string"
 BLOCK = 1 << 20
 
 
+def member_rank(info: zipfile.ZipInfo, position: int) -> tuple:
+    """Preference among the members of an archive, best first."""
+    name = info.filename.lower()
+    if name.endswith(("csv", ".txt")):
+        return 0, position
+    if "csv" in name:
+        return 1, position
+    return 2, -info.file_size, position
+
+
 def choose_member(infos: list[zipfile.ZipInfo]) -> zipfile.ZipInfo | None:
-    files = [i for i in infos if not i.is_dir()]
-    if not files:
-        return None
-    cand = [i for i in files if i.filename.lower().endswith(("csv", ".txt"))]
-    if not cand:
-        cand = [i for i in files if "csv" in i.filename.lower()]
-    if not cand:
-        cand = [max(files, key=lambda i: i.file_size)]
-    return cand[0]
+    files = [(member_rank(info, k), info) for k, info in enumerate(infos) if not info.is_dir()]
+    return min(files, key=lambda f: f[0])[1] if files else None
 
 
 def _open(path: str):
@@ -59,52 +64,67 @@ def _write_atomically(out_fs, target: str, fill) -> None:
     out_fs.move(tmp, target)
 
 
-def _members(batches):
+def _handled(batches, columns: list[str], handle):
+    """One row per archive from ``handle(path)``; a bad archive's row holds its failure instead."""
     for pdf in batches:
         rows = []
         for p in pdf["path"]:
-            filesystem, inner = _open(p)
-            with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as z:
-                m = choose_member(z.infolist())
-                rows.append((p, m.filename if m else None, m.file_size if m else None))
-        yield pd.DataFrame(rows, columns=["archive", "member", "member_bytes"])
+            try:
+                rows.append((p, *handle(p), None))
+            except (OSError, ValueError, zipfile.BadZipFile, EOFError, RuntimeError, zlib.error) as e:
+                rows.append((p, *[None] * (len(columns) - 2), f"{type(e).__name__}: {e}"[:500]))
+        yield pd.DataFrame(rows, columns=columns)
 
 
-def zip_members(archives: DataFrame, path: str = "path") -> DataFrame:
-    """The member each archive contributes."""
-    return archives.select(F.col(path).alias("path")).mapInPandas(_members, MEMBER_SCHEMA)
+def _member_of(path: str) -> tuple:
+    filesystem, inner = _open(path)
+    with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as z:
+        m = choose_member(z.infolist())
+        return (m.filename, m.file_size) if m else (None, None)
 
 
-def _extract(landing: str):
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for p in pdf["path"]:
-                filesystem, inner = _open(p)
-                with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as z:
-                    m = choose_member(z.infolist())
-                    if m is None:
-                        rows.append((p, None, None, None))
-                        continue
-                    stem = os.path.basename(inner).rsplit(".", 1)[0]
-                    name = os.path.basename(m.filename)
-                    target = f"{landing.rstrip('/')}/{stem}/{name if name.lower().endswith('.csv') else name + '.csv'}"
-                    out_fs, out_inner = _open(target)
-                    # an earlier attempt that completed left the full member: nothing to redo
-                    if _size(out_fs, out_inner) != m.file_size:
-                        def fill(dst, z=z, m=m):
-                            with z.open(m) as src:
-                                shutil.copyfileobj(src, dst, BLOCK)
-                        _write_atomically(out_fs, out_inner, fill)
-                    rows.append((p, m.filename, m.file_size, target))
-            yield pd.DataFrame(rows, columns=["archive", "member", "member_bytes", "landed"])
-    return run
+def zip_members(archives: DataFrame, path: str = "path") -> DataFrame:
+    """The member each archive contributes; ``failure`` says why an archive could not be read."""
+    columns = ["archive", "member", "member_bytes", "failure"]
+    return archives.select(F.col(path).alias("path")).mapInPandas(
+        lambda batches: _handled(batches, columns, _member_of), MEMBER_SCHEMA)
+
+
+def landed_folder(archive: str) -> str:
+    """Folder of an archive's member: its stem, told apart by a hash of the whole path, so that
+    archives of one name in two folders do not meet."""
+    stem = archive.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+    return f"{stem}-{hashlib.sha1(archive.encode()).hexdigest()[:10]}"
+
+
+def _landing(landing: str):
+    def land(path: str) -> tuple:
+        filesystem, inner = _open(path)
+        with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as z:
+            m = choose_member(z.infolist())
+            if m is None:
+                return None, None, None
+            name = os.path.basename(m.filename)
+            name = name if name.lower().endswith(".csv") else name + ".csv"
+            target = f"{landing.rstrip('/')}/{landed_folder(path)}/{name}"
+            out_fs, out_inner = _open(target)
+
+            def fill(dst):
+                with z.open(m) as src:
+                    shutil.copyfileobj(src, dst, BLOCK)
+            _write_atomically(out_fs, out_inner, fill)
+            return m.filename, m.file_size, target
+    return land
 
 
 def extract_members(archives: DataFrame, landing: str, path: str = "path") -> DataFrame:
-    """Stream each archive's chosen member to ``{landing}/{archive stem}/{member}.csv``.
-    One archive per task; the result lists what was landed."""
-    return archives.select(F.col(path).alias("path")).mapInPandas(_extract(landing), LANDED_SCHEMA)
+    """Stream each archive's chosen member to ``{landing}/{archive stem}-{hash of its path}/{member}.csv``.
+    Every given archive is extracted anew (choosing what is pending is the manifest's work); the result
+    lists what was landed, and why a bad archive was not."""
+    columns = ["archive", "member", "member_bytes", "landed", "failure"]
+    land = _landing(landing)
+    return archives.select(F.col(path).alias("path")).mapInPandas(
+        lambda batches: _handled(batches, columns, land), LANDED_SCHEMA)
 
 
 def _pack(target_root: str, member_name: str):
