@@ -34,7 +34,7 @@ def col(c: Column | str) -> Column:
 
 
 def try_int(c: Column | str) -> Column:
-    """Lenient integer: ``'02'`` → 2, ``' 2 '`` → 2, ``''``/``'abc'``/``'1.5'`` → NULL."""
+    """Lenient integer: ``'02'`` → 2, ``' 2 '`` → 2, ``''``/``'abc'``/``'1.5'`` → NULL. Integers stay."""
     return col(c).try_cast("int")
 
 
@@ -68,9 +68,9 @@ def code_eq(c: Column | str, code: int) -> Column:
     return try_int(c) == F.lit(int(code))
 
 
-def is_active(c: Column | str) -> Column:
+def is_active(c: Column | str, code: Column | None = None) -> Column:
     """Active by code or by text (``2`` / ``'02'`` / ``'ATIVA'`` in any case)."""
-    return (try_int(c) == F.lit(ACTIVE_CODE)) | (F.upper(col(c)) == F.lit(ACTIVE_TEXT))
+    return ((try_int(c) if code is None else code) == F.lit(ACTIVE_CODE)) | (F.upper(col(c)) == F.lit(ACTIVE_TEXT))
 
 
 def is_head_office(c: Column | str) -> Column:

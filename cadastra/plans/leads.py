@@ -27,6 +27,7 @@ from ..functions.identity import cnpj_key
 from ..operators.joins import DEFAULT_SKEW, SkewPolicy, fact_join, lookup_join
 from ..operators.ordering import order_nulls_last, top_k
 from ..sources.catalog import Catalog
+from ..sources.landing import CODE_COLUMNS
 
 
 def null_str():
@@ -85,18 +86,24 @@ def state_eq(est: DataFrame, uf: str) -> Column:
     return F.upper(F.col("uf")) == F.lit(uf.upper())
 
 
+def code_of(df: DataFrame, column: str) -> Column:
+    """The lenient integer of a code column; landed tables hold it, so that filters on it are pushed down."""
+    landed = {src: c for codes in CODE_COLUMNS.values() for c, src in codes.items()}.get(column)
+    return F.col(landed) if landed in df.columns else C.try_int(column)
+
+
 def site_predicates(f: LeadFilter, est: DataFrame) -> list[Column]:
     """Predicates that only read site columns (applied before any join)."""
     p: list[Column] = []
     if f.situacao:
-        p.append(C.code_in("situacao_cadastral", f.situacao))
+        p.append(C.code_in(code_of(est, "situacao_cadastral"), f.situacao))
     elif f.ativos:
-        p.append(C.code_eq("situacao_cadastral", C.ACTIVE_CODE))
+        p.append(C.code_eq(code_of(est, "situacao_cadastral"), C.ACTIVE_CODE))
     if f.uf:
         p.append(state_eq(est, f.uf))
     if f.municipio and f.municipio_is_code:
         # with the lookup the code must also exist there (inner semantics, enforced after the join)
-        p.append(C.code_eq("municipio", int(f.municipio)))
+        p.append(C.code_eq(code_of(est, "municipio"), int(f.municipio)))
     if f.cnae:
         p.append(C.division_eq("cnae_fiscal_principal", f.cnae))
     if f.cnae_principal:
@@ -128,13 +135,14 @@ def leads(cat: Catalog, f: LeadFilter | None = None, sort: bool = True,
         warnings.warn("municipality given by name without a municipality table: filter ignored")
         municipio = None
     f = LeadFilter(**{**f.__dict__, "municipio": municipio})
+    if f.opcao_sim and not has_sim:
+        warnings.warn("MEI filter given without a tax-regime table: filter ignored")
 
     est = _where(cat.est, site_predicates(f, cat.est))
-    emp_preds = [C.code_in("porte_empresa", f.porte)]
+    emp_preds = [C.code_in(code_of(cat.emp, "porte_empresa"), f.porte)]
     if f.natureza:
         emp_preds.append(F.col("natureza_juridica") == F.lit(f.natureza))
-    emp = _where(cat.emp.select("cnpj_basico", "razao_social", "porte_empresa", "natureza_juridica"),
-                 emp_preds)
+    emp = _where(cat.emp, emp_preds).select("cnpj_basico", "razao_social", "porte_empresa", "natureza_juridica")
 
     if has_mun and f.municipio:
         # a municipality filter reads the (broadcast) lookup: join it map-side first, so only
@@ -193,14 +201,14 @@ def health_leads(cat: Catalog, include_branches: bool = False, uf: str = "MG",
     site_preds = [
         state_eq(cat.est, uf),
         # the lookup's code equals the site's code whenever the two joined, so one test suffices
-        C.code_eq("municipio", municipio_code),
+        C.code_eq(code_of(cat.est, "municipio"), municipio_code),
         C.cnae_division("cnae_fiscal_principal") == F.lit(division),
     ]
     if not include_branches:
-        site_preds.append(C.is_head_office("identificador_matriz_filial"))
+        site_preds.append(C.is_head_office(code_of(cat.est, "identificador_matriz_filial")))
     est = _where(cat.est, site_preds)
-    emp = cat.emp.select("cnpj_basico", "razao_social", "porte_empresa").where(
-        C.code_in("porte_empresa", sizes))
+    emp = cat.emp.where(C.code_in(code_of(cat.emp, "porte_empresa"), sizes)).select(
+        "cnpj_basico", "razao_social", "porte_empresa")
     dims = [(emp, "inner")]
     if has_sim:
         # left join + filter after it: keeps companies without a tax-regime row, drops MEI ones

@@ -17,12 +17,12 @@ from ..functions.identity import cnpj_key
 from ..operators.aggregates import status_breakdown
 from ..operators.joins import DEFAULT_SKEW, SkewPolicy, fact_join, lookup_join
 from ..sources.catalog import Catalog
-from .leads import state_eq
+from .leads import code_of, state_eq
 
 
 def mei_active_leads(cat: Catalog, uf: str = "MG", skew: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
     cat.require("estabelecimentos", "empresas", "simples", "municipios")
-    est = cat.est.where(state_eq(cat.est, uf) & C.is_active("situacao_cadastral"))
+    est = cat.est.where(state_eq(cat.est, uf) & C.is_active("situacao_cadastral", code_of(cat.est, "situacao_cadastral")))
     emp = cat.emp.select("cnpj_basico", "razao_social")
     sim = cat.sim.select("cnpj_basico", "opcao_mei").where(C.is_yes("opcao_mei")).drop("opcao_mei")
     df = fact_join(est, [(emp, "inner"), (sim, "inner")], skew=skew,
@@ -53,9 +53,9 @@ def mei_active_leads(cat: Catalog, uf: str = "MG", skew: SkewPolicy = DEFAULT_SK
 def mei_inactive_sites(cat: Catalog, uf: str = "MG", include_branches: bool = False,
                        codes=C.INACTIVE_CODES, skew: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
     cat.require("estabelecimentos", "simples")
-    preds = state_eq(cat.est, uf) & C.code_in("situacao_cadastral", codes)
+    preds = state_eq(cat.est, uf) & C.code_in(code_of(cat.est, "situacao_cadastral"), codes)
     if not include_branches:
-        preds = preds & C.is_head_office("identificador_matriz_filial")
+        preds = preds & C.is_head_office(code_of(cat.est, "identificador_matriz_filial"))
     est = cat.est.where(preds).select("cnpj_basico", "cnpj_ordem", "cnpj_dv", "situacao_cadastral", "uf",
                                       "identificador_matriz_filial")
     sim = cat.sim.select("cnpj_basico", "opcao_mei").where(C.is_yes("opcao_mei")).drop("opcao_mei")

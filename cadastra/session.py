@@ -2,13 +2,16 @@
 
 On a cluster the session comes from the platform; this module only reads its settings. Scratch
 data (round trips, landed files, stream checkpoints) goes under ``spark.checkpoint.dir``, the
-shared folder the cluster names; a private folder is created only when that setting is absent,
-as in local tests.
+shared folder the cluster names. Where that setting is absent, a session on ``local[...]`` gets a
+private folder, removed when the process ends; any other session is refused, because a folder of
+the driver's machine is invisible to its executors.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -50,25 +53,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-_private_root: dict[int, str] = {}
+_private_root: list[str] = []
+
+
+def _local_folder() -> str:
+    """A folder of this process, for local sessions without a configured one."""
+    if not _private_root:
+        _private_root.append(tempfile.mkdtemp(prefix="cadastra-ckpt-"))
+        atexit.register(shutil.rmtree, _private_root[0], ignore_errors=True)
+    return _private_root[0]
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private one only when none is configured."""
+    """The cluster's shared checkpoint folder; on ``local[...]`` a private one when none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    try:
-        sc = spark.sparkContext
-    except Exception:  # sessions without a local SparkContext (Spark Connect): no shared folder set
-        sc = None
-    if sc is not None:
-        root = sc.getCheckpointDir()
-        if not root:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="cadastra-ckpt-"))
-            root = sc.getCheckpointDir()
-        return root.rstrip("/")
-    return _private_root.setdefault(id(spark), tempfile.mkdtemp(prefix="cadastra-ckpt-"))
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local_folder()
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 import uuid
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -134,19 +135,31 @@ class Catalog:
 
 
 def scan_parts(spark: SparkSession, parquet_dir: str, base: str) -> DataFrame | None:
-    """All Parquet parts of ``base`` as one table, or ``None`` when no part exists."""
+    """All Parquet parts of ``base`` as one table, or ``None`` when no part exists.
+
+    Only a missing path counts as absent: an empty or damaged part is an error, because a plan that
+    runs without the table would answer another question."""
     pattern = f"{parquet_dir.rstrip('/')}/{PART_PREFIX[base]}*.parquet"
     try:
         # mergeSchema: parts written at different times may differ in column order; match by name.
         return spark.read.option("mergeSchema", "true").parquet(pattern)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+OPTIONAL_EFFECTS = {"simples": "tax-regime columns are blank and the MEI filter cannot be applied",
+                    "cnaes": "activity names are missing"}
 
 
 def load_catalog(spark: SparkSession, parquet_dir: str, bases: Iterable[str] | None = None,
                  required: Iterable[str] = ("empresas", "estabelecimentos")) -> Catalog:
     cat = Catalog({b: scan_parts(spark, parquet_dir, b) for b in (bases or PART_PREFIX)})
     cat.require(*required)
+    for base, effect in OPTIONAL_EFFECTS.items():
+        if base in cat.tables and not cat.has(base):
+            warnings.warn(f"no table for {base}: {effect}")
     return cat
 
 

@@ -9,15 +9,18 @@ Landed layout (under the cluster's shared ``spark.checkpoint.dir`` unless a root
 
 The folder is an ordinary catalog folder: :func:`~cadastra.sources.catalog.load_catalog` and the
 command line read it directly. :func:`curate` writes this layout from any catalog (for example
-the output of ``sources.ingest``); :func:`landed_registry` writes it from the driver tables.
+the output of ``sources.ingest``) into a new folder; :func:`landed_registry` writes it from the driver
+tables, under a name that follows from the files it read, so changed tables are landed anew.
 
 * Sites carry ``uf_norm = upper(uf)`` as a partition column, so a state filter prunes whole
-  directories instead of reading every file (``upper(uf)`` itself cannot be pushed to Parquet).
-  Before writing they are hash-partitioned on (state, hash of the full site key modulo
-  ``SITE_BUCKETS``): each task then writes a few large files instead of one small file per state,
-  and a state (or a company) holding a third of all sites is still spread over many tasks.
-* Every base is sorted by ``cnpj_basico`` inside its files, so Parquet row-group statistics let
-  key equality filters (lookups of one company, semi joins against few keys) skip row groups.
+  directories instead of reading every file (``upper(uf)`` itself cannot be pushed to Parquet), and
+  the lenient integer codes that the lists filter on (:data:`CODE_COLUMNS`), so those filters reach
+  the Parquet scan too.
+* Before writing, sites are hash-partitioned on (state, hash of the whole row modulo the state's
+  bucket count): a state gets one bucket per ``SITE_ROWS`` rows, measured, so a state or a company
+  that holds a third of all sites is spread over as many tasks as its size asks for.
+* Every file is sorted by (state and) ``cnpj_basico``, so Parquet row-group statistics let key filters
+  (lookups of one company, joins against few keys) skip row groups.
 * A base is written once; a ``_SUCCESS`` marker tells later jobs it is complete, so a lost
   executor or a rerun never reads a half-written table. Reading back starts a fresh lineage.
 """
@@ -30,18 +33,24 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField
+from pyspark.sql.types import IntegerType, StringType, StructField
 
+from ..functions.codes import try_int
+from ..operators.joins import is_small
 from ..session import checkpoint_root
 from .catalog import PART_PREFIX, Catalog
-from .registry import registry_view
+from .registry import VIEWS, registry_view
 from .schema import schema_of
 
 PARTITION_COLUMN = {"estabelecimentos": "uf_norm"}
-SITE_BUCKETS = 16        # hash buckets per state when landing sites
+SITE_ROWS = 4_000_000    # site rows per file (about 256 MB of Parquet)
 CLUSTER_KEY = "cnpj_basico"
 PARTITION_SOURCE = {"uf_norm": F.upper}
-LAYOUT_VERSION = 3       # bump when the landed layout changes: older landings are not reused
+# Lenient integer forms of code columns, written beside them (null where the text is no integer).
+CODE_COLUMNS = {"estabelecimentos": {"situacao_int": "situacao_cadastral", "matriz_int": "identificador_matriz_filial",
+                                     "municipio_int": "municipio", "cnae_int": "cnae_fiscal_principal"},
+                "empresas": {"porte_int": "porte_empresa"}}
+LAYOUT_VERSION = 4       # bump when the landed layout changes: older landings are not reused
 DEFAULT_BASES = ("empresas", "estabelecimentos", "simples", "municipios", "cnaes", "socios")
 
 _catalogs: dict[tuple[str, str, str], Catalog] = {}
@@ -63,16 +72,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
-def write_base(df: DataFrame, path: str, base: str) -> None:
-    w = df
+def derived_columns(base: str) -> list[str]:
+    """Columns that landing adds to a base."""
+    return [*CODE_COLUMNS.get(base, {}), *([PARTITION_COLUMN[base]] if base in PARTITION_COLUMN else [])]
+
+
+def write_base(df: DataFrame, path: str, base: str, rows_per_file: int = SITE_ROWS) -> None:
     part = PARTITION_COLUMN.get(base)
+    own = df.columns
+    w = df.withColumns({c: try_int(src) for c, src in CODE_COLUMNS.get(base, {}).items() if src in own})
+    order = [CLUSTER_KEY] if CLUSTER_KEY in own else []
     if part:
-        src = part.removesuffix("_norm")
-        w = df.withColumn(part, PARTITION_SOURCE[part](F.col(src)))
-        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SITE_BUCKETS))
-        w = w.repartition(F.col(part), bucket)
-    if CLUSTER_KEY in df.columns:
-        w = w.sortWithinPartitions(CLUSTER_KEY)
+        w = w.withColumn(part, PARTITION_SOURCE[part](F.col(part.removesuffix("_norm"))))
+        # one row per state: buckets by its measured size
+        buckets = (w.groupBy(F.col(part).alias("_state"))
+                   .agg(F.ceil(F.count("*") / F.lit(rows_per_file)).cast("long").alias("_buckets")))
+        w = w.join(F.broadcast(buckets) if is_small(buckets) else buckets, F.col(part).eqNullSafe(F.col("_state")))
+        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in own]), F.col("_buckets"))
+        w = w.repartition(F.col(part), bucket).drop("_state", "_buckets")
+        order = [part, *order]  # the partitioned writer keeps this order: it only asks for the state first
+    if order:
+        w = w.sortWithinPartitions(*order)
     writer = w.write.mode("overwrite").option("compression", "zstd")
     if part:
         writer = writer.partitionBy(part)
@@ -81,6 +101,9 @@ def write_base(df: DataFrame, path: str, base: str) -> None:
 
 def read_base(spark: SparkSession, path: str, base: str, columns) -> DataFrame:
     schema = schema_of(base, columns)
+    for c, src in CODE_COLUMNS.get(base, {}).items():
+        if src in columns:
+            schema = schema.add(StructField(c, IntegerType(), True))
     part = PARTITION_COLUMN.get(base)
     if part:
         schema = schema.add(StructField(part, StringType(), True))
@@ -88,7 +111,8 @@ def read_base(spark: SparkSession, path: str, base: str, columns) -> DataFrame:
 
 
 def publish(spark: SparkSession, tmp: str, path: str) -> None:
-    """Move a finished folder into place; if another session published first, keep theirs."""
+    """Move a finished folder into place. If another session finished the same folder first, theirs
+    is kept; an unfinished folder (no ``_SUCCESS``) is replaced."""
     try:
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -97,7 +121,12 @@ def publish(spark: SparkSession, tmp: str, path: str) -> None:
     Path = jvm.org.apache.hadoop.fs.Path
     src, dst = Path(tmp), Path(path)
     fs = dst.getFileSystem(conf)
+    done = Path(dst, "_SUCCESS")
+    if fs.exists(dst) and not fs.exists(done):
+        fs.delete(dst, True)
     if fs.exists(dst) or not fs.rename(src, dst):
+        if not fs.exists(done):
+            raise OSError(f"cannot publish {tmp} as {path}")
         fs.delete(src, True)              # a concurrent landing won: drop our own copy
     else:
         # renaming onto a folder created in the meantime moves ours inside it: undo that
@@ -126,22 +155,36 @@ def land(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> Catalo
         if df is None:
             continue
         path = f"{root}/{PART_PREFIX[base]}.parquet"
-        _write_once(spark, df.drop(*[c for c in PARTITION_COLUMN.values() if c in df.columns]), path, base)
-        cols = [c for c in df.columns if c not in PARTITION_COLUMN.values()]
-        out[base] = read_base(spark, path, base, cols)
+        added = derived_columns(base)
+        plain = df.drop(*added)
+        _write_once(spark, plain, path, base)
+        out[base] = read_base(spark, path, base, plain.columns)
     return Catalog(out, stats_root=f"{root}/_stats")
 
 
 def curate(spark: SparkSession, cat: Catalog, root: str) -> Catalog:
-    """Write every base of ``cat`` in the curated layout under ``root`` (once) and return the
-    catalog of the written tables."""
+    """Write every base of ``cat`` in the curated layout under the new folder ``root`` and return the
+    catalog of the written tables. A folder that already holds one of them is refused: its rows may
+    be older than the catalog's."""
+    taken = [b for b, df in cat.tables.items() if df is not None and path_exists(spark, f"{root}/{PART_PREFIX[b]}.parquet")]
+    if taken:
+        raise FileExistsError(f"{root} already holds {', '.join(taken)}: give a new folder")
     return land(spark, dict(cat.tables), root)
 
 
+def source_version(spark: SparkSession, sf_dir: str, bases) -> str:
+    """A tag of the files that the bases are read from: paths, lengths and times of change."""
+    tables = sorted({VIEWS[b].source for b in bases})
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]).select("path", "length", "modificationTime"))
+    row = files.agg(F.count("*"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    return hashlib.sha1(f"{sf_dir.rstrip('/')} {tuple(row)}".encode()).hexdigest()[:12]
+
+
 def landed_registry(spark: SparkSession, sf_dir: str, bases=DEFAULT_BASES, root: str | None = None) -> Catalog:
-    """Registry bases derived from the driver tables in ``sf_dir``, landed once per folder."""
-    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    root = root or f"{checkpoint_root(spark)}/cadastra-registry/v{LAYOUT_VERSION}-{tag}"
+    """Registry bases derived from the driver tables in ``sf_dir``, landed once per state of those files."""
+    tag = source_version(spark, sf_dir, bases)
+    root = f"{root or checkpoint_root(spark) + '/cadastra-registry'}/v{LAYOUT_VERSION}-{tag}"
     key = (spark.sparkContext.applicationId, root, ",".join(bases))
     with _lock:  # queries started from several threads land each base once
         cat = _catalogs.get(key)

@@ -18,17 +18,15 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class ViewSpec:
-    source: str                      # driver table
+    source: str                      # driver table, read whole
     columns: tuple[tuple[str, str], ...]  # (alias, SQL expression)
-    where: str | None = None
 
     def select_exprs(self) -> list[str]:
         return [f"{expr} AS {alias}" for alias, expr in self.columns]
 
     def sql(self) -> str:
         body = ",\n  ".join(self.select_exprs())
-        tail = f"\nWHERE {self.where}" if self.where else ""
-        return f"SELECT\n  {body}\nFROM {self.source}{tail}"
+        return f"SELECT\n  {body}\nFROM {self.source}"
 
 
 _KEY8 = "lpad(CAST(c_custkey AS STRING),8,'0')"
@@ -61,6 +59,11 @@ VIEWS: dict[str, ViewSpec] = {
          "CASE WHEN o_orderkey % 7 = 0 THEN '01' WHEN o_orderkey % 7 = 1 THEN '2' WHEN o_orderkey % 7 = 2 THEN '02'"
          " WHEN o_orderkey % 7 = 3 THEN '03' WHEN o_orderkey % 7 = 4 THEN '04' WHEN o_orderkey % 7 = 5 THEN '08'"
          " ELSE 'ativa' END"),
+        ("data_situacao_cadastral",
+         "CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + 1 AS STRING)"),
+        ("motivo_situacao_cadastral", "lpad(CAST(o_orderkey % 60 AS STRING),2,'0')"),
+        ("nome_cidade_exterior", "CASE WHEN o_orderkey % 101 = 0 THEN 'LISBOA' ELSE CAST(NULL AS STRING) END"),
+        ("pais", "CASE WHEN o_orderkey % 101 = 0 THEN '607' ELSE CAST(NULL AS STRING) END"),
         ("data_inicio_atividade",
          "CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS STRING)"),
         ("cnae_fiscal_principal",
@@ -88,9 +91,12 @@ VIEWS: dict[str, ViewSpec] = {
         ("ddd_fax", "CAST(NULL AS STRING)"),
         ("fax", "CAST(NULL AS STRING)"),
         ("correio_eletronico", "'c' || CAST(o_custkey AS STRING) || '@example.com'"),
+        ("situacao_especial", "CASE WHEN o_orderkey % 211 = 0 THEN 'FALIDO' ELSE CAST(NULL AS STRING) END"),
+        ("data_situacao_especial", "CASE WHEN o_orderkey % 211 = 0 THEN '20200101' ELSE CAST(NULL AS STRING) END"),
     )),
     "simples": ViewSpec("customer", (
-        ("cnpj_basico", _KEY8),
+        # every eighth row belongs to a company that is in no other table: that many companies have no row
+        ("cnpj_basico", f"CASE WHEN c_custkey % 8 = 7 THEN CAST(c_custkey + 50000000 AS STRING) ELSE {_KEY8} END"),
         ("opcao_simples",
          "CASE WHEN c_custkey % 5 = 0 THEN CAST(NULL AS STRING) WHEN c_custkey % 2 = 0 THEN 'S' ELSE 'N' END"),
         ("data_opcao_simples", "'20070701'"),
@@ -100,17 +106,19 @@ VIEWS: dict[str, ViewSpec] = {
          " WHEN c_custkey % 5 = 3 THEN 'S' ELSE 'N' END"),
         ("data_opcao_mei", "'20090701'"),
         ("data_exclusao_mei", "'00000000'"),
-    ), where="c_custkey % 8 <> 7"),
+    )),
     "municipios": ViewSpec("nation", (
         ("codigo", "CAST(5400 + n_nationkey AS STRING)"),
         ("descricao", "CASE WHEN n_nationkey = 3 THEN 'UBERLANDIA' ELSE n_name END"),
     )),
     "cnaes": ViewSpec("part", (
-        ("codigo", "lpad(CAST(p_partkey * 45000 AS STRING),7,'0')"),
+        # one code per part: seven digits, more where the number needs them
+        ("codigo", "CASE WHEN p_partkey < 223 THEN lpad(CAST(p_partkey * 45000 AS STRING),7,'0')"
+                   " ELSE CAST(p_partkey * 45000 AS STRING) END"),
         ("descricao",
          "CASE WHEN p_partkey % 3 = 0 THEN 'Clínica ' || p_name WHEN p_partkey % 3 = 2 THEN 'Clinica ' || p_name"
          " ELSE p_name END"),
-    ), where="p_partkey <= 200"),
+    )),
     "socios": ViewSpec("supplier", (
         ("cnpj_basico", "lpad(CAST(s_suppkey AS STRING),8,'0')"),
         ("identificador_socio", "CASE WHEN s_suppkey % 2 = 0 THEN '2' ELSE '1' END"),
@@ -126,13 +134,6 @@ VIEWS: dict[str, ViewSpec] = {
     )),
 }
 
-# The six site columns no query reads; the view leaves them out (added as NULL for ingest tests).
-OMITTED_SITE_COLUMNS = (
-    "data_situacao_cadastral", "motivo_situacao_cadastral", "nome_cidade_exterior", "pais",
-    "situacao_especial", "data_situacao_especial",
-)
-
-
 def _utc_wall_clock(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Timestamps read as session-zone instants become their UTC wall-clock time (NTZ), so date
     parts do not depend on the session time zone (they already are NTZ by default)."""
@@ -146,8 +147,6 @@ def registry_view(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     """One registry base as a DataFrame over the driver's Parquet table."""
     spec = VIEWS[base]
     df = _utc_wall_clock(spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/{spec.source}.parquet"))
-    if spec.where:
-        df = df.where(spec.where)
     return df.selectExpr(*spec.select_exprs())
 
 
