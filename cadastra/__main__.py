@@ -38,9 +38,9 @@ def _catalog(spark, parquet_dir, required=("empresas", "estabelecimentos")):
     return load_catalog(spark, parquet_dir, required=required)
 
 
-def _export(df, out: str, single_file: bool, bom: bool = True) -> int:
+def _export(df, out: str, single_file: bool, bom: bool = True, sort_by=None) -> int:
     from .sources.export import export_csv
-    return export_csv(df, out, bom=bom, single_file=single_file)
+    return export_csv(df, out, bom=bom, single_file=single_file, sort_by=sort_by)
 
 
 def cmd_leads(a) -> None:
@@ -86,12 +86,15 @@ def cmd_report(a) -> None:
     spark = _session()
     cat = _catalog(spark, a.parquet_dir)
     req = spark.createDataFrame([(c,) for c in a.cnpj], "cnpj_input string")
+    report = R.cnpj_report(cat, req)
     keys = R.requested_keys(req)
-    parts = {"report": R.cnpj_report(cat, req), "sites": R.sites_of(cat, keys)}
+    parts = {"report": (report, ["cnpj"]), "sites": (R.sites_of(cat, keys, sort=False), ["tipo", "data_inicio_atividade", "cnpj"])}
     if cat.has("socios"):
-        parts["partners"] = R.partners_of(cat, keys)
-    for name, df in parts.items():
-        print(f"{name}: {_export(df, f'{a.out}/{name}', True)} rows")
+        parts["partners"] = (R.partners_of(cat, keys, sort=False), ["nome_socio_ou_razao_social", "cnpj_basico", "cnpj_cpf_socio"])
+    for name, (df, order) in parts.items():  # the report of a few requests is small: one sorted file each
+        print(f"{name}: {_export(df, f'{a.out}/{name}', True, sort_by=order)} rows")
+    missed = report.where(F.col("status") != R.FOUND).select("cnpj", "status")
+    _report([(r["cnpj"], r["status"]) for r in missed.toLocalIterator()])
 
 
 def cmd_describe(a) -> None:
@@ -110,21 +113,32 @@ def cmd_describe(a) -> None:
 def _parquet_paths(spark, root: str) -> list[str]:
     from .sources.dumps import list_files
     files = list_files(spark, root, "*.parquet").select(F.regexp_extract("path", r"^(.*?\.parquet)(?:/.*)?$", 1))
-    return sorted({r[0] for r in files.collect()})  # dataset folders: file metadata only
+    return sorted(r[0] for r in files.distinct().collect())  # one row per dataset folder
+
+
+def _report(errors: list) -> None:
+    for *what, message in errors:
+        print(f"[ERROR] {' '.join(x or 'unknown' for x in what)}: {message}")
+    if errors:
+        raise SystemExit(1)
 
 
 def cmd_clean_names(a) -> None:
     from .sources.parquet_io import clean_dataset
     spark = _session()
-    for name, dst in clean_dataset(spark, _parquet_paths(spark, a.src), a.dst).items():
+    errors: list = []
+    for name, dst in clean_dataset(spark, _parquet_paths(spark, a.src), a.dst, a.src, errors).items():
         print(f"cleaned {name} -> {dst}")
+    _report(errors)
 
 
 def cmd_rename(a) -> None:
     from .sources.parquet_io import rename_dataset
     spark = _session()
-    for name, dst in rename_dataset(spark, _parquet_paths(spark, a.src), a.dst, a.include_e_e_s).items():
+    errors: list = []
+    for name, dst in rename_dataset(spark, _parquet_paths(spark, a.src), a.dst, a.include_e_e_s, a.src, errors).items():
         print(f"renamed {name} -> {dst}")
+    _report(errors)
 
 
 def cmd_ingest(a) -> None:
@@ -134,20 +148,23 @@ def cmd_ingest(a) -> None:
     from .sources.links import select_sources
     spark = _session()
     t0 = time.time()
-    zips = list_files(spark, a.src, "*.zip").select(F.col("path").alias("link"))
-    src = a.src
-    if zips.limit(1).count():
-        chosen = select_sources(zips, a.filter or None, a.limit).withColumnRenamed("link", "path")
-        landed = ZIP.extract_members(chosen, f"{a.work_dir}/csv")
-        landed.write.mode("append").parquet(f"{a.work_dir}/_extracted")  # runs the extraction
-        src = f"{a.work_dir}/csv"
     errors: list = []
-    written = ingest_directory(spark, src, a.out_dir, errors=errors)
+    written = {}
+    zips = list_files(spark, a.src, "*.zip").select(F.col("path").alias("link"))
+    chosen = select_sources(zips, a.filter or None, a.limit).withColumnRenamed("link", "path")
+    n = chosen.count()
+    if n:  # the selection is sorted into few partitions: deal it out, one archive per task
+        landed = ZIP.extract_members(chosen.repartition(n), f"{a.work_dir}/csv")
+        landed.write.mode("overwrite").parquet(f"{a.work_dir}/_extracted")  # runs the extraction
+        failed = spark.read.parquet(f"{a.work_dir}/_extracted").where("failure IS NOT NULL")
+        errors += [("archive", r["archive"], r["failure"]) for r in failed.toLocalIterator()]
+        written |= ingest_directory(spark, f"{a.work_dir}/csv", a.out_dir, errors=errors)
+    # plain dumps beside the archives
+    written |= ingest_directory(spark, a.src, a.out_dir, errors=errors, skip=".zip")
     for base, path in written.items():
         print(f"[OK] {base or 'unknown'} -> {path}")
-    for base, paths, msg in errors:
-        print(f"[ERROR] {base or 'unknown'} ({len(paths)} files): {msg}")
     print(f"done in {time.time() - t0:.1f}s")
+    _report(errors)
 
 
 def cmd_curate(a) -> None:

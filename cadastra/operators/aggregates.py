@@ -13,11 +13,6 @@ from pyspark.sql import functions as F
 from ..functions import codes as C
 
 
-def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
-    """One row with the row count of ``df``."""
-    return df.agg(F.count(F.lit(1)).alias(name))
-
-
 def rows_and_distinct(df: DataFrame, key: Column, rows: str = "registros",
                       distinct: str = "cnpjs_distintos") -> DataFrame:
     """One row: the number of rows and of distinct non-NULL ``key`` values."""

@@ -1,16 +1,18 @@
 """Per-CNPJ report, for a DataFrame of requested CNPJs instead of one key at a time.
 
 A request is any text holding a CNPJ (punctuation allowed). It is reduced to digits, checked
-(14 digits required; a wrong check digit only flags the row), split into its three parts and
-joined once per table:
-
-* :func:`cnpj_report`      – one row per requested key and company row: company data + tax regime
-* :func:`companies_of`     – distinct company rows that own a requested site
-* :func:`simples_status`   – the tax-regime row of each requested company (first row by a stated order)
-* :func:`sites_of`         – the requested sites with labels and printable address/contact lines
-* :func:`partners_of`      – partners of the requested companies
-
-Every part stays a flat DataFrame: a company with very many sites or partners is spread over
+(14 digits required; a wrong check digit only flags the row) and split into its three parts. It is
+*found* when a site has that key and the site's company has a row; only found keys have a report:
+
+* :func:`cnpj_report`      – one row per request and company row: status, company data, tax regime
+* :func:`companies_of`     – distinct company rows that own a found site
+* :func:`simples_status`   – the tax-regime row of each found company (first row by a stated order)
+* :func:`sites_of`         – the found sites with labels and printable address/contact lines
+* :func:`partners_of`      – partners of the found companies
+
+Requests are few beside the tables: a set of keys that a count proves small is broadcast, so the site
+table is scanned, not shuffled, and a handful of keys also becomes an IN list that Parquet statistics
+answer. Every part stays a flat DataFrame: a company with very many sites or partners is spread over
 the normal shuffle instead of being gathered into one nested row.
 """
 
@@ -21,11 +23,12 @@ from pyspark.sql import functions as F
 
 from ..functions import codes as C
 from ..functions.identity import cnpj_key, cnpj_mask, cnpj_split, digits_are_valid_cnpj, only_digits
-from ..operators.joins import lookup_join
+from ..operators.joins import is_small, lookup_join
 from ..operators.ordering import order_nulls_last
 from ..sources.catalog import Catalog
 
 KEY3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
+COMPANY_FIELDS = ["razao_social", "natureza_juridica", "porte_empresa", "capital_social_empresa"]
 SIMPLES_FIELDS = ["opcao_simples", "data_opcao_simples", "data_exclusao_simples",
                   "opcao_mei", "data_opcao_mei", "data_exclusao_mei"]
 
@@ -51,11 +54,39 @@ def requested_keys(req: DataFrame, col: str = "cnpj_input", distinct: bool = Tru
     return n.distinct() if distinct else n
 
 
+#: keys up to which a filter lists them, and rows up to which they are broadcast
+LISTED_KEYS, BROADCAST_KEYS = 500, 1_000_000
+
+
+def few_keys(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list | None]:
+    """The distinct keys of ``df``, marked for broadcast when a count proves them few, and the values of
+    the first column when they are a handful. De-duplicated map-side, so a key requested very often
+    cannot skew the join."""
+    keys = df.select(*columns).distinct()
+    handful = [r[0] for r in keys.limit(LISTED_KEYS + 1).collect()]
+    if len(handful) <= LISTED_KEYS:
+        return F.broadcast(keys), sorted({k for k in handful if k is not None})
+    return (F.broadcast(keys) if is_small(keys, BROADCAST_KEYS) else keys), None
+
+
+def rows_of_keys(table: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of ``table`` whose ``columns`` equal a row of ``keys`` (equalities on bare columns)."""
+    few, listed = few_keys(keys, columns)
+    if listed is not None:
+        table = table.where(F.col(columns[0]).isin(listed))
+    return table.join(few, columns, "left_semi")
+
+
 def matched_sites(cat: Catalog, keys: DataFrame) -> DataFrame:
-    """Sites whose three key parts equal a requested key (equalities on bare columns). The
-    requested keys are de-duplicated first (map-side), so a key requested very often cannot
-    skew the semi join; the distinct and the join share one hash partitioning."""
-    return cat.est.join(keys.select(*KEY3).distinct(), KEY3, "left_semi")
+    """Sites whose three key parts equal a requested key."""
+    return rows_of_keys(cat.est, keys, KEY3)
+
+
+def found_sites(cat: Catalog, keys: DataFrame) -> DataFrame:
+    """Matched sites whose company has a row: the rest of a report follows from these alone."""
+    sites = matched_sites(cat, keys)
+    known = company_keys(rows_of_keys(cat.emp.select("cnpj_basico"), company_keys(sites), ["cnpj_basico"]))
+    return sites.join(known, "cnpj_basico", "left_semi")
 
 
 def company_keys(df: DataFrame) -> DataFrame:
@@ -66,10 +97,8 @@ def company_keys(df: DataFrame) -> DataFrame:
 
 
 def companies_of(cat: Catalog, keys: DataFrame) -> DataFrame:
-    sites = company_keys(matched_sites(cat, keys))
-    emp = cat.emp.select("cnpj_basico", "razao_social", "natureza_juridica", "porte_empresa",
-                         "capital_social_empresa")
-    return emp.join(sites, "cnpj_basico", "left_semi").distinct()
+    emp = cat.emp.select("cnpj_basico", *COMPANY_FIELDS)
+    return rows_of_keys(emp, matched_sites(cat, keys), ["cnpj_basico"]).distinct()
 
 
 def _first_row_order(cols: list[str]) -> Column:
@@ -78,11 +107,15 @@ def _first_row_order(cols: list[str]) -> Column:
 
 
 def simples_status(cat: Catalog, keys: DataFrame) -> DataFrame:
-    """One tax-regime row per requested company, flags defaulting to ``'N'``.
+    """One tax-regime row per found company, flags defaulting to ``'N'``.
     With several rows for a company the first in (fields ascending, NULLs last) order is used;
     picking it is an aggregate, so it is combined map-side before the shuffle."""
     cat.require("simples")
-    sim = cat.sim.join(company_keys(keys), "cnpj_basico", "left_semi")
+    return _regime(cat, found_sites(cat, keys))
+
+
+def _regime(cat: Catalog, sites: DataFrame) -> DataFrame:
+    sim = rows_of_keys(cat.sim, sites, ["cnpj_basico"])
     first = (sim.groupBy("cnpj_basico")
              .agg(F.min_by(F.struct(*SIMPLES_FIELDS), _first_row_order(SIMPLES_FIELDS)).alias("s")))
     return first.select(
@@ -96,25 +129,32 @@ def simples_status(cat: Catalog, keys: DataFrame) -> DataFrame:
     )
 
 
+FOUND, NOT_FOUND, MALFORMED = "found", "not found", "malformed"
+
+
 def cnpj_report(cat: Catalog, req: DataFrame, col: str = "cnpj_input") -> DataFrame:
-    keys = requested_keys(req, col)
-    # requested keys that exist as sites: one semi join on the three bare key columns
-    found = keys.join(cat.est.select(*KEY3).distinct(), KEY3, "left_semi")
-    emp = cat.emp.select("cnpj_basico", "razao_social", "natureza_juridica", "porte_empresa",
-                         "capital_social_empresa")
-    # DISTINCT company rows per key (the join multiplies only by duplicate company rows)
-    out = found.join(emp, "cnpj_basico", "inner").distinct()
+    """One row per distinct request: ``status`` says whether it was found (then with the company's data,
+    one row per distinct company row), is in no site table, or is no CNPJ (``cnpj`` is then the
+    request as given)."""
+    requests = normalize_requests(req, col)
+    keys = requests.where("tamanho_ok").select(*KEY3, "dv_valido").distinct()
+    sites = found_sites(cat, keys)
+    companies = rows_of_keys(cat.emp.select("cnpj_basico", *COMPANY_FIELDS), sites, ["cnpj_basico"]).distinct()
     if cat.has("simples"):
-        out = out.join(simples_status(cat, found), "cnpj_basico", "left")
+        companies = companies.join(_regime(cat, sites), "cnpj_basico", "left")
         flags = [C.flag("opcao_simples").alias("opcao_simples"), C.flag("opcao_mei").alias("opcao_mei")]
+        dates = [F.col(c) for c in SIMPLES_FIELDS if c.startswith("data_")]
     else:
-        flags = [F.lit(None).cast("string").alias("opcao_simples"),
-                 F.lit(None).cast("string").alias("opcao_mei")]
-    return out.select(
-        cnpj_mask("cnpj_basico", "cnpj_ordem", "cnpj_dv").alias("cnpj"),
-        "dv_valido", "razao_social", "natureza_juridica", "porte_empresa", "capital_social_empresa",
-        *flags,
-    )
+        flags = [F.lit(None).cast("string").alias(c) for c in SIMPLES_FIELDS if c.startswith("opcao_")]
+        dates = [F.lit(None).cast("string").alias(c) for c in SIMPLES_FIELDS if c.startswith("data_")]
+    shown = cnpj_mask("cnpj_basico", "cnpj_ordem", "cnpj_dv").alias("cnpj")
+    found_keys = sites.select(*KEY3).distinct()
+    found = (keys.join(found_keys, KEY3, "left_semi").join(companies, "cnpj_basico")
+             .select(shown, F.lit(FOUND).alias("status"), "dv_valido", *COMPANY_FIELDS, *flags, *dates))
+    absent = keys.join(found_keys, KEY3, "left_anti").select(shown, F.lit(NOT_FOUND).alias("status"), "dv_valido")
+    bad = (requests.where("NOT coalesce(tamanho_ok, false)").select(F.col(col).alias("cnpj")).distinct()
+           .select("cnpj", F.lit(MALFORMED).alias("status"), F.lit(False).alias("dv_valido")))
+    return found.unionByName(absent.unionByName(bad), allowMissingColumns=True)
 
 
 def _or_blank(c: str) -> Column:
@@ -122,7 +162,7 @@ def _or_blank(c: str) -> Column:
 
 
 def sites_of(cat: Catalog, keys: DataFrame, sort: bool = True) -> DataFrame:
-    sites = matched_sites(cat, keys)
+    sites = found_sites(cat, keys)
     has_mun = cat.has("municipios")
     if has_mun:
         sites = lookup_join(sites, cat.mun, "municipio", "left", prefix="mun")
@@ -155,7 +195,7 @@ def _py_text(c: str) -> Column:
 
 def partners_of(cat: Catalog, keys: DataFrame, sort: bool = True) -> DataFrame:
     cat.require("socios")
-    soc = cat.soc.join(company_keys(keys), "cnpj_basico", "left_semi")
+    soc = rows_of_keys(cat.soc, found_sites(cat, keys), ["cnpj_basico"])
     out = soc.select(
         "cnpj_basico", "identificador_socio", "nome_socio_ou_razao_social", "cnpj_cpf_socio",
         "qualificacao_socio", "data_entrada_sociedade", "pais", "faixa_etaria",

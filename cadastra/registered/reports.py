@@ -8,8 +8,9 @@ from ._registry import register
 from ..functions import codes as C
 from ..functions.identity import DV1_WEIGHTS, DV2_WEIGHTS, cnpj_key
 from ..functions.text import clean_name, clean_name_sql, slug, slug_sql
-from ..operators.joins import DEFAULT_SKEW, fact_join, lookup_join
+from ..operators.joins import DEFAULT_SKEW, SkewPolicy, fact_join, lookup_join
 from ..plans import report as R
+from ..sources.catalog import Catalog
 from .common import _cat, _registry_cols
 
 
@@ -47,6 +48,7 @@ matched AS (
   WHERE EXISTS (SELECT 1 FROM keys k WHERE k.cnpj_basico = e.cnpj_basico AND k.cnpj_ordem = e.cnpj_ordem
                 AND k.cnpj_dv = e.cnpj_dv)
 ),
+found AS (SELECT * FROM matched WHERE cnpj_basico IN (SELECT cnpj_basico FROM empresas)),
 comp AS (
   SELECT DISTINCT cnpj_basico, razao_social, natureza_juridica, porte_empresa, capital_social_empresa
   FROM empresas WHERE cnpj_basico IN (SELECT cnpj_basico FROM matched)
@@ -56,7 +58,7 @@ sim1 AS (
     SELECT s.*, row_number() OVER (PARTITION BY cnpj_basico ORDER BY opcao_simples NULLS LAST,
       data_opcao_simples NULLS LAST, data_exclusao_simples NULLS LAST, opcao_mei NULLS LAST,
       data_opcao_mei NULLS LAST, data_exclusao_mei NULLS LAST) AS rn
-    FROM simples s WHERE cnpj_basico IN (SELECT cnpj_basico FROM keys)) WHERE rn = 1
+    FROM simples s WHERE cnpj_basico IN (SELECT cnpj_basico FROM found)) WHERE rn = 1
 )
 """
 
@@ -104,19 +106,45 @@ def q_simples_status(spark, sf_dir):
 
 
 @register("cnpj_report", REQUEST_CTES + """
-SELECT k.cnpj_basico || '.' || k.cnpj_ordem || '/' || k.cnpj_dv AS cnpj, k.dv_valido,
+SELECT k.cnpj_basico || '.' || k.cnpj_ordem || '/' || k.cnpj_dv AS cnpj, 'found' AS status, k.dv_valido,
        c.razao_social, c.natureza_juridica, c.porte_empresa, c.capital_social_empresa,
-       COALESCE(s.opcao_simples, 'N') AS opcao_simples, COALESCE(s.opcao_mei, 'N') AS opcao_mei
+       COALESCE(s.opcao_simples, 'N') AS opcao_simples, COALESCE(s.opcao_mei, 'N') AS opcao_mei,
+       s.data_opcao_simples, s.data_exclusao_simples, s.data_opcao_mei, s.data_exclusao_mei
 FROM keys k
+JOIN (SELECT DISTINCT cnpj_basico, cnpj_ordem, cnpj_dv FROM found) f USING (cnpj_basico, cnpj_ordem, cnpj_dv)
 JOIN comp c ON c.cnpj_basico = k.cnpj_basico
 LEFT JOIN sim1 s ON s.cnpj_basico = k.cnpj_basico
-WHERE EXISTS (SELECT 1 FROM matched m WHERE m.cnpj_basico = k.cnpj_basico AND m.cnpj_ordem = k.cnpj_ordem
-              AND m.cnpj_dv = k.cnpj_dv)""")
+UNION ALL
+SELECT k.cnpj_basico || '.' || k.cnpj_ordem || '/' || k.cnpj_dv, 'not found', k.dv_valido,
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM keys k WHERE (k.cnpj_basico, k.cnpj_ordem, k.cnpj_dv) NOT IN (SELECT (cnpj_basico, cnpj_ordem, cnpj_dv) FROM found)
+UNION ALL
+SELECT cnpj_input, 'malformed', false, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM (SELECT DISTINCT cnpj_input FROM norm WHERE length(d) <> 14)""")
 def q_cnpj_report(spark, sf_dir):
     cat, req = _req(spark, sf_dir)
     return R.cnpj_report(cat, req)
 
 
+# requests for which something is missing: sites whose company has no row (every fifth company of the
+# sites is left out of the companies), companies without a site, and keys that are none
+@register("cnpj_report_absent", REQUEST_CTES.replace("FROM empresas)", "FROM empresas WHERE right(cnpj_basico, 1) NOT IN ('0', '5'))") + """
+SELECT status, count(*) AS requests, count(razao_social) AS with_company FROM (
+  SELECT CASE WHEN f.cnpj_basico IS NULL THEN 'not found' ELSE 'found' END AS status, c.razao_social
+  FROM (SELECT cnpj_basico, cnpj_ordem, cnpj_dv FROM keys
+        UNION SELECT cnpj_basico, '9999', '99' FROM empresas) k
+  LEFT JOIN (SELECT DISTINCT cnpj_basico, cnpj_ordem, cnpj_dv FROM found) f USING (cnpj_basico, cnpj_ordem, cnpj_dv)
+  LEFT JOIN comp c ON c.cnpj_basico = f.cnpj_basico
+  UNION ALL SELECT 'malformed', NULL FROM (SELECT DISTINCT cnpj_input FROM norm WHERE length(d) <> 14))
+GROUP BY status""")
+def q_cnpj_report_absent(spark, sf_dir):
+    cat, req = _req(spark, sf_dir)
+    siteless = cat.emp.select(F.concat("cnpj_basico", F.lit("999999")).alias("cnpj_input"))
+    fewer = Catalog({**cat.tables, "empresas": cat.emp.where(~F.right("cnpj_basico", F.lit(1)).isin("0", "5"))}, cat.stats)
+    return (R.cnpj_report(fewer, req.unionByName(siteless)).groupBy("status")
+            .agg(F.count("*").alias("requests"), F.count("razao_social").alias("with_company")))
+
+
 @register("sites_of_cnpj", REQUEST_CTES + """
 SELECT m.cnpj_basico || '.' || m.cnpj_ordem || '/' || m.cnpj_dv AS cnpj,
   CASE WHEN m.identificador_matriz_filial = '1' THEN 'MATRIZ' WHEN m.identificador_matriz_filial = '2' THEN 'FILIAL'
@@ -130,7 +158,7 @@ SELECT m.cnpj_basico || '.' || m.cnpj_ordem || '/' || m.cnpj_dv AS cnpj,
   'tel1=' || COALESCE(m.ddd_1, '') || COALESCE(m.telefone_1, '') || ' tel2=' || COALESCE(m.ddd_2, '')
     || COALESCE(m.telefone_2, '') || ' fax=' || COALESCE(m.ddd_fax, '') || COALESCE(m.fax, '') || ' email='
     || COALESCE(m.correio_eletronico, '') AS contatos
-FROM matched m
+FROM found m
 LEFT JOIN municipios mun ON TRY_CAST(m.municipio AS INTEGER) = TRY_CAST(mun.codigo AS INTEGER)
 ORDER BY TRY_CAST(m.identificador_matriz_filial AS INTEGER) NULLS LAST, m.data_inicio_atividade NULLS LAST""")
 def q_sites_of_cnpj(spark, sf_dir):
@@ -143,7 +171,7 @@ SELECT cnpj_basico, identificador_socio, nome_socio_ou_razao_social, cnpj_cpf_so
   data_entrada_sociedade, pais, faixa_etaria,
   COALESCE(representante_legal, 'None') || ' - ' || COALESCE(nome_representante, 'None') || ' ('
     || COALESCE(qualificacao_representante_legal, 'None') || ')' AS representante
-FROM socios WHERE cnpj_basico IN (SELECT cnpj_basico FROM keys)
+FROM socios WHERE cnpj_basico IN (SELECT cnpj_basico FROM found)
 ORDER BY nome_socio_ou_razao_social NULLS LAST""")
 def q_partners_of(spark, sf_dir):
     cat, req = _req(spark, sf_dir)
@@ -220,7 +248,7 @@ def q_filter_head_office(spark, sf_dir):
 @register("clean_names_companies",
           f"SELECT * REPLACE ({clean_name_sql('razao_social')} AS razao_social) FROM empresas")
 def q_clean_names_companies(spark, sf_dir):
-    emp = _cat(spark, sf_dir).emp
+    emp = _registry_cols(_cat(spark, sf_dir).emp, "empresas")
     return emp.withColumns({"razao_social": clean_name("razao_social")})
 
 
@@ -267,6 +295,17 @@ def q_join_site_company(spark, sf_dir):
     return df.select(cnpj_key().alias("cnpj"), "razao_social", "porte_empresa", "uf")
 
 
+# companies with more than three sites are hot here: most rows take the broadcast branch
+@register("join_site_company_hot", """
+SELECT est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv AS cnpj, emp.razao_social, sim.opcao_mei
+FROM estabelecimentos est JOIN empresas emp USING (cnpj_basico) LEFT JOIN simples sim USING (cnpj_basico)""")
+def q_join_site_company_hot(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    dims = [(cat.emp.select("cnpj_basico", "razao_social"), "inner"), (cat.sim.select("cnpj_basico", "opcao_mei"), "left")]
+    df = fact_join(cat.est.select("cnpj_basico", "cnpj_ordem", "cnpj_dv"), dims, skew=SkewPolicy(hot_rows=3))
+    return df.select(cnpj_key().alias("cnpj"), "razao_social", "opcao_mei")
+
+
 @register("join_tax_regime", """
 SELECT est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv AS cnpj, sim.opcao_simples, sim.opcao_mei
 FROM estabelecimentos est LEFT JOIN simples sim USING (cnpj_basico)""")

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ._registry import register
-from ..functions.text import FOLD_FROM, FOLD_TO, clean_name_sql, fold_accents
+from ..functions.text import clean_name_sql, fold_accents, fold_sql
 from ..plans.leads import LeadFilter, leads
 from ..session import scratch_path
 from ..sources import archives as ZIP, dumps as D, links as L
@@ -150,13 +150,15 @@ def q_ingest_null_tokens(spark, sf_dir):
     return D.read_base_dump(spark, path, "estabelecimentos")
 
 
-@register("detect_header")
+@register("detect_header", """
+SELECT * FROM (VALUES ('estabelecimentos', true), ('socios', true), ('municipios', false)) AS t(base, has_header)""")
 def q_detect_header(spark, sf_dir):
     cat = _cat(spark, sf_dir)
     root = scratch_path(spark, "headers")
-    D.write_dump(_full(cat.est, "estabelecimentos"), f"{root}/Estabelecimentos")
+    D.write_dump(_full(cat.est, "estabelecimentos"), f"{root}/Estabelecimentos")  # text fields hold letters
     D.write_dump(cat.soc, f"{root}/Socios", header=True)
-    return profile_sources(spark, root).select("name", "base", "has_header", "length")
+    D.write_dump(cat.mun.select("codigo", F.col("codigo").alias("descricao")), f"{root}/Municipios")  # digits only
+    return profile_sources(spark, root).where("first_record <> ''").select("base", "has_header").distinct()
 
 
 # links in the driver's web pages (every href; the zip-only pattern is the default elsewhere)
@@ -199,16 +201,10 @@ def q_extract_links(spark, sf_dir):
     return _links(spark, sf_dir)
 
 
-def _fold_sql(expr: str) -> str:
-    f = FOLD_FROM.replace("'", "''")
-    t = FOLD_TO.replace("'", "''")
-    return f"lower(translate({expr}, '{f}', '{t}'))"
-
-
 @register("detect_base", LINKS_CTE + f"""
 SELECT file_name,
   {_base_case_sql('file_name', INGEST_BASE_RULES)} AS base_ingest,
-  {_base_case_sql(_fold_sql("regexp_replace(file_name, '\\.[^.]*$', '')"), RENAME_BASE_RULES)} AS base_rename,
+  {_base_case_sql('lower(' + fold_sql("regexp_replace(file_name, '\\.[^.]*$', '')") + ')', RENAME_BASE_RULES)} AS base_rename,
   {_base_case_sql('file_name', CLEAN_BASE_RULES)} AS base_clean
 FROM links""")
 def q_detect_base(spark, sf_dir):
@@ -296,6 +292,41 @@ def q_ingest_stream(spark, sf_dir):
     return spark.read.schema(_full(_cat(spark, sf_dir).est, "estabelecimentos").schema).parquet(f"{root}/out")
 
 
+# the companies as dumps of different make beside each other: two widths and two header orders under
+# names that no rule knows, one whose first record holds a newline, one that is empty (reported, not fatal)
+PARTS_SQL = "CAST(cnpj_basico AS BIGINT) % 4"
+
+
+@register("ingest_mixed_files", f"""
+SELECT kind, count(*) AS n_rows, count(DISTINCT a) AS keys, sum(length(b)) AS chars FROM (
+  SELECT CASE {PARTS_SQL} WHEN 0 THEN 'width 2' WHEN 1 THEN 'width 3' WHEN 2 THEN 'key first' ELSE 'key last' END AS kind,
+         {_tok('cnpj_basico')} AS a, CASE WHEN {PARTS_SQL} < 2 THEN {_tok("regexp_replace(natureza_juridica, '[^0-9]', '', 'g')")}
+                                         ELSE {_tok('razao_social')} END AS b
+  FROM empresas
+  UNION ALL SELECT 'newline', {_tok('codigo')}, {_tok("descricao || chr(10) || 'x'")} FROM municipios) GROUP BY kind""")
+def q_ingest_mixed_files(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    root = scratch_path(spark, "mixed")
+    part = F.col("cnpj_basico").cast("long") % 4
+    plain = cat.emp.select("cnpj_basico", F.regexp_replace("natureza_juridica", "[^0-9]", "").alias("n"), "razao_social")
+    D.write_dump(plain.where(part == 0).select("cnpj_basico", "n"), f"{root}/src/w2")
+    D.write_dump(plain.where(part == 1).select("cnpj_basico", "n", F.lit("7").alias("x")), f"{root}/src/w3")
+    D.write_dump(plain.where(part == 2).select("cnpj_basico", F.col("razao_social").alias("nome")), f"{root}/src/h1", header=True)
+    D.write_dump(plain.where(part == 3).select(F.col("razao_social").alias("nome"), "cnpj_basico"), f"{root}/src/h2", header=True)
+    D.write_dump(cat.mun.select("codigo", F.concat("descricao", F.lit("\nx")).alias("d")), f"{root}/src/Municipios")
+    spark.createDataFrame([], "value string").coalesce(1).write.text(f"{root}/src/vazio")
+    ingest_directory(spark, f"{root}/src", f"{root}/out", errors=[])
+    unknown = spark.read.option("mergeSchema", "true").parquet(f"{root}/out/Desconhecido-*.parquet")
+    first = F.coalesce("cnpj_basico", "col_00")
+    kind = (F.when(F.col("col_02").isNotNull(), "width 3").when(F.col("col_00").isNotNull(), "width 2")
+            .when(F.col("cnpj_basico").cast("long") % 4 == 2, "key first").otherwise("key last"))
+    rows = unknown.select(kind.alias("kind"), first.alias("a"), F.coalesce("nome", "col_01").alias("b")).unionByName(
+        spark.read.parquet(f"{root}/out/Municipios-*.parquet").select(F.lit("newline").alias("kind"),
+                                                                     F.col("codigo").alias("a"), F.col("descricao").alias("b")))
+    return rows.groupBy("kind").agg(F.count("*").alias("n_rows"), F.count_distinct("a").alias("keys"),
+                                    F.sum(F.length("b")).alias("chars"))
+
+
 # ---------------------------------------------------------------------------------------------
 # column naming of unknown dumps, dataset-level cleaning, branch variants
 # ---------------------------------------------------------------------------------------------

@@ -23,16 +23,32 @@ def test_hot_key_split_equals_plain_join(spark):
     fact, dim1, dim2 = _skewed(spark)
     dims = [(dim1, "inner"), (dim2, "left")]
     plain = fact_join(fact, dims, "k", SkewPolicy(enabled=False))
-    split = fact_join(fact, dims, "k", SkewPolicy(hot_rows=100, salt_buckets=7))
+    split = fact_join(fact, dims, "k", SkewPolicy(hot_rows=100))
     assert _sorted(split) == _sorted(plain)
     assert split.count() == 2000 * 2 + 25 * 0 + plain.count() - 2000 * 2
 
 
-def test_hot_key_rows_spread_over_buckets(spark):
+def test_hot_keys_are_not_shuffled(spark):
     fact, dim1, _ = _skewed(spark)
-    out = fact_join(fact, [(dim1, "inner")], "k", SkewPolicy(hot_rows=100, salt_buckets=8))
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "Union" not in plan
+    out = fact_join(fact, [(dim1, "inner")], "k", SkewPolicy(hot_rows=100))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "BroadcastHashJoin" in plan
+
+
+def test_rows_without_a_key(spark):
+    fact, dim1, dim2 = _skewed(spark)
+    fact = fact.withColumn("k", F.when(F.col("v").cast("int") % 4 == 0, None).otherwise(F.col("k")))
+    for dims in ([(dim1, "left"), (dim2, "left")], [(dim1, "inner"), (dim2, "left")]):
+        plain = fact_join(fact, dims, "k", SkewPolicy(enabled=False))
+        split = fact_join(fact, dims, "k", SkewPolicy(hot_rows=100))
+        assert split.columns == plain.columns
+        assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_small_means_rows_and_bytes(spark):
+    from cadastra.operators.joins import is_small
+    df = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert is_small(df, 1000) and not is_small(df, 10) and not is_small(df, 1000, 50_000) and is_small(df, 1000)
 
 
 def test_lookup_is_broadcast(spark):
@@ -57,13 +73,13 @@ def test_plans_with_hot_keys_equal_plain(spark):
     from cadastra.sources.landing import landed_registry
     from tests.conftest import SF_SMALL
     cat = landed_registry(spark, SF_SMALL)
-    hot, plain = SkewPolicy(hot_rows=5, salt_buckets=4), SkewPolicy(enabled=False)
+    hot, plain = SkewPolicy(hot_rows=5), SkewPolicy(enabled=False)
     assert cat.hot_keys("estabelecimentos", "cnpj_basico", 5).count() > 10
     for build in (lambda s: leads(cat, LeadFilter(uf="MG"), skew=s, sort=False),
                   lambda s: health_leads(cat, include_branches=True, skew=s, sort=False),
                   lambda s: mei_inactive_by_status(cat, skew=s)):
         assert _sorted(build(hot)) == _sorted(build(plain))
-    assert "_salt" in leads(cat, LeadFilter(uf="MG"), skew=hot)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in leads(cat, LeadFilter(uf="MG"), skew=hot)._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_no_python_in_list_plans(spark):
@@ -82,6 +98,34 @@ def test_state_filter_prunes_partitions(spark):
     assert "uf_norm" in plan and "PartitionFilters: [isnotnull(uf_norm" in plan
 
 
+def test_code_filters_reach_the_scan(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    def pushed(key):
+        plan = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        return [x for x in plan.split("PushedFilters: ")[1:]]
+    assert any("EqualTo(situacao_int,2)" in p for p in pushed("filter_active"))
+    assert any("In(porte_int" in p for p in pushed("filter_size"))
+    assert any("EqualTo(municipio_int,5403)" in p for p in pushed("health_leads"))
+    assert any("EqualTo(matriz_int,1)" in p for p in pushed("mei_inactive_total"))
+
+
+def test_one_requested_cnpj_scans_without_shuffling_sites(spark):
+    from cadastra.plans import report as R
+    from cadastra.sources.landing import landed_registry
+    from tests.conftest import SF_SMALL
+    cat = landed_registry(spark, SF_SMALL)
+    key = cat.est.select(F.concat("cnpj_basico", "cnpj_ordem", "cnpj_dv")).first()[0]
+    req = spark.createDataFrame([(key,), (key[:8] + "/9999-99",), ("12",), (None,)], "cnpj_input string")
+    plan = R.matched_sites(cat, R.requested_keys(req))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "cnpj_basico" in plan.split("PushedFilters: ")[1]
+    status = {(r["cnpj"], r["status"]) for r in R.cnpj_report(cat, req).collect()}
+    assert {s for _, s in status} == {"found", "not found", "malformed"} and ("12", "malformed") in status
+    absent = spark.createDataFrame([(key[:8] + "999999",)], "cnpj_input string")
+    keys = R.requested_keys(absent)
+    assert [R.sites_of(cat, keys).count(), R.partners_of(cat, keys).count(), R.simples_status(cat, keys).count()] == [0, 0, 0]
+
+
 def test_lead_filter_validates_codes():
     import pytest
     from cadastra.plans.leads import LeadFilter
@@ -96,7 +140,7 @@ def test_lead_filter_validates_codes():
 
 
 def test_hot_key_third_of_rows_is_spread(spark):
-    """One key holds a third of all fact rows: the salted join keeps every task small."""
+    """One key holds a third of all fact rows: its rows stay where they are, and every task small."""
     confs = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
              "spark.sql.shuffle.partitions": "16"}
     saved = {k: spark.conf.get(k) for k in confs}
@@ -114,10 +158,10 @@ def test_hot_key_third_of_rows_is_spread(spark):
             counts = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
             return max(counts) / sum(counts)
         plain = fact_join(fact, [(dim, "inner")], "k", SkewPolicy(enabled=False))
-        salted = fact_join(fact, [(dim, "inner")], "k", SkewPolicy(hot_rows=1000, salt_buckets=16))
-        assert _sorted(plain) == _sorted(salted)
+        split = fact_join(fact, [(dim, "inner")], "k", SkewPolicy(hot_rows=1000))
+        assert _sorted(plain) == _sorted(split)
         assert max_share(plain) >= 1 / 3
-        assert max_share(salted) < 0.2
+        assert max_share(split) < 0.2
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
