@@ -74,17 +74,17 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _sets(rows: DataFrame, percent: int) -> DataFrame:
-    """(row, doc_id, n, digest, low): low holds the prefix of the longest ``l`` and some spare hashes."""
+    """(row, doc_id, tie, n, digest, low): low holds the prefix of the longest ``l`` and some spare hashes."""
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(t) for t in b.column("text").to_pylist()]
             n = [len(s) for s in sets]
             low = [s[:k - _overlap(k, percent) + LONGEST + k // 16 + 4] for s, k in zip(sets, n)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()),
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tie"), pa.array(n, pa.int64()),
                                               pa.array([_digest(s) for s in sets], pa.binary()), _lists(low)],
-                                             names=["doc_id", "n", "digest", "low"])
+                                             names=["doc_id", "tie", "n", "digest", "low"])
 
-    made = rows.mapInArrow(compute, "doc_id long, n long, digest binary, low array<long>")
+    made = rows.mapInArrow(compute, "doc_id long, tie long, n long, digest binary, low array<long>")
     return materialise(made.withColumn("row", F.monotonically_increasing_id()), "jaccard-sets")
 
 
@@ -207,10 +207,14 @@ def _adaptive(postings: DataFrame, percent: int) -> DataFrame:
 
 
 def linked_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    """One row per input row: doc_id, tie (a hash of the text), n_shingles, component_id, first.
+
+    ``first`` marks the row that stands for its component (smallest doc_id, then tie).
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("tie"),
+                       F.col(text_col).alias("text"))
     sets = _sets(rows, percent)
-    narrow = sets.select("row", "doc_id", "n", "digest")
+    narrow = sets.select("row", "doc_id", "tie", "n", "digest")
     firsts = (narrow.where("n > 0").groupBy("digest", "n")
               .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")).alias("first"),
                    F.count("*").alias("copies")))
@@ -251,11 +255,15 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "do
     roots = component_roots(links.unionByName(more))
 
     # class -> component -> smallest doc_id; classes without links are their own
-    firsts = (narrow.where("n > 0").join(copied, "row", "left")
-              .select("row", "doc_id", F.coalesce("first", "row").alias("class")))
-    grouped = firsts.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
-        "row", "doc_id", F.coalesce("root", "class").alias("root"))
-    smallest = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("c")).where("c > 1")
-    several = grouped.join(smallest, "root").select("row", "component_id")
-    return (narrow.join(several, "row", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+    members = (narrow.where("n > 0").join(copied, "row", "left")
+               .select("row", "doc_id", "tie", F.coalesce("first", "row").alias("class")))
+    grouped = (members.join(roots.withColumnRenamed("node", "class"), "class", "left")
+               .withColumn("root", F.coalesce("root", "class")))
+    several = (grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("c"),
+                                           F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tie")).alias("head"))
+               .where("c > 1"))
+    told = grouped.join(several, "root").select("row", "component_id", "head")
+    first = F.col("head").isNull() | (F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & F.col("tie").eqNullSafe(F.col("head.tie")))
+    return (narrow.join(told, "row", "left")
+            .select("doc_id", "tie", F.col("n").alias("n_shingles"),
+                    F.coalesce("component_id", "doc_id").alias("component_id"), first.alias("first")))

@@ -112,7 +112,11 @@ def later_copies(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the later copies of repeated line runs, with ``n_lines`` and ``n_deleted``."""
+    """``docs`` without the later copies of repeated line runs, with ``n_lines`` and ``n_deleted``.
+
+    Columns of these names that ``docs`` already has are replaced.
+    """
+    docs = docs.drop("n_lines", "n_deleted")
     found = materialise(later_copies(docs, min_chars, id_col, text_col).toDF("__doc", "__tie", "__deleted"), "line-deleted")
     joined = _keyed(docs, id_col, text_col).join(found, ["__doc", "__tie"], "left").drop("__doc", "__tie")
     names = docs.columns

@@ -137,12 +137,16 @@ def mix_sources(docs: DataFrame, budget: int | None = None, target_entropy: floa
     return whole.unionByName(cut)
 
 
-def mixed_documents(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` (all columns), each as often as the mixture of ``mix_sources`` has it."""
-    copies = (mix_sources(docs, **params).groupBy(F.col("doc_id").alias("mixed_id"))
-              .agg(F.count_distinct("pass").alias("copies")))
-    return (docs.join(copies, docs.doc_id.eqNullSafe(copies.mixed_id))
-            .withColumn("copy", F.explode(F.expr("sequence(1, cast(copies AS int))")))
+def mixed_documents(docs: DataFrame, budget: int | None = None, **params) -> DataFrame:
+    """The rows of ``docs`` (all columns), each as often as the mixture of ``mix_sources`` has it.
+
+    Without a budget no document goes: those of sources without a word are kept once.
+    """
+    copies = (mix_sources(docs, budget, **params).groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"))
+              .agg(F.count_distinct("pass").alias("__copies")))
+    keyed = docs.join(copies, docs.doc_id.eqNullSafe(copies["__id"]) & docs.source.eqNullSafe(copies["__source"]),
+                      "left" if budget is None else "inner")
+    return (keyed.withColumn("__copy", F.explode(F.expr("sequence(1, coalesce(cast(__copies AS int), 1))")))
             .select(*[docs[c] for c in docs.columns]))
 
 

@@ -100,8 +100,11 @@ def fit_nnpu(x: np.ndarray, positive: np.ndarray, prior: float) -> np.ndarray:
 
 def score_quality(docs: DataFrame, labels: DataFrame, learnable: Column, sample_rows: int = SAMPLE_ROWS,
                   id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """doc_id and score (0..1) of every row of ``docs``; ``learnable`` says which labels may be used."""
-    rows = materialise(_features(docs.select(F.col(id_col).alias("doc_id"),
+    """doc_id, tie (a hash of the text) and score (0..1) of every row of ``docs``.
+
+    ``learnable`` says which labels may be used.
+    """
+    rows = materialise(_features(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("tie"),
                                              F.coalesce(F.col(text_col), F.lit("")).alias("text"))), "quality-features")
     trusted = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label"))
                .where(learnable & (F.col("label") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct())
@@ -114,7 +117,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, learnable: Column, sample_
             .select("positive", *[f"f_{n}" for n in NAMES]).toPandas())
     positive = data.pop("positive").to_numpy(bool) if len(data) else np.zeros(0, bool)
     if not positive.any():
-        return rows.select("doc_id", F.lit(0.5).alias("score"))
+        return rows.select("doc_id", "tie", F.lit(0.5).alias("score"))
 
     raw = data.to_numpy(float)
     mean, scale = raw.mean(axis=0), np.maximum(raw.std(axis=0), 1e-9)
@@ -128,4 +131,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, learnable: Column, sample_
     for i, n in enumerate(NAMES):
         v = F.least(F.lit(_LIMIT), F.greatest(F.lit(-_LIMIT), (F.col(f"f_{n}") - float(mean[i])) / float(scale[i])))
         margin = margin + v * float(w[1 + i]) + (v * v - 1) * float(w[1 + k + i])
-    return rows.select("doc_id", (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias("score"))
+    return rows.select("doc_id", "tie", (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias("score"))

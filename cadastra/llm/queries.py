@@ -114,4 +114,5 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.linked_components(table(spark, sf_dir, "documents"))
+    found = jaccard_join.linked_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
