@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import is_small
+from ..session import scratch_path
+
 ITEM = T.StructType([
     T.StructField("cnpj", T.StringType()),
     T.StructField("razao_social", T.StringType()),
@@ -63,6 +66,10 @@ def page_cutoff(pages: DataFrame, max_pages: int = DEFAULT_MAX_PAGES, body: str
                 .agg(F.max(F.when(F.col(status) != 200, 1).otherwise(0)).alias("failed"),
                      F.sum(F.when(n_items > 0, n_items).otherwise(0)).alias("items"),
                      F.max("_page.paginacao.paginas").alias("paginas")))
+    # the counts are all that the rest needs: written, so that the bodies are parsed once
+    path = scratch_path(pages.sparkSession, "api-pages")
+    per_page.write.parquet(path)
+    per_page = pages.sparkSession.read.schema(per_page.schema).parquet(path)
     bad = (F.col("failed") == 1) | (F.col("items") == 0)
     stats = per_page.groupBy(search).agg(
         F.min(F.when(bad, F.col(page))).alias("first_bad"),
@@ -89,4 +96,6 @@ def page_cutoff(pages: DataFrame, max_pages: int = DEFAULT_MAX_PAGES, body: str
 def used_pages(pages: DataFrame, max_pages: int = DEFAULT_MAX_PAGES, search: str = "search_id",
                page: str = "page", **kw) -> DataFrame:
     cut = page_cutoff(pages, max_pages, search=search, page=page, **kw)
+    if is_small(cut):  # one row per search: the pages, bodies included, then stay where they are
+        cut = F.broadcast(cut)
     return pages.join(cut, search).where(F.col(page) <= F.col("ultima_pagina")).drop("ultima_pagina")
