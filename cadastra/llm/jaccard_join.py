@@ -18,7 +18,9 @@ prefix costs more look-ups but asks for more matches before a pair is verified.
    Pairs that share much are verified; groups of near copies grow together here.
 5. *Rest.* Lists that still hold several components give the pairs across them. A pair with ``m``
    shared prefix shingles has at most ``m + max(o - l)`` in common; pairs that cannot reach the
-   overlap their sizes ask for go, all others are verified on whole sets.
+   overlap their sizes ask for go, all others are verified on whole sets. Most go before they are
+   formed: by the places of a shared shingle in both orders, and because a document shares no more
+   shingles than it has entries left.
 
 No pair that could link is dropped: stars only decide what is already connected. Pairs are verified in
 cells: documents of a group of pairs are hashed into blocks, a cell holds the pairs of two blocks and
@@ -194,7 +196,7 @@ def overlap(n: Column, percent: int) -> Column:
 
 
 def _adaptive(postings: DataFrame, percent: int) -> DataFrame:
-    """(token, row, n, l): the prefix of each document at its cheapest ``l``."""
+    """(token, row, n, l, pos): the prefix of each document at its cheapest ``l``."""
     o = overlap(F.col("n"), percent)
     steps = [k for k in (1, 2, 4, 8) if k <= LONGEST]
     sums = postings.groupBy("row", "n").agg(*[
@@ -203,7 +205,7 @@ def _adaptive(postings: DataFrame, percent: int) -> DataFrame:
                                   for k in steps]))
     chosen = sums.select("row", F.least(cost[0]["l"].cast("long"), o).alias("l"))
     return (postings.join(chosen, "row").where(F.col("pos") < F.col("n") - o + F.col("l"))
-            .select("token", "row", "n", "l"))
+            .select("token", "row", "n", "l", "pos"))
 
 
 def linked_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -226,16 +228,20 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "do
     o = lambda s: overlap(F.col(f"n_{s}"), percent)
     least_common = F.ceil((F.col("n_x") + F.col("n_y")) * percent / (100 + percent))
     need = F.greatest(F.lit(1), least_common - F.greatest(o("x") - F.col("l_x"), o("y") - F.col("l_y")))
-    near_size = ((F.least("n_x", "n_y") * 100) >= (F.greatest("n_x", "n_y") * percent))
+    # at a shared shingle: what can lie before and after it in both orders must reach the overlap
+    near = (((F.least("n_x", "n_y") * 100) >= (F.greatest("n_x", "n_y") * percent))
+            & (F.least("pos_x", "pos_y") + F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")) >= least_common))
     side = lambda s: prefixes.select("token", *[F.col(c).alias(f"{d}_{s}" if d else s) for c, d in
-                                                (("row", ""), ("n", "n"), ("l", "l"))])
+                                                (("row", ""), ("n", "n"), ("l", "l"), ("pos", "pos"))])
     keys = ["x", "y", "n_x", "n_y", "l_x", "l_y"]
 
-    # stars: each entry with its list's leader
-    leader = (prefixes.groupBy("token").agg(F.min(F.struct(F.xxhash64("row").alias("turn"), F.col("row").alias("x"),
-                                                           F.col("n").alias("n_x"), F.col("l").alias("l_x"))).alias("z"),
-                                            F.count("*").alias("c")).where("c > 1").select("token", "z.x", "z.n_x", "z.l_x"))
-    stars = (side("y").join(leader, "token").where((F.col("x") != F.col("y")) & near_size)
+    # stars: each entry with its list's leader, the document that shares most: the middle of a group of copies
+    held = prefixes.withColumn("held", F.count("*").over(Window.partitionBy("row")))
+    leader = (held.groupBy("token").agg(F.min(F.struct((-F.col("held")).alias("turn"), F.col("row").alias("x"),
+                                                           F.col("n").alias("n_x"), F.col("l").alias("l_x"),
+                                                           F.col("pos").alias("pos_x"))).alias("z"),
+                                            F.count("*").alias("c")).where("c > 1").select("token", "z.x", "z.n_x", "z.l_x", "z.pos_x"))
+    stars = (side("y").join(leader, "token").where((F.col("x") != F.col("y")) & near)
              .groupBy(*keys).agg(F.count("*").alias("m")).where(F.col("m") * 2 >= need)
              .select("x", "y", F.col("x").alias("g")))
     links = verified(materialise(stars, "jaccard-stars"), classes, rows, percent)
@@ -245,10 +251,20 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "do
     placed = (prefixes.join(roots.withColumnRenamed("node", "row"), "row", "left")
               .withColumn("root", F.coalesce("root", "row")))
     mixed = placed.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("token")
-    placed = materialise(placed.join(mixed, "token"), "jaccard-mixed")
-    half = lambda s: placed.select("token", F.col("row").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "l", "root")])
+    placed = placed.join(mixed, "token")
+    # at most the entries that a document still has, and those from its first one to its prefix's end, are shared
+    own = Window.partitionBy("row")
+    placed = materialise(placed.withColumns({"left": F.count("*").over(own), "start": F.min("pos").over(own)}), "jaccard-mixed")
+    half = lambda s: placed.select("token", F.col("row").alias(s),
+                                   *[F.col(c).alias(f"{c}_{s}") for c in ("n", "l", "root", "pos", "left", "start")])
+    # both prefixes at the smaller of the two lengths
+    both_l = F.least("l_x", "l_y")
+    end = lambda s: F.col(f"n_{s}") - o(s) + both_l
+    need = F.greatest(F.lit(1), least_common - F.greatest(o("x"), o("y")) + both_l)
+    room = F.least("left_x", "left_y", end("x") - F.col("start_x"), end("y") - F.col("start_y"))
     across = (half("x").join(half("y"), "token")
-              .where((F.col("x") < F.col("y")) & (F.col("root_x") != F.col("root_y")) & near_size)
+              .where((F.col("x") < F.col("y")) & (F.col("root_x") != F.col("root_y")) & near
+                     & (F.col("pos_x") < end("x")) & (F.col("pos_y") < end("y")) & (room >= need))
               .groupBy(*keys).agg(F.count("*").alias("m"), F.min("token").alias("g")).where(F.col("m") >= need)
               .select("x", "y", "g"))
     more = verified(materialise(across, "jaccard-across"), classes, rows, percent)
