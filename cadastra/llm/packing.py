@@ -53,6 +53,9 @@ class Encoder:
     The public pattern always starts a new token at a space followed by a character that is not white
     space, so a text is the concatenation of what lies between such spaces; each distinct stretch is
     split by the pattern once and each distinct word merged by the tokenizer's model once.
+
+    As in ``Tokenizer.encode``, the contents of added tokens (control strings) are ids of their own
+    wherever they stand in a text, and what lies between them is encoded by itself.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -64,6 +67,12 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        # tokens that take white space along or only stand as whole words are left to the tokenizer
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word for t in added.values())
+        contents = sorted(self.added, key=len, reverse=True)
+        self.at_added = regex.compile("(" + "|".join(map(regex.escape, contents)) + ")").split
         self.words: dict[str, bytes] = {}
         self.stretches: dict[str, bytes] = {}
 
@@ -88,6 +97,14 @@ class Encoder:
         return found
 
     def encode(self, text: str) -> bytes:
+        if not any(a in text for a in self.added):
+            return self.between(text)
+        if not self.plain:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join([self.added[p] if k % 2 else self.between(p) for k, p in enumerate(self.at_added(text))])
+
+    def between(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         parts = text.split(" ")
         get, make = self.stretches.get, self.stretch
         try:

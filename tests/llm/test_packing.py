@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from cadastra.llm import packing as P
 
@@ -36,6 +36,29 @@ def test_ids_are_the_tokenizer_s(text):
     assert ids == t.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_the_tokenizer_s(encoder, tmp_path):
+    """A tokenizer left at its defaults: control strings in a text are ids of their own."""
+    rng = random.Random(3)
+    parts = ["<|endoftext|>", "<|endoftext|", " ", "  ", "\n", "ab", "don't", "é", "<|", "|>", "x <|endoftext|> y"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n", "a  <|endoftext|>  b"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(500)]
+    default = Tokenizer.from_file(PATH)
+    for t in texts:
+        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == default.encode(t, add_special_tokens=False).ids
+    # tokens that take white space along, and one that begins another
+    default.add_tokens([AddedToken("<|end", normalized=False), AddedToken("ab", lstrip=True, single_word=True)])
+    default.save(path := str(tmp_path / "more.json"))
+    more = P.Encoder(path, PATTERN)
+    for t in texts:
+        assert np.frombuffer(more.encode(t), "<u4").tolist() == default.encode(t, add_special_tokens=False).ids
+
+
+def test_added_tokens_are_packed(spark):
+    texts = {1: "a <|endoftext|> b", 2: "<|endoftext|>" * 40, 3: "no control string"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check(P.pack(P.tokenized_pieces(df, PATH, PATTERN, 16), 16).collect(), texts, Tokenizer.from_file(PATH), 16)
+
+
 def check(rows, texts, tokenizer, capacity):
     pieces, sequences = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
