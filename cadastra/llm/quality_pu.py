@@ -11,9 +11,10 @@ given: it is estimated by the best-bin rule (Garg et al. 2021) from a first clas
 against unlabelled text, on rows held back from it: over the score's upper tails, the smallest ratio of
 the unlabelled share to the positive share, with its confidence width.
 
-Fitting uses at most ``sample_rows`` positives and as many unlabelled rows, by hash order of the id;
-their features (a few numbers a row) are the only thing that reaches the driver. Every document is
-scored by one arithmetic expression in Spark.
+Fitting uses at most ``sample_rows`` positives and as many unlabelled documents, by hash order; a
+document is an id and a text, and counts once however often it is repeated. The features of these (a few
+numbers a document) are the only thing that reaches the driver. Every document is scored by one
+arithmetic expression in Spark.
 
 Defined results: null text is empty; without any trusted positive every score is 0.5 (nothing is
 known against a document); an empty table gives no rows; repeated rows get equal scores.
@@ -109,12 +110,18 @@ def score_quality(docs: DataFrame, labels: DataFrame, learnable: Column, sample_
     trusted = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label"))
                .where(learnable & (F.col("label") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct())
     order = F.xxhash64(F.lit("quality"), "doc_id")
-    positives = trusted.orderBy(order, "doc_id").limit(sample_rows).withColumn("positive", F.lit(True))
-    unlabelled = (rows.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64(F.lit("web"), "doc_id"), "doc_id")
-                  .limit(sample_rows).distinct().withColumn("positive", F.lit(False)))
-    chosen = positives.unionByName(unlabelled)  # 2 * sample_rows ids at most
-    data = (rows.join(F.broadcast(chosen), "doc_id").orderBy(order, "positive")
-            .select("positive", *[f"f_{n}" for n in NAMES]).toPandas())
+    documents = rows.select("doc_id", "tie").where("doc_id IS NOT NULL")
+
+    def sample(some: DataFrame, salt: str) -> DataFrame:
+        mixed = F.xxhash64(F.lit(salt), "doc_id", "tie")
+        return some.distinct().orderBy(mixed, "doc_id", "tie").limit(sample_rows)
+
+    known = trusted.orderBy(order, "doc_id").limit(sample_rows)
+    positives = sample(documents.join(F.broadcast(known), "doc_id"), "trusted").withColumn("positive", F.lit(True))
+    unlabelled = sample(documents, "web").withColumn("positive", F.lit(False))
+    chosen = positives.unionByName(unlabelled)  # 2 * sample_rows documents at most
+    data = (rows.join(F.broadcast(chosen), ["doc_id", "tie"]).dropDuplicates(["doc_id", "tie", "positive"])
+            .orderBy(order, "positive", "tie").select("positive", *[f"f_{n}" for n in NAMES]).toPandas())
     positive = data.pop("positive").to_numpy(bool) if len(data) else np.zeros(0, bool)
     if not positive.any():
         return rows.select("doc_id", "tie", F.lit(0.5).alias("score"))

@@ -1,9 +1,12 @@
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from cadastra.llm import quality_pu as Q, toxicity as T
 from cadastra.llm.queries import QUERIES, held_out
 from tests.conftest import SF_CHECK
+from tests.llm.conftest import DOC_SCHEMA, words
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -62,6 +65,24 @@ def test_edges(spark, edge_docs, no_docs, edge_rows):
     assert T.score_toxicity(no_docs, labels, F.lit(True)).count() == 0
 
 
+def numbered_texts(n):
+    rng = random.Random(8)
+    return [(i, words(rng, 10 + i) + "." * (i % 7), "en", "a", 1) for i in range(n)]
+
+
+def test_a_repeated_id_does_not_fill_the_sample(spark, monkeypatch):
+    first = spark.range(60).orderBy(F.xxhash64(F.lit("web"), "id")).first()[0]
+    rows = numbered_texts(60)
+    docs = spark.createDataFrame(rows + [rows[first]] * 400, DOC_SCHEMA)
+    labels = spark.createDataFrame([(i, 1, 0) for i in {first, *range(10)}], LABELS)
+    seen = []
+    monkeypatch.setattr(Q, "class_prior", lambda x, positive, *_: seen.append((x, positive)) or 0.5)
+    assert Q.score_quality(docs, labels, F.lit(True), sample_rows=20).count() == 460
+    (x, positive), = seen
+    assert len(np.unique(x[~positive], axis=0)) == (~positive).sum() == 20
+    assert len(np.unique(x[positive], axis=0)) == positive.sum() == len({first, *range(10)})
+
+
 def test_obfuscated_and_near_person_words():
     known = T._Words({"idiot": 3.0, "achl*": 2.0})
     at = {n: k for k, n in enumerate(T.FEATURES)}
