@@ -9,7 +9,8 @@ squares is fitted by minimising (Kiryo et al. 2017)
 with the logistic loss, so a score is the chance that a document is good. The class prior is not
 given: it is estimated by the best-bin rule (Garg et al. 2021) from a first classifier of positives
 against unlabelled text, on rows held back from it: over the score's upper tails, the smallest ratio of
-the unlabelled share to the positive share, with its confidence width.
+the unlabelled share to the positive share, with its confidence width. The unlabelled share is counted
+over all documents but the few that the first classifier was fitted on.
 
 Fitting uses at most ``sample_rows`` positives and as many unlabelled documents, by hash order; a
 document is an id and a text, and counts once however often it is repeated. The features of these (a few
@@ -22,7 +23,7 @@ known against a document); an empty table gives no rows; repeated rows get equal
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,25 +66,69 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def class_prior(x: np.ndarray, positive: np.ndarray) -> float:
-    """Best-bin estimate of the share of positives in the unlabelled rows."""
+def _design(raw: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    z = np.clip((raw - mean) / scale, -_LIMIT, _LIMIT)
+    return np.hstack([np.ones((len(z), 1)), z, z * z - 1])
+
+
+def _margins(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``x @ w``, column by column: a row's margin is the same whatever rows are around it."""
+    z = np.zeros(len(x))
+    for column, weight in zip(x.T, w, strict=True):
+        z += column * weight
+    return z
+
+
+#: (weights, rows that they were fitted on, cuts in falling order) -> unlabelled documents at or above each cut, and all
+Count = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, int]]
+
+
+def class_prior(x: np.ndarray, positive: np.ndarray, count: Count | None = None) -> float:
+    """Best-bin estimate of the share of positives in the unlabelled rows.
+
+    ``count`` counts them wherever they are; without it they are the unlabelled rows of ``x`` held back.
+    """
     held = np.arange(len(x)) % 2 == 1
     n_p, n_u = max(1, (positive & ~held).sum()), max(1, (~positive & ~held).sum())
     weight = np.where(positive, 1 / n_p, 1 / n_u) * ~held / 2
     w = _fit(x, lambda z: weight * (_sigmoid(z) - positive))
-    z = x @ w
+    z = _margins(x, w)
     p, u = np.sort(z[positive & held])[::-1], np.sort(z[~positive & held])[::-1]
-    if not len(p) or not len(u):
+    if not len(p):
         return 0.5
     # tails that hold at least a tenth of the held-back positives
     cuts = p[max(1, len(p) // 10) - 1:]
+    above, n = count(w, ~held, cuts) if count else (np.searchsorted(-u, -cuts, side="right"), len(u))
+    if not n:
+        return 0.5
     share_p = np.searchsorted(-p, -cuts, side="right") / len(p)
-    share_u = np.searchsorted(-u, -cuts, side="right") / len(u)
-    width = np.sqrt(np.log(4 / 0.1) / 2) * (1 / np.sqrt(len(u)) + 1 / np.sqrt(len(p)))
+    share_u = above / n
+    width = np.sqrt(np.log(4 / 0.1) / 2) * (1 / np.sqrt(n) + 1 / np.sqrt(len(p)))
     best = np.argmin((share_u + width) / share_p)
     return float(np.clip(share_u[best] / share_p[best], 0.05, 0.95))
 
 
+def _count_all(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, w: np.ndarray, fitted: DataFrame,
+               cuts: np.ndarray) -> tuple[np.ndarray, int]:
+    """Documents of ``rows`` but ``fitted`` at or above each of the ``cuts`` (falling), and all of them."""
+    rising = cuts[::-1]
+    keys = [f for f in rows.schema.fields if f.name in ("doc_id", "tie")]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keys) + ", reached int"
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = np.column_stack([b.column(f"f_{n}").to_numpy() for n in NAMES])
+            reached = np.searchsorted(rising, _margins(_design(raw, mean, scale), w), side="right")
+            yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in keys), pa.array(reached, pa.int32())],
+                                             names=[*(f.name for f in keys), "reached"])
+
+    left = rows.mapInArrow(reach, schema).distinct().join(F.broadcast(fitted), ["doc_id", "tie"], "left_anti")
+    n = np.zeros(len(cuts) + 1, np.int64)
+    for r in left.groupBy("reached").agg(F.count("*").alias("n")).collect():  # a row per cut at most
+        n[r["reached"]] = r["n"]
+    return np.cumsum(n[::-1])[:-1], int(n.sum())
+
+
 def fit_nnpu(x: np.ndarray, positive: np.ndarray, prior: float) -> np.ndarray:
     """Weights that minimise the non-negative risk (the correction step when the negative part is below 0)."""
     n_p, n_u = max(1, positive.sum()), max(1, (~positive).sum())
@@ -121,16 +166,22 @@ def score_quality(docs: DataFrame, labels: DataFrame, learnable: Column, sample_
     unlabelled = sample(documents, "web").withColumn("positive", F.lit(False))
     chosen = positives.unionByName(unlabelled)  # 2 * sample_rows documents at most
     data = (rows.join(F.broadcast(chosen), ["doc_id", "tie"]).dropDuplicates(["doc_id", "tie", "positive"])
-            .orderBy(order, "positive", "tie").select("positive", *[f"f_{n}" for n in NAMES]).toPandas())
+            .orderBy(order, "positive", "tie").select("doc_id", "tie", "positive", *[f"f_{n}" for n in NAMES]).toPandas())
     positive = data.pop("positive").to_numpy(bool) if len(data) else np.zeros(0, bool)
     if not positive.any():
         return rows.select("doc_id", "tie", F.lit(0.5).alias("score"))
 
+    keys = list(zip(data.pop("doc_id").tolist(), data.pop("tie").tolist()))
     raw = data.to_numpy(float)
     mean, scale = raw.mean(axis=0), np.maximum(raw.std(axis=0), 1e-9)
-    z = np.clip((raw - mean) / scale, -_LIMIT, _LIMIT)
-    x = np.hstack([np.ones((len(z), 1)), z, z * z - 1])
-    prior = class_prior(x, positive)
+    x = _design(raw, mean, scale)
+
+    def count(w: np.ndarray, fitted: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, int]:
+        known = [keys[i] for i in np.flatnonzero(fitted & ~positive)]
+        known = docs.sparkSession.createDataFrame(known, documents.schema)
+        return _count_all(rows, mean, scale, w, known, cuts)
+
+    prior = class_prior(x, positive, count)
     w = fit_nnpu(x, positive, prior)
 
     k = len(NAMES)

@@ -83,6 +83,32 @@ def test_a_repeated_id_does_not_fill_the_sample(spark, monkeypatch):
     assert len(np.unique(x[positive], axis=0)) == positive.sum() == len({first, *range(10)})
 
 
+def test_prior_is_counted_over_all_documents(spark, monkeypatch):
+    rows = numbered_texts(200)
+    docs = spark.createDataFrame(rows + rows[:50], DOC_SCHEMA)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 200, 4)], LABELS)
+    seen, real = [], Q.class_prior
+
+    def prior(x, positive, count):
+        def counted(w, fitted, cuts):
+            above, n = count(w, fitted, cuts)
+            seen.append((x, positive, w, fitted, cuts, above, n))
+            return above, n
+        seen.append(real(x, positive, counted))
+        return seen[-1]
+
+    monkeypatch.setattr(Q, "class_prior", prior)
+    Q.score_quality(docs, labels, F.lit(True), sample_rows=20)
+    (x, positive, _, fitted, cuts, above, n), _ = seen
+    assert n == 200 - (fitted & ~positive).sum() > 180  # repeated rows are one document
+    assert len(above) == len(cuts) and (np.diff(above) >= 0).all() and above[-1] <= n
+    del seen[:]
+    Q.score_quality(docs, labels, F.lit(True))  # all documents are in the sample: the held-back ones are counted
+    (x, positive, w, fitted, cuts, above, n), found = seen
+    u = Q._margins(x, w)[~fitted & ~positive]
+    assert n == len(u) and above.tolist() == [(u >= c).sum() for c in cuts] and found == real(x, positive)
+
+
 def test_obfuscated_and_near_person_words():
     known = T._Words({"idiot": 3.0, "achl*": 2.0})
     at = {n: k for k, n in enumerate(T.FEATURES)}
