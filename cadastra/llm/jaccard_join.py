@@ -147,7 +147,10 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int
 
 
 def _postings(classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """(token, row, pos, n): the prefixes of the longest ``l`` in the common order, unique tokens left out."""
+    """(token, row, pos, n): the prefixes of the longest ``l`` in the common order, unique tokens left out.
+
+    Unique is what no other prefix can hold: stored hashes and whole sets count.
+    """
     low = classes.select("row", "n", F.size("low").alias("stored"), F.posexplode("low").alias("at", "token"))
     shared = materialise(low.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "jaccard-counts")
     need = F.least(F.col("n"), F.col("n") - overlap(F.col("n"), percent) + LONGEST)
@@ -173,6 +176,12 @@ def _postings(classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
         whole = whole.unionByName(_whole_sets(rows, info.join(deeper, "row")))
         deep = deep.unionByName(deeper)
 
+    # whole sets reach beyond what is stored: a stored shingle may be unique but for them
+    beyond = materialise(whole.select(F.explode("set").alias("token")).distinct().join(marks, "token", "left_anti")
+                         .withColumn("last", F.lit(0)), "jaccard-beyond")
+    if not beyond.isEmpty():
+        marked = marked.unionByName(low.join(beyond, "token"))
+
     by_row = Window.partitionBy("row")
     so_far = F.sum("last").over(by_row.orderBy("at"))
     # rare hashes move up past the frequent ones before them; those follow at the end

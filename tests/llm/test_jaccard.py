@@ -75,6 +75,32 @@ def test_frequent_passages_and_large_groups(spark, monkeypatch):
     assert got(J.linked_components(df)) == plain(rows)
 
 
+def test_stored_shingles_shared_with_whole_sets_only(spark, monkeypatch):
+    """A shingle of one ordinary document that a deep one holds beyond its stored part is an entry of both."""
+    monkeypatch.setattr(J, "FREQUENT", 3)
+    rng = random.Random(6)
+    w = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    passage, rows = w(60), []
+    for i in range(12):
+        tail = w(18)
+        rows += [(2 * i, " ".join(passage + tail)), (2 * i + 1, " ".join(tail + w(3)))]
+    made, real = collections.defaultdict(list), J.materialise
+    monkeypatch.setattr(J, "materialise", lambda df, name: made[name].append(real(df, name)) or made[name][-1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "xxhash64(text) AS tie", "text")
+    classes = J._sets(docs, 80)
+    postings = {(r["token"], r["row"]) for r in J._postings(classes, docs, 80).collect()}
+    frequent = {r["token"] for r in made["jaccard-marks"][0].where("last = 1").collect()}
+    deep = {r["row"] for df in made["jaccard-deep"] for r in df.collect()}
+    prefixes, texts = {}, dict(rows)
+    for c in classes.collect():
+        s = c["low"] if c["row"] not in deep else J.shingle_set(texts[c["doc_id"]]).tolist()
+        order = sorted(s, key=lambda t: (t in frequent, t))
+        prefixes[c["row"]] = order[:min(c["n"], c["n"] - J._overlap(c["n"], 80) + J.LONGEST)]
+    counts = collections.Counter(t for p in prefixes.values() for t in p)
+    assert deep and len(deep) < len(rows)
+    assert postings == {(t, row) for row, p in prefixes.items() for t in p if counts[t] > 1}
+
+
 def test_components(spark):
     from cadastra.llm.components import component_roots
     rng = random.Random(4)
