@@ -11,8 +11,9 @@ points at once and keeps the part in which the condition turns.
 *Realisation.* Source ``s`` gets ``round(w * budget)`` tokens: whole passes over its documents and a
 rest. Its documents are dealt by hash into blocks of about ``block_tokens`` tokens, at most
 ``MAX_BLOCKS`` a source. Every pass is a permutation of the blocks of its own; the last pass takes
-blocks in that order while the rest allows, and of the block in which it runs out the documents in
-hash order while they fit. So a source that holds a third of all rows is many blocks, and no task
+blocks in that order while the rest allows, and of the block in which it runs out, in hash order, every
+document that still fits (with ``stop_at_first``: the documents before the first that does not fit, so
+that a long one can cost the rest of the pass). So a source that holds a third of all rows is many blocks, and no task
 ever orders more than the blocks of a source or the documents of one block.
 
 Defined results: a null source is a source of its own; rows without a word (or with null text) weigh
@@ -84,9 +85,23 @@ def mixture_exponent(sources: DataFrame, budget: float | None, target_entropy: f
     return round(a, 6)
 
 
+def _fitting(cut: DataFrame) -> DataFrame:
+    """(s_, key_): the documents of the cut blocks that fit, each tried in hash order; rows of one key go together."""
+    units = cut.groupBy("source", "room", "key").agg(F.sum("tokens").alias("size"))
+    start = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast("array<long>").alias("keys"))
+
+    def tried(state: Column, unit: Column) -> Column:
+        used = state["used"] + unit["size"]
+        return F.when(used <= F.col("room"), F.struct(
+            used.alias("used"), F.concat(state["keys"], F.array(unit["key"])).alias("keys"))).otherwise(state)
+
+    return (units.groupBy("source", "room").agg(F.array_sort(F.collect_list(F.struct("key", "size"))).alias("units"))
+            .select(F.col("source").alias("s_"), F.explode(F.aggregate("units", start, tried, lambda z: z["keys"])).alias("key_")))
+
+
 def mix_sources(docs: DataFrame, budget: int | None = None, target_entropy: float | None = None,
                 max_repeats: float | None = None, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source") -> DataFrame:
+                source_col: str = "source", stop_at_first: bool = False) -> DataFrame:
     """The mixture: doc_id, source, pass (from 0), block, place (of the block in its pass), tokens.
 
     ``budget`` in tokens; None reads the least repeated source exactly once, so that every document
@@ -130,10 +145,15 @@ def mix_sources(docs: DataFrame, budget: int | None = None, target_entropy: floa
     here = dealt.join(turns, dealt.source.eqNullSafe(turns.s) & (dealt.block == turns.b))
     out = ["doc_id", "source", "pass", "block", "place", "tokens"]
     whole = here.where("whole").select(*out)
-    # one block of each source at most is cut: its documents in hash order, while they fit
-    cut = (here.where("NOT whole")
-           .withColumn("used", F.sum("tokens").over(Window.partitionBy("source").orderBy("key")))
-           .where("used <= room").select(*out))
+    # one block of each source at most is cut: its documents in hash order
+    cut = here.where("NOT whole")
+    if stop_at_first:
+        cut = (cut.withColumn("used", F.sum("tokens").over(Window.partitionBy("source").orderBy("key")))
+               .where("used <= room"))
+    else:
+        fitting = _fitting(cut)
+        cut = cut.join(fitting, cut.source.eqNullSafe(fitting.s_) & (cut.key == fitting.key_), "left_semi")
+    cut = cut.select(*out)
     return whole.unionByName(cut)
 
 

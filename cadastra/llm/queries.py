@@ -53,7 +53,8 @@ MAX_REPEATS = 4.0
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     budget = docs.agg(F.sum(mixing.token_count(F.col("text")))).first()[0] or 0
-    return mixing.mix_sources(docs, budget=budget, target_entropy=TARGET_ENTROPY, max_repeats=MAX_REPEATS)
+    # the registered SQL ends a partial pass at the first document that does not fit
+    return mixing.mix_sources(docs, budget=budget, target_entropy=TARGET_ENTROPY, max_repeats=MAX_REPEATS, stop_at_first=True)
 
 
 @query("op3_exact_dedup", sql=r"""

@@ -37,6 +37,25 @@ def test_budget_and_passes(spark):
     assert per["small"] > 1.5 * total / 10
 
 
+def test_a_very_long_document_does_not_cost_the_rest_of_a_pass(spark):
+    from cadastra.llm.common import md5_long
+    first = spark.range(1, 301).orderBy(md5_long(F.col("id").cast("string"))).first()[0]  # tried first in its block
+    docs = [(i, "w " * (30_000 if i == first else 60 + i % 9), "small") for i in range(1, 301)]
+    docs += [(i, "w " * 100, None) for i in range(1000, 1900)]
+    tokens = collections.Counter()
+    for _, text, source in docs:
+        tokens[source] += text.count("w")
+    # a quarter of each source, without a whole pass: less than the long document
+    budget = sum(tokens.values()) // 4
+    rows = mix_sources(spark.createDataFrame(docs, "doc_id long, text string, source string"), budget=budget).collect()
+    got = collections.Counter()
+    for r in rows:
+        got[r["source"]] += r["tokens"]
+    assert len({(r["doc_id"], r["pass"]) for r in rows}) == len(rows) and first not in {r["doc_id"] for r in rows}
+    for source in tokens:  # less than one of the other documents short
+        assert -100 < got[source] - budget * tokens[source] / sum(tokens.values()) <= 1
+
+
 def test_order_within_a_pass_is_a_permutation_of_blocks(spark):
     from cadastra.llm import mixing
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
