@@ -15,7 +15,7 @@ from cadastra.session import scratch_path
 
 import public_tokenizers
 
-from . import chat_trees, exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, packing, quality_pu, toxicity, warc_bundles
+from . import bpe_codec, chat_trees, exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, packing, quality_pu, toxicity, warc_bundles
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.linked_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op13_bpe_codec")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = bpe_codec.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    decoded = bpe_codec.decode_documents(encoded, path, public_tokenizers.PATTERN)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"),
+                          F.sha2("text", 256).alias("decoded_sha256"))
