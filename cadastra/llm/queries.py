@@ -15,7 +15,7 @@ from cadastra.session import scratch_path
 
 import public_tokenizers
 
-from . import bpe_codec, chat_trees, exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, packing, quality_pu, toxicity, warc_bundles
+from . import bpe_codec, chat_trees, exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, packing, quality_pu, toxicity, warc_bundles, whitening
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,6 +119,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query("op13_bpe_codec")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
