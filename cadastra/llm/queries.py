@@ -15,7 +15,8 @@ from cadastra.session import scratch_path
 
 import public_tokenizers
 
-from . import bpe_codec, chat_trees, exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, packing, quality_pu, toxicity, warc_bundles, whitening
+from . import (bpe_codec, chat_trees, exact_dedup, fingerprints, hard_negatives, jaccard_join, line_dedup, mixing, packing,
+               quality_pu, toxicity, warc_bundles, whitening)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +125,13 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_hard_negatives")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    items = hard_negatives.integer_rows(table(spark, sf_dir, "embeddings"), label, scale=256)
+    return hard_negatives.mine(items, F.col("vec_id") % 100 == 0)
+
+
 @query("op13_bpe_codec")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
