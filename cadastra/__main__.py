@@ -83,11 +83,13 @@ def cmd_mei_inactive(a) -> None:
 
 def cmd_report(a) -> None:
     from .plans import report as R
+    from .session import written
     spark = _session()
     cat = _catalog(spark, a.parquet_dir)
     req = spark.createDataFrame([(c,) for c in a.cnpj], "cnpj_input string")
-    report = R.cnpj_report(cat, req)
-    keys = R.requested_keys(req)
+    keys = R.ask(R.requested_keys(req))
+    # what is exported and what is named as missing are the same written rows
+    report, _ = written(R.cnpj_report(cat, req, keys=keys), "report")
     parts = {"report": (report, ["cnpj"]), "sites": (R.sites_of(cat, keys, sort=False), ["tipo", "data_inicio_atividade", "cnpj"])}
     if cat.has("socios"):
         parts["partners"] = (R.partners_of(cat, keys, sort=False), ["nome_socio_ou_razao_social", "cnpj_basico", "cnpj_cpf_socio"])

@@ -10,21 +10,28 @@ A request is any text holding a CNPJ (punctuation allowed). It is reduced to dig
 * :func:`sites_of`         – the found sites with labels and printable address/contact lines
 * :func:`partners_of`      – partners of the found companies
 
-Requests are few beside the tables: a set of keys that a count proves small is broadcast, so the site
-table is scanned, not shuffled, and a handful of keys also becomes an IN list that Parquet statistics
-answer. Every part stays a flat DataFrame: a company with very many sites or partners is spread over
-the normal shuffle instead of being gathered into one nested row.
+* :func:`nested_report`    – found companies with sites and partners as nested arrays, in pages
+
+Requests are few beside the tables. :func:`ask` writes the distinct requested keys once and counts them in
+the same pass; every part starts from that small table and is one lazy plan after it. A key set that the
+count proves small is broadcast, so the site table is scanned, not shuffled, and up to ``LISTED_KEYS``
+company keys also become an IN list, which row-group statistics and the landed Bloom filters answer. The parts
+of a report stay flat; the nested form cuts a company with very many sites or partners into pages of
+bounded length instead of gathering it into one row.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes as C
 from ..functions.identity import cnpj_key, cnpj_mask, cnpj_split, digits_are_valid_cnpj, only_digits
-from ..operators.joins import is_small, lookup_join
-from ..operators.ordering import order_nulls_last
+from ..operators.joins import lookup_join
+from ..operators.ordering import order_nulls_last, pages
+from ..session import written
 from ..sources.catalog import Catalog
 
 KEY3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
@@ -54,39 +61,64 @@ def requested_keys(req: DataFrame, col: str = "cnpj_input", distinct: bool = Tru
     return n.distinct() if distinct else n
 
 
-#: keys up to which a filter lists them, and rows up to which they are broadcast
-LISTED_KEYS, BROADCAST_KEYS = 500, 1_000_000
+#: company keys up to which a filter lists them, and rows up to which key sets are broadcast
+LISTED_KEYS, BROADCAST_KEYS = 10_000, 1_000_000
+
+
+@dataclass(frozen=True)
+class Asked:
+    """Requested keys: the written table of distinct (key parts, dv_valido), its number of rows, and the distinct
+    company keys if they are few enough to list."""
+    rows: DataFrame
+    n: int
+    listed: list[str] | None
+
+    @property
+    def sites(self) -> DataFrame:
+        return self._small(self.rows.select(*KEY3).distinct())
 
+    @property
+    def companies(self) -> DataFrame:
+        return self._small(company_keys(self.rows))
 
-def few_keys(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list | None]:
-    """The distinct keys of ``df``, marked for broadcast when a count proves them few, and the values of
-    the first column when they are a handful. De-duplicated map-side, so a key requested very often
-    cannot skew the join."""
-    keys = df.select(*columns).distinct()
-    handful = [r[0] for r in keys.limit(LISTED_KEYS + 1).collect()]
-    if len(handful) <= LISTED_KEYS:
-        return F.broadcast(keys), sorted({k for k in handful if k is not None})
-    return (F.broadcast(keys) if is_small(keys, BROADCAST_KEYS) else keys), None
+    def _small(self, keys: DataFrame) -> DataFrame:
+        """``keys``, of which there are ``n`` at most: broadcast if that is few."""
+        return F.broadcast(keys) if self.n <= BROADCAST_KEYS else keys
 
+    def pruned(self, table: DataFrame) -> DataFrame:
+        """``table`` without row groups that hold no requested company."""
+        return table if self.listed is None else table.where(F.col("cnpj_basico").isin(self.listed))
 
-def rows_of_keys(table: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows of ``table`` whose ``columns`` equal a row of ``keys`` (equalities on bare columns)."""
-    few, listed = few_keys(keys, columns)
-    if listed is not None:
-        table = table.where(F.col(columns[0]).isin(listed))
-    return table.join(few, columns, "left_semi")
+    def of_companies(self, table: DataFrame) -> DataFrame:
+        """Rows of ``table`` that belong to a requested company (whether or not a site of it is found)."""
+        return self.pruned(table).join(self.companies, "cnpj_basico", "left_semi")
 
 
-def matched_sites(cat: Catalog, keys: DataFrame) -> DataFrame:
+def ask(keys: DataFrame | Asked) -> Asked:
+    """The requested keys, written once: two jobs, three if they are few enough to list."""
+    if isinstance(keys, Asked):
+        return keys
+    rows, n = written(keys.select(*KEY3, "dv_valido").distinct(), "requested-keys")
+    listed = sorted({r[0] for r in rows.select("cnpj_basico").collect()}) if n <= LISTED_KEYS else None
+    return Asked(rows, n, listed)
+
+
+def matched_sites(cat: Catalog, keys: DataFrame | Asked) -> DataFrame:
     """Sites whose three key parts equal a requested key."""
-    return rows_of_keys(cat.est, keys, KEY3)
+    asked = ask(keys)
+    return asked.pruned(cat.est).join(asked.sites, KEY3, "left_semi")
+
 
+def found_sites(cat: Catalog, keys: DataFrame | Asked) -> DataFrame:
+    """Matched sites whose company has a row."""
+    asked = ask(keys)
+    known = asked._small(company_keys(asked.of_companies(cat.emp.select("cnpj_basico"))))
+    return matched_sites(cat, asked).join(known, "cnpj_basico", "left_semi")
 
-def found_sites(cat: Catalog, keys: DataFrame) -> DataFrame:
-    """Matched sites whose company has a row: the rest of a report follows from these alone."""
-    sites = matched_sites(cat, keys)
-    known = company_keys(rows_of_keys(cat.emp.select("cnpj_basico"), company_keys(sites), ["cnpj_basico"]))
-    return sites.join(known, "cnpj_basico", "left_semi")
+
+def found_companies(cat: Catalog, asked: Asked) -> DataFrame:
+    """Company keys of the found sites; no more than there are requested keys."""
+    return asked._small(company_keys(found_sites(cat, asked)))
 
 
 def company_keys(df: DataFrame) -> DataFrame:
@@ -96,9 +128,10 @@ def company_keys(df: DataFrame) -> DataFrame:
     return df.select("cnpj_basico").distinct()
 
 
-def companies_of(cat: Catalog, keys: DataFrame) -> DataFrame:
-    emp = cat.emp.select("cnpj_basico", *COMPANY_FIELDS)
-    return rows_of_keys(emp, matched_sites(cat, keys), ["cnpj_basico"]).distinct()
+def companies_of(cat: Catalog, keys: DataFrame | Asked) -> DataFrame:
+    asked = ask(keys)
+    emp = asked.pruned(cat.emp.select("cnpj_basico", *COMPANY_FIELDS))
+    return emp.join(asked._small(company_keys(matched_sites(cat, asked))), "cnpj_basico", "left_semi").distinct()
 
 
 def _first_row_order(cols: list[str]) -> Column:
@@ -106,16 +139,16 @@ def _first_row_order(cols: list[str]) -> Column:
     return F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in cols])
 
 
-def simples_status(cat: Catalog, keys: DataFrame) -> DataFrame:
+def simples_status(cat: Catalog, keys: DataFrame | Asked) -> DataFrame:
     """One tax-regime row per found company, flags defaulting to ``'N'``.
     With several rows for a company the first in (fields ascending, NULLs last) order is used;
     picking it is an aggregate, so it is combined map-side before the shuffle."""
     cat.require("simples")
-    return _regime(cat, found_sites(cat, keys))
+    asked = ask(keys)
+    return _regime(asked.of_companies(cat.sim).join(found_companies(cat, asked), "cnpj_basico", "left_semi"))
 
 
-def _regime(cat: Catalog, sites: DataFrame) -> DataFrame:
-    sim = rows_of_keys(cat.sim, sites, ["cnpj_basico"])
+def _regime(sim: DataFrame) -> DataFrame:
     first = (sim.groupBy("cnpj_basico")
              .agg(F.min_by(F.struct(*SIMPLES_FIELDS), _first_row_order(SIMPLES_FIELDS)).alias("s")))
     return first.select(
@@ -130,46 +163,63 @@ def _regime(cat: Catalog, sites: DataFrame) -> DataFrame:
 
 
 FOUND, NOT_FOUND, MALFORMED = "found", "not found", "malformed"
+REPORT_FIELDS = [*COMPANY_FIELDS, "opcao_simples", "opcao_mei", *[c for c in SIMPLES_FIELDS if c.startswith("data_")]]
+
 
+def _companies_with_regime(cat: Catalog, asked: Asked) -> DataFrame:
+    """(cnpj_basico, REPORT_FIELDS): distinct rows of the requested companies, whether or not a site is found."""
+    rows = asked.of_companies(cat.emp.select("cnpj_basico", *COMPANY_FIELDS)).distinct()
+    if cat.has("simples"):
+        rows = rows.join(_regime(asked.of_companies(cat.sim)), "cnpj_basico", "left")
+        flags = [C.flag(c).alias(c) for c in ("opcao_simples", "opcao_mei")]
+    else:
+        rows = rows.withColumns({c: F.lit(None).cast("string") for c in SIMPLES_FIELDS})
+        flags = ["opcao_simples", "opcao_mei"]
+    return rows.select("cnpj_basico", *COMPANY_FIELDS, *flags, *REPORT_FIELDS[len(COMPANY_FIELDS) + 2:])
 
-def cnpj_report(cat: Catalog, req: DataFrame, col: str = "cnpj_input") -> DataFrame:
+
+def cnpj_report(cat: Catalog, req: DataFrame, col: str = "cnpj_input", keys: Asked | None = None) -> DataFrame:
     """One row per distinct request: ``status`` says whether it was found (then with the company's data,
     one row per distinct company row), is in no site table, or is no CNPJ (``cnpj`` is then the
     request as given)."""
     requests = normalize_requests(req, col)
-    keys = requests.where("tamanho_ok").select(*KEY3, "dv_valido").distinct()
-    sites = found_sites(cat, keys)
-    companies = rows_of_keys(cat.emp.select("cnpj_basico", *COMPANY_FIELDS), sites, ["cnpj_basico"]).distinct()
-    if cat.has("simples"):
-        companies = companies.join(_regime(cat, sites), "cnpj_basico", "left")
-        flags = [C.flag("opcao_simples").alias("opcao_simples"), C.flag("opcao_mei").alias("opcao_mei")]
-        dates = [F.col(c) for c in SIMPLES_FIELDS if c.startswith("data_")]
-    else:
-        flags = [F.lit(None).cast("string").alias(c) for c in SIMPLES_FIELDS if c.startswith("opcao_")]
-        dates = [F.lit(None).cast("string").alias(c) for c in SIMPLES_FIELDS if c.startswith("data_")]
-    shown = cnpj_mask("cnpj_basico", "cnpj_ordem", "cnpj_dv").alias("cnpj")
-    found_keys = sites.select(*KEY3).distinct()
-    found = (keys.join(found_keys, KEY3, "left_semi").join(companies, "cnpj_basico")
-             .select(shown, F.lit(FOUND).alias("status"), "dv_valido", *COMPANY_FIELDS, *flags, *dates))
-    absent = keys.join(found_keys, KEY3, "left_anti").select(shown, F.lit(NOT_FOUND).alias("status"), "dv_valido")
+    asked = keys or ask(requests.where("tamanho_ok"))
+    there = asked._small(asked.pruned(cat.est.select(*KEY3)).join(asked.sites, KEY3, "left_semi").distinct())
+    companies = _companies_with_regime(cat, asked).withColumns({"_company": F.lit(True), "_key": F.col("cnpj_basico")})
+    # a site without a company row is not found, nor is a company row without the requested site
+    rows = (asked.rows.join(there.withColumn("_site", F.lit(True)), KEY3, "left")
+            .join(companies.drop("cnpj_basico"), (F.col("cnpj_basico") == F.col("_key")) & F.col("_site"), "left"))
+    status = F.when(F.col("_company"), F.lit(FOUND)).otherwise(F.lit(NOT_FOUND)).alias("status")
+    answers = rows.select(cnpj_mask("cnpj_basico", "cnpj_ordem", "cnpj_dv").alias("cnpj"), status, "dv_valido", *REPORT_FIELDS)
     bad = (requests.where("NOT coalesce(tamanho_ok, false)").select(F.col(col).alias("cnpj")).distinct()
            .select("cnpj", F.lit(MALFORMED).alias("status"), F.lit(False).alias("dv_valido")))
-    return found.unionByName(absent.unionByName(bad), allowMissingColumns=True)
+    return answers.unionByName(bad, allowMissingColumns=True)
 
 
 def _or_blank(c: str) -> Column:
     return C.blank(c)
 
 
-def sites_of(cat: Catalog, keys: DataFrame, sort: bool = True) -> DataFrame:
-    sites = found_sites(cat, keys)
+def site_order() -> list:
+    return [C.try_int("identificador_matriz_filial"), "data_inicio_atividade", "cnpj"]
+
+
+PARTNER_ORDER = ["nome_socio_ou_razao_social", "cnpj_basico", "cnpj_cpf_socio"]
+
+
+def sites_of(cat: Catalog, keys: DataFrame | Asked, sort: bool = True) -> DataFrame:
+    out = _shown_sites(cat, found_sites(cat, keys)).drop("cnpj_basico")
+    return order_nulls_last(out, site_order()) if sort else out
+
+
+def _shown_sites(cat: Catalog, sites: DataFrame) -> DataFrame:
     has_mun = cat.has("municipios")
     if has_mun:
         sites = lookup_join(sites, cat.mun, "municipio", "left", prefix="mun")
     mun_name = F.col("mun_descricao") if has_mun else F.lit(None).cast("string")
     b = _or_blank
-    out = sites.select(
-        cnpj_mask("cnpj_basico", "cnpj_ordem", "cnpj_dv").alias("cnpj"),
+    return sites.select(
+        "cnpj_basico", cnpj_mask("cnpj_basico", "cnpj_ordem", "cnpj_dv").alias("cnpj"),
         C.site_kind_label("identificador_matriz_filial").alias("tipo"),
         "identificador_matriz_filial", "nome_fantasia", "cnae_fiscal_principal", "cnae_fiscal_secundaria",
         "data_inicio_atividade", "situacao_cadastral",
@@ -182,10 +232,6 @@ def sites_of(cat: Catalog, keys: DataFrame, sort: bool = True) -> DataFrame:
                  F.lit(" fax="), b("ddd_fax"), b("fax"), F.lit(" email="),
                  b("correio_eletronico")).alias("contatos"),
     )
-    if not sort:
-        return out
-    return order_nulls_last(out, [C.try_int("identificador_matriz_filial"), "data_inicio_atividade",
-                                  "cnpj"])
 
 
 def _py_text(c: str) -> Column:
@@ -193,16 +239,43 @@ def _py_text(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit("None"))
 
 
-def partners_of(cat: Catalog, keys: DataFrame, sort: bool = True) -> DataFrame:
+def partners_of(cat: Catalog, keys: DataFrame | Asked, sort: bool = True) -> DataFrame:
     cat.require("socios")
-    soc = rows_of_keys(cat.soc, found_sites(cat, keys), ["cnpj_basico"])
+    asked = ask(keys)
+    # the filter on requested companies comes first, beside the scan
+    soc = asked.of_companies(cat.soc).join(found_companies(cat, asked), "cnpj_basico", "left_semi")
     out = soc.select(
         "cnpj_basico", "identificador_socio", "nome_socio_ou_razao_social", "cnpj_cpf_socio",
         "qualificacao_socio", "data_entrada_sociedade", "pais", "faixa_etaria",
         F.concat(_py_text("representante_legal"), F.lit(" - "), _py_text("nome_representante"),
                  F.lit(" ("), _py_text("qualificacao_representante_legal"), F.lit(")")).alias("representante"),
     )
-    return order_nulls_last(out, ["nome_socio_ou_razao_social", "cnpj_basico", "cnpj_cpf_socio"]) if sort else out
+    return order_nulls_last(out, PARTNER_ORDER) if sort else out
+
+
+#: rows of one nested array
+PAGE_ROWS = 1000
+
+
+def nested_report(cat: Catalog, keys: DataFrame | Asked, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Found companies with their found sites and their partners as nested arrays.
+
+    One row per distinct company row and page: the company's fields, ``page`` (from 1), ``sites`` and ``partners``,
+    each an array of structs in the report's order with at most ``page_rows`` entries. Page ``p`` holds the
+    ``p``-th stretch of both lists; the shorter one is empty on further pages. Companies without partners
+    have page 1 only for their sites.
+    """
+    asked = ask(keys)
+    sites = pages(_shown_sites(cat, found_sites(cat, asked)), "cnpj_basico", site_order(), "sites", page_rows)
+    if cat.has("socios"):
+        partners = pages(partners_of(cat, asked, sort=False), "cnpj_basico", PARTNER_ORDER, "partners", page_rows)
+        both = sites.join(partners, ["cnpj_basico", "page"], "full")
+    else:
+        both = sites.withColumn("partners", F.lit(None).cast("array<struct<identificador_socio:string>>"))
+    companies = _companies_with_regime(cat, asked)
+    empty = lambda c: F.coalesce(c, F.array().cast(both.schema[c].dataType)).alias(c)
+    return (companies.join(both, "cnpj_basico")
+            .select("cnpj_basico", "page", *REPORT_FIELDS, empty("sites"), empty("partners")))
 
 
 def site_requests(cat: Catalog) -> DataFrame:

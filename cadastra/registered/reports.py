@@ -87,14 +87,14 @@ def q_cnpj_split(spark, sf_dir):
 SELECT cnpj_basico, cnpj_ordem, cnpj_dv, nome_fantasia, situacao_cadastral FROM matched""")
 def q_cnpj_lookup(spark, sf_dir):
     cat, req = _req(spark, sf_dir)
-    return R.matched_sites(cat, R.requested_keys(req, distinct=False)).select(
+    return R.matched_sites(cat, R.requested_keys(req)).select(
         "cnpj_basico", "cnpj_ordem", "cnpj_dv", "nome_fantasia", "situacao_cadastral")
 
 
 @register("companies_of_cnpjs", REQUEST_CTES + "SELECT * FROM comp")
 def q_companies_of_cnpjs(spark, sf_dir):
     cat, req = _req(spark, sf_dir)
-    return R.companies_of(cat, R.requested_keys(req, distinct=False))
+    return R.companies_of(cat, R.requested_keys(req))
 
 
 @register("simples_status", REQUEST_CTES + """
@@ -102,7 +102,7 @@ SELECT cnpj_basico, COALESCE(opcao_simples, 'N') AS opcao_simples, data_opcao_si
        COALESCE(opcao_mei, 'N') AS opcao_mei, data_opcao_mei, data_exclusao_mei FROM sim1""")
 def q_simples_status(spark, sf_dir):
     cat, req = _req(spark, sf_dir)
-    return R.simples_status(cat, R.requested_keys(req, distinct=False))
+    return R.simples_status(cat, R.requested_keys(req))
 
 
 @register("cnpj_report", REQUEST_CTES + """
@@ -163,7 +163,7 @@ LEFT JOIN municipios mun ON TRY_CAST(m.municipio AS INTEGER) = TRY_CAST(mun.codi
 ORDER BY TRY_CAST(m.identificador_matriz_filial AS INTEGER) NULLS LAST, m.data_inicio_atividade NULLS LAST""")
 def q_sites_of_cnpj(spark, sf_dir):
     cat, req = _req(spark, sf_dir)
-    return R.sites_of(cat, R.requested_keys(req, distinct=False))
+    return R.sites_of(cat, R.requested_keys(req))
 
 
 @register("partners_of", REQUEST_CTES + """
@@ -175,7 +175,42 @@ FROM socios WHERE cnpj_basico IN (SELECT cnpj_basico FROM found)
 ORDER BY nome_socio_ou_razao_social NULLS LAST""")
 def q_partners_of(spark, sf_dir):
     cat, req = _req(spark, sf_dir)
-    return R.partners_of(cat, R.requested_keys(req, distinct=False))
+    return R.partners_of(cat, R.requested_keys(req))
+
+
+#: rows of a page in the registered query: most companies have several
+SHOWN_PAGE = 3
+
+# the flat parts, ranked within a company and cut into pages; arrays shown as lines
+@register("cnpj_report_nested", REQUEST_CTES + f"""
+, site_rows AS (
+  SELECT cnpj_basico, cnpj_basico || '.' || cnpj_ordem || '/' || cnpj_dv AS line, row_number() OVER (PARTITION BY cnpj_basico ORDER BY
+    TRY_CAST(identificador_matriz_filial AS INTEGER) NULLS LAST, data_inicio_atividade NULLS LAST, cnpj_ordem, cnpj_dv) - 1 AS nth
+  FROM found),
+partner_rows AS (
+  SELECT cnpj_basico, concat_ws('|', nome_socio_ou_razao_social, cnpj_cpf_socio, qualificacao_socio, data_entrada_sociedade) AS line,
+    row_number() OVER (PARTITION BY cnpj_basico ORDER BY nome_socio_ou_razao_social NULLS LAST, cnpj_cpf_socio NULLS LAST,
+      identificador_socio NULLS LAST, qualificacao_socio NULLS LAST, data_entrada_sociedade NULLS LAST) - 1 AS nth
+  FROM socios WHERE cnpj_basico IN (SELECT cnpj_basico FROM found)),
+site_pages AS (SELECT cnpj_basico, nth // {SHOWN_PAGE} + 1 AS page, string_agg(line, chr(10) ORDER BY nth) AS sites, count(*) AS n_sites
+               FROM site_rows GROUP BY ALL),
+partner_pages AS (SELECT cnpj_basico, nth // {SHOWN_PAGE} + 1 AS page, string_agg(line, chr(10) ORDER BY nth) AS partners, count(*) AS n_partners
+                  FROM partner_rows GROUP BY ALL)
+SELECT c.cnpj_basico, page::INTEGER AS page, c.razao_social, c.natureza_juridica, c.porte_empresa, c.capital_social_empresa,
+  COALESCE(s.opcao_simples, 'N') AS opcao_simples, COALESCE(s.opcao_mei, 'N') AS opcao_mei,
+  COALESCE(n_sites, 0)::INTEGER AS n_sites, COALESCE(n_partners, 0)::INTEGER AS n_partners,
+  COALESCE(sites, '') AS sites, COALESCE(partners, '') AS partners
+FROM comp c JOIN (site_pages FULL JOIN partner_pages USING (cnpj_basico, page)) USING (cnpj_basico)
+LEFT JOIN sim1 s USING (cnpj_basico)""")
+def q_cnpj_report_nested(spark, sf_dir):
+    cat, req = _req(spark, sf_dir)
+    nested = R.nested_report(cat, R.requested_keys(req), page_rows=SHOWN_PAGE)
+    partner = ("nome_socio_ou_razao_social", "cnpj_cpf_socio", "qualificacao_socio", "data_entrada_sociedade")
+    return nested.select(
+        "cnpj_basico", "page", *R.COMPANY_FIELDS, "opcao_simples", "opcao_mei",
+        F.size("sites").alias("n_sites"), F.size("partners").alias("n_partners"),
+        F.array_join(F.transform("sites", lambda s: s["cnpj"]), "\n").alias("sites"),
+        F.array_join(F.transform("partners", lambda p: F.concat_ws("|", *[p[c] for c in partner])), "\n").alias("partners"))
 
 
 # ---------------------------------------------------------------------------------------------

@@ -15,7 +15,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SCALE_CONFS = {
     # runtime re-planning: coalesce small shuffle partitions, split skewed join partitions,
@@ -78,3 +79,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/cadastra-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``df`` as a table in the shared scratch folder (lineage cut, safe from lost executors) and its number
+    of rows, counted in the pass that writes."""
+    spark, seen = df.sparkSession, Observation()
+    path = scratch_path(spark, name)
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["n"] or 0
