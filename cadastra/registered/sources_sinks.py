@@ -95,7 +95,7 @@ def q_ingest_latin1_lookup(spark, sf_dir):
 
 
 # Damage rules of the bad-row fixture, keyed by the site's check digits:
-#   '00' one extra field, '10' one extra empty field (both dropped), '01' only the first 25
+#   '00' one extra field (or 5,000), '10' one extra empty field (both dropped), '01' only the first 25
 #   fields (padded with NULL), '03' a quoted newline and doubled quotes inside a field.
 BAD_NEWLINE_SQL = "CASE WHEN cnpj_dv = '03' THEN nome_fantasia || chr(10) || 'say \"hi\"' ELSE nome_fantasia END"
 
@@ -114,7 +114,8 @@ def q_ingest_bad_rows(spark, sf_dir):
                          .otherwise(F.col("nome_fantasia")))
     cols = COLUMNS["estabelecimentos"]
     full, short = D.render_lines(est, cols), D.render_lines(est, cols[:25])
-    line = (F.when(dv == "00", F.concat(full, F.lit(';"extra"')))
+    line = (F.when((dv == "00") & F.col("cnpj_basico").endswith("00"), F.concat(full, F.repeat(F.lit(';"extra"'), F.lit(5000))))
+            .when(dv == "00", F.concat(full, F.lit(';"extra"')))
             .when(dv == "10", F.concat(full, F.lit(';""')))
             .when(dv == "01", short).otherwise(full))
     path = scratch_path(spark, "bad-rows") + "/Estabelecimentos"
@@ -122,6 +123,24 @@ def q_ingest_bad_rows(spark, sf_dir):
     return D.read_base_dump(spark, path, "estabelecimentos")
 
 
+# every field of most rows holds a newline, a delimiter or quotes, so most blocks begin inside a record
+SPLIT_BYTES = 1 << 17
+SPLIT_COLUMNS = {"logradouro": "logradouro || chr(10) || chr(10) || ';' || COALESCE(bairro, '')",
+                 "nome_fantasia": "'\"' || nome_fantasia || '\"' || chr(10) || cnpj_dv",
+                 "correio_eletronico": "CASE WHEN cnpj_dv > '40' THEN repeat(correio_eletronico || chr(10), 20) ELSE correio_eletronico END"}
+
+
+@register("ingest_multiline_split", "SELECT " + ", ".join(
+    f"{_tok(SPLIT_COLUMNS.get(c, c))} AS {c}" if c in {x for x, _ in VIEWS["estabelecimentos"].columns} else f"CAST(NULL AS VARCHAR) AS {c}"
+    for c in COLUMNS["estabelecimentos"]) + " FROM estabelecimentos")
+def q_ingest_multiline_split(spark, sf_dir):
+    est = _full(_cat(spark, sf_dir).est, "estabelecimentos")
+    est = est.withColumns({c: F.expr(e.replace("chr(10)", "char(10)")) for c, e in SPLIT_COLUMNS.items()})
+    path = scratch_path(spark, "multiline") + "/Estabelecimentos"
+    D.write_dump(est, path)
+    return D.read_base_dump(spark, path, "estabelecimentos", multiline="split", block_bytes=SPLIT_BYTES)
+
+
 # NULL-token fixture: one token per check-digit value ('07' uses 'none', which is not a token).
 NULL_TOKEN_RULES = {"02": ("bairro", "NA"), "03": ("logradouro", "NULL"), "04": ("complemento", "nan"),
                     "05": ("nome_fantasia", "None"), "06": ("correio_eletronico", "n/a"),

@@ -2,9 +2,10 @@
 
 Reading (:func:`read_dump`) is Spark's CSV source with a fixed all-string schema:
 
-* quoted fields may hold ``;``, newlines and doubled quotes. Files whose records span lines need
-  the unsplittable ``multiLine`` mode; :func:`multiline_files` finds them with one splittable text
-  scan so that every other file is parsed by many tasks;
+* quoted fields may hold ``;``, newlines and doubled quotes. :func:`multiline_files` finds the files whose
+  records span lines with one splittable text scan, so that every other file is parsed line by line. Of
+  those, small files are read in ``multiLine`` mode (a task per file) and large ones by
+  :mod:`~cadastra.sources.records` (many tasks per file);
 * **bad rows**: a row with *more* fields than the schema is dropped; a row with fewer is padded
   with NULLs. Spark's PERMISSIVE mode flags both kinds in ``_corrupt_record``; only the flagged
   rows are re-tokenised to count their fields, so clean rows pay nothing;
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import csv
 import io
-from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .records import BLOCK_BYTES, first_record_lines, read_records
 from .schema import COLUMNS, NA_TOKENS, null_tokens
 
 # Dump format.
@@ -35,8 +36,6 @@ DELIMITER = ";"
 QUOTE = '"'
 ENCODING = "ISO-8859-1"
 CORRUPT = "_corrupt_record"
-# a ';' that is outside quotes (followed by an even number of quote characters)
-FIELD_SPLIT = r';(?=(?:[^"]*"[^"]*")*[^"]*$)'
 # First-line header test — a delimiter and at least one letter.
 HEADER_LETTERS = r"[A-Za-zÀ-ÿ_]"
 
@@ -52,15 +51,24 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def free_name(name: str, taken, first: int, sign: str) -> str:
+    """``name`` with the first number from ``first`` on that makes it none of ``taken`` (upper and lower case alike)."""
+    while f"{name}{sign}{first}".lower() in taken:
+        first += 1
+    return f"{name}{sign}{first}"
+
+
 def header_names(fields: Sequence[str]) -> list[str]:
-    """Names from a header record: blanks become ``Unnamed: n``, repeats get ``.1``, ``.2``, …"""
-    seen: Counter = Counter()
-    names = []
-    for i, f in enumerate(fields):
-        name = f if f else f"Unnamed: {i}"
-        names.append(f"{name}.{seen[name]}" if seen[name] else name)
-        seen[name] += 1
-    return names
+    """Names from a header record: blanks become ``Unnamed: n``, repeats get ``.1``, ``.2``, …, counting on
+    where the header itself has such a name. Names that differ in case only count as repeats."""
+    names = [f if f else f"Unnamed: {i}" for i, f in enumerate(fields)]
+    given, used, out = {n.lower() for n in names}, set(), []
+    for name in names:
+        if name.lower() in used:
+            name = free_name(name, given | used, 1, ".")
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 def column_plan(base: str, first_record: Sequence[str], header: bool) -> tuple[list[str], bool]:
@@ -73,9 +81,32 @@ def column_plan(base: str, first_record: Sequence[str], header: bool) -> tuple[l
     return [f"col_{i:02d}" for i in range(width)], False
 
 
-def count_fields(raw) -> F.Column:
-    """Number of ``;``-separated fields of a raw record, ignoring delimiters inside quotes."""
-    return F.size(F.split(F.regexp_replace(raw, r"[\r\n]+$", ""), FIELD_SPLIT))
+# States of the field count, by what stands before a place: nothing of the field yet, an open quote, unquoted text, and a
+# quote inside quotes (which ends them unless it is doubled).
+_BEGIN, _QUOTED, _PLAIN, _CLOSED = range(4)
+
+
+def count_fields(raw) -> Column:
+    """Number of ``;``-separated fields of a raw record: a quote opens a field only at its start, delimiters inside
+    quotes do not count. One step per quote character, so any width takes linear time."""
+    raw = F.col(raw) if isinstance(raw, str) else raw
+    step = lambda state, fields: F.struct(state.alias("state"), fields.alias("fields"))
+
+    def after_text(s: Column, text: Column) -> Column:
+        state = (F.when((s["state"] == _QUOTED) | (text == ""), s["state"]).when(text.endswith(DELIMITER), F.lit(_BEGIN))
+                 .otherwise(F.lit(_PLAIN)))
+        more = F.when(s["state"] == _QUOTED, F.lit(0)).otherwise(F.length(text) - F.length(F.replace(text, F.lit(DELIMITER), F.lit(""))))
+        return step(state, s["fields"] + more)
+
+    def after_quote(s: Column) -> Column:
+        state = (F.when(s["state"] == _BEGIN, F.lit(_QUOTED)).when(s["state"] == _QUOTED, F.lit(_CLOSED))
+                 .when(s["state"] == _CLOSED, F.lit(_QUOTED)).otherwise(F.lit(_PLAIN)))
+        return step(state, s["fields"])
+
+    parts = F.split(F.regexp_replace(raw, r"[\r\n]++$", ""), QUOTE)
+    begin = after_text(step(F.lit(_BEGIN), F.lit(1)), parts[0])
+    return F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), begin,
+                       lambda s, text: after_text(after_quote(s), text), lambda s: s["fields"])
 
 
 def apply_bad_row_policy(df: DataFrame, width: int, observation=None) -> DataFrame:
@@ -97,14 +128,28 @@ def apply_null_tokens(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def read_dump(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str],
-              header: bool = False, encoding: str = ENCODING, multiline: bool = True,
-              observation=None) -> DataFrame:
-    """Read dump files into the given all-string columns with the bad-row and NULL-token rules."""
+              header: bool = False, encoding: str = ENCODING, multiline: bool | str = True,
+              observation=None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Read dump files into the given all-string columns with the bad-row and NULL-token rules.
+
+    ``multiline``: True for records that may span lines, one task per file; ``"split"`` for the same with a task per
+    ``block_bytes`` of a file; False for records of one line.
+    """
     schema = StructType([StructField(n, StringType(), True) for n in names]
                         + [StructField(CORRUPT, StringType(), True)])
-    df = (_reader(spark, encoding, multiline).option("header", str(header).lower())
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          .schema(schema).csv(list(paths) if not isinstance(paths, str) else paths))
+    if multiline == "split":
+        records = read_records(spark, paths, block_bytes)
+        if header:  # the first record of every file
+            records = records.where("NOT (block = 0 AND n = 0)")
+        options = {"sep": DELIMITER, "quote": QUOTE, "escape": QUOTE, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+                   "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        text = F.regexp_replace(F.decode("data", encoding), r"\r\z", "")
+        row = records.select(F.from_csv(text, schema.toDDL(), options).alias("_row"))
+        df = row.select(*[F.col("_row").getField(f.name).alias(f.name) for f in schema.fields])
+    else:
+        df = (_reader(spark, encoding, multiline).option("header", str(header).lower())
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .schema(schema).csv(list(paths) if not isinstance(paths, str) else paths))
     df = apply_bad_row_policy(df, len(names), observation)
     return apply_null_tokens(df, names)
 
@@ -134,30 +179,10 @@ def render_lines(df: DataFrame, columns: Sequence[str] | None = None) -> F.Colum
 BLOCK = 1 << 16
 
 
-def record_end(data: bytes) -> int | None:
-    """Where the first record ends (the first newline outside quotes), if that is in ``data``."""
-    at, quotes = -1, 0
-    while True:
-        at, last = data.find(b"\n", at + 1), at
-        if at < 0:
-            return None
-        quotes += data.count(b'"', last + 1, at)
-        if quotes % 2 == 0:
-            return at
-
-
 def first_record(stream, encoding: str = ENCODING) -> str:
-    """Text of the first record of an open file: read on until it is complete, however long it is."""
-    data = b""
-    while block := stream.read(BLOCK):
-        data += block
-        end = record_end(data)
-        if end is not None:
-            data = data[:end]
-            break
-        if len(data) > 64 * BLOCK:  # very long: take larger steps, so that the search stays linear
-            data += stream.read(len(data))
-    return data.decode(encoding, errors="ignore").rstrip("\r\n")
+    """Text of the first record of an open file that is not blank: read on until it is complete, however long it is."""
+    lines = first_record_lines(iter(io.BufferedReader(stream, BLOCK).readline, b""))
+    return b"".join(lines).decode(encoding, errors="ignore").rstrip("\r\n")
 
 
 def split_record(record: str) -> list[str]:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from .catalog import PART_PREFIX
 from .dumps import ENCODING, column_plan, file_profiles, list_files, multiline_files, read_dump
+from .records import BLOCK_BYTES
 from .schema import INGEST_BASE_RULES, detect_base
 
 MANIFEST = "_ingested"
@@ -74,8 +75,8 @@ def ingest_file(spark: SparkSession, source: Row, out_root: str, encoding: str =
         raise ValueError("the file holds no record")
     names, own_header = column_plan(source["base"], source["fields"], source["has_header"])
     seen = Observation()
-    df = read_dump(spark, source["path"], names, header=own_header, encoding=encoding,
-                   multiline=source["multiline"], observation=seen)
+    multiline = "split" if source["multiline"] and source["length"] > BLOCK_BYTES else source["multiline"]
+    df = read_dump(spark, source["path"], names, header=own_header, encoding=encoding, multiline=multiline, observation=seen)
     df.write.mode("overwrite").option("compression", "zstd").parquet(dataset_of(out_root, source["base"], source["path"]))
     return seen.get["long_rows"] or 0
 
@@ -86,7 +87,8 @@ def ingest_directory(spark: SparkSession, src_root: str, out_root: str, glob: st
     """Ingest every pending dump under ``src_root``; returns {base: glob of its Parquet datasets}.
 
     ``multiline=None`` decides per file: files whose records never span lines are read in the
-    splittable single-line mode (many tasks per file), the others in multi-line mode. Long rows
+    splittable single-line mode (many tasks per file), the others in multi-line mode, large ones of them by
+    records (many tasks per file as well). Long rows
     dropped by the bad-row rule are counted in the same pass and reported as a warning. Failures
     are collected in ``errors`` as ``(base, path, message)`` — without that list, the first one is
     raised after the other files are done — and stay out of the manifest, so the next run retries them.
