@@ -92,6 +92,18 @@ def code_of(df: DataFrame, column: str) -> Column:
     return F.col(landed) if landed in df.columns else C.try_int(column)
 
 
+def active(est: DataFrame) -> Column:
+    """Active by code or by text; landed sites hold the answer."""
+    return F.col("ativa") if "ativa" in est.columns else C.is_active("situacao_cadastral", code_of(est, "situacao_cadastral"))
+
+
+def division(est: DataFrame, number: int) -> Column:
+    """Activity division as a number; landed sites hold it."""
+    if "divisao_int" in est.columns:
+        return F.col("divisao_int") == F.lit(int(number))
+    return C.division_eq("cnae_fiscal_principal", number)
+
+
 def site_predicates(f: LeadFilter, est: DataFrame) -> list[Column]:
     """Predicates that only read site columns (applied before any join)."""
     p: list[Column] = []
@@ -105,7 +117,7 @@ def site_predicates(f: LeadFilter, est: DataFrame) -> list[Column]:
         # with the lookup the code must also exist there (inner semantics, enforced after the join)
         p.append(C.code_eq(code_of(est, "municipio"), int(f.municipio)))
     if f.cnae:
-        p.append(C.division_eq("cnae_fiscal_principal", f.cnae))
+        p.append(division(est, f.cnae))
     if f.cnae_principal:
         p.append(F.col("cnae_fiscal_principal") == F.lit(f.cnae_principal))
     if f.cnae_secundario:
@@ -202,7 +214,7 @@ def health_leads(cat: Catalog, include_branches: bool = False, uf: str = "MG",
         state_eq(cat.est, uf),
         # the lookup's code equals the site's code whenever the two joined, so one test suffices
         C.code_eq(code_of(cat.est, "municipio"), municipio_code),
-        C.cnae_division("cnae_fiscal_principal") == F.lit(division),
+        F.col("cnae_fiscal_principal").startswith(division),
     ]
     if not include_branches:
         site_preds.append(C.is_head_office(code_of(cat.est, "identificador_matriz_filial")))

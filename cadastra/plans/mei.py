@@ -17,12 +17,12 @@ from ..functions.identity import cnpj_key
 from ..operators.aggregates import status_breakdown
 from ..operators.joins import DEFAULT_SKEW, SkewPolicy, fact_join, lookup_join
 from ..sources.catalog import Catalog
-from .leads import code_of, state_eq
+from .leads import active, code_of, state_eq
 
 
 def mei_active_leads(cat: Catalog, uf: str = "MG", skew: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
     cat.require("estabelecimentos", "empresas", "simples", "municipios")
-    est = cat.est.where(state_eq(cat.est, uf) & C.is_active("situacao_cadastral", code_of(cat.est, "situacao_cadastral")))
+    est = cat.est.where(state_eq(cat.est, uf) & active(cat.est))
     emp = cat.emp.select("cnpj_basico", "razao_social")
     sim = cat.sim.select("cnpj_basico", "opcao_mei").where(C.is_yes("opcao_mei")).drop("opcao_mei")
     df = fact_join(est, [(emp, "inner"), (sim, "inner")], skew=skew,

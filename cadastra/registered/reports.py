@@ -9,9 +9,13 @@ from ..functions import codes as C
 from ..functions.identity import DV1_WEIGHTS, DV2_WEIGHTS, cnpj_key
 from ..functions.text import clean_name, clean_name_sql, slug, slug_sql
 from ..operators.joins import DEFAULT_SKEW, SkewPolicy, fact_join, lookup_join
+from ..operators.ordering import order_nulls_last
 from ..plans import report as R
+from ..plans.leads import LeadFilter, leads
+from ..session import scratch_path
 from ..sources.catalog import Catalog
-from .common import _cat, _registry_cols
+from ..sources.layout import SPLIT_ALREADY, over_parts, write_layout
+from .common import BY_NAME, IN_MG, PORTE_35, _cat, _registry_cols, lead_sql
 
 
 # ---------------------------------------------------------------------------------------------
@@ -351,6 +355,27 @@ def q_join_tax_regime(spark, sf_dir):
     return df.select(cnpj_key().alias("cnpj"), "opcao_simples", "opcao_mei")
 
 
+def _layout(spark, sf_dir):
+    """The co-located layout with eight buckets; companies with more than three sites are hot."""
+    return write_layout(_cat(spark, sf_dir), scratch_path(spark, "layout"), SkewPolicy(hot_rows=3), buckets=8)
+
+
+@register("join_colocated", """
+SELECT est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv AS cnpj, emp.razao_social, sim.opcao_mei
+FROM estabelecimentos est JOIN empresas emp USING (cnpj_basico) LEFT JOIN simples sim USING (cnpj_basico)""")
+def q_join_colocated(spark, sf_dir):
+    def joined(cat):
+        dims = [(cat.emp.select("cnpj_basico", "razao_social"), "inner"), (cat.sim.select("cnpj_basico", "opcao_mei"), "left")]
+        return fact_join(cat.est.select("cnpj_basico", "cnpj_ordem", "cnpj_dv"), dims, skew=SPLIT_ALREADY)
+    return over_parts(_layout(spark, sf_dir), joined).select(cnpj_key().alias("cnpj"), "razao_social", "opcao_mei")
+
+
+@register("leads_colocated", lead_sql(f"{IN_MG} AND {PORTE_35}", BY_NAME))
+def q_leads_colocated(spark, sf_dir):
+    found = over_parts(_layout(spark, sf_dir), lambda cat: leads(cat, LeadFilter(uf="MG"), sort=False, skew=SPLIT_ALREADY))
+    return order_nulls_last(found, ["razao_social", "cnpj"])
+
+
 @register("join_city_left", """
 SELECT est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv AS cnpj, est.municipio, mun.descricao AS municipio_nome
 FROM estabelecimentos est

@@ -14,13 +14,14 @@ tables, under a name that follows from the files it read, so changed tables are
 
 * Sites carry ``uf_norm = upper(uf)`` as a partition column, so a state filter prunes whole
   directories instead of reading every file (``upper(uf)`` itself cannot be pushed to Parquet), and
-  the lenient integer codes that the lists filter on (:data:`CODE_COLUMNS`), so those filters reach
-  the Parquet scan too.
+  the lenient integer codes that the lists filter on (:data:`CODE_COLUMNS`), the activity division and
+  whether they are active (:data:`FILTER_COLUMNS`), so those filters reach the Parquet scan too.
 * Before writing, sites are hash-partitioned on (state, hash of the whole row modulo the state's
   bucket count): a state gets one bucket per ``SITE_ROWS`` rows, measured, so a state or a company
   that holds a third of all sites is spread over as many tasks as its size asks for.
 * Every file is sorted by (state and) ``cnpj_basico``, so Parquet row-group statistics let key filters
-  (lookups of one company, joins against few keys) skip row groups.
+  (lookups of one company, joins against few keys) skip row groups. Keys that are scattered over the whole
+  range are answered by Bloom filters on ``cnpj_basico``, one a row group.
 * A base is written once; a ``_SUCCESS`` marker tells later jobs it is complete, so a lost
   executor or a rerun never reads a half-written table. Reading back starts a fresh lineage.
 """
@@ -33,9 +34,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField
 
-from ..functions.codes import try_int
+from ..functions.codes import cnae_division, is_active, try_int
 from ..operators.joins import is_small
 from ..session import checkpoint_root
 from .catalog import PART_PREFIX, Catalog
@@ -50,7 +51,12 @@ PARTITION_SOURCE = {"uf_norm": F.upper}
 CODE_COLUMNS = {"estabelecimentos": {"situacao_int": "situacao_cadastral", "matriz_int": "identificador_matriz_filial",
                                      "municipio_int": "municipio", "cnae_int": "cnae_fiscal_principal"},
                 "empresas": {"porte_int": "porte_empresa"}}
-LAYOUT_VERSION = 4       # bump when the landed layout changes: older landings are not reused
+# Other columns derived from a text column, for filters that would not reach the scan: (source, type, function).
+FILTER_COLUMNS = {"estabelecimentos": {"divisao_int": ("cnae_fiscal_principal", IntegerType(), lambda c: try_int(cnae_division(c))),
+                                       "ativa": ("situacao_cadastral", BooleanType(), is_active)}}
+# Row groups of these files answer "is this company in here?" by a Bloom filter, so scattered keys read few of them.
+BLOOM_BASES = ("empresas", "estabelecimentos", "simples", "socios")
+LAYOUT_VERSION = 5       # bump when the landed layout changes: older landings are not reused
 DEFAULT_BASES = ("empresas", "estabelecimentos", "simples", "municipios", "cnaes", "socios")
 
 _catalogs: dict[tuple[str, str, str], Catalog] = {}
@@ -74,13 +80,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def derived_columns(base: str) -> list[str]:
     """Columns that landing adds to a base."""
-    return [*CODE_COLUMNS.get(base, {}), *([PARTITION_COLUMN[base]] if base in PARTITION_COLUMN else [])]
+    return [*CODE_COLUMNS.get(base, {}), *FILTER_COLUMNS.get(base, {}), *([PARTITION_COLUMN[base]] if base in PARTITION_COLUMN else [])]
+
+
+def with_filter_columns(df: DataFrame, base: str) -> DataFrame:
+    """``df`` with the columns that landing derives from its own."""
+    own = df.columns
+    df = df.withColumns({c: try_int(src) for c, src in CODE_COLUMNS.get(base, {}).items() if src in own})
+    return df.withColumns({c: fn(src) for c, (src, _, fn) in FILTER_COLUMNS.get(base, {}).items() if src in own})
+
+
+def parquet_options(base: str) -> dict[str, str]:
+    """Writer options of a base: compression, and Bloom filters on the company key, sized by its distinct values."""
+    bloom = {f"parquet.bloom.filter.enabled#{CLUSTER_KEY}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+    return {"compression": "zstd", **(bloom if base in BLOOM_BASES else {})}
 
 
 def write_base(df: DataFrame, path: str, base: str, rows_per_file: int = SITE_ROWS) -> None:
     part = PARTITION_COLUMN.get(base)
     own = df.columns
-    w = df.withColumns({c: try_int(src) for c, src in CODE_COLUMNS.get(base, {}).items() if src in own})
+    w = with_filter_columns(df, base)
     order = [CLUSTER_KEY] if CLUSTER_KEY in own else []
     if part:
         w = w.withColumn(part, PARTITION_SOURCE[part](F.col(part.removesuffix("_norm"))))
@@ -93,7 +112,7 @@ def write_base(df: DataFrame, path: str, base: str, rows_per_file: int = SITE_RO
         order = [part, *order]  # the partitioned writer keeps this order: it only asks for the state first
     if order:
         w = w.sortWithinPartitions(*order)
-    writer = w.write.mode("overwrite").option("compression", "zstd")
+    writer = w.write.mode("overwrite").options(**parquet_options(base))
     if part:
         writer = writer.partitionBy(part)
     writer.parquet(path)
@@ -104,6 +123,9 @@ def read_base(spark: SparkSession, path: str, base: str, columns) -> DataFrame:
     for c, src in CODE_COLUMNS.get(base, {}).items():
         if src in columns:
             schema = schema.add(StructField(c, IntegerType(), True))
+    for c, (src, kind, _) in FILTER_COLUMNS.get(base, {}).items():
+        if src in columns:
+            schema = schema.add(StructField(c, kind, True))
     part = PARTITION_COLUMN.get(base)
     if part:
         schema = schema.add(StructField(part, StringType(), True))
