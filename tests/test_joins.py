@@ -98,8 +98,11 @@ def test_state_filter_prunes_partitions(spark):
     assert "uf_norm" in plan and "PartitionFilters: [isnotnull(uf_norm" in plan
 
 
-def test_code_filters_reach_the_scan(spark):
+def test_code_filters_reach_the_scan(spark, request):
     import __spark_entry__ as E
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")  # the whole list of pushed filters
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.maxMetadataStringLength", old))
     from tests.conftest import SF_SMALL
     def pushed(key):
         plan = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
