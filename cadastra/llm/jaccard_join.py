@@ -91,17 +91,18 @@ def _sets(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(row, set) of the ``wanted`` (row, doc_id, digest), from the texts; written."""
+    """(row, set) of the ``wanted`` (row, doc_id, tie, digest), from the texts; written."""
     few = wanted.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
     side = F.broadcast(wanted) if few else wanted
-    found = rows.join(side, rows.doc_id.eqNullSafe(wanted.doc_id)).select("text", "row", "digest")
+    found = (rows.join(side, rows.doc_id.eqNullSafe(wanted.doc_id) & (rows.tie == wanted.tie))
+             .select("text", "row", "digest"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep, sets = [], []
             for text, row, digest in zip(*(b.column(c).to_pylist() for c in ("text", "row", "digest"))):
                 s = shingle_set(text)
-                if _digest(s) == digest:  # rows that share an id differ in their sets
+                if _digest(s) == digest:  # texts that share an id and a hash differ in their sets
                     keep.append(row)
                     sets.append(s)
             if keep:
@@ -112,11 +113,16 @@ def _whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """The linked ones of ``pairs`` (x, y, g): counted on whole sets, in cells of blocks of a group ``g``."""
-    blocks = pairs.groupBy("g").agg(*[F.ceil(F.approx_count_distinct(c) / BLOCK).alias(f"{c}_blocks") for c in "xy"])
-    cell = F.xxhash64("g", *[F.pmod(F.xxhash64(F.lit(c), c), F.col(f"{c}_blocks")) for c in "xy"])
-    placed = materialise(pairs.join(blocks, "g").select(cell.alias("cell"), "x", "y"), "jaccard-cells")
+    # only groups beyond one block are looked up: with a pair for each of their documents, one for BLOCK pairs at most
+    blocks = materialise(pairs.groupBy("g").agg(*[F.ceil(F.approx_count_distinct(c) / BLOCK).alias(f"{c}_blocks") for c in "xy"])
+                         .where("x_blocks > 1 OR y_blocks > 1"), "jaccard-blocks")
+    few = blocks.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+    at = lambda c: F.coalesce(F.col(f"{c}_blocks"), F.lit(1))
+    cell = F.xxhash64("g", *[F.pmod(F.xxhash64(F.lit(c), c), at(c)) for c in "xy"])
+    placed = materialise(pairs.join(F.broadcast(blocks) if few else blocks, "g", "left").select(cell.alias("cell"), "x", "y"),
+                         "jaccard-cells")
     members = placed.select("cell", F.col("x").alias("row")).unionByName(placed.select("cell", F.col("y").alias("row"))).distinct()
-    wanted = materialise(classes.select("row", "doc_id", "digest").join(members.select("row").distinct(), "row"), "jaccard-wanted")
+    wanted = materialise(classes.select("row", "doc_id", "tie", "digest").join(members.select("row").distinct(), "row"), "jaccard-wanted")
     sets = _whole_sets(rows, wanted)
     empty = F.lit(None).cast("array<long>")
     n = shuffle_partitions(pairs.sparkSession)
@@ -162,7 +168,7 @@ def _postings(classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
 
     first = materialise(shared.where(F.col("c") > FREQUENT).select("token"), "jaccard-frequent")
     deep = materialise(short_of_rare(low.join(first, "token")), "jaccard-deep")
-    info = classes.select("row", "doc_id", "digest")
+    info = classes.select("row", "doc_id", "tie", "digest")
     whole = _whole_sets(rows, info.join(deep, "row"))
     second = (whole.select(F.explode("set").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
               .where(F.col("c") > FREQUENT).select("token"))
@@ -176,24 +182,24 @@ def _postings(classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
         whole = whole.unionByName(_whole_sets(rows, info.join(deeper, "row")))
         deep = deep.unionByName(deeper)
 
-    # whole sets reach beyond what is stored: a stored shingle may be unique but for them
-    beyond = materialise(whole.select(F.explode("set").alias("token")).distinct().join(marks, "token", "left_anti")
-                         .withColumn("last", F.lit(0)), "jaccard-beyond")
+    by_row = Window.partitionBy("row")
+    sizes = classes.select("row", "n")
+    read = materialise(whole.select("row", F.explode("set").alias("token")).join(frequent, "token", "left")
+                       .withColumn("last", F.coalesce("last", F.lit(0)))
+                       .withColumn("pos", F.row_number().over(by_row.orderBy("last", "token")) - 1)
+                       .join(sizes, "row").where(F.col("pos") < need).select("token", "row", "pos", "n"), "jaccard-read")
+    # a stored shingle that no other stored part holds may be in a prefix read from a whole set
+    in_read = materialise(read.select("token").distinct(), "jaccard-read-tokens")
+    beyond = materialise(in_read.join(marks, "token", "left_anti").withColumn("last", F.lit(0)), "jaccard-beyond")
     if not beyond.isEmpty():
         marked = marked.unionByName(low.join(beyond, "token"))
 
-    by_row = Window.partitionBy("row")
     so_far = F.sum("last").over(by_row.orderBy("at"))
     # rare hashes move up past the frequent ones before them; those follow at the end
     rare = (marked.join(deep, "row", "left_anti")
             .withColumn("pos", F.when(F.col("last") == 0, F.col("at") - so_far)
                         .otherwise(F.col("stored") - F.sum("last").over(by_row) + so_far - 1))
             .where(F.col("pos") < need).select("token", "row", "pos", "n"))
-    sizes = classes.select("row", "n")
-    read = (whole.select("row", F.explode("set").alias("token")).join(frequent, "token", "left")
-            .withColumn("last", F.coalesce("last", F.lit(0)))
-            .withColumn("pos", F.row_number().over(by_row.orderBy("last", "token")) - 1)
-            .join(sizes, "row").where(F.col("pos") < need).select("token", "row", "pos", "n"))
     entries = materialise(rare.unionByName(read), "jaccard-prefixes")
     lists = entries.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
     return entries.join(lists, "token")

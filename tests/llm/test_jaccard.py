@@ -116,3 +116,20 @@ def test_components(spark):
     nodes = {x for p in links if p[0] != p[1] for x in p}
     found = {r["node"]: r["root"] for r in component_roots(spark.createDataFrame(links, "x long, y long")).collect()}
     assert found == {x: root(x) for x in nodes}
+
+
+def test_many_texts_under_one_id(spark):
+    """Texts are found again by id and text, so one id with many texts costs a row each, not a pair each."""
+    import hashlib
+    import random
+    from cadastra.llm import jaccard_join as J
+    from tests.llm.conftest import words
+    rng = random.Random(8)
+    texts = [words(rng, 40) for _ in range(300)]
+    rows = spark.createDataFrame([(7, k, t) for k, t in enumerate(texts)], "doc_id long, tie long, text string")
+    wanted = spark.createDataFrame([(i, 7, i, bytearray(hashlib.blake2b(J.shingle_set(t).tobytes(), digest_size=16).digest()))
+                                    for i, t in enumerate(texts)], "row long, doc_id long, tie long, digest binary")
+    assert J._whole_sets(rows, wanted).count() == 300
+    docs = spark.createDataFrame([(7, t) for t in texts + texts[:5]], "doc_id long, text string")
+    found = J.linked_components(docs).collect()
+    assert len(found) == 305 and {r["component_id"] for r in found} == {7}
