@@ -12,8 +12,7 @@ points at once and keeps the part in which the condition turns.
 rest. Its documents are dealt by hash into blocks of about ``block_tokens`` tokens, at most
 ``MAX_BLOCKS`` a source. Every pass is a permutation of the blocks of its own; the last pass takes
 blocks in that order while the rest allows, and of the block in which it runs out, in hash order, every
-document that still fits (with ``stop_at_first``: the documents before the first that does not fit, so
-that a long one can cost the rest of the pass). So a source that holds a third of all rows is many blocks, and no task
+document that still fits. So a source that holds a third of all rows is many blocks, and no task
 ever orders more than the blocks of a source or the documents of one block.
 
 Defined results: a null source is a source of its own; rows without a word (or with null text) weigh
@@ -32,7 +31,9 @@ from pyspark.sql import functions as F
 from .common import WORD, materialise, md5_long
 
 BLOCK_TOKENS = 1 << 16
-MAX_BLOCKS = 4096
+MAX_BLOCKS = 1 << 16
+#: documents of a cut block that one step of the fold looks at: taken keys are copied within a step only
+FOLD = 1000
 #: each search step tries this many exponents in one aggregate and keeps one of the parts between them
 PARTS = 16
 STEPS = 9
@@ -88,20 +89,21 @@ def mixture_exponent(sources: DataFrame, budget: float | None, target_entropy: f
 def _fitting(cut: DataFrame) -> DataFrame:
     """(s_, key_): the documents of the cut blocks that fit, each tried in hash order; rows of one key go together."""
     units = cut.groupBy("source", "room", "key").agg(F.sum("tokens").alias("size"))
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast("array<long>").alias("keys"))
-
-    def tried(state: Column, unit: Column) -> Column:
-        used = state["used"] + unit["size"]
-        return F.when(used <= F.col("room"), F.struct(
-            used.alias("used"), F.concat(state["keys"], F.array(unit["key"])).alias("keys"))).otherwise(state)
-
+    taken = F.expr(f"""flatten(aggregate(
+        transform(sequence(0, (size(units) - 1) div {FOLD}), i -> slice(units, i * {FOLD} + 1, {FOLD})),
+        named_struct('used', 0L, 'taken', cast(array() as array<array<bigint>>)),
+        (state, part) -> transform(
+            array(aggregate(part, named_struct('used', state.used, 'keys', cast(array() as array<bigint>)),
+                (s, u) -> if(s.used + u.size <= room, named_struct('used', s.used + u.size, 'keys', concat(s.keys, array(u.key))), s))),
+            done -> named_struct('used', done.used, 'taken', concat(state.taken, array(done.keys))))[0],
+        state -> state.taken))""")
     return (units.groupBy("source", "room").agg(F.array_sort(F.collect_list(F.struct("key", "size"))).alias("units"))
-            .select(F.col("source").alias("s_"), F.explode(F.aggregate("units", start, tried, lambda z: z["keys"])).alias("key_")))
+            .select(F.col("source").alias("s_"), F.explode(taken).alias("key_")))
 
 
 def mix_sources(docs: DataFrame, budget: int | None = None, target_entropy: float | None = None,
                 max_repeats: float | None = None, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source", stop_at_first: bool = False) -> DataFrame:
+                source_col: str = "source") -> DataFrame:
     """The mixture: doc_id, source, pass (from 0), block, place (of the block in its pass), tokens.
 
     ``budget`` in tokens; None reads the least repeated source exactly once, so that every document
@@ -147,12 +149,8 @@ def mix_sources(docs: DataFrame, budget: int | None = None, target_entropy: floa
     whole = here.where("whole").select(*out)
     # one block of each source at most is cut: its documents in hash order
     cut = here.where("NOT whole")
-    if stop_at_first:
-        cut = (cut.withColumn("used", F.sum("tokens").over(Window.partitionBy("source").orderBy("key")))
-               .where("used <= room"))
-    else:
-        fitting = _fitting(cut)
-        cut = cut.join(fitting, cut.source.eqNullSafe(fitting.s_) & (cut.key == fitting.key_), "left_semi")
+    fitting = _fitting(cut)
+    cut = cut.join(fitting, cut.source.eqNullSafe(fitting.s_) & (cut.key == fitting.key_), "left_semi")
     cut = cut.select(*out)
     return whole.unionByName(cut)
 
@@ -162,9 +160,10 @@ def mixed_documents(docs: DataFrame, budget: int | None = None, **params) -> Dat
 
     Without a budget no document goes: those of sources without a word are kept once.
     """
+    id_col, source_col = params.get("id_col", "doc_id"), params.get("source_col", "source")
     copies = (mix_sources(docs, budget, **params).groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"))
               .agg(F.count_distinct("pass").alias("__copies")))
-    keyed = docs.join(copies, docs.doc_id.eqNullSafe(copies["__id"]) & docs.source.eqNullSafe(copies["__source"]),
+    keyed = docs.join(copies, docs[id_col].eqNullSafe(copies["__id"]) & docs[source_col].cast("string").eqNullSafe(copies["__source"]),
                       "left" if budget is None else "inner")
     return (keyed.withColumn("__copy", F.explode(F.expr("sequence(1, coalesce(cast(__copies AS int), 1))")))
             .select(*[docs[c] for c in docs.columns]))
@@ -213,7 +212,16 @@ turns AS (
 rooms AS (SELECT source, block, pass, place, block_size,
                  CASE WHEN pass < passes THEN block_size ELSE rest - upto + block_size END AS room FROM turns),
 picked AS (
-  SELECT d.doc_id, d.source, t.pass, d.block, t.place, d.tokens, t.room, t.block_size,
-         CASE WHEN t.room < t.block_size THEN sum(d.tokens) OVER (PARTITION BY d.source, t.pass, d.block ORDER BY d.key) END AS used
-  FROM dealt d JOIN rooms t ON d.source IS NOT DISTINCT FROM t.source AND d.block = t.block WHERE t.room > 0)
-SELECT doc_id, source, pass, block, place::INTEGER AS place, tokens FROM picked WHERE room >= block_size OR used <= room"""
+  SELECT d.doc_id, d.source, t.pass, d.block, t.place, d.tokens, d.key, t.room, t.room >= t.block_size AS whole
+  FROM dealt d JOIN rooms t ON d.source IS NOT DISTINCT FROM t.source AND d.block = t.block WHERE t.room > 0),
+units AS (SELECT source, room, key, sum(tokens)::BIGINT AS size, row_number() OVER (PARTITION BY source ORDER BY key) AS nth
+          FROM picked WHERE NOT whole GROUP BY source, room, key),
+tried AS (
+  SELECT DISTINCT source, 0::BIGINT AS nth, 0::BIGINT AS used, NULL::BIGINT AS key, false AS fits FROM units
+  UNION ALL
+  SELECT u.source, u.nth, CASE WHEN t.used + u.size <= u.room THEN t.used + u.size ELSE t.used END, u.key, t.used + u.size <= u.room
+  FROM tried t JOIN units u ON t.source IS NOT DISTINCT FROM u.source AND u.nth = t.nth + 1)
+SELECT doc_id, source, pass, block, place::INTEGER AS place, tokens FROM picked WHERE whole
+UNION ALL
+SELECT p.doc_id, p.source, p.pass, p.block, p.place::INTEGER, p.tokens
+FROM picked p JOIN tried t ON p.source IS NOT DISTINCT FROM t.source AND p.key = t.key WHERE NOT p.whole AND t.fits"""

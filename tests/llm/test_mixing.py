@@ -80,3 +80,26 @@ def test_edge_rows(edge_docs, no_docs, edge_rows):
     ids = {r[0] for r in kept.select("doc_id").collect()}
     assert ids == {r[0] for r in edge_rows}  # without a budget nobody is lost
     assert mix_sources(no_docs, budget=100, target_entropy=0.9).count() == 0
+
+
+def test_a_cut_block_of_many_documents_takes_linear_time(spark):
+    import time
+    from cadastra.llm.mixing import _fitting
+    n, room = 1_000_000, 9_000_000
+    cut = spark.range(n).select(F.lit("s").alias("source"), F.lit(room).cast("long").alias("room"), F.col("id").alias("key"),
+                                F.when(F.col("id") % 1000 == 500, 10_000_000).otherwise(F.col("id") % 20).cast("long").alias("tokens"))
+    t = time.time()
+    got = _fitting(cut).agg(F.count("*").alias("n"), F.max("key_").alias("last")).first()
+    assert time.time() - t < 60
+    used, want, last = 0, 0, 0
+    for k in range(n):
+        size = 10_000_000 if k % 1000 == 500 else k % 20
+        if used + size <= room:
+            used, want, last = used + size, want + 1, k
+    assert (got["n"], got["last"]) == (want, last)
+
+
+def test_other_column_names(spark):
+    docs = spark.createDataFrame([(i, "w " * 10, "big" if i % 5 else None) for i in range(200)], "key_id long, body string, origin string")
+    kept = mixed_documents(docs, max_repeats=2.0, target_entropy=1.0, id_col="key_id", text_col="body", source_col="origin")
+    assert kept.columns == docs.columns and kept.select("key_id").distinct().count() == 200
