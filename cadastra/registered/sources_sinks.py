@@ -17,7 +17,8 @@ from ..sources.ingest import ingest_directory, profile_sources
 from ..sources.parquet_io import clean_dataset, rename_dataset, write_parquet, write_parts
 from ..sources.registry import VIEWS, registry_views
 from ..sources.schema import CLEAN_BASE_RULES, COLUMNS, INGEST_BASE_RULES, NA_TOKENS, RENAME_BASE_RULES, detect_base
-from ..streaming.ingest_stream import run_ingest_stream
+from ..sources.snapshot import ingest_folder, read_snapshot
+from ..streaming.ingest_stream import run_folder_stream, run_ingest_stream
 from .common import LEAD_OUTPUT, PORTE_35, _cat, _registry_cols, lead_sql
 
 
@@ -389,3 +390,43 @@ def q_clean_names_dataset(spark, sf_dir):
     out = clean_dataset(spark, [f"{root}/src/Socios0.parquet", f"{root}/src/Municipios.parquet"], f"{root}/dst")
     assert set(out) == {"Socios0.parquet"}
     return spark.read.parquet(out["Socios0.parquet"])
+
+
+# the sites as one dump a task, lookups with and without a header beside them, taken in by few jobs
+def _many_files(spark, sf_dir, root):
+    cat = _cat(spark, sf_dir)
+    est = _full(cat.est, "estabelecimentos")
+    D.write_dump(est.repartition(64), f"{root}/src/Estabelecimentos")
+    D.write_dump(cat.mun.repartition(5, "codigo"), f"{root}/src/Municipios")
+    D.write_dump(cat.cnae.select("descricao", "codigo").repartition(3, "codigo"), f"{root}/src/atividades", header=True)
+
+
+MANY_SQL = f"""
+SELECT cnpj_basico AS a, {_tok('nome_fantasia')} AS b FROM estabelecimentos
+UNION ALL SELECT {_tok('codigo')}, {_tok('descricao')} FROM municipios
+UNION ALL SELECT {_tok('codigo')}, {_tok('descricao')} FROM cnaes"""
+
+
+def _many_rows(spark, out_root):
+    est, mun, other = (read_snapshot(spark, out_root, b) for b in ("estabelecimentos", "municipios", ""))
+    return (est.select(F.col("cnpj_basico").alias("a"), F.col("nome_fantasia").alias("b"))
+            .unionByName(mun.select(F.col("codigo").alias("a"), F.col("descricao").alias("b")))
+            .unionByName(other.select(F.col("codigo").alias("a"), F.col("descricao").alias("b"))))
+
+
+@register("ingest_many_files", MANY_SQL)
+def q_ingest_many_files(spark, sf_dir):
+    root = scratch_path(spark, "many")
+    _many_files(spark, sf_dir, root)
+    ingest_folder(spark, f"{root}/src", f"{root}/out")
+    return _many_rows(spark, f"{root}/out")
+
+
+# the same folder by the stream, twice over a new checkpoint: the second run finds every file published
+@register("ingest_stream_mixed", MANY_SQL)
+def q_ingest_stream_mixed(spark, sf_dir):
+    root = scratch_path(spark, "stream-mixed")
+    _many_files(spark, sf_dir, root)
+    run_folder_stream(spark, f"{root}/src", f"{root}/out", f"{root}/checkpoint", max_files_per_trigger=40)
+    run_folder_stream(spark, f"{root}/src", f"{root}/out", f"{root}/checkpoint-2")
+    return _many_rows(spark, f"{root}/out")

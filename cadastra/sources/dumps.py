@@ -129,8 +129,9 @@ def apply_null_tokens(df: DataFrame, columns: Sequence[str] | None = None,
 
 def read_dump(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str],
               header: bool = False, encoding: str = ENCODING, multiline: bool | str = True,
-              observation=None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+              observation=None, block_bytes: int = BLOCK_BYTES, keep_uri: str | None = None) -> DataFrame:
     """Read dump files into the given all-string columns with the bad-row and NULL-token rules.
+    ``keep_uri`` names a further column for the file that a row comes from (not in split mode).
 
     ``multiline``: True for records that may span lines, one task per file; ``"split"`` for the same with a task per
     ``block_bytes`` of a file; False for records of one line.
@@ -150,6 +151,8 @@ def read_dump(spark: SparkSession, paths: str | Sequence[str], names: Sequence[s
         df = (_reader(spark, encoding, multiline).option("header", str(header).lower())
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .schema(schema).csv(list(paths) if not isinstance(paths, str) else paths))
+        if keep_uri:
+            df = df.withColumn(keep_uri, F.col("_metadata.file_path"))
     df = apply_bad_row_policy(df, len(names), observation)
     return apply_null_tokens(df, names)
 

@@ -41,6 +41,11 @@ def list_sources(spark: SparkSession, src_root: str, glob: str = "*", skip: str
     files = list_files(spark, src_root, glob).where(~F.col("name").startswith("_") & ~F.col("name").startswith("."))
     if skip:
         files = files.where(~F.lower("name").endswith(skip))
+    return with_base(files)
+
+
+def with_base(files: DataFrame) -> DataFrame:
+    """``files`` (path, name) with the base of their names, else of their folders' names."""
     own = detect_base(F.col("name"), INGEST_BASE_RULES)
     folder = detect_base(F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1), INGEST_BASE_RULES)
     return files.withColumn("base", F.coalesce(F.nullif(own, F.lit("")), folder))

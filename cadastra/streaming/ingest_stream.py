@@ -8,17 +8,24 @@ whose output exists". ``trigger(availableNow=True)`` processes everything presen
 
 The per-row work is the same as the batch reader: fixed schema, bad-row policy, NULL tokens.
 It is stateless, so no watermark is needed.
+
+:func:`start_folder_stream` watches a folder that holds dumps of several bases, with and without headers: the
+stream carries the names of new files only, and every micro-batch ingests its files under their own
+column names into the snapshot layout of :mod:`~cadastra.sources.snapshot`. A batch is published under its
+number, so one that is replayed after a failure adds nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..sources.dumps import (CORRUPT, DELIMITER, ENCODING, QUOTE, apply_bad_row_policy,
                              apply_null_tokens)
 from ..sources.schema import COLUMNS
+from ..sources.snapshot import ingest_files, source_files
 
 
 def start_ingest_stream(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str, base: str,
@@ -51,3 +58,33 @@ def run_ingest_stream(spark: SparkSession, src_dir: str, out_dir: str, checkpoin
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+
+
+def start_folder_stream(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str, available_now: bool = True,
+                        max_files_per_trigger: int | None = None, encoding: str = ENCODING) -> StreamingQuery:
+    """Start the stream over a folder of mixed dumps. Files that fail are reported as warnings and not retried by the
+    stream; a later :func:`~cadastra.sources.snapshot.ingest_folder` takes them up."""
+    import warnings
+    reader = (spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+              .schema("path string, modificationTime timestamp, length long, content binary"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    names = reader.load(src_dir).select("path", F.col("_metadata.file_path").alias("uri"), "length", "modificationTime")
+
+    def ingest(batch: DataFrame, number: int) -> None:
+        errors: list = []
+        ingest_files(batch.sparkSession, source_files(batch), out_dir, encoding, f"{checkpoint} batch {number}", errors)
+        for base, path, message in errors:
+            warnings.warn(f"{path}: {message}")
+
+    writer = names.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()
+
+
+def run_folder_stream(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str, **kw) -> None:
+    """Process every file available now, then return."""
+    q = start_folder_stream(spark, src_dir, out_dir, checkpoint, available_now=True, **kw)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
