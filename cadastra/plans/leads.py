@@ -27,7 +27,7 @@ from ..functions.identity import cnpj_key
 from ..operators.joins import DEFAULT_SKEW, SkewPolicy, fact_join, lookup_join
 from ..operators.ordering import order_nulls_last, top_k
 from ..sources.catalog import Catalog
-from ..sources.landing import CODE_COLUMNS
+from ..sources.landing import CODE_COLUMNS, SECONDARY_KEY
 
 
 def null_str():
@@ -104,6 +104,16 @@ def division(est: DataFrame, number: int) -> Column:
     return C.division_eq("cnae_fiscal_principal", number)
 
 
+def with_secondary_activity(cat: Catalog, est: DataFrame, code: str) -> DataFrame:
+    """Sites with ``code`` among their secondary activities. A landed catalog answers from the inverted table: the rows
+    of one code are a pruned read, and sites are kept by key and list hash; otherwise every list is split."""
+    index = cat.indexes.get("secondary_activity")
+    if index is None or "secundaria_id" not in est.columns:
+        return est.where(C.in_list_text("cnae_fiscal_secundaria", code))
+    wanted = index.where(F.col("codigo") == F.lit(code))
+    return est.join(wanted, reduce(and_, [est[c].eqNullSafe(wanted[c]) for c in SECONDARY_KEY]), "left_semi")
+
+
 def site_predicates(f: LeadFilter, est: DataFrame) -> list[Column]:
     """Predicates that only read site columns (applied before any join)."""
     p: list[Column] = []
@@ -120,8 +130,6 @@ def site_predicates(f: LeadFilter, est: DataFrame) -> list[Column]:
         p.append(division(est, f.cnae))
     if f.cnae_principal:
         p.append(F.col("cnae_fiscal_principal") == F.lit(f.cnae_principal))
-    if f.cnae_secundario:
-        p.append(C.in_list_text("cnae_fiscal_secundaria", f.cnae_secundario))
     if f.aberto_de:
         p.append(F.col("data_inicio_atividade") >= F.lit(C.date_arg(f.aberto_de)))
     if f.aberto_ate:
@@ -151,6 +159,8 @@ def leads(cat: Catalog, f: LeadFilter | None = None, sort: bool = True,
         warnings.warn("MEI filter given without a tax-regime table: filter ignored")
 
     est = _where(cat.est, site_predicates(f, cat.est))
+    if f.cnae_secundario:
+        est = with_secondary_activity(cat, est, f.cnae_secundario)
     emp_preds = [C.code_in(code_of(cat.emp, "porte_empresa"), f.porte)]
     if f.natureza:
         emp_preds.append(F.col("natureza_juridica") == F.lit(f.natureza))

@@ -22,17 +22,33 @@ from .common import (ADDRESS, ALL_JOINED, BY_NAME, CITY, COMPANY, HEAD_OFFICE, I
 FLAGSHIP_FILTER = dict(uf="MG", municipio="Uberlandia", situacao=[8], porte=[3, 5])
 
 
-@register("leads_filtered", lead_sql(
-    "TRY_CAST(est.situacao_cadastral AS INTEGER) IN (8) AND UPPER(est.uf) = 'MG'"
-    " AND UPPER(mun.descricao) = UPPER('Uberlandia') AND TRY_CAST(emp.porte_empresa AS INTEGER) IN (3, 5)",
-    "ORDER BY razao_social ASC NULLS LAST"))
+def among(column: str, *codes: int) -> str:
+    """Is the lenient code one of these?"""
+    return f"list_contains({list(codes)}, {code(column)})"
+
+
+def named(column: str, text: str) -> str:
+    """Equal but for case."""
+    return f"{column} ILIKE '{text}'"
+
+
+CITY_5403 = f"{code('mun.codigo')} = 5403"
+DIVISION_86 = f"{code('substr(est.cnae_fiscal_principal, 1, 2)')} = 86"
+ACTIVE = f"{code('est.situacao_cadastral')} = 2"
+
+
+def every(*conditions: str) -> str:
+    return " AND ".join(f"({c})" for c in conditions)
+
+
+@register("leads_filtered", lead_sql(every(among("est.situacao_cadastral", 8), IN_MG, named("mun.descricao", "Uberlandia"), PORTE_35), BY_NAME))
 def q_leads_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leads(_cat(spark, sf_dir), LeadFilter(**FLAGSHIP_FILTER))
 
 
-def _leads_key(name: str, where: str, **filt):
+def _leads_key(name: str, *conditions: str, **filt):
     """Register a lead-list variant: same plan, one filter family switched on."""
-    @register(name, lead_sql(where, "ORDER BY razao_social ASC NULLS LAST"))
+    @register(name, lead_sql(every(*conditions), BY_NAME))
     def q(spark, sf_dir):
         return leads(_cat(spark, sf_dir), LeadFilter(**filt))
     q.__name__ = f"q_{name}"
@@ -40,29 +56,19 @@ def _leads_key(name: str, where: str, **filt):
 
 
 # F-2 … F-16: one key per filter family (size 3/5 is always on, as in the list it comes from)
-_leads_key("filter_state", f"UPPER(est.uf) = 'MG' AND {PORTE_35}", uf=" mg ")
-_leads_key("filter_city_code", f"TRY_CAST(mun.codigo AS INTEGER) = 5403 AND {PORTE_35}", municipio="5403")
-_leads_key("filter_city_name", f"UPPER(mun.descricao) = UPPER('uberlandia') AND {PORTE_35}",
-           municipio="uberlandia")
-_leads_key("filter_cnae_division",
-           f"TRY_CAST(LEFT(COALESCE(est.cnae_fiscal_principal, ''), 2) AS INTEGER) = 86 AND {PORTE_35}", cnae=86)
-_leads_key("filter_size", "TRY_CAST(emp.porte_empresa AS INTEGER) IN (0, 1)", porte=[1, 0, 1])
-_leads_key("filter_status", f"TRY_CAST(est.situacao_cadastral AS INTEGER) IN (3, 4) AND {PORTE_35}",
-           situacao=[4, 3])
-_leads_key("filter_active", f"TRY_CAST(est.situacao_cadastral AS INTEGER) = 2 AND {PORTE_35}", ativos=True)
-_leads_key("filter_mei", f"UPPER(COALESCE(sim.opcao_mei, 'N')) = 'S' AND {PORTE_35}", opcao_sim=True)
-_leads_key("filter_opened_between",
-           f"est.data_inicio_atividade BETWEEN '19950101' AND '19951231' AND {PORTE_35}",
-           aberto_de="1995-01-01", aberto_ate="1995-12-31")
-_leads_key("filter_nature", f"emp.natureza_juridica = '2135' AND {PORTE_35}", natureza="2135")
-_leads_key("filter_secondary_cnae",
-           f"list_contains(string_split(est.cnae_fiscal_secundaria, ','), '8640202') AND {PORTE_35}",
+_leads_key("filter_state", IN_MG, PORTE_35, uf=" mg ")
+_leads_key("filter_city_code", CITY_5403, PORTE_35, municipio="5403")
+_leads_key("filter_city_name", named("mun.descricao", "uberlandia"), PORTE_35, municipio="uberlandia")
+_leads_key("filter_cnae_division", DIVISION_86, PORTE_35, cnae=86)
+_leads_key("filter_size", among("emp.porte_empresa", 0, 1), porte=[1, 0, 1])
+_leads_key("filter_status", among("est.situacao_cadastral", 3, 4), PORTE_35, situacao=[4, 3])
+_leads_key("filter_active", ACTIVE, PORTE_35, ativos=True)
+_leads_key("filter_mei", yes("sim.opcao_mei"), PORTE_35, opcao_sim=True)
+_leads_key("filter_opened_between", "starts_with(est.data_inicio_atividade, '1995')", PORTE_35, aberto_de="1995-01-01", aberto_ate="1995-12-31")
+_leads_key("filter_nature", "emp.natureza_juridica = '2135'", PORTE_35, natureza="2135")
+_leads_key("filter_secondary_cnae", "list_contains(string_split(est.cnae_fiscal_secundaria, ','), '8640202')", PORTE_35,
            cnae_secundario="8640202")
-_leads_key("leads_all_filters",
-           "TRY_CAST(est.situacao_cadastral AS INTEGER) = 2 AND UPPER(COALESCE(sim.opcao_mei, 'N')) = 'S'"
-           " AND UPPER(est.uf) = 'MG' AND TRY_CAST(mun.codigo AS INTEGER) = 5403"
-           " AND TRY_CAST(LEFT(COALESCE(est.cnae_fiscal_principal, ''), 2) AS INTEGER) = 86"
-           " AND TRY_CAST(emp.porte_empresa AS INTEGER) IN (0, 1, 3, 5)",
+_leads_key("leads_all_filters", ACTIVE, yes("sim.opcao_mei"), IN_MG, CITY_5403, DIVISION_86, among("emp.porte_empresa", 0, 1, 3, 5),
            uf="MG", municipio="5403", cnae=86, porte=[0, 1, 3, 5], ativos=True, opcao_sim=True)
 
 

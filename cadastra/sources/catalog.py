@@ -49,6 +49,8 @@ class Catalog:
     stats: dict = field(default_factory=dict)
     # where hot-key tables are kept across sessions (set for curated folders)
     stats_root: str | None = None
+    # landed inverted tables by name; only right for the tables that they were written from
+    indexes: dict[str, DataFrame] = field(default_factory=dict)
 
     def get(self, base: str) -> DataFrame | None:
         return self.tables.get(base)
@@ -64,7 +66,7 @@ class Catalog:
     def without(self, *bases: str) -> Catalog:
         """Same catalog with some bases marked absent (to exercise the degraded plans)."""
         return Catalog({b: (None if b in bases else df) for b, df in self.tables.items()}, self.stats,
-                       self.stats_root)
+                       self.stats_root, self.indexes)
 
     def rows(self, base: str) -> int:
         """Row count of a base (Parquet answers it from file footers); memoised."""
@@ -157,6 +159,10 @@ def load_catalog(spark: SparkSession, parquet_dir: str, bases: Iterable[str] | N
                  required: Iterable[str] = ("empresas", "estabelecimentos")) -> Catalog:
     cat = Catalog({b: scan_parts(spark, parquet_dir, b) for b in (bases or PART_PREFIX)})
     cat.require(*required)
+    from .landing import SECONDARY_INDEX, SECONDARY_SCHEMA, path_exists
+    index = f"{parquet_dir.rstrip('/')}/{SECONDARY_INDEX}"
+    if cat.has("estabelecimentos") and "secundaria_id" in cat.est.columns and path_exists(spark, f"{index}/_SUCCESS"):
+        cat.indexes["secondary_activity"] = spark.read.schema(SECONDARY_SCHEMA).parquet(index)
     for base, effect in OPTIONAL_EFFECTS.items():
         if base in cat.tables and not cat.has(base):
             warnings.warn(f"no table for {base}: {effect}")

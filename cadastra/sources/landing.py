@@ -34,7 +34,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField
 
 from ..functions.codes import cnae_division, is_active, try_int
 from ..operators.joins import is_small
@@ -53,10 +53,15 @@ CODE_COLUMNS = {"estabelecimentos": {"situacao_int": "situacao_cadastral", "matr
                 "empresas": {"porte_int": "porte_empresa"}}
 # Other columns derived from a text column, for filters that would not reach the scan: (source, type, function).
 FILTER_COLUMNS = {"estabelecimentos": {"divisao_int": ("cnae_fiscal_principal", IntegerType(), lambda c: try_int(cnae_division(c))),
-                                       "ativa": ("situacao_cadastral", BooleanType(), is_active)}}
+                                       "ativa": ("situacao_cadastral", BooleanType(), is_active),
+                                       "secundaria_id": ("cnae_fiscal_secundaria", LongType(), F.xxhash64)}}
+# Secondary activities, inverted: a row for each code of a site, in order of the code.
+SECONDARY_INDEX = "_index/secondary_activity"
+SECONDARY_KEY = ["cnpj_basico", "cnpj_ordem", "cnpj_dv", "secundaria_id"]
+SECONDARY_SCHEMA = "codigo string, cnpj_basico string, cnpj_ordem string, cnpj_dv string, secundaria_id long"
 # Row groups of these files answer "is this company in here?" by a Bloom filter, so scattered keys read few of them.
 BLOOM_BASES = ("empresas", "estabelecimentos", "simples", "socios")
-LAYOUT_VERSION = 5       # bump when the landed layout changes: older landings are not reused
+LAYOUT_VERSION = 6       # bump when the landed layout changes: older landings are not reused
 DEFAULT_BASES = ("empresas", "estabelecimentos", "simples", "municipios", "cnaes", "socios")
 
 _catalogs: dict[tuple[str, str, str], Catalog] = {}
@@ -171,6 +176,24 @@ def _write_once(spark: SparkSession, df: DataFrame, path: str, base: str) -> Non
         write_base(df, path, base)
 
 
+def secondary_rows(est: DataFrame) -> DataFrame:
+    """(codigo, site key, hash of the site's list): every secondary activity of every site once."""
+    codes = F.array_distinct(F.split("cnae_fiscal_secundaria", ","))
+    return (est.where(F.col("cnae_fiscal_secundaria").isNotNull())
+            .select(F.explode(codes).alias("codigo"), *SECONDARY_KEY[:3], F.xxhash64("cnae_fiscal_secundaria").alias("secundaria_id")))
+
+
+def _write_index(spark: SparkSession, est: DataFrame, path: str) -> None:
+    """The inverted table: range-partitioned by code and site, so that a frequent code is many files, and sorted, so
+    that row-group statistics answer a code."""
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return
+    tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+    order = ["codigo", *SECONDARY_KEY]
+    secondary_rows(est).repartitionByRange(*order).sortWithinPartitions(*order).write.option("compression", "zstd").parquet(tmp)
+    publish(spark, tmp, path)
+
+
 def land(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> Catalog:
     out = {}
     for base, df in tables.items():
@@ -181,7 +204,14 @@ def land(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> Catalo
         plain = df.drop(*added)
         _write_once(spark, plain, path, base)
         out[base] = read_base(spark, path, base, plain.columns)
-    return Catalog(out, stats_root=f"{root}/_stats")
+    indexes = {}
+    if out.get("estabelecimentos") is not None and "cnae_fiscal_secundaria" in out["estabelecimentos"].columns:
+        try:
+            _write_index(spark, out["estabelecimentos"], f"{root}/{SECONDARY_INDEX}")
+            indexes["secondary_activity"] = spark.read.schema(SECONDARY_SCHEMA).parquet(f"{root}/{SECONDARY_INDEX}")
+        except NotImplementedError:  # no JVM gateway: filters read the lists
+            pass
+    return Catalog(out, stats_root=f"{root}/_stats", indexes=indexes)
 
 
 def curate(spark: SparkSession, cat: Catalog, root: str) -> Catalog:

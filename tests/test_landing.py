@@ -15,7 +15,7 @@ from tests.conftest import SF_SMALL
 def test_land_once_and_lose_a_race_cleanly(spark, tmp_dir):
     cat = landed_registry(spark, SF_SMALL, root=f"{tmp_dir}/land", bases=("municipios", "estabelecimentos"))
     root = glob.glob(f"{tmp_dir}/land/*")[0]
-    assert {p.rsplit("/", 1)[-1] for p in glob.glob(f"{root}/*")} - {"_stats"} == {
+    assert {p.rsplit("/", 1)[-1] for p in glob.glob(f"{root}/*")} - {"_stats", "_index"} == {
         "Estabelecimentos.parquet", "Municipios.parquet"}
     assert glob.glob(f"{root}/Estabelecimentos.parquet/uf_norm=MG/*.parquet")
     before = cat.mun.count()

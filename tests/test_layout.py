@@ -122,3 +122,28 @@ def test_landed_filters_are_pushed(spark, cat, request):
     assert "EqualTo(divisao_int,86)" in pushed(leads(cat, LeadFilter(cnae=86)))
     assert "StringStartsWith(cnae_fiscal_principal,86)" in plan_of(health_leads(cat))
     assert "ativa" in plan_of(mei_active_leads(cat)).split("PushedFilters: ", 1)[1]
+
+
+def test_secondary_activities_are_read_from_the_inverted_table(spark, cat, tmp_dir):
+    """A pruned read and a semi join; no list of the sites is split."""
+    f = LeadFilter(cnae_secundario="8640202")
+    plan = plan_of(leads(cat, f, sort=False))
+    assert "split(" not in plan and "EqualTo(codigo,8640202)" in plan and "LeftSemi" in plan
+    without = Catalog(cat.tables, {})  # no index: the lists are split
+    assert "split(" in plan_of(leads(without, f, sort=False))
+    rows = lambda c, code: sorted(map(str, leads(c, LeadFilter(cnae_secundario=code), sort=False).collect()))
+    codes = [r[0] for r in cat.indexes["secondary_activity"].select("codigo").distinct().limit(5).collect()]
+    assert any(rows(cat, c) for c in codes)
+    assert all(rows(cat, c) == rows(without, c) for c in [*codes, "0", ""])
+
+
+def test_the_inverted_table_of_odd_rows(spark, tmp_dir):
+    from cadastra.plans.leads import with_secondary_activity
+    from cadastra.sources.landing import land
+    odd = [("1", "1", "1", "1,2,2"), ("1", "1", "1", "3"), (None, None, None, "1"), ("2", "1", "1", None), ("3", "1", "1", ""),
+           ("4", "1", "1", "12,1 ")]
+    est = spark.createDataFrame(odd, "cnpj_basico string, cnpj_ordem string, cnpj_dv string, cnae_fiscal_secundaria string")
+    landed = land(spark, {"estabelecimentos": est.withColumn("uf", F.lit("MG"))}, f"{tmp_dir}/odd")
+    got = lambda code: sorted((r["cnpj_basico"] or "-", r["cnae_fiscal_secundaria"]) for r in
+                              with_secondary_activity(landed, landed.est, code).collect())
+    assert got("1") == [("-", "1"), ("1", "1,2,2")] and got("2") == [("1", "1,2,2")] and got("") == [("3", "")] and got("1 ") == [("4", "12,1 ")]
