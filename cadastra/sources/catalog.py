@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .registry import registry_view
+from .schemas import recorded_schema
 
 # File-name stem of each base in a landed directory.
 PART_PREFIX = {
@@ -139,12 +140,16 @@ class Catalog:
 def scan_parts(spark: SparkSession, parquet_dir: str, base: str) -> DataFrame | None:
     """All Parquet parts of ``base`` as one table, or ``None`` when no part exists.
 
-    Only a missing path counts as absent: an empty or damaged part is an error, because a plan that
+    Columns come from the schema records of the folder where all parts have one (no footers are read), else
+    from the parts. Only a missing path counts as absent: an empty or damaged part is an error, because a plan that
     runs without the table would answer another question."""
-    pattern = f"{parquet_dir.rstrip('/')}/{PART_PREFIX[base]}*.parquet"
+    root, name = parquet_dir.rstrip("/"), f"{PART_PREFIX[base]}*.parquet"
+    schema = recorded_schema(spark, root, name)
     try:
+        if schema is not None:
+            return spark.read.schema(schema).parquet(f"{root}/{name}")
         # mergeSchema: parts written at different times may differ in column order; match by name.
-        return spark.read.option("mergeSchema", "true").parquet(pattern)
+        return spark.read.option("mergeSchema", "true").parquet(f"{root}/{name}")
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None

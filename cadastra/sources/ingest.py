@@ -19,17 +19,20 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import posixpath
 import warnings
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .catalog import PART_PREFIX
 from .dumps import ENCODING, column_plan, file_profiles, list_files, multiline_files, read_dump
 from .records import BLOCK_BYTES
 from .schema import INGEST_BASE_RULES, detect_base
+from .schemas import record_schemas
 
 MANIFEST = "_ingested"
 #: files ingested at the same time, and sources handled between two appends to the manifest
@@ -72,8 +75,8 @@ def dataset_of(out_root: str, base: str, path: str) -> str:
     return f"{out_root}/{PART_PREFIX.get(base, base or 'Desconhecido')}-{hashlib.sha1(path.encode()).hexdigest()[:16]}.parquet"
 
 
-def ingest_file(spark: SparkSession, source: Row, out_root: str, encoding: str = ENCODING) -> int:
-    """Write one profiled source as its own dataset; returns the number of rows dropped as too long."""
+def ingest_file(spark: SparkSession, source: Row, out_root: str, encoding: str = ENCODING) -> tuple[int, list[str]]:
+    """Write one profiled source as its own dataset; returns the number of rows dropped as too long, and the columns."""
     if source["failure"]:
         raise OSError(source["failure"])
     if not source["fields"]:
@@ -83,7 +86,7 @@ def ingest_file(spark: SparkSession, source: Row, out_root: str, encoding: str =
     multiline = "split" if source["multiline"] and source["length"] > BLOCK_BYTES else source["multiline"]
     df = read_dump(spark, source["path"], names, header=own_header, encoding=encoding, multiline=multiline, observation=seen)
     df.write.mode("overwrite").option("compression", "zstd").parquet(dataset_of(out_root, source["base"], source["path"]))
-    return seen.get["long_rows"] or 0
+    return seen.get["long_rows"] or 0, names
 
 
 def ingest_directory(spark: SparkSession, src_root: str, out_root: str, glob: str = "*",
@@ -110,23 +113,26 @@ def ingest_directory(spark: SparkSession, src_root: str, out_root: str, glob: st
             profiled = profiled.join(spans, "path", "left")
         else:
             profiled = profiled.withColumn("multiline", F.lit(bool(multiline)))
-        done = []
+        done, columns = [], {}
 
         def one(source: Row) -> None:
             base = source["base"]
             try:
-                dropped = ingest_file(spark, source, out_root, encoding)
+                dropped, names = ingest_file(spark, source, out_root, encoding)
             except Exception as e:  # this source stays pending
                 failures.append((base, source["path"], f"{type(e).__name__}: {e}"[:500], e))
                 return
             if dropped:
                 warnings.warn(f"{source['path']}: skipped {dropped} rows with too many fields")
             done.append((source["path"], base))
+            columns[posixpath.basename(dataset_of(out_root, base, source["path"]))] = StructType(
+                [StructField(n, StringType()) for n in names])
 
         profiles = profiled.withColumn("multiline", F.coalesce("multiline", F.lit(False))).drop("first_record").collect()
         with ThreadPoolExecutor(AT_ONCE) as pool:  # one row per file of the batch
             list(pool.map(inheritable_thread_target(spark)(one), profiles))
         if done:
+            record_schemas(spark, out_root, columns)
             spark.createDataFrame(done, "path string, base string").write.mode("append").parquet(f"{out_root}/{MANIFEST}")
         for _, base in done:
             written[base] = f"{out_root}/{PART_PREFIX.get(base, base or 'Desconhecido')}-*.parquet"

@@ -64,3 +64,34 @@ def test_stream_applies_dump_rules(spark, tmp_dir):
     run_ingest_stream(spark, f"{tmp_dir}/land", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", "cnaes")
     got = sorted((tuple(r) for r in spark.read.parquet(f"{tmp_dir}/out").collect()), key=repr)
     assert got == sorted([("1", "l1\nl2"), ("2", None), ("4", None), ("5", "São")], key=repr)
+
+
+def test_schema_records_spare_the_footers(spark, tmp_dir):
+    from cadastra.sources.catalog import scan_parts
+    from cadastra.sources.parquet_io import write_parquet, write_parts
+    from cadastra.sources.schemas import record_schemas, recorded_schema
+    a = spark.createDataFrame([("1", "x")], "cnpj_basico string, razao_social string")
+    write_parts(a, tmp_dir, "empresas", 2, "cnpj_basico")
+    b = spark.createDataFrame([("y", "2", "z")], "razao_social string, cnpj_basico string, extra string")  # another order, one more
+    write_parquet(b, f"{tmp_dir}/Empresas9.parquet")
+    assert recorded_schema(spark, tmp_dir, "Empresas*.parquet") is None  # one part has no record: the parts decide
+    assert set(scan_parts(spark, tmp_dir, "empresas").columns) == {"cnpj_basico", "razao_social", "extra"}
+    record_schemas(spark, tmp_dir, {"Empresas9.parquet": b.schema})
+    assert recorded_schema(spark, tmp_dir, "Empresas*.parquet").names == ["cnpj_basico", "razao_social", "extra"]
+    # planning opens no file: damage every part and the plan is still made
+    rows = sorted(map(tuple, scan_parts(spark, tmp_dir, "empresas").collect()), key=str)
+    assert rows == [("1", "x", None), ("2", "y", "z")]
+    for f in glob.glob(f"{tmp_dir}/Empresas*.parquet/part-*"):
+        open(f, "wb").write(b"broken")
+    assert scan_parts(spark, tmp_dir, "empresas").columns == ["cnpj_basico", "razao_social", "extra"]
+    # a dataset that was written again by other means is not described by its old record
+    import time
+    time.sleep(1.1)
+    write_parquet(a.withColumn("new", a.razao_social), f"{tmp_dir}/Empresas9.parquet")
+    assert recorded_schema(spark, tmp_dir, "Empresas*.parquet") is None
+
+
+def test_records_with_two_types_are_left_to_the_parts(spark):
+    from cadastra.sources.schemas import merged
+    s = [spark.createDataFrame([], ddl).schema for ddl in ("a string, b string", "b string, c string", "a int")]
+    assert merged(s[:2]).names == ["a", "b", "c"] and merged(s) is None
