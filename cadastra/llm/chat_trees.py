@@ -86,15 +86,18 @@ def reply_chains(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 
 
 def paths(nodes: DataFrame, branches: int = 1, max_steps: int = 40) -> DataFrame:
-    """(path, rank, depth, node) of the ``branches`` best root-to-leaf paths of each conversation.
+    """(path, rank, depth, last, node) of the ``branches`` best root-to-leaf paths of each conversation.
 
-    ``path`` is the leaf's node id; depth counts from the leaf (0) up to the root.
+    ``path`` is the leaf's node id; depth counts from the leaf (0) up to the root, whose depth is ``last``.
     """
     known = nodes.select(F.col("node").alias("parent")).distinct()
-    base = (nodes.select("conv_id", "node", "parent", "score").join(known, "parent", "left_semi")
-            .unionByName(nodes.select("conv_id", "node", "parent", "score").join(known, "parent", "left_anti")
-                         .withColumn("parent", F.lit(None).cast("long"))))
-    level = materialise(base.select("conv_id", "node", F.col("parent").alias("up"), "score"), "chat-jump")
+    slim = nodes.select("conv_id", "node", "parent", "score")
+    replies, no_parent = slim.where("parent IS NOT NULL"), F.lit(None).cast("long")
+    # roots are joined with nothing: as one group they would be one task's
+    base = (slim.where("parent IS NULL").unionByName(replies.join(known, "parent", "left_semi"))
+            .unionByName(replies.join(known, "parent", "left_anti").withColumn("parent", no_parent)))
+    level = materialise(base.select("conv_id", "node", F.col("parent").alias("up"), "score",
+                                    F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("above")), "chat-jump")
     leaves = level.join(level.select(F.col("up").alias("node")).where("node IS NOT NULL").distinct(), "node", "left_anti")
     leaves = materialise(leaves.select("conv_id", "node"), "chat-leaves")
     jumps = []
@@ -103,21 +106,23 @@ def paths(nodes: DataFrame, branches: int = 1, max_steps: int = 40) -> DataFrame
         if open_nodes.isEmpty():
             break
         jumps.append(open_nodes.select("node", "up"))
-        upper = level.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("more"))
+        upper = level.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("more"),
+                             F.col("above").alias("more_above"))
         level = materialise(
             open_nodes.join(upper, "up").select("conv_id", "node", F.col("up2").alias("up"),
-                                                (F.col("score") + F.col("more")).alias("score"))
+                                                (F.col("score") + F.col("more")).alias("score"),
+                                                (F.col("above") + F.col("more_above")).alias("above"))
             .unionByName(level.where("up IS NULL")), "chat-jump")
     else:
         raise ValueError("the replies of a conversation form a cycle")
-    scored = leaves.join(level.select("node", "score"), "node")
+    scored = leaves.join(level.select("node", "score", "above"), "node")
     best = Window.partitionBy("conv_id").orderBy(F.desc("score"), "node")
     chosen = (scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= branches)
-              .select(F.col("node").alias("path"), "rank", "node", F.lit(0).cast("long").alias("depth")))
+              .select(F.col("node").alias("path"), "rank", "node", F.lit(0).cast("long").alias("depth"), F.col("above").alias("last")))
     for k in range(len(jumps) - 1, -1, -1):
         chosen = materialise(chosen, "chat-paths")
         up = chosen.join(jumps[k], "node").select("path", "rank", F.col("up").alias("node"),
-                                                  (F.col("depth") + (1 << k)).alias("depth"))
+                                                  (F.col("depth") + (1 << k)).alias("depth"), "last")
         chosen = chosen.unionByName(up)
     return chosen
 
@@ -125,8 +130,7 @@ def paths(nodes: DataFrame, branches: int = 1, max_steps: int = 40) -> DataFrame
 def format_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     """The formatted conversations: conv_id, path, rank, seq (from 0 at the root), chunk."""
     found = materialise(paths(nodes, branches), "chat-chosen")
-    length = found.groupBy("path").agg(F.max("depth").alias("last"))
-    rows = (found.join(length, "path").join(nodes.select("node", "conv_id", "role", "text"), "node")
+    rows = (found.join(nodes.select("node", "conv_id", "role", "text"), "node")
             .select("conv_id", "path", "rank", (F.col("last") - F.col("depth")).alias("seq"), "role", "text"))
     schema = "conv_id long, path long, rank int, seq long, chunk string"
 

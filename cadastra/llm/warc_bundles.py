@@ -14,7 +14,10 @@ File names follow from the task's partition, and the rows of a partition are sor
 attempt writes the same bytes under the same name; a file appears by rename when it is complete.
 
 Defined results: null html is an empty payload; null urls are empty; rows that repeat a page id with
-one payload are records of the same kind; an empty table writes nothing and has no records.
+one payload are records of the same kind; rows that share a page id have one WARC-Record-ID and are told apart by
+bundle, frame and offset; a row without an id revisits the equal payload of the smallest id, and is a response where
+no equal payload has an id; a very long payload is one record in one frame; an empty table writes nothing and has no
+records. Columns other than id, url and payload do not matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -142,11 +145,12 @@ def write_bundles(pages: DataFrame, root: str, min_bytes: int = MIN_BYTES, frame
     long = digests.where(F.col("n_bytes") >= min_bytes)
     first = (long.groupBy("digest", "n_bytes").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n"))
              .where("n > 1").drop("n"))
-    revisits = materialise(long.distinct().join(first, ["digest", "n_bytes"]).where("page_id <> refers_to")
-                           .select("page_id", "digest", "refers_to"), "warc-revisits")
-    todo = (rows.withColumn("digest", F.sha2("payload", 256))
-            .join(revisits, ["page_id", "digest"], "left")
-            .sortWithinPartitions("page_id", "digest", "url"))
+    revisits = materialise(long.distinct().join(first, ["digest", "n_bytes"])
+                           .where("refers_to IS NOT NULL AND NOT page_id <=> refers_to")
+                           .select(F.col("page_id").alias("of"), F.col("digest").alias("of_digest"), "refers_to"), "warc-revisits")
+    keyed = rows.withColumn("digest", F.sha2("payload", 256))
+    todo = (keyed.join(revisits, keyed.page_id.eqNullSafe(revisits["of"]) & (keyed.digest == revisits.of_digest), "left")
+            .drop("of", "of_digest").sortWithinPartitions("page_id", "digest", "url"))
     filesystem(root)[0].create_dir(filesystem(root)[1], recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -49,3 +49,23 @@ def test_cycles_and_empty_tables(spark):
         C.paths(spark.createDataFrame([(1, 1, 2, "u", "", 0.0), (1, 2, 1, "u", "", 0.0)], schema), max_steps=4)
     empty = spark.createDataFrame([], TURNS)
     assert C.read_back(C.format_paths(C.reply_chains(empty))).count() == 0
+
+
+def test_ties_long_texts_and_clashing_names(spark):
+    from pyspark.sql import functions as F
+    nodes = [(1, 10, None, "user", "root", 0.0), (1, 12, 10, "assistant", "later", 2.0), (1, 11, 10, "assistant", "sooner", 2.0)]
+    df = spark.createDataFrame(nodes, "conv_id long, node long, parent long, role string, text string, score double")
+    rows = C.format_paths(df.withColumns({c: F.lit("x") for c in ("path", "rank", "above", "last", "up")})).collect()
+    assert [r["chunk"].split("\n")[1].removesuffix(C.END) for r in sorted(rows, key=lambda r: r["seq"])] == ["root", "sooner"]
+    turns = [(5, 0, "user", "x" * 3_000_000, "c"), (5, 1, "assistant", "</s>" * 500_000, "c")]
+    df = spark.createDataFrame(turns, TURNS).withColumns({c: F.lit("c") for c in ("node", "prev", "parent", "tie", "score")})
+    got = C.read_back(C.format_paths(C.reply_chains(df))).collect()
+    assert [tuple(r)[3:] for r in got] == [digests([(r, t) for _, _, r, t, _ in turns])]
+
+
+def test_depths_without_a_join_on_the_path(spark):
+    n = 1000  # one long conversation
+    df = spark.createDataFrame([(1, i, i - 1 if i else None, "user", str(i), 0.0) for i in range(n)],
+                               "conv_id long, node long, parent long, role string, text string, score double")
+    rows = C.paths(df).collect()
+    assert sorted((r["depth"], r["node"], r["last"]) for r in rows) == [(d, n - 1 - d, n - 1) for d in range(n)]

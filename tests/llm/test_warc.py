@@ -3,7 +3,7 @@ import hashlib
 from cadastra.llm import warc_bundles as W
 from cadastra.session import scratch_path
 
-SCHEMA = "page_id long, url string, html string, row string"
+SCHEMA = "page_id long, url string, html string, digest string"
 
 
 def plain(rows):
@@ -12,14 +12,14 @@ def plain(rows):
     for i, b in data:
         if len(b) >= 100 and i is not None:
             first[b] = min(first.get(b, i), i)
-    return sorted([(i, len(b), hashlib.sha256(b).hexdigest(), "revisit" if i is not None and first.get(b, i) != i else "response",
-                    first[b] if i is not None and first.get(b, i) != i else None) for i, b in data], key=str)
+    return sorted([(i, len(b), hashlib.sha256(b).hexdigest(), "revisit" if first.get(b, i) != i else "response",
+                    first[b] if first.get(b, i) != i else None) for i, b in data], key=str)
 
 
 def test_round_trip(spark):
     rows = [(i, f"http://h/{i % 3}\r\nx y", None if i % 11 == 0 else ("é" * 80 if i % 3 else f"<p>{i}</p>" * 50), "c") for i in range(200)]
     rows += [(500, None, "", "c"), (501, "u", "x" * 300_000, "c"), (3, "u", "again", "c"), (4, rows[4][1], rows[4][2], "c"),
-             (None, "n", "no id " * 40, "c")]
+             (None, "n", "no id " * 40, "c"), (None, "m", "no id " * 40, "c"), (None, "m", rows[4][2], "c"), (900, "u", "y" * 5_000_000, "c")]
     root = scratch_path(spark, "test-warc")
     index = W.write_bundles(spark.createDataFrame(rows, SCHEMA), root, frame_bytes=2000, bundle_bytes=1500)
     back = W.read_bundles(index, root)
