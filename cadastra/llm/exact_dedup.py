@@ -32,7 +32,7 @@ from .common import materialise, shuffle_partitions
 
 CAPACITY = 1 << 16
 #: copies of a text beyond which it is aggregated before it is routed
-HOT = 4096
+HOT = 256
 #: rows up to which the directory, hot hashes and hot links are broadcast
 SMALL_ROWS = 1 << 17
 
