@@ -4,33 +4,45 @@ Every line of every document has an id (a 128-bit hash). Ranks order the suffixe
 by their first line, then by their first 2, 4, 8, ... lines: each round pairs a suffix's rank with the
 rank 2**k lines further on, sorts the distinct pairs by range partitions and numbers them in order.
 Suffixes whose rank nobody shares are in place and leave; so only repeated lines are ever ranked, and
-each distinct pair is counted before it is shuffled, however often it occurs.
-
-Suffixes that share their first L lines are an interval of the suffix array, the longest-common-prefix
-interval of depth L; it is named by the ranks of its first and of its last 2**k lines (2**k <= L),
-which cover the run between them. A run counts as repeated text if it has at least ``min_chars``
-characters. Every line inside such a maximal repeated run lies in a shortest run of that size that
-begins or that ends at some line of it, so it is enough to look up the intervals of those: doubling
-stops when 2**k exceeds the longest of them. The earliest occurrence (doc_id, then place) of each
-interval stays; the lines of all later ones are deleted.
+each distinct pair is counted before it is shuffled, however often it occurs. Doubling ends when every
+rank is single.
+
+The ranks are then read from the longest to the shortest. Suffixes that agree on their first m lines are
+an interval of the suffix array; asking each for the rank of the next 2**k lines splits the interval into
+those that agree on m + 2**k lines. In each part the earliest occurrence (document, then place) stays in
+the interval that was split, for the shorter ranks to come, and stands in the part as its witness; the
+others go on in the part, m + 2**k lines long. One earliest occurrence answers for its whole part, as
+whoever is left behind disagrees with all of it within these 2**k lines. An interval thus holds at most
+one witness, and a suffix ends with the length of its longest common prefix with any earlier suffix.
+Such a run is maximal if the suffix one line before does not cover it; the lines of maximal runs of at
+least ``min_chars`` characters are deleted, so of every repeated run the earliest copy stays.
+
+Frequent groups (a blank line, a passage in a third of the rows) are aggregated before they are shuffled
+and meet their rows by a broadcast of the at most ``HOT_GROUPS`` groups that hold more than that share.
 
 Defined results: null text stays null; a document may become empty; rows equal in id and text are one
 document (both get the same result); a null id counts as the smallest; ties between equal ids are
-ordered by a hash of the text; runs that overlap their own first copy lose the overlap as well; an
-empty table gives no rows; other columns are kept as they are.
+ordered by a hash of the text; runs that overlap their own first copy lose the overlap as well; a very
+long text is as many rows as it has lines, and only its spans are gathered; an empty table gives no rows;
+other columns are kept as they are (``n_lines`` and ``n_deleted`` are replaced).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadastra.session import written
+
 from .common import materialise, ordered_ids
 
 MIN_CHARS = 40
+#: groups with more than the total divided by this many rows are broadcast; there can be no more of them
+HOT_GROUPS = 1024
 _DOC = ["doc", "tie"]
 _NO_ID = -(1 << 63)
 
@@ -40,75 +52,105 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                              "__tie": F.xxhash64(F.col(text_col))})
 
 
+def meet(rows: DataFrame, groups: DataFrame, keys: list[str], total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with their group (``n``: rows in it, ``total`` in all), frequent groups by broadcast."""
+    frequent = F.col("n") > total // HOT_GROUPS  # at most HOT_GROUPS groups, as their rows add up to ``total``
+    hot = F.broadcast(groups.where(frequent))
+    rest = rows.join(hot.select(*keys), keys, "left_anti").join(groups.where(~frequent), keys, how)
+    return rows.join(hot, keys).unionByName(rest).drop("n")
+
+
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, tie, pos, chars, rank) of every line that occurs more than once; rank orders the line ids."""
+    """(doc, tie, pos, rank) of every line that occurs more than once; rank orders the line ids."""
     lines = (_keyed(docs, id_col, text_col).where(F.col(text_col).isNotNull())
              .select(F.col("__doc").alias("doc"), F.col("__tie").alias("tie"),
                      F.posexplode(F.split(text_col, "\n", -1)).alias("pos", "line"))
-             .select(*_DOC, "pos", F.char_length("line").alias("chars"), F.xxhash64("line").alias("id1"),
-                     F.xxhash64(F.lit("line"), "line").alias("id2")))
-    lines = materialise(lines, "lines")
-    shared = (lines.groupBy("id1", "id2").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
+             .select(*_DOC, "pos", F.xxhash64("line").alias("id1"), F.xxhash64(F.lit("line"), "line").alias("id2")))
+    lines, total = written(lines, "lines")
+    shared = lines.groupBy("id1", "id2").agg(F.count("*").alias("n")).where("n > 1")
     names = ordered_ids(shared, ["id1", "id2"], "line-ranks", "rank")
-    return materialise(lines.join(names, ["id1", "id2"]).select(*_DOC, "pos", "chars", "rank")
+    return materialise(meet(lines, names, ["id1", "id2"], total).select(*_DOC, "pos", "rank")
                        .dropDuplicates([*_DOC, "pos"]), "line-level")
 
 
-def doubled(level: DataFrame, step: int) -> DataFrame:
-    """Ranks by twice as many lines (``step`` so far), of the suffixes that share theirs."""
+def doubled(level: DataFrame, step: int) -> tuple[DataFrame, int]:
+    """Ranks by twice as many lines (``step`` so far) of the suffixes that share theirs, and their number."""
     ahead = Window.partitionBy(*_DOC).orderBy("pos")
     # the row ``step`` lines further on, if its line is ranked; positions have gaps, hence the range frame
     there = ahead.rangeBetween(step, step)
-    pairs = level.select(*_DOC, "pos", "rank", F.max("rank").over(there).alias("next")).where("next IS NOT NULL")
-    shared = pairs.groupBy("rank", "next").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs, total = written(level.select(*_DOC, "pos", "rank", F.max("rank").over(there).alias("next"))
+                           .where("next IS NOT NULL"), "line-pairs")
+    shared = pairs.groupBy("rank", "next").agg(F.count("*").alias("n")).where("n > 1")
     names = ordered_ids(shared, ["rank", "next"], "line-ranks", "new")
-    return materialise(pairs.join(names, ["rank", "next"]).select(*_DOC, "pos", F.col("new").alias("rank")), "line-level")
-
-
-def shortest_runs(level: DataFrame, min_chars: int) -> DataFrame:
-    """(doc, tie, pos, lines): per line the shortest run of ``min_chars`` characters from it and up to it."""
-    by_pos = Window.partitionBy(*_DOC).orderBy("pos")
-    block = level.withColumn("block", F.col("pos") - F.row_number().over(by_pos))  # unbroken stretches
-    within = Window.partitionBy(*_DOC, "block").orderBy("pos")
-    sums = block.withColumn("upto", F.sum("chars").over(within)).withColumn("before", F.col("upto") - F.col("chars"))
-    part = Window.partitionBy(*_DOC, "block")
-    forth = part.orderBy("before").rangeBetween(Window.currentRow, min_chars - 1)
-    back = part.orderBy("upto").rangeBetween(-(min_chars - 1), Window.currentRow)
-    ends = (sums.withColumn("end", F.max(F.struct("pos", "upto")).over(forth))
-            .withColumn("begin", F.min(F.struct("pos", "before")).over(back)))
-    from_here = (ends.where(F.col("end.upto") - F.col("before") >= min_chars)
-                 .select(*_DOC, "pos", (F.col("end.pos") - F.col("pos") + 1).alias("lines")))
-    to_here = (ends.where(F.col("upto") - F.col("begin.before") >= min_chars)
-               .select(*_DOC, F.col("begin.pos").alias("pos"), (F.col("pos") - F.col("begin.pos") + 1).alias("lines")))
-    return from_here.unionByName(to_here).distinct()
-
-
-def later_copies(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, tie, deleted): the places of the lines that lie in later copies of repeated runs."""
-    level = repeated_lines(docs, id_col, text_col)
-    runs = materialise(shortest_runs(level, min_chars)
-                       .withColumn("k", F.floor(F.log2(F.col("lines") + 0.5)).cast("int")), "line-runs")
-    longest = runs.agg(F.max("k")).first()[0]
-    if longest is None:
-        longest = 0
-    level = level.drop("chars")
-    ranks = level.withColumn("k", F.lit(0))
-    for k in range(longest):
-        level = doubled(level, 1 << k)
-        ranks = ranks.unionByName(level.withColumn("k", F.lit(k + 1)))
-    key = [*_DOC, "k", "pos"]
-    first = ranks.withColumnRenamed("rank", "rank_first")
-    last = ranks.withColumnRenamed("rank", "rank_last").withColumnRenamed("pos", "last_pos")
-    named = (runs.withColumn("last_pos", F.col("pos") + F.col("lines") - F.expr("shiftleft(1, k)"))
-             .join(first, key).join(last, [*_DOC, "k", "last_pos"])
-             .select(*_DOC, "pos", "lines", "rank_first", "rank_last"))
-    named = materialise(named, "line-intervals")
-    interval = ["lines", "rank_first", "rank_last"]
-    kept = (named.groupBy(*interval).agg(F.min(F.struct(*_DOC, "pos")).alias("kept"), F.count("*").alias("n"))
-            .where("n > 1").drop("n"))
-    copies = named.join(kept, interval).where(F.struct(*_DOC, "pos") != F.col("kept"))
-    return (copies.select(*_DOC, F.explode(F.expr("sequence(pos, pos + lines - 1)")).alias("at"))
-            .groupBy(*_DOC).agg(F.collect_set("at").alias("deleted")))
+    return written(meet(pairs, names, ["rank", "next"], total).select(*_DOC, "pos", F.col("new").alias("rank")), "line-level")
+
+
+def suffix_levels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[DataFrame]:
+    """The shared ranks (doc, tie, pos, rank) by 1, 2, 4, ... lines, until every rank is single."""
+    levels = [repeated_lines(docs, id_col, text_col)]
+    while True:
+        level, n = doubled(levels[-1], 1 << (len(levels) - 1))
+        if not n:
+            return levels
+        levels.append(level)
+
+
+def longest_earlier(levels: list[DataFrame]) -> DataFrame:
+    """(doc, tie, pos, lines): the longest run from each place that also occurs earlier, if there is one."""
+    every = levels[0].withColumn("k", F.lit(0))
+    for k, level in enumerate(levels[1:], 1):
+        every = every.unionByName(level.withColumn("k", F.lit(k)))
+    # a suffix enters at its longest shared rank: it has no answer to the longer ones
+    entry = materialise(every.groupBy(*_DOC, "pos").agg(F.max(F.struct("k", "rank")).alias("top")), "line-entry")
+    place = F.struct(*_DOC, "pos")
+    interval = ["level", "id"]  # of the suffixes that agree on ``lines`` lines; (-1, 0) holds all
+    state = None
+    for k in range(len(levels) - 1, -1, -1):
+        asked = (entry.where(F.col("top.k") == k)
+                 .select(*_DOC, "pos", F.lit(-1).alias("level"), F.lit(0).cast("long").alias("id"), F.lit(0).alias("lines"),
+                         F.lit(True).alias("own"), F.col("top.rank").alias("rank")))
+        if state is not None:
+            there = levels[k].select(*_DOC, F.col("pos").alias("at"), "rank")
+            asked = asked.unionByName(state.withColumn("at", F.col("pos") + F.col("lines"))
+                                      .join(there, [*_DOC, "at"], "left").drop("at"))
+        asked, total = written(asked, "line-asked")
+        parts = (asked.where("rank IS NOT NULL").groupBy(*interval, "rank")
+                 .agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1")
+                 .withColumn("part", F.monotonically_increasing_id()))
+        parts = materialise(parts, "line-parts")
+        met = meet(asked.where("rank IS NOT NULL"), parts, [*interval, "rank"], total, "left")
+
+        def row(level, ident, lines, own):  # noqa: ANN001
+            return F.struct(level.alias("level"), ident.alias("id"), lines.alias("lines"), own.alias("own"))
+
+        stays = row(F.col("level"), F.col("id"), F.col("lines"), F.col("own"))
+        longer = (F.lit(k), F.col("part"), F.col("lines") + (1 << k))
+        moved = (F.when(F.col("part").isNull(), F.array(stays))
+                 .when(place == F.col("kept"), F.array(stays, row(*longer, F.lit(False))))  # the witness
+                 .otherwise(F.array(row(*longer, F.col("own")))))
+        state = (met.select(*_DOC, "pos", F.explode(moved).alias("to")).select(*_DOC, "pos", "to.*")
+                 .unionByName(asked.where("rank IS NULL").drop("rank")))
+    return state.where("own AND lines > 0").select(*_DOC, "pos", "lines")
+
+
+def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, tie, pos, lines): the maximal runs of lines that are later copies, of any number of characters."""
+    runs = longest_earlier(suffix_levels(docs, id_col, text_col))
+    before = Window.partitionBy(*_DOC).orderBy("pos")
+    covered = (F.lag("pos").over(before) == F.col("pos") - 1) & (F.lag("lines").over(before) > F.col("lines"))
+    return (runs.withColumn("covered", F.coalesce(covered, F.lit(False))).where("NOT covered").drop("covered"))
+
+
+def _inside(lines: list[str], runs: list[dict], min_chars: int) -> set[int]:
+    """The places that lie in one of the ``runs`` of at least ``min_chars`` characters."""
+    upto = [0, *accumulate(map(len, lines))]
+    inside, done = set(), 0
+    for run in sorted(runs, key=lambda r: r["pos"]):  # maximal runs end in the order in which they begin
+        end = run["pos"] + run["lines"]
+        if upto[end] - upto[run["pos"]] >= min_chars:
+            inside.update(range(max(done, run["pos"]), end))
+            done = end
+    return inside
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,7 +159,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_
     Columns of these names that ``docs`` already has are replaced.
     """
     docs = docs.drop("n_lines", "n_deleted")
-    found = materialise(later_copies(docs, min_chars, id_col, text_col).toDF("__doc", "__tie", "__deleted"), "line-deleted")
+    spans = later_copies(docs, id_col, text_col).groupBy(*_DOC).agg(F.collect_list(F.struct("pos", "lines")).alias("runs"))
+    found = materialise(spans.toDF("__doc", "__tie", "__runs"), "line-runs")
     joined = _keyed(docs, id_col, text_col).join(found, ["__doc", "__tie"], "left").drop("__doc", "__tie")
     names = docs.columns
     n = len(names)
@@ -127,12 +170,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, total, gone = [], [], []
-            for text, deleted in zip(b.column(at).to_pylist(), b.column(n).to_pylist()):
+            for text, runs in zip(b.column(at).to_pylist(), b.column(n).to_pylist()):
                 lines = text.split("\n") if text is not None else []
+                drop = _inside(lines, runs or (), min_chars)
                 total.append(len(lines))
-                gone.append(len(deleted or ()))
-                if deleted:
-                    drop = set(deleted)
+                gone.append(len(drop))
+                if drop:
                     text = "\n".join([x for i, x in enumerate(lines) if i not in drop])
                 texts.append(text)
             columns = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(n)]

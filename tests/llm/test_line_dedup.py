@@ -1,4 +1,4 @@
-from cadastra.llm.line_dedup import dedup_lines
+from cadastra.llm.line_dedup import dedup_lines, later_copies, longest_earlier, meet, suffix_levels
 
 
 def plain(rows, min_chars):
@@ -53,3 +53,58 @@ def test_long_shared_run_and_chance_lines(spark):
 def test_edges(edge_docs, no_docs):
     assert dedup_lines(edge_docs).count() == edge_docs.count()
     assert dedup_lines(no_docs).count() == 0
+
+
+def longest(rows):
+    """The longest common prefix of every suffix with an earlier one, from a plain list of all suffixes."""
+    seen, out = [], {}
+    for i, t in rows:
+        lines = t.split("\n")
+        for a in range(len(lines)):
+            best = 0
+            for other in seen:
+                n = 0
+                while n < min(len(other), len(lines) - a) and other[n] == lines[a + n]:
+                    n += 1
+                best = max(best, n)
+            if best:
+                out[i, a] = best
+            seen.append(lines[a:])
+    return out
+
+
+def test_common_prefixes_and_maximal_runs(spark):
+    import random
+    rng = random.Random(11)
+    rows = [(i, "\n".join(rng.choice("abc") for _ in range(rng.randint(1, 40)))) for i in range(25)]
+    rows += [(100, "\n".join("z" * 37)), (101, rows[4][1]), (102, rows[4][1] + "\n" + rows[5][1]), (103, "own")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = longest(rows)
+    levels = suffix_levels(df)
+    assert 5 <= len(levels) <= 7  # 36 equal lines follow one another
+    assert {(r["doc"], r["pos"]): r["lines"] for r in longest_earlier(levels).collect()} == want
+    maximal = {k: n for k, n in want.items() if want.get((k[0], k[1] - 1), 0) <= n}
+    assert {(r["doc"], r["pos"]): r["lines"] for r in later_copies(df).collect()} == maximal
+
+
+def test_ranks_are_a_suffix_order(spark):
+    rows = [(1, "b\na\nc\na\nb"), (2, "a\nc\na\nb\nb\na"), (3, "c\na\nb\na\nc")]
+    levels = suffix_levels(spark.createDataFrame(rows, "doc_id long, text string"))
+    first = {(r["doc"], r["pos"]): r["rank"] for r in levels[0].collect()}
+    text = {i: t.split("\n") for i, t in rows}
+    for k, level in enumerate(levels):
+        ranked = [((r["rank"]), tuple(first[r["doc"], r["pos"] + j] for j in range(1 << k)), r["doc"], r["pos"])
+                  for r in level.collect()]
+        order = sorted(ranked)
+        assert [x[1] for x in order] == sorted(x[1] for x in ranked)  # ranks ascend with the line ids
+        assert len({x[0] for x in ranked}) == len({tuple(text[d][p:p + (1 << k)]) for _, _, d, p in ranked})
+
+
+def test_frequent_groups_meet_their_rows(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("key"), "id")
+    groups = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1 OR key < 3000")
+    for how, n in (("inner", 4000), ("left", 6000)):
+        got = meet(rows, groups, ["key"], 6000, how).collect()
+        assert len(got) == n and len({r["id"] for r in got}) == n
+        assert all(r["least"] == (None if r["key"] >= 3000 else r["key"]) for r in got)
