@@ -62,3 +62,22 @@ def previous_ids(ids: DataFrame, id_col: str = "gid") -> DataFrame:
 def md5_long(*cols: Column) -> Column:
     """A non-negative 60-bit number from the md5 of the columns joined by '|' (same in any SQL engine)."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", *cols)), 1, 15), 16, 10).cast("long")
+
+
+def lowest(rows: DataFrame, mixed: Column, order: list[str], limit: int) -> DataFrame:
+    """The ``limit`` distinct ``rows`` of the lowest 64-bit hash ``mixed``, ties by ``order``; all if fewer.
+
+    Only rows under a bound on the hash are sorted, so that tasks hand on some ``2 * limit`` rows
+    together, not ``limit`` rows each. The bound follows from the number of rows and is raised until
+    ``limit`` distinct ones lie under it, so the result is that of sorting them all.
+    """
+    n = rows.count()
+    share = 2 * limit / max(n, 1)
+    near = rows.distinct()
+    while share < 1:
+        under = rows.where(mixed < int(-(1 << 63) + share * 2.0 ** 64)).distinct()
+        if under.count() >= limit:
+            near = under
+            break
+        share *= 4
+    return near.orderBy(mixed, *order).limit(limit)

@@ -18,7 +18,8 @@ numbers a document) are the only thing that reaches the driver. Every document i
 arithmetic expression in Spark.
 
 Defined results: null text is empty; without any trusted positive every score is 0.5 (nothing is
-known against a document); an empty table gives no rows; repeated rows get equal scores.
+known against a document); an empty table gives no rows; repeated rows get equal scores; a very long
+text is read whole, as one row of a task. Other columns, whatever their names, are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import lowest, materialise
 from .dense_text import NAMES, dense
 
 SAMPLE_ROWS = 20_000
@@ -153,15 +154,14 @@ def score_quality(docs: DataFrame, labels: DataFrame, learnable: Column, sample_
     rows = materialise(_features(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("tie"),
                                              F.coalesce(F.col(text_col), F.lit("")).alias("text"))), "quality-features")
     trusted = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label"))
-               .where(learnable & (F.col("label") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct())
+               .where(learnable & (F.col("label") == 1) & F.col("doc_id").isNotNull()).select("doc_id"))
     order = F.xxhash64(F.lit("quality"), "doc_id")
     documents = rows.select("doc_id", "tie").where("doc_id IS NOT NULL")
 
     def sample(some: DataFrame, salt: str) -> DataFrame:
-        mixed = F.xxhash64(F.lit(salt), "doc_id", "tie")
-        return some.distinct().orderBy(mixed, "doc_id", "tie").limit(sample_rows)
+        return lowest(some, F.xxhash64(F.lit(salt), "doc_id", "tie"), ["doc_id", "tie"], sample_rows)
 
-    known = trusted.orderBy(order, "doc_id").limit(sample_rows)
+    known = lowest(trusted, order, ["doc_id"], sample_rows)
     positives = sample(documents.join(F.broadcast(known), "doc_id"), "trusted").withColumn("positive", F.lit(True))
     unlabelled = sample(documents, "web").withColumn("positive", F.lit(False))
     chosen = positives.unionByName(unlabelled)  # 2 * sample_rows documents at most

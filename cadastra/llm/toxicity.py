@@ -13,11 +13,13 @@ regression on a part that the trees have not seen. Scoring is ``transform`` in t
 
 The labelled rows are a sample bounded by ``label_rows``, taken in the order of a hash of the id; half
 of it gives the lexicon, a third the trees, the rest the calibration. Labels, language, source and id
-are no features.
+are no features. An id with several texts is several documents with one label, and all count to the bound.
 
-Defined results: null text is empty; empty texts get the score of their (zero) features; repeated
-label rows of a document count once, toxic if any says so; without toxic or without clean examples
-the score is the lexicon share of the words, held to 0..1; an empty table gives no rows.
+Defined results: null text is empty; empty texts get the score of their (zero) features; a very long text
+is read whole, as one row of a task; repeated label rows of a document count once, toxic if any says so;
+repeated rows get equal scores, and so do equal texts; without toxic or without clean examples the score is
+the lexicon share of the words, held to 0..1; an empty table gives no rows. Other columns, whatever their
+names, are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import lowest, materialise
 from .dense_text import NAMES, dense
 
 LABEL_ROWS = 20_000
@@ -148,12 +150,19 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON_SIZE) -> dict[str, float]
 
 
 def _sample(docs: DataFrame, labels: DataFrame, learnable: Column, label_rows: int) -> DataFrame:
-    """(doc_id, text, label, role): at most ``label_rows`` labelled documents, by hash order of the id."""
+    """(doc_id, text, label, role): at most ``label_rows`` labelled documents, by hash order of the id.
+
+    A document is an id with a text; repeated rows count once.
+    """
     one = (labels.where(learnable & F.col("label").isNotNull() & F.col("doc_id").isNotNull())
            .groupBy("doc_id").agg(F.max("label").cast("int").alias("label")))
     mixed = F.xxhash64(F.lit("toxicity"), "doc_id")
-    chosen = one.orderBy(mixed, "doc_id").limit(label_rows).withColumn("role", F.pmod(F.shiftright(mixed, 20), F.lit(12)))
-    return materialise(docs.join(F.broadcast(chosen), "doc_id"), "tox-sample")  # label_rows ids at most
+    known = lowest(one, mixed, ["doc_id"], label_rows).withColumn("role", F.pmod(F.shiftright(mixed, 20), F.lit(12)))
+    tied = docs.withColumn("tie", F.xxhash64("text"))
+    found = materialise(tied.select("doc_id", "tie").join(F.broadcast(known), "doc_id").distinct(), "tox-chosen")
+    chosen = lowest(found, mixed, ["doc_id", "tie"], label_rows)
+    return materialise(tied.join(F.broadcast(chosen), ["doc_id", "tie"]).dropDuplicates(["doc_id", "tie"]).drop("tie"),
+                       "tox-sample")  # label_rows rows at most
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learnable: Column, label_rows: int = LABEL_ROWS,

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from cadastra.llm import quality_pu as Q, toxicity as T
+from cadastra.llm.common import lowest
 from cadastra.llm.queries import QUERIES, held_out
 from tests.conftest import SF_CHECK
 from tests.llm.conftest import DOC_SCHEMA, words
@@ -116,3 +117,83 @@ def test_obfuscated_and_near_person_words():
     assert f[at["undone_density"]] > 0 and f[at["near_person"]] == 1.0 and f[at["person"]] > 0
     assert T.features("Achlstein sagt", known)[at["peak"]] == 2.0
     assert T.features("", known) == [0.0] * len(T.FEATURES)
+
+
+def plain_features(text, lexicon):
+    """The lexicon features by their definitions, word by word and pair by pair."""
+    def weight(word):
+        return max((lexicon.get(k, 0.0) for k in T.keys_of(word)), default=0.0)
+
+    words = text.split()
+    n = max(1, len(words))
+    hits, undone, mixed, persons = [], 0, 0, []
+    for i, w in enumerate(words):
+        odd = T._MIXED.search(w) is not None
+        repaired = T._SEPARATORS.sub("", w.lower().translate(T.LOOKALIKES)) if odd else ""
+        found = weight(w) or (weight(repaired) if odd else 0.0)
+        if found:
+            hits.append((i, w, found))
+        undone += bool(odd and not weight(w) and weight(repaired))
+        mixed += odd
+        if T._EDGES.sub("", w.lower()) in T.SECOND_PERSON:
+            persons.append(i)
+    near = sum(any(abs(i - p) <= T.NEAR for p in persons) for i, *_ in hits)
+    most = max((sum(1 for _, v, _ in hits if v == w) for _, w, _ in hits), default=0)
+    return {"density": 100 * len(hits) / n, "peak": max((x for *_, x in hits), default=0.0),
+            "weight": np.log1p(sum(x for *_, x in hits)), "distinct_hits": np.log1p(len({w for _, w, _ in hits})),
+            "undone_density": 100 * undone / n, "near_person": near / max(1, len(hits)), "person": 100 * len(persons) / n,
+            "mixed": 100 * mixed / n, "capital_words": sum(w.isupper() for w in words) / n,
+            "peak_share": most / len(hits) if hits else 0.0}
+
+
+def test_features_match_plain_code():
+    rng = random.Random(21)
+    pool = ["you", "You,", "tu", "idiot", "IDIOT!", "1d1ot", "i.d.i.o.t", "achly", "Achse", "it's", "THE", "the", "a1", "?!", "loser"]
+    lexicon = {"idiot": 3.0, "loser": 1.5, "ach*": 0.5, "achl*": 2.0}
+    at = {n: k for k, n in enumerate(T.FEATURES)}
+    for _ in range(200):
+        text = " ".join(rng.choice(pool) for _ in range(rng.randint(0, 40)))
+        got = T.features(text, T._Words(lexicon))
+        for name, value in plain_features(text, lexicon).items():
+            assert abs(got[at[name]] - value) < 1e-9, (name, text)
+
+
+def test_weights_minimise_the_risk():
+    rng = np.random.default_rng(5)
+    n, prior = 1500, 0.5
+    good = rng.random(n) < prior
+    x = np.vstack([rng.normal(1, 1, (n, 2)), rng.normal(np.where(good, 1, -1)[:, None], 1, (n, 2))])
+    x = np.hstack([np.ones((2 * n, 1)), x])
+    positive = np.arange(2 * n) < n
+
+    def risk(w):
+        z = x @ w
+        up, down = np.logaddexp(0, -z), np.logaddexp(0, z)
+        return (prior * up[positive].mean() + max(0.0, down[~positive].mean() - prior * down[positive].mean())
+                + Q.DECAY / 2 * (w @ w))
+
+    w = Q.fit_nnpu(x, positive, prior)
+    assert all(risk(w) <= risk(w + d) + 1e-4 for d in rng.normal(0, 0.2, (200, 3)))
+
+
+def test_lowest_equals_a_whole_sort(spark):
+    mixed = F.xxhash64(F.lit("web"), "id")
+    rows = spark.range(3000).union(spark.range(5).crossJoin(spark.range(400).toDF("n")).select("id"))
+    want = [r["id"] for r in rows.distinct().orderBy(mixed, "id").limit(50).collect()]
+    assert [r["id"] for r in lowest(rows, mixed, ["id"], 50).collect()] == want
+    assert lowest(rows, mixed, ["id"], 9000).count() == 3000
+    copies = spark.range(20000).select((F.col("id") % 60).alias("id"))  # few distinct rows: the bound is raised
+    want = [r["id"] for r in copies.distinct().orderBy(mixed, "id").limit(50).collect()]
+    assert [r["id"] for r in lowest(copies, mixed, ["id"], 50).collect()] == want
+    assert lowest(rows.limit(0), mixed, ["id"], 50).count() == 0
+
+
+def test_a_repeated_id_does_not_fill_the_toxicity_sample(spark):
+    rows = [(i, text) for i, text, *_ in numbered_texts(60)]
+    rows += [(7, rows[7][1])] * 300 + [(7, f"another text {k}") for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, label int")
+    got = [(r["doc_id"], r["text"], r["label"]) for r in T._sample(docs, labels, F.lit(True), 30).collect()]
+    assert len(got) == len(set(got)) <= 30 and all(i % 2 == y for i, _, y in got)
+    got = [(r["doc_id"], r["text"]) for r in T._sample(docs, labels, F.lit(True), 1000).collect()]
+    assert sorted(got) == sorted(set(rows))
