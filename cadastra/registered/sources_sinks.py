@@ -261,14 +261,24 @@ def q_pending_sources(spark, sf_dir):
     return L.pending_sources(links, spark.read.parquet(manifest), key="link")
 
 
-@register("export_csv_roundtrip", "SELECT " + ", ".join(
-    f"NULLIF({c}, '') AS {c}" for c in LEAD_OUTPUT) + f""" FROM ({lead_sql(f"UPPER(est.uf) = 'MG' AND {PORTE_35}")})""")
+EXPORTED = "SELECT " + ", ".join(
+    f"NULLIF({c}, '') AS {c}" for c in LEAD_OUTPUT) + f""" FROM ({lead_sql(f"UPPER(est.uf) = 'MG' AND {PORTE_35}")})"""
+
+
+@register("export_csv_roundtrip", EXPORTED)
 def q_export_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "export")
     export_csv(leads(_cat(spark, sf_dir), LeadFilter(uf="MG")), path)
     return read_export(spark, path)
 
 
+@register("export_one_file", EXPORTED)
+def q_export_one_file(spark, sf_dir):
+    path = scratch_path(spark, "export-one")
+    export_csv(leads(_cat(spark, sf_dir), LeadFilter(uf="MG")), path, single_file=True, sort_by=["cnpj"])
+    return read_export(spark, path)
+
+
 @register("rename_dataset", "SELECT * FROM socios")
 def q_rename_dataset(spark, sf_dir):
     cat = _cat(spark, sf_dir)

@@ -36,6 +36,92 @@ def test_export_bom_and_count(spark, tmp_dir):
     assert back == [("1", None, None), ("2", "a;b", "ç")]
 
 
+def _one_task(df, path, sort_by):
+    """Bytes of the file that one task writes."""
+    from pyspark.sql import functions as F
+
+    from cadastra.sources.export import _OPTIONS, BOM
+    order = [F.col(c).asc_nulls_last() for c in [*sort_by, *(c for c in df.columns if c not in sort_by)]]
+    first = df.columns[0]
+    (df.repartition(1).sortWithinPartitions(*order).withColumnRenamed(first, BOM + first)
+     .write.options(**_OPTIONS, header="true").csv(path))
+    (f,) = glob.glob(f"{path}/part-*.csv")
+    return open(f, "rb").read()
+
+
+@pytest.mark.parametrize("per_file", ["0", "700"])
+def test_one_file_equals_that_of_one_task(spark, tmp_dir, monkeypatch, per_file):
+    from pyspark.sql import functions as F
+
+    from cadastra.sources import export
+    monkeypatch.setattr(export, "COPY_RANGE", 1000)  # a part is copied by several tasks
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", per_file)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        # one key holds a third of the rows; breaks, quotes, blanks, nulls and letters of several bytes
+        df = spark.range(9000, numPartitions=7).select(
+            F.when(F.col("id") % 3 == 0, "000").otherwise(F.format_string("%05d", F.col("id") * 7919 % 9000)).alias("key"),
+            F.when(F.col("id") % 5 > 0, F.concat(F.lit(' ç"\n;'), F.col("id"))).alias("b"), (F.col("id") % 2).alias("c"))
+        assert export_csv(df, f"{tmp_dir}/one", single_file=True, sort_by=["key"]) == 9000
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert not glob.glob(f"{tmp_dir}/one/_export-*")
+    raw = open(f"{tmp_dir}/one/part-00000.csv", "rb").read()
+    assert raw == _one_task(df, f"{tmp_dir}/plain", ["key"])
+    # written again with other rows: the old file is gone
+    assert export_csv(df.where("c = 7"), f"{tmp_dir}/one", single_file=True, sort_by=["key"]) == 0
+    assert open(f"{tmp_dir}/one/part-00000.csv", "rb").read() == "\ufeffkey;b;c\n".encode()
+    # over a folder of many parts; the order of the frame stays where none is asked for
+    export_csv(df, f"{tmp_dir}/parts")
+    kept = spark.range(100, numPartitions=9).select((F.lit(500) - F.col("id")).alias("n"))
+    assert export_csv(kept, f"{tmp_dir}/parts", bom=False, single_file=True) == 100
+    assert [os.path.basename(f) for f in glob.glob(f"{tmp_dir}/parts/part-*")] == ["part-00000.csv"]
+    assert open(f"{tmp_dir}/parts/part-00000.csv").read().split() == ["n", *(str(500 - i) for i in range(100))]
+
+
+def test_a_sorted_export_is_written_by_many_tasks(spark, tmp_dir, monkeypatch):
+    from cadastra.sources import export
+    seen = []
+    join = export._copy_to_offsets
+    monkeypatch.setattr(export, "_copy_to_offsets", lambda s, parts, target: (seen.extend(parts), join(s, parts, target)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        export_csv(spark.range(5000), f"{tmp_dir}/out", single_file=True, sort_by=["id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    rows = [length for _, length in seen[1:]]  # after the header
+    assert len(rows) == 8 and max(rows) < sum(rows) / 4
+
+
+def test_concatenation_takes_parts_in_order():
+    from cadastra.sources.export import _concat
+
+    class Store:
+        files = {"h": b"k\n", "r/0": b"1\n", "r/10": b"3\n", "r/2": b"2\n"}
+
+        def concat(self, target, sources):
+            assert all(self.files[s] for s in sources)
+            self.files[target] += b"".join(self.files.pop(s) for s in sources)
+
+        def rename(self, a, b):
+            self.files[b] = self.files.pop(a)
+            return True
+
+    store = Store()
+    _concat(store, str, lambda _, n: [None] * n, [("h", 2), ("r/0", 2), ("r/2", 2), ("r/10", 2)], "t")
+    assert store.files == {"t": b"k\n1\n2\n3\n"}
+    _concat(store, str, lambda _, n: [None] * n, [("t", 8)], "u")  # a header alone
+    assert list(store.files) == ["u"]
+
+
+def test_ranges_cover_the_joined_file(monkeypatch):
+    from cadastra.sources import export
+    monkeypatch.setattr(export, "COPY_RANGE", 10)
+    assert export.copy_ranges([("a", 3), ("b", 25), ("c", 10)]) == [
+        ("a", 0, 3, 0), ("b", 0, 10, 3), ("b", 10, 10, 13), ("b", 20, 5, 23), ("c", 0, 10, 28)]
+
+
 def test_stream_ingest_is_incremental(spark, tmp_dir):
     from cadastra.sources.dumps import write_dump
     from cadastra.streaming.ingest_stream import run_ingest_stream
