@@ -16,7 +16,8 @@ doubled; ``unescape`` is the exact inverse. Turns are rendered one row each (``p
 one conversation.
 
 Defined results: null role and null text count as empty; empty texts are turns; repeated rows are
-turns of their own; an empty table gives no rows; a cycle of replies raises an error.
+turns of their own; an empty table gives no rows; a cycle of replies raises an error; a very long text is one
+turn and held by one task. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ only the last row of each range meets the first row of the following one in a se
 
 Defined results: null text is empty; a text without words has an empty fingerprint, which is like
 another empty one (1.0) and unlike any other (0.0); ids that repeat are ordered by a hash of the
-text; a null id comes first; one row alone is its own next document; an empty table gives no rows.
+text; a null id comes first; one row alone is its own next document; an empty table gives no rows; a very
+long text is read whole, as one row of a task. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -29,7 +29,8 @@ are counted before they are shuffled, and joins on them are plain joins that can
 
 Defined results: null text is empty; a document without words has an empty set and links with nothing;
 one with fewer than five words has one shingle; rows that repeat are classes of equal sets; the
-component id is the smallest doc_id of the component, nulls aside; an empty table gives no rows.
+component id is the smallest doc_id of the component, nulls aside; an empty table gives no rows; the set of a
+very long text is one row of a task. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -33,12 +33,12 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.session import written
 
-from .common import materialise, ordered_ids
+from .common import free_names, materialise, ordered_ids
 
 MIN_CHARS = 40
 #: groups with more than the total divided by this many rows are broadcast; there can be no more of them
@@ -47,9 +47,9 @@ _DOC = ["doc", "tie"]
 _NO_ID = -(1 << 63)
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.withColumns({"__doc": F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)),
-                             "__tie": F.xxhash64(F.col(text_col))})
+def _key(id_col: str, text_col: str) -> list[Column]:
+    """What tells documents apart: the id (a number for null) and a hash of the text."""
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), F.xxhash64(F.col(text_col))]
 
 
 def meet(rows: DataFrame, groups: DataFrame, keys: list[str], total: int, how: str = "inner") -> DataFrame:
@@ -62,8 +62,8 @@ def meet(rows: DataFrame, groups: DataFrame, keys: list[str], total: int, how: s
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, tie, pos, rank) of every line that occurs more than once; rank orders the line ids."""
-    lines = (_keyed(docs, id_col, text_col).where(F.col(text_col).isNotNull())
-             .select(F.col("__doc").alias("doc"), F.col("__tie").alias("tie"),
+    lines = (docs.where(F.col(text_col).isNotNull())
+             .select(*[k.alias(c) for k, c in zip(_key(id_col, text_col), _DOC)],
                      F.posexplode(F.split(text_col, "\n", -1)).alias("pos", "line"))
              .select(*_DOC, "pos", F.xxhash64("line").alias("id1"), F.xxhash64(F.lit("line"), "line").alias("id2")))
     lines, total = written(lines, "lines")
@@ -160,8 +160,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_
     """
     docs = docs.drop("n_lines", "n_deleted")
     spans = later_copies(docs, id_col, text_col).groupBy(*_DOC).agg(F.collect_list(F.struct("pos", "lines")).alias("runs"))
-    found = materialise(spans.toDF("__doc", "__tie", "__runs"), "line-runs")
-    joined = _keyed(docs, id_col, text_col).join(found, ["__doc", "__tie"], "left").drop("__doc", "__tie")
+    doc, tie, runs_col = free_names(docs, "__doc", "__tie", "__runs")
+    found = materialise(spans.toDF(doc, tie, runs_col), "line-runs")
+    joined = (docs.withColumns(dict(zip((doc, tie), _key(id_col, text_col)))).join(found, [doc, tie], "left").drop(doc, tie))
     names = docs.columns
     n = len(names)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", n_lines long, n_deleted long"

@@ -17,7 +17,8 @@ ever orders more than the blocks of a source or the documents of one block.
 
 Defined results: a null source is a source of its own; rows without a word (or with null text) weigh
 nothing and are returned by no partial pass but by every whole one; repeated rows count as often as
-they occur; an empty table gives no rows.
+they occur; an empty table gives no rows; the words of a very long text are counted in place, none is cut. Columns
+other than id, source and text do not matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialise, md5_long
+from .common import WORD, free_names, materialise, md5_long
 
 BLOCK_TOKENS = 1 << 16
 MAX_BLOCKS = 1 << 16
@@ -161,11 +162,12 @@ def mixed_documents(docs: DataFrame, budget: int | None = None, **params) -> Dat
     Without a budget no document goes: those of sources without a word are kept once.
     """
     id_col, source_col = params.get("id_col", "doc_id"), params.get("source_col", "source")
-    copies = (mix_sources(docs, budget, **params).groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"))
-              .agg(F.count_distinct("pass").alias("__copies")))
-    keyed = docs.join(copies, docs[id_col].eqNullSafe(copies["__id"]) & docs[source_col].cast("string").eqNullSafe(copies["__source"]),
+    doc, source, n, copy = free_names(docs, "__id", "__source", "__copies", "__copy")
+    copies = (mix_sources(docs, budget, **params).groupBy(F.col("doc_id").alias(doc), F.col("source").alias(source))
+              .agg(F.count_distinct("pass").alias(n)))
+    keyed = docs.join(copies, docs[id_col].eqNullSafe(copies[doc]) & docs[source_col].cast("string").eqNullSafe(copies[source]),
                       "left" if budget is None else "inner")
-    return (keyed.withColumn("__copy", F.explode(F.expr("sequence(1, coalesce(cast(__copies AS int), 1))")))
+    return (keyed.withColumn(copy, F.explode(F.sequence(F.lit(1), F.coalesce(F.col(n).cast("int"), F.lit(1)))))
             .select(*[docs[c] for c in docs.columns]))
 
 

@@ -16,7 +16,8 @@ tasks made of that length (a running sum of counts, not of pieces). A binary sea
 (length, rank) into a sequence and an offset.
 
 Defined results: null text is empty and is one end id; repeated rows are packed each; an empty table
-gives no rows; a null doc_id is packed like any other.
+gives no rows; a null doc_id is packed like any other; a very long text is encoded whole in one task and
+leaves it as pieces. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ import pytest
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: extra columns whose names the operators use inside
 CLASHES = ["row", "tie", "token", "doc", "rank", "n", "features", "label", "pos", "key", "block", "pass", "gid", "part",
-           "norm", "slot", "bucket", "score", "x", "y", "tokens", "copies", "deleted", "n_lines"]
+           "norm", "slot", "bucket", "score", "x", "y", "tokens", "copies", "deleted", "n_lines",
+           "__id", "__source", "__copies", "__copy", "__doc", "__tie", "__runs"]
 
 
 def words(rng, n):

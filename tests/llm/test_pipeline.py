@@ -50,6 +50,8 @@ def test_edge_rows(spark, edge_docs, edge_rows, no_docs):
     for name, stage in C.STAGES[:-1]:
         docs = materialise(stage(spark, docs, SF_SMALL), "t")
         assert docs.columns == edge_docs.columns, name
+        kept = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+        assert docs.select(*kept).distinct().collect() == [("clash",) * len(kept)], name
     assert C.pack(spark, docs, SF_SMALL).count() > 0
     for name, stage in C.STAGES:
         assert stage(spark, no_docs, SF_SMALL).count() == 0, name
