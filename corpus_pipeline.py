@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.llm import jaccard_join, line_dedup, mixing, packing, quality_pu
-from cadastra.llm.common import materialise, table
+from cadastra.llm.common import free_names, materialise, table
 from cadastra.llm.queries import TOKENIZER, held_out
 
 #: documents with a lower chance of being good are rejected
@@ -36,9 +36,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of line runs; documents of which nothing is left go."""
-    cut = line_dedup.dedup_lines(docs).where("n_deleted = 0 OR text <> ''")
+    # columns of the operator's names are set aside
+    own = {c: free_names(docs, f"own_{c}")[0] for c in docs.columns if c.lower() in ("n_lines", "n_deleted")}
+    cut = line_dedup.dedup_lines(docs.withColumnsRenamed(own)).where("n_deleted = 0 OR text <> ''")
     n_chars = F.when(F.col("n_deleted") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return (cut.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
+            .select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns]))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
