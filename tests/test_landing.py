@@ -5,6 +5,7 @@ import shutil
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from cadastra.sources.catalog import Catalog, load_catalog
 from cadastra.sources.landing import curate, landed_registry, publish, write_base
@@ -114,3 +115,24 @@ def test_no_private_folder_off_local_mode():
             get = staticmethod(lambda key, default=None: {"spark.master": "yarn"}.get(key, default))
     with pytest.raises(RuntimeError):
         checkpoint_root(Cluster)
+
+
+def test_a_task_holds_one_bucket_of_a_state(spark, tmp_dir):
+    est = registry_view(spark, SF_SMALL, "estabelecimentos")
+    write_base(est, f"{tmp_dir}/E.parquet", "estabelecimentos", rows_per_file=100)
+    states = dict(est.groupBy(F.upper("uf")).count().collect())
+    for uf, rows in states.items():
+        held = [pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{tmp_dir}/E.parquet/uf_norm={uf}/*.parquet")]
+        assert len(held) == -(-rows // 100) and max(held) < 200 and sum(held) == rows
+
+
+def test_states_missing_or_many_are_landed_whole(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr("cadastra.sources.landing.MAX_SMALL_STATES", 3)
+    est = spark.range(60).select(F.col("id").cast("string").alias("cnpj_basico"),
+                                 F.when(F.col("id") < 40, F.concat(F.lit("s"), "id")).alias("uf"))
+    for name, df in (("many", est), ("none", est.where("false"))):
+        write_base(df, f"{tmp_dir}/{name}", "estabelecimentos", rows_per_file=50)
+    back = spark.read.schema("cnpj_basico string, uf string").parquet(f"{tmp_dir}/many").select("cnpj_basico", "uf")
+    assert sorted(map(str, back.collect())) == sorted(map(str, est.collect()))
+    tasks = {f.rsplit("/", 1)[1].split("-")[1] for f in glob.glob(f"{tmp_dir}/many/*/*.parquet")}
+    assert len(tasks) <= 5
