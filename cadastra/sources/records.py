@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from ..session import written
 
 BLOCK_BYTES = 128 << 20
+#: blocks, and so tasks, that a scan of smaller ones is cut into at most
+MAX_SMALL_BLOCKS = 1_000
 #: blocks that begin inside a record are told to all tasks: (file, block) pairs, one for BLOCK_BYTES of input at most
 MAX_OPEN_BLOCKS = 2_000_000
 
@@ -79,6 +81,17 @@ def _blocks_of(spark: SparkSession, size: int):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def block_size(total: int, wanted: int) -> int:
+    """Bytes of a block for ``total`` bytes: ``wanted``, or more (up to ``BLOCK_BYTES``) where those would be too many
+    tasks, as each costs a start, a file of states and one of pieces."""
+    return max(wanted, min(BLOCK_BYTES, -(-total // MAX_SMALL_BLOCKS)))
+
+
+def _total_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
 def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(file, block, line): physical lines as bytes, without the newline; in order inside a task."""
     return spark.read.option("lineSep", "\n").text(list(paths)).select(
@@ -157,8 +170,10 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_records(spark: SparkSession, paths: str | Sequence[str], block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(file, block, n, data): every record of the files as bytes, written; ``n`` counts the records that begin in a block."""
+    """(file, block, n, data): every record of the files as bytes, written; ``n`` counts the records that begin in a block.
+    Blocks are of ``block_bytes``, larger where that many would be too many tasks (:func:`block_size`)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
+    block_bytes = block_size(_total_bytes(spark, paths) if block_bytes < BLOCK_BYTES else 0, block_bytes)
     with _blocks_of(spark, block_bytes):
         lines = _lines(spark, paths)
         states, _ = written(lines.mapInArrow(_states, "file long, block long, if_closed boolean, if_opened boolean"), "block-states")
