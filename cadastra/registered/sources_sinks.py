@@ -120,7 +120,7 @@ def q_ingest_bad_rows(spark, sf_dir):
             .when(dv == "10", F.concat(full, F.lit(';""')))
             .when(dv == "01", short).otherwise(full))
     path = scratch_path(spark, "bad-rows") + "/Estabelecimentos"
-    est.select(line.alias("value")).write.text(path)
+    D.write_lines(est.select(line.alias("value")), path)
     return D.read_base_dump(spark, path, "estabelecimentos")
 
 
@@ -166,7 +166,7 @@ def q_ingest_null_tokens(spark, sf_dir):
     for dv, (c, tok) in NULL_TOKEN_RULES.items():
         est = est.withColumn(c, F.when(F.col("cnpj_dv") == dv, F.lit(tok)).otherwise(F.col(c)))
     path = scratch_path(spark, "null-tokens") + "/Estabelecimentos"
-    est.select(D.render_lines(est, COLUMNS["estabelecimentos"]).alias("value")).write.text(path)
+    D.write_lines(est.select(D.render_lines(est, COLUMNS["estabelecimentos"]).alias("value")), path)
     return D.read_base_dump(spark, path, "estabelecimentos")
 
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +37,10 @@ DELIMITER = ";"
 QUOTE = '"'
 ENCODING = "ISO-8859-1"
 CORRUPT = "_corrupt_record"
+#: bytes up to which a file whose records may span lines is read whole by one task
+WHOLE_BYTES = BLOCK_BYTES
+#: rows of one written dump file: readers of multi-line records may take a file whole
+FILE_ROWS = 250_000
 # First-line header test — a delimiter and at least one letter.
 HEADER_LETTERS = r"[A-Za-zÀ-ÿ_]"
 
@@ -46,9 +51,13 @@ def _reader(spark: SparkSession, encoding: str, multiline: bool):
             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
 
 
+def _quoted_name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def named(column: str) -> Column:
     """The column of exactly this name, whatever characters it holds."""
-    return F.col("`" + column.replace("`", "``") + "`")
+    return F.col(_quoted_name(column))
 
 
 def free_name(name: str, taken, first: int, sign: str) -> str:
@@ -127,30 +136,60 @@ def apply_null_tokens(df: DataFrame, columns: Sequence[str] | None = None,
     return df.select(*[null_tokens(named(c), tokens).alias(c) if c in wanted else named(c) for c in df.columns])
 
 
+def by_size(spark: SparkSession, paths: str | Sequence[str], encoding: str = ENCODING) -> tuple[str | list[str], list[str], list[str]]:
+    """``paths`` as what one task may read whole, the larger files whose records are single lines, and the larger ones
+    with records that span lines. Without large files the paths stay as they are."""
+    files = (spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths))
+             .select(F.col("_metadata.file_path").alias("uri"), (F.col("length") > WHOLE_BYTES).alias("large")))
+    large = [r["uri"] for r in files.where("large").collect()]
+    if not large:
+        return paths, [], []
+    # no line that begins outside quotes ends inside them: then none begins inside
+    rest = F.regexp_replace("value", r'(^|;)"[^"]*+(?:""[^"]*+)*+"', "$1")
+    lines = spark.read.option("encoding", encoding).text(large).select(F.col("_metadata.file_path").alias("uri"), rest.rlike('(^|;)"').alias("open"))
+    spans = {r["uri"] for r in lines.where("open").select("uri").distinct().collect()}
+    return [r["uri"] for r in files.where("NOT large").collect()], [u for u in large if u not in spans], sorted(spans)
+
+
+def parsed(records: DataFrame, schema: StructType, header: bool, encoding: str) -> DataFrame:
+    """Records of :func:`~cadastra.sources.records.read_records` as rows of ``schema``; ``header``: without the first
+    record of every file."""
+    if header:
+        records = records.where("NOT (block = 0 AND n = 0)")
+    options = {"sep": DELIMITER, "quote": QUOTE, "escape": QUOTE, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    text = F.regexp_replace(F.decode("data", encoding), r"\r\z", "")
+    ddl = ", ".join(f"{_quoted_name(f.name)} string" for f in schema.fields)
+    row = records.select(F.from_csv(text, ddl, options).alias("_row"))
+    return row.select(*[F.col("_row").getField(f.name).alias(f.name) for f in schema.fields])
+
+
+def _split_rows(spark: SparkSession, paths, schema: StructType, header: bool, encoding: str, block_bytes: int) -> DataFrame:
+    return parsed(read_records(spark, paths, block_bytes), schema, header, encoding)
+
+
 def read_dump(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str],
               header: bool = False, encoding: str = ENCODING, multiline: bool | str = True,
               observation=None, block_bytes: int = BLOCK_BYTES, keep_uri: str | None = None) -> DataFrame:
     """Read dump files into the given all-string columns with the bad-row and NULL-token rules.
     ``keep_uri`` names a further column for the file that a row comes from (not in split mode).
 
-    ``multiline``: True for records that may span lines, one task per file; ``"split"`` for the same with a task per
-    ``block_bytes`` of a file; False for records of one line.
+    ``multiline``: True for records that may span lines, a task per file of at most ``WHOLE_BYTES`` and many per larger
+    one (with ``keep_uri`` one per file); ``"split"`` for the same with a task per ``block_bytes`` of a file; False for
+    records of one line.
     """
     schema = StructType([StructField(n, StringType(), True) for n in names]
                         + [StructField(CORRUPT, StringType(), True)])
     if multiline == "split":
-        records = read_records(spark, paths, block_bytes)
-        if header:  # the first record of every file
-            records = records.where("NOT (block = 0 AND n = 0)")
-        options = {"sep": DELIMITER, "quote": QUOTE, "escape": QUOTE, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
-                   "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-        text = F.regexp_replace(F.decode("data", encoding), r"\r\z", "")
-        row = records.select(F.from_csv(text, schema.toDDL(), options).alias("_row"))
-        df = row.select(*[F.col("_row").getField(f.name).alias(f.name) for f in schema.fields])
+        df = _split_rows(spark, paths, schema, header, encoding, block_bytes)
     else:
-        df = (_reader(spark, encoding, multiline).option("header", str(header).lower())
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .schema(schema).csv(list(paths) if not isinstance(paths, str) else paths))
+        small, lines, spans = by_size(spark, paths, encoding) if multiline and not keep_uri else (paths, [], [])
+        read = lambda files, whole: (_reader(spark, encoding, whole).option("header", str(header).lower())
+                                     .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+                                     .schema(schema).csv(files if isinstance(files, str) else list(files)))
+        parts = [read(files, whole) for files, whole in ((small, multiline), (lines, False)) if files]
+        parts += [_split_rows(spark, spans, schema, header, encoding, block_bytes)] if spans else []
+        df = reduce(DataFrame.unionByName, parts)
         if keep_uri:
             df = df.withColumn(keep_uri, F.col("_metadata.file_path"))
     df = apply_bad_row_policy(df, len(names), observation)
@@ -165,7 +204,12 @@ def write_dump(df: DataFrame, path: str, encoding: str = ENCODING, header: bool
     (df.write.mode("overwrite").option("sep", DELIMITER).option("quote", QUOTE).option("escape", QUOTE)
      .option("quoteAll", "true").option("encoding", encoding).option("header", str(header).lower())
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-     .csv(path))
+     .option("maxRecordsPerFile", FILE_ROWS).csv(path))
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Write rendered lines as a dump."""
+    lines.write.option("maxRecordsPerFile", FILE_ROWS).text(path)
 
 
 def render_lines(df: DataFrame, columns: Sequence[str] | None = None) -> F.Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cadastra.sources import dumps as D
 from cadastra.sources.parquet_io import normalize_names
-from cadastra.sources.records import ends_open, first_record_lines, open_blocks, read_records
+from cadastra.sources.records import BLOCK_BYTES, MAX_SMALL_BLOCKS, block_size, ends_open, first_record_lines, open_blocks, read_records
 
 
 def by_csv(data: bytes) -> list[list[str]]:
@@ -155,3 +155,52 @@ def test_a_file_with_a_blank_first_line_is_ingested(spark, tmp_dir):
     assert sorted(map(tuple, spark.read.parquet(out["cnaes"]).collect())) == [("1", "um"), ("2", "dois")]
     other = spark.read.parquet(out[""])
     assert other.columns == ["a", "a.1", "a.2"] and [tuple(r) for r in other.collect()] == [("1", "2", "3")]
+
+
+def test_blocks_grow_where_they_would_be_too_many_tasks():
+    assert block_size(10 << 20, 1 << 17) == 1 << 17  # few enough
+    assert block_size(16 << 30, 1 << 17) == -(-(16 << 30) // MAX_SMALL_BLOCKS)
+    assert block_size(1 << 50, 1 << 17) == BLOCK_BYTES
+    assert block_size(1 << 30, 256 << 20) == 256 << 20
+
+
+def test_small_blocks_are_bounded_and_lose_nothing(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr("cadastra.sources.records.MAX_SMALL_BLOCKS", 10)
+    data = random_dump(random.Random(4), 2000)
+    with open(f"{tmp_dir}/one.csv", "wb") as f:
+        f.write(data)
+    records = read_records(spark, f"{tmp_dir}/one.csv", 64)
+    assert 5 < records.select("block").distinct().count() <= 10
+    assert records.count() == len(by_csv(data))
+
+
+def test_a_large_file_is_split_and_read_alike(spark, tmp_dir, monkeypatch):
+    rng = random.Random(9)
+    os.makedirs(f"{tmp_dir}/d")
+    for k, n in enumerate((300, 3)):
+        with open(f"{tmp_dir}/d/f{k}.csv", "wb") as f:
+            f.write(b"id;um;dois\n" + random_dump(rng, n) + b'1;2\n3;"a\nb";c;too long\n4;NA;"x"\n')
+    for header in (False, True):
+        read = lambda: D.read_dump(spark, f"{tmp_dir}/d", ["a", "b", "c"], header=header, block_bytes=97)
+        whole = read()
+        with monkeypatch.context() as m:
+            m.setattr(D, "WHOLE_BYTES", 1000)
+            split = read()
+            assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_large_files_of_single_lines_are_read_by_lines(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(D, "WHOLE_BYTES", 100)
+    os.makedirs(f"{tmp_dir}/d")
+    held = {"small": b'"1";"x\ny"\n', "lines": b'"1";"say ""hi"";"\na"b;c\n;""\n' * 20,
+            # quotes inside unquoted text do not count: two of them, and the record goes on
+            "spans": b'a"b;"c\nd"e;"f"\n' * 20}
+    for name, data in held.items():
+        with open(f"{tmp_dir}/d/{name}.csv", "wb") as f:
+            f.write(data)
+    small, lines, spans = D.by_size(spark, f"{tmp_dir}/d")
+    assert [[os.path.basename(u) for u in k] for k in (small, lines, spans)] == [["small.csv"], ["lines.csv"], ["spans.csv"]]
+    rows = sorted(map(str, D.read_dump(spark, f"{tmp_dir}/d", ["a", "b", "c"]).collect()))
+    monkeypatch.setattr(D, "WHOLE_BYTES", 1 << 20)
+    assert rows == sorted(map(str, D.read_dump(spark, f"{tmp_dir}/d", ["a", "b", "c"]).collect()))
