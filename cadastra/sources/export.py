@@ -20,11 +20,15 @@ import os
 import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .dumps import by_size, parsed
+from .records import read_records
+
 BOM = "\ufeff"
 DELIMITER = ";"
 
@@ -183,7 +187,13 @@ def _publish(spark: SparkSession, joined: str, path: str, work: str) -> None:
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """Read an export back (header names without the BOM)."""
-    df = (spark.read.option("sep", DELIMITER).option("header", "true").option("quote", '"')
-          .option("escape", '"').option("multiLine", "true").csv(path))
+    """Read an export back (header names without the BOM). Large files are read by many tasks each."""
+    reader = lambda whole: (spark.read.option("sep", DELIMITER).option("header", "true").option("quote", '"')
+                            .option("escape", '"').option("multiLine", whole))
+    df = reader("true").csv(path)
+    small, lines, spans = by_size(spark, path, "UTF-8")
+    if lines or spans:
+        parts = [reader(whole).schema(df.schema).csv(files) for files, whole in ((small, "true"), (lines, "false")) if files]
+        parts += [parsed(read_records(spark, spans), df.schema, True, "UTF-8")] if spans else []
+        df = reduce(DataFrame.unionByName, parts)
     return df.toDF(*[c.lstrip(BOM) for c in df.columns])

@@ -181,3 +181,18 @@ def test_records_with_two_types_are_left_to_the_parts(spark):
     from cadastra.sources.schemas import merged
     s = [spark.createDataFrame([], ddl).schema for ddl in ("a string, b string", "b string, c string", "a int")]
     assert merged(s[:2]).names == ["a", "b", "c"] and merged(s) is None
+
+
+def test_a_large_export_is_split_and_read_alike(spark, tmp_dir, monkeypatch):
+    from cadastra.sources import dumps
+    from cadastra.sources.records import read_records
+    rows = [(f"nome\n\"{k}\"; ção" if k % 3 else "", None if k % 5 == 0 else f"v{k}") for k in range(400)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    export_csv(df, f"{tmp_dir}/one", single_file=True, sort_by=["a"])
+    whole = read_export(spark, f"{tmp_dir}/one")
+    monkeypatch.setattr(dumps, "WHOLE_BYTES", 1000)
+    monkeypatch.setattr("cadastra.sources.export.read_records", lambda s, p: read_records(s, p, 500))
+    split = read_export(spark, f"{tmp_dir}/one")
+    assert split.columns == whole.columns == ["a", "b"]
+    assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect())) and split.count() == 400
+    assert "from_csv" in split._jdf.queryExecution().optimizedPlan().toString().lower()
