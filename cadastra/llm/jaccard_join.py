@@ -54,8 +54,10 @@ LONGEST = 8
 VERIFY_COST = 16
 #: documents of one block of a cell
 BLOCK = 256
-#: rows of (id, digest) up to which a table of wanted documents is broadcast; beyond, both sides shuffle
+#: rows (of a list: entries) up to which a table of wanted documents is broadcast; beyond, both sides shuffle
 SMALL_ROWS = 200_000
+#: shingles up to which the frequent ones, a number each, are broadcast
+SMALL_TOKENS = 1_000_000
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -77,39 +79,47 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _sets(rows: DataFrame, percent: int) -> DataFrame:
-    """(row, doc_id, tie, n, digest, low): low holds the prefix of the longest ``l`` and some spare hashes."""
+    """(row, doc_id, tie, n, digest, stored, low): low holds the prefix of the longest ``l`` and some spare hashes."""
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(t) for t in b.column("text").to_pylist()]
             n = [len(s) for s in sets]
             low = [s[:k - _overlap(k, percent) + LONGEST + k // 16 + 4] for s, k in zip(sets, n)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tie"), pa.array(n, pa.int64()),
-                                              pa.array([_digest(s) for s in sets], pa.binary()), _lists(low)],
-                                             names=["doc_id", "tie", "n", "digest", "low"])
+                                              pa.array([_digest(s) for s in sets], pa.binary()),
+                                              pa.array(map(len, low), pa.int64()), _lists(low)],
+                                             names=["doc_id", "tie", "n", "digest", "stored", "low"])
 
-    made = rows.mapInArrow(compute, "doc_id long, tie long, n long, digest binary, low array<long>")
+    made = rows.mapInArrow(compute, "doc_id long, tie long, n long, digest binary, stored long, low array<long>")
     return materialise(made.withColumn("row", F.monotonically_increasing_id()), "jaccard-sets")
 
 
-def _whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(row, set) of the ``wanted`` (row, doc_id, tie, digest), from the texts; written."""
-    few = wanted.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+def _whole_sets(rows: DataFrame, wanted: DataFrame, lists: str | None = None) -> DataFrame:
+    """(row, set) of the ``wanted`` (row, doc_id, tie, digest), from the texts, with their column ``lists`` if named.
+
+    Rows that repeat under one id give the same set several times.
+    """
+    extra = [lists] if lists else []
+    few = (wanted.select(F.explode(lists)) if lists else wanted).limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
     side = F.broadcast(wanted) if few else wanted
     found = (rows.join(side, rows.doc_id.eqNullSafe(wanted.doc_id) & (rows.tie == wanted.tie))
-             .select("text", "row", "digest"))
+             .select("text", "row", "digest", *extra))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep, sets = [], []
-            for text, row, digest in zip(*(b.column(c).to_pylist() for c in ("text", "row", "digest"))):
+            for i, (text, digest) in enumerate(zip(*(b.column(c).to_pylist() for c in ("text", "digest")))):
                 s = shingle_set(text)
                 if _digest(s) == digest:  # texts that share an id and a hash differ in their sets
-                    keep.append(row)
+                    keep.append(i)
                     sets.append(s)
             if keep:
-                yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), _lists(sets)], names=["row", "set"])
+                kept = b.take(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([kept.column("row"), _lists(sets), *map(kept.column, extra)],
+                                                 names=["row", "set", *extra])
 
-    return materialise(found.mapInArrow(compute, "row long, set array<long>").dropDuplicates(["row"]), "jaccard-whole")
+    kinds = dict(wanted.dtypes)
+    return found.mapInArrow(compute, ", ".join(["row long, set array<long>", *(f"{c} {kinds[c]}" for c in extra)]))
 
 
 def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -122,12 +132,14 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int
     cell = F.xxhash64("g", *[F.pmod(F.xxhash64(F.lit(c), c), at(c)) for c in "xy"])
     placed = materialise(pairs.join(F.broadcast(blocks) if few else blocks, "g", "left").select(cell.alias("cell"), "x", "y"),
                          "jaccard-cells")
-    members = placed.select("cell", F.col("x").alias("row")).unionByName(placed.select("cell", F.col("y").alias("row"))).distinct()
-    wanted = materialise(classes.select("row", "doc_id", "tie", "digest").join(members.select("row").distinct(), "row"), "jaccard-wanted")
-    sets = _whole_sets(rows, wanted)
+    # each wanted text is read once, and its set goes straight to the cells that hold it
+    members = placed.select("cell", F.col("x").alias("row")).unionByName(placed.select("cell", F.col("y").alias("row")))
+    cells = members.groupBy("row").agg(F.collect_set("cell").alias("cells"))
+    wanted = materialise(classes.select("row", "doc_id", "tie", "digest").join(cells, "row"), "jaccard-wanted")
+    sets = _whole_sets(rows, wanted, "cells")
     empty = F.lit(None).cast("array<long>")
     n = shuffle_partitions(pairs.sparkSession)
-    dealt = (members.join(sets, "row").select("cell", F.col("row").alias("x"), F.lit(None).cast("long").alias("y"), "set")
+    dealt = (sets.select(F.explode("cells").alias("cell"), F.col("row").alias("x"), F.lit(None).cast("long").alias("y"), "set")
              .unionByName(placed.select("cell", "x", "y", empty.alias("set")))
              .repartition(n, "cell").sortWithinPartitions("cell", F.col("y").asc_nulls_first()))
 
@@ -158,42 +170,46 @@ def _postings(classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
 
     Unique is what no other prefix can hold: stored hashes and whole sets count.
     """
-    low = classes.select("row", "n", F.size("low").alias("stored"), F.posexplode("low").alias("at", "token"))
+    low = classes.select("row", F.posexplode("low").alias("at", "token"))
+    sizes = classes.select("row", "n", "stored")
     shared = materialise(low.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "jaccard-counts")
     need = F.least(F.col("n"), F.col("n") - overlap(F.col("n"), percent) + LONGEST)
 
-    def short_of_rare(frequent_at: DataFrame) -> DataFrame:
+    def frequent_at(tokens: DataFrame) -> DataFrame:
+        """(row, frequent): how many of the few ``tokens`` each class has stored."""
+        few = tokens.limit(SMALL_TOKENS + 1).count() <= SMALL_TOKENS
+        return low.join(F.broadcast(tokens) if few else tokens, "token").groupBy("row").agg(F.count("*").alias("frequent"))
+
+    def short_of_rare(tokens: DataFrame) -> DataFrame:
         """Classes whose stored hashes hold fewer rare ones than their longest prefix needs."""
-        f = frequent_at.groupBy("row", "n", "stored").agg(F.count("*").alias("frequent"))
+        f = frequent_at(tokens).join(sizes, "row")
         return f.where((F.col("stored") - F.col("frequent") < need) & (F.col("stored") < F.col("n"))).select("row")
 
     first = materialise(shared.where(F.col("c") > FREQUENT).select("token"), "jaccard-frequent")
-    deep = materialise(short_of_rare(low.join(first, "token")), "jaccard-deep")
+    deep = materialise(short_of_rare(first), "jaccard-deep")
     info = classes.select("row", "doc_id", "tie", "digest")
-    whole = _whole_sets(rows, info.join(deep, "row"))
+    whole_sets = lambda some: materialise(
+        _whole_sets(rows, info.join(some, "row")).dropDuplicates(["row"]), "jaccard-whole")
+    whole = whole_sets(deep)
     second = (whole.select(F.explode("set").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
               .where(F.col("c") > FREQUENT).select("token"))
-    frequent = first.unionByName(second).distinct().withColumn("last", F.lit(1))
-    marks = materialise(shared.select("token", F.lit(0).alias("last")).unionByName(frequent)
-                        .groupBy("token").agg(F.max("last").alias("last")), "jaccard-marks")
-    marked = materialise(low.join(marks.hint("shuffle_hash"), "token"), "jaccard-entries")
-    frequent = marks.where("last = 1")
-    deeper = materialise(short_of_rare(marked.where("last = 1")).join(deep, "row", "left_anti"), "jaccard-deep")
+    frequent = materialise(first.unionByName(second).distinct(), "jaccard-frequent")
+    deeper = materialise(short_of_rare(frequent).join(deep, "row", "left_anti"), "jaccard-deep")
     if not deeper.isEmpty():
-        whole = whole.unionByName(_whole_sets(rows, info.join(deeper, "row")))
+        whole = whole.unionByName(whole_sets(deeper))
         deep = deep.unionByName(deeper)
+    frequent = frequent.withColumn("last", F.lit(1))
 
     by_row = Window.partitionBy("row")
-    sizes = classes.select("row", "n")
     read = materialise(whole.select("row", F.explode("set").alias("token")).join(frequent, "token", "left")
                        .withColumn("last", F.coalesce("last", F.lit(0)))
                        .withColumn("pos", F.row_number().over(by_row.orderBy("last", "token")) - 1)
                        .join(sizes, "row").where(F.col("pos") < need).select("token", "row", "pos", "n"), "jaccard-read")
     # a stored shingle that no other stored part holds may be in a prefix read from a whole set
-    in_read = materialise(read.select("token").distinct(), "jaccard-read-tokens")
-    beyond = materialise(in_read.join(marks, "token", "left_anti").withColumn("last", F.lit(0)), "jaccard-beyond")
-    if not beyond.isEmpty():
-        marked = marked.unionByName(low.join(beyond, "token"))
+    marks = materialise(shared.select("token", F.lit(0).alias("last")).unionByName(frequent)
+                        .unionByName(read.select("token", F.lit(0).alias("last")).distinct())
+                        .groupBy("token").agg(F.max("last").alias("last")), "jaccard-marks")
+    marked = materialise(low.join(marks.hint("shuffle_hash"), "token"), "jaccard-entries").join(sizes, "row")
 
     so_far = F.sum("last").over(by_row.orderBy("at"))
     # rare hashes move up past the frequent ones before them; those follow at the end

@@ -101,6 +101,37 @@ def test_stored_shingles_shared_with_whole_sets_only(spark, monkeypatch):
     assert postings == {(t, row) for row, p in prefixes.items() for t in p if counts[t] > 1}
 
 
+def test_stored_hashes_and_whole_sets_are_dealt_once(spark, monkeypatch):
+    """The large tables are shuffled once each: stored hashes joined by shingle, sets of compared documents by cell."""
+    monkeypatch.setattr(J, "FREQUENT", 3)
+    rng = random.Random(6)
+    w = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    passage, rows = w(60), []
+    for i in range(12):
+        tail = w(18)
+        rows += [(3 * i, " ".join(passage + tail)), (3 * i + 1, " ".join(tail + w(3))), (3 * i + 2, " ".join(passage + tail[1:]))]
+    plans, real = [], J.materialise
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, name)
+
+    monkeypatch.setattr(J, "materialise", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    try:
+        found = got(J.linked_components(spark.createDataFrame(rows, "doc_id long, text string")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == plain(rows)
+    # the scan of low in a plan that joins it by shingle other than with a broadcast list
+    by_shingle = [n for n, p in plans if "posexplode(low" in p and re.search(r"(SortMergeJoin|ShuffledHashJoin) \[token", p)]
+    assert by_shingle == ["jaccard-entries"]
+    links = [p for n, p in plans if n == "jaccard-links"]
+    assert len(links) == 2 and not any(re.search(r"SortMergeJoin|ShuffledHashJoin", p) for p in links)
+    assert all(len(re.findall(r"Exchange hashpartitioning", p)) == 1 for p in links)
+
+
 def test_components(spark):
     from cadastra.llm.components import component_roots
     rng = random.Random(4)
