@@ -26,9 +26,11 @@ import bisect
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,12 +40,15 @@ from .common import materialise
 CAPACITY = 1024
 END_ID = 2
 CACHE = 600_000
+#: bytes of text that are encoded together (a longer text alone)
+TOGETHER = 8 << 20
+#: bytes of unknown stretches that the tokenizer is handed at once
+LEARN = 1 << 20
 
 _FIELDS = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
            ("ids_crc32", pa.int64()), ("task", pa.int32()), ("task_rank", pa.int64())]
 _SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, task_rank long"
 
-
 class _Joined(Exception):
     """A stretch that the pattern may join with the white space before it."""
 
@@ -74,6 +79,13 @@ class Encoder:
         self.plain = not any(t.lstrip or t.rstrip or t.single_word for t in added.values())
         contents = sorted(self.added, key=len, reverse=True)
         self.at_added = regex.compile("(" + "|".join(map(regex.escape, contents)) + ")").split
+        # without added tokens; and the bytes of each token, a character of the alphabet each
+        self.bare = Tokenizer(self.model)
+        if self.tokenizer.pre_tokenizer is not None:
+            self.bare.pre_tokenizer = self.tokenizer.pre_tokenizer
+        vocabulary = self.bare.get_vocab(with_added_tokens=False)
+        self.size = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.size[list(vocabulary.values())] = list(map(len, vocabulary))
         self.words: dict[str, bytes] = {}
         self.stretches: dict[str, bytes] = {}
 
@@ -113,6 +125,71 @@ class Encoder:
         except _Joined:  # spaces beside other white space: the pattern decides over the whole text
             return b"".join(map(self.word, self.split(text)))
 
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """``encode`` of every text, in order; texts of up to ``TOGETHER`` bytes are split and looked up together."""
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TOGETHER, side="right")))
+            yield from self.together(texts.slice(at, to - at))
+            at = to
+
+    def learn(self, stretches: list[str]) -> list[bytes]:
+        """``stretch`` of each of them: encoded as one text and told apart by the bytes of its tokens."""
+        if not stretches:
+            return []
+        known = np.array(self.bare.encode_batch_fast([" " + " ".join(stretches)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum(self.size[known])
+        stops = np.cumsum([1 + len(s.encode()) for s in stretches])
+        at = np.searchsorted(ends, stops)
+        if at[-1] != len(known) - 1 or (ends[at] != stops).any():  # not a token a byte string: one by one
+            return list(map(self.stretch, stretches))
+        raw, cuts = known.tobytes(), (4 * (at + 1)).tolist()
+        found = [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+        if len(self.stretches) + len(stretches) > CACHE:
+            self.stretches.clear()
+        self.stretches.update((s, i) for s, i in zip(stretches, found) if len(s) <= 64)
+        return found
+
+    def together(self, texts: pa.Array) -> Iterator[bytes]:
+        """Each distinct stretch of the texts is looked up once; the ids of a text are gathered by number."""
+        parts = pc.split_pattern(texts, " ")
+        bounds = parts.offsets.to_numpy()
+        coded = parts.values.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        number = coded.indices.to_numpy().copy()
+        first = [distinct[k] for k in number[bounds[:-1]]]
+        number[bounds[:-1]] = np.arange(len(distinct), len(distinct) + len(texts))  # no space before these
+        ids, joined = list(map(self.stretches.get, distinct)), np.zeros(len(distinct) + len(texts), bool)
+        unknown = [k for k, found in enumerate(ids) if found is None]
+        for k in unknown:
+            if not distinct[k] or distinct[k][0].isspace():  # spaces beside other white space: see between
+                ids[k], joined[k] = b"", True
+        unknown = np.array([k for k in unknown if not joined[k]], np.int64)
+        ends = np.cumsum(pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False)[unknown], dtype=np.int64) // LEARN
+        for some in np.split(unknown, np.flatnonzero(np.diff(ends)) + 1):
+            for k, found in zip(some.tolist(), self.learn([distinct[k] for k in some.tolist()])):
+                ids[k] = found
+        ids += [b"".join(map(self.word, self.split(s))) for s in first]
+        alone = np.logical_or.reduceat(joined[number], bounds[:-1])
+        for a in self.added:
+            alone |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+        known = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(size) - size
+        size, start = size[number], start[number]
+        ends = np.cumsum(size)
+        found = known[np.repeat(start - ends + size, size) + np.arange(ends[-1])]
+        ends = ends[bounds[1:] - 1].tolist()
+        for k, (a, b) in enumerate(zip([0, *ends], ends)):
+            yield self.encode(texts[k].as_py()) if alone[k] else found[a:b].tobytes()
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, pattern: str) -> Encoder:
+    """The encoder of this Python worker: what one task has learnt serves the next."""
+    return Encoder(path, pattern)
+
 
 def pieces_of(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` tokens: the first may be shorter, the others are full."""
@@ -127,11 +204,11 @@ def tokenized_pieces(docs: DataFrame, path: str, pattern: str, capacity: int = C
     end = np.array([END_ID], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, made, task = Encoder(path, pattern), [0] * (capacity + 1), TaskContext.get().partitionId()
+        encoder, made, task = worker_encoder(path, pattern), [0] * (capacity + 1), TaskContext.get().partitionId()
         for b in batches:
             out = []
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                ids = encoder.encode(text) + end
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), encoder.encode_all(b.column("text"))):
+                ids += end
                 for piece, (start, length) in enumerate(pieces_of(len(ids) // 4, capacity)):
                     crc = zlib.crc32(ids[4 * start:4 * (start + length)])
                     out.append((doc_id, piece, start, length, crc, task, made[length]))

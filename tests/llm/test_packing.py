@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import AddedToken, Tokenizer
@@ -59,6 +60,31 @@ def test_added_tokens_are_packed(spark):
     check(P.pack(P.tokenized_pieces(df, PATH, PATTERN, 16), 16).collect(), texts, Tokenizer.from_file(PATH), 16)
 
 
+def test_texts_encoded_together(encoder, tmp_path, monkeypatch):
+    """Groups and caches of any size give each text's own ids; a known or repeated stretch is not encoded again."""
+    rng = random.Random(8)
+    parts = ["<|endoftext|>", " ", " ", "  ", "\n", " \n", "ab", "don't", "é", "\x85", "\u3000", "word", "日本", "x" * 70, ","]
+    texts = ["", " ", "  ", "one", "<|endoftext|>"] + ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(800)]
+    default = Tokenizer.from_file(PATH)
+    ids = [np.array(default.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for together, learn, cache in ((1, 1, 1), (500, 40, 50), (8 << 20, 1 << 20, 600_000)):
+        monkeypatch.setattr(P, "TOGETHER", together)
+        monkeypatch.setattr(P, "LEARN", learn)
+        monkeypatch.setattr(P, "CACHE", cache)
+        for kind in (pa.string(), pa.large_string()):
+            assert list(encoder.encode_all(pa.array(texts, kind))) == ids
+    assert list(encoder.encode_all(pa.array([], pa.string()))) == []
+    fresh, learnt, real = P.Encoder(PATH, PATTERN), [], P.Encoder.learn
+    monkeypatch.setattr(P.Encoder, "learn", lambda self, s: learnt.extend(s) or real(self, s))
+    for _ in range(2):
+        list(fresh.encode_all(pa.array(["a new word and a new word again"] * 50)))
+    assert sorted(learnt) == ["a", "again", "and", "new", "word"]
+
+
+def test_a_worker_keeps_its_encoder():
+    assert P.worker_encoder(PATH, PATTERN) is P.worker_encoder(PATH, PATTERN)
+
+
 def check(rows, texts, tokenizer, capacity):
     pieces, sequences = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
