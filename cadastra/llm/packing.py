@@ -39,11 +39,11 @@ from .common import materialise
 
 CAPACITY = 1024
 END_ID = 2
-CACHE = 600_000
+CACHE = 150_000
 #: bytes of text that are encoded together (a longer text alone)
-TOGETHER = 8 << 20
-#: bytes of unknown stretches that the tokenizer is handed at once
-LEARN = 1 << 20
+TOGETHER = 1 << 20
+#: bytes of unknown stretches that the tokenizer is handed at once (it holds far more than the ids of their tokens)
+LEARN = 1 << 17
 
 _FIELDS = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
            ("ids_crc32", pa.int64()), ("task", pa.int32()), ("task_rank", pa.int64())]
@@ -216,6 +216,8 @@ def tokenized_pieces(docs: DataFrame, path: str, pattern: str, capacity: int = C
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out), _FIELDS)],
                                                  names=[n for n, _ in _FIELDS])
+        b = out = None  # the worker lives on for tasks of other stages
+        pa.default_memory_pool().release_unused()
 
     return materialise(rows.mapInArrow(cut, _SCHEMA), "pack-pieces")
 

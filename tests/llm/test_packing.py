@@ -1,5 +1,6 @@
 import collections
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -60,6 +61,22 @@ def test_added_tokens_are_packed(spark):
     check(P.pack(P.tokenized_pieces(df, PATH, PATTERN, 16), 16).collect(), texts, Tokenizer.from_file(PATH), 16)
 
 
+def test_groups_of_texts_take_little_memory():
+    """A worker holds the numbers of one small group and a bounded cache, however many texts a batch has."""
+    rng = random.Random(9)
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(200)) for _ in range(2000)]  # 400,000 stretches, 4 MB
+    column = pa.array(texts)
+    fresh = P.Encoder(PATH, PATTERN)
+    tracemalloc.start()
+    try:
+        n = sum(map(len, fresh.encode_all(column)))
+        kept, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert n > 4 * 400_000
+    assert kept < 30 << 20 and peak < 70 << 20, (kept >> 20, peak >> 20)
+
+
 def test_texts_encoded_together(encoder, tmp_path, monkeypatch):
     """Groups and caches of any size give each text's own ids; a known or repeated stretch is not encoded again."""
     rng = random.Random(8)
