@@ -39,11 +39,11 @@ from .common import materialise
 
 CAPACITY = 1024
 END_ID = 2
-CACHE = 150_000
+CACHE = 600_000
 #: bytes of text that are encoded together (a longer text alone)
-TOGETHER = 1 << 20
+TOGETHER = 4 << 20
 #: bytes of unknown stretches that the tokenizer is handed at once (it holds far more than the ids of their tokens)
-LEARN = 1 << 17
+LEARN = 1 << 18
 
 _FIELDS = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
            ("ids_crc32", pa.int64()), ("task", pa.int32()), ("task_rank", pa.int64())]
@@ -179,7 +179,11 @@ class Encoder:
         start = np.cumsum(size) - size
         size, start = size[number], start[number]
         ends = np.cumsum(size)
-        found = known[np.repeat(start - ends + size, size) + np.arange(ends[-1])]
+        # half the memory, unless one very long text is on its own
+        kind = np.int32 if max(ends[-1], len(known)) < 1 << 31 else np.int64
+        at = np.repeat((start - ends + size).astype(kind), size)
+        at += np.arange(ends[-1], dtype=kind)
+        found = known[at]
         ends = ends[bounds[1:] - 1].tolist()
         for k, (a, b) in enumerate(zip([0, *ends], ends)):
             yield self.encode(texts[k].as_py()) if alone[k] else found[a:b].tobytes()
